@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontaminate, language_id, mixing, quality, urls
-from corpusloom.llm.common import fold
+from corpusloom.llm import decontaminate, language_id, language_model, mixing, quality, urls, warc
+from corpusloom.llm.common import fold, shared_folder
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -29,6 +30,11 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    return warc.read(warc.write(_read(spark, sf_dir, "pages"), folder), folder)
+
+
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
 
@@ -36,6 +42,11 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(_read(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", (fold(F.col("doc_id"), 7) == 2).alias("held_out")).withColumn("teaches", ~F.col("held_out"))
+    return language_model.score(docs, "teaches", ["doc_id", "held_out"]).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_read(spark, sf_dir, "documents"))
 
@@ -49,14 +60,24 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_decontaminate": op2_decontaminate,
+    "op3_warc": op3_warc,
     "op4_url_filter": op4_url_filter,
+    "op6_lm_score": op6_lm_score,
     "op7_mix_sources": op7_mix_sources,
     "op9_language_id": op9_language_id,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_DIGITS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"
+
 ORACLE_SQL: dict[str, str] = {
+    "op3_warc": f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS chosen FROM pages)
+SELECT page_id, strlen(body)::BIGINT AS payload_bytes,
+  array_to_string(flatten([[substr({_DIGITS}, 1 + ((('0x' || substr(h, (5 * k + 1)::INT, 5))::BIGINT >> s) & 31)::INT, 1) for s in [15, 10, 5, 0]] for k in range(8)]), '') AS payload_digest,
+  CASE WHEN page_id = chosen THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> chosen THEN chosen END AS refers_to
+FROM p""",
     "op2_decontaminate": rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
