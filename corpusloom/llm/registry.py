@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontaminate, language_id, language_model, mixing, quality, urls, warc
+from corpusloom.llm import decontaminate, fingerprints, language_id, language_model, mixing, quality, urls, warc
 from corpusloom.llm.common import fold, shared_folder
 
 
@@ -42,6 +42,10 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(_read(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint(_read(spark, sf_dir, "documents"))
+
+
 def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", (fold(F.col("doc_id"), 7) == 2).alias("held_out")).withColumn("teaches", ~F.col("held_out"))
     return language_model.score(docs, "teaches", ["doc_id", "held_out"]).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op3_warc": op3_warc,
     "op4_url_filter": op4_url_filter,
+    "op5_fingerprint": op5_fingerprint,
     "op6_lm_score": op6_lm_score,
     "op7_mix_sources": op7_mix_sources,
     "op9_language_id": op9_language_id,
