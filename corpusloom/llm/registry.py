@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontaminate, fingerprints, language_id, language_model, mixing, quality, urls, warc
+from corpusloom.llm import decontaminate, fingerprints, language_id, language_model, mixing, quality, substrings, urls, warc
 from corpusloom.llm.common import fold, shared_folder
 
 
@@ -61,6 +61,10 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model, batch_columns=[F.col("doc_id"), F.col("held_out")])
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removed(_read(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_decontaminate": op2_decontaminate,
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_lm_score": op6_lm_score,
     "op7_mix_sources": op7_mix_sources,
     "op9_language_id": op9_language_id,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -97,4 +102,13 @@ items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
   sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op10_substring_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+starts AS (SELECT doc_id, i, hash(array_to_string(w[i : i + 34], ' ')) AS g FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 34)) AS i FROM d WHERE len(w) >= 35)),
+hits AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY g) AS k FROM starts) WHERE k > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 34)) AS p FROM hits),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS s, count(*) AS k
+  FROM (SELECT doc_id, unnest(w) AS x, unnest(generate_series(1, len(w))) AS p FROM d WHERE len(w) > 0) AS words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(k, 0))::BIGINT AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)""",
 }
