@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontaminate, fingerprints, language_id, language_model, mixing, quality, substrings, urls, warc
+from corpusloom.llm import decontaminate, fingerprints, jaccard, language_id, language_model, mixing, quality, substrings, urls, warc
 from corpusloom.llm.common import fold, shared_folder
 
 
@@ -55,6 +55,10 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_read(spark, sf_dir, "documents"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(_read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang", (fold(F.col("doc_id"), 4) == 2).alias("held_out"))
     model = language_id.fit(docs.where("not held_out"))
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_fingerprint": op5_fingerprint,
     "op6_lm_score": op6_lm_score,
     "op7_mix_sources": op7_mix_sources,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_language_id": op9_language_id,
     "op10_substring_dedup": op10_substring_dedup,
 }
@@ -111,4 +116,12 @@ kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS s, count(*) AS k
   FROM (SELECT doc_id, unnest(w) AS x, unnest(generate_series(1, len(w))) AS p FROM d WHERE len(w) > 0) AS words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(k, 0))::BIGINT AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)""",
+    "op8_jaccard_join": rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, hash(array_to_string(w[i : i + 4], ' ')) AS g FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s AS a JOIN s AS b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT doc_id, coalesce(max(n), 0)::BIGINT AS n_shingles, min(b) AS component_id FROM d LEFT JOIN n USING (doc_id) JOIN reach ON a = doc_id GROUP BY doc_id""",
 }
