@@ -30,6 +30,11 @@ def fold(doc_id: Column, buckets: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))), F.lit(buckets)).cast("int")
 
 
+def quoted(name: str) -> Column:
+    """The column of exactly this name."""
+    return F.col(f"`{name}`")
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

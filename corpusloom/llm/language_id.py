@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import LOWER_BYTES, encoded, plus, summed
+from corpusloom.llm.common import LOWER_BYTES, encoded, plus, quoted, summed
 
 UNDETERMINED = "und"
 _TABLE = np.frombuffer(LOWER_BYTES, np.uint8).astype(np.uint32)
@@ -87,7 +87,7 @@ def fit(train: DataFrame, text: str = "text", label: str = "lang", key: str = "d
     the texts of each label with the least hash of their id; every row enters the
     normal equations.
     """
-    train = train.select(F.col(key).cast("string").alias("k"), F.col(text).alias("t"), F.col(label).alias("l")).where("t is not null and t <> '' and l is not null")
+    train = train.select(quoted(key).cast("string").alias("k"), quoted(text).alias("t"), quoted(label).alias("l")).where("t is not null and t <> '' and l is not null")
     order = F.struct(F.xxhash64(F.lit(7), "k"), "k", "t")
     # Rows pre-aggregated by slots of the hash, so that no task gathers a label's texts.
     slot = F.pmod(F.xxhash64(F.lit(11), "k"), F.lit(landmarks_per_label))
@@ -118,8 +118,8 @@ def predict(docs: DataFrame, model: Model, text: str = "text", block: int = 128,
 
     ``score`` is the share of the predicted label in the labels' clipped ridge outputs.
     """
-    columns = batch_columns or [F.col(f"`{c}`") for c in docs.columns]
-    kept, source = docs.select(*columns), docs.select(*columns, F.col(text).alias("__text"))
+    columns = batch_columns or [quoted(c) for c in docs.columns]
+    kept, source = docs.select(*columns), docs.select(*columns, quoted(text).alias("__text"))
     schema = plus(kept, "lang_pred string, score double")
     position = len(kept.columns)
 

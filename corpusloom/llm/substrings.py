@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import checkpoint, chunks, encoded, mixed, plus, shuffle_partitions, window_hashes, word_hashes
+from corpusloom.llm.common import checkpoint, chunks, encoded, mixed, plus, quoted, shuffle_partitions, window_hashes, word_hashes
 from corpusloom.llm.decontaminate import merged
 
 _PLACE_BITS = 30
@@ -126,7 +126,7 @@ def parsed_block(rows: pa.Table, length: int) -> pa.RecordBatch:
 
 def spans(docs: DataFrame, key: str, text: str, length: int = 35, anchor: int = 8, chunk: int = 16 << 20, block_windows: int = 2 << 20) -> DataFrame:
     """``id``, ``body`` (hashes of key and text) and ``spans``, an array of (start, stop) word places, for documents that have any."""
-    rows = docs.select(F.xxhash64(F.col(key).cast("string")).alias("id"), F.xxhash64(F.col(text)).alias("body"), F.col(text).alias("text"))
+    rows = docs.select(F.xxhash64(quoted(key).cast("string")).alias("id"), F.xxhash64(quoted(text)).alias("body"), quoted(text).alias("text"))
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,7 +163,7 @@ def with_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", length:
     found = checkpoint(spans(docs, key, text, length))
     few = (found.agg(F.sum(F.size("spans") + 4)).first()[0] or 0) <= broadcast_spans
     found = found.withColumnsRenamed({"id": "__id", "body": "__body", "spans": "repeated_spans"})
-    keyed = docs.withColumns({"__id": F.xxhash64(F.col(key).cast("string")), "__body": F.xxhash64(F.col(text))})
+    keyed = docs.withColumns({"__id": F.xxhash64(quoted(key).cast("string")), "__body": F.xxhash64(quoted(text))})
     return keyed.join(F.broadcast(found) if few else found, ["__id", "__body"], "left").drop("__id", "__body")
 
 
@@ -173,7 +173,7 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text", length: in
     Without ``keep_text`` the text itself is left out.
     """
     names = [c for c in docs.columns if keep_text or c != text]
-    schema = plus(docs.select(*names), "n_words bigint, n_removed bigint, kept_sha256 string")
+    schema = plus(docs.select(*map(quoted, names)), "n_words bigint, n_removed bigint, kept_sha256 string")
     others = [c for c in docs.columns if c != text]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,4 +198,4 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text", length: in
             arrays = [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(sha, pa.string())]
             yield pa.RecordBatch.from_arrays([*(columns[c] for c in names), *arrays], names=schema.names)
 
-    return with_spans(docs, key, text, length).select(*(F.col(f"`{c}`") for c in others), text, "repeated_spans").mapInArrow(run, schema)
+    return with_spans(docs, key, text, length).select(*map(quoted, others), quoted(text), "repeated_spans").mapInArrow(run, schema)
