@@ -24,9 +24,9 @@ from corpusloom.llm.common import fold, shared_folder
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language_id.fit(docs.where(fold(F.col("doc_id"), 4) != 2))
-    judged = language_id.predict(docs.withColumnsRenamed({c: f"doc.{c}" for c in docs.columns}), model, text="doc.text")
+    judged = language_id.predict(docs.withColumnsRenamed({c: f"doc__{c}" for c in docs.columns}), model, text="doc__text")
     kept = judged.where(F.col("lang_pred") != language_id.UNDETERMINED)
-    return kept.select(*((F.coalesce("`doc.lang`", "lang_pred") if c == "lang" else F.col(f"`doc.{c}`")).alias(c) for c in docs.columns))
+    return kept.select(*((F.coalesce("doc__lang", "lang_pred") if c == "lang" else F.col(f"doc__{c}")).alias(c) for c in docs.columns))
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,10 +35,10 @@ def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     names = docs.columns
-    cut = substrings.removed(docs.withColumnsRenamed({c: f"doc.{c}" for c in names}), "doc.doc_id", "doc.text")
+    cut = substrings.removed(docs.withColumnsRenamed({c: f"doc__{c}" for c in names}), "doc__doc_id", "doc__text")
     left = cut.where("n_removed < n_words or n_words = 0")
-    length = F.when(F.col("n_removed") > 0, F.length("`doc.text`").cast("bigint")).otherwise(F.col("`doc.n_chars`"))
-    return left.select(*((length if c == "n_chars" else F.col(f"`doc.{c}`")).alias(c) for c in names))
+    length = F.when(F.col("n_removed") > 0, F.length("doc__text").cast("bigint")).otherwise(F.col("doc__n_chars"))
+    return left.select(*((length if c == "n_chars" else F.col(f"doc__{c}")).alias(c) for c in names))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
