@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.operators import curate
+from corpusloom.functions.text import WS, normalize_text
+from corpusloom.operators import align, curate
 from corpusloom.schemas import PUBLIC_RIGHTS
 from corpusloom.sources.readers import table
 
@@ -74,8 +75,6 @@ def _batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _existing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from corpusloom.functions.text import normalize_text
-
     return segments(spark, sf_dir).withColumns({"thadou": normalize_text(F.col("thadou")), "english": normalize_text(F.col("english")), "source_id": F.lit("batch")})
 
 
@@ -104,8 +103,6 @@ def rights_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def translation_directions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from corpusloom.operators import align
-
     return align.translation_directions(spark)
 
 
@@ -116,9 +113,7 @@ QUERIES = {n: globals()[n] for n in NAMES}
 _SEG = """WITH seg AS (SELECT doc_id AS id, lang || '.' || doc_id AS ref, substr(text, 1, 60) AS thadou, substr(text, 61, 60) AS english, source AS source_id, 'unassigned' AS split,
   CASE WHEN quality IS NULL THEN 'unreviewed' WHEN toxic = 1 THEN 'rejected' WHEN quality = 1 THEN 'approved' ELSE 'corrected' END AS status FROM documents LEFT JOIN labels USING (doc_id)),
 src AS (SELECT DISTINCT source AS source_id, 'Source ' || source AS title, CASE regexp_extract(source, '[0-9]+$')::INT % 3 WHEN 0 THEN 'OPEN_LICENSE' WHEN 1 THEN 'PUBLIC_DOMAIN' ELSE 'UNKNOWN' END AS rights_status FROM documents)"""
-from corpusloom.functions.text import WS as _WS  # noqa: E402
-
-_NORM = lambda c: f"trim(regexp_replace(replace(replace(nfc_normalize({c}), chr(160), ' '), chr(8203), ''), '{_WS}+', ' ', 'g'), ' ')"
+_NORM = lambda c: f"trim(regexp_replace(replace(replace(nfc_normalize({c}), chr(160), ' '), chr(8203), ''), '{WS}+', ' ', 'g'), ' ')"
 _IMPORT = f"""{_SEG}, had AS (SELECT {_NORM('thadou')} AS thadou, {_NORM('english')} AS english FROM seg),
 batch AS (SELECT id AS line_no, CASE WHEN id % 2 = 0 THEN ref ELSE '' END AS ref, {_NORM('thadou')} AS thadou, {_NORM("CASE WHEN id % 3 = 0 THEN english ELSE 'new ' || english END")} AS english FROM seg),
 good AS (SELECT * FROM batch WHERE thadou <> '' AND english <> ''),

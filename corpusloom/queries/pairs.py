@@ -61,7 +61,7 @@ def sft_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sft_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With a further text of side b for a sample, and a second one of side a."""
-    rows = pairs(spark, sf_dir).withColumns({"extra": F.upper("b"), "second": F.when(F.col("turn") % 4 == 0, F.lower("a")).otherwise("")})
+    rows = pairs(spark, sf_dir).withColumns({"extra": F.concat(F.lit("Again: "), F.col("b")), "second": F.when(F.col("turn") % 4 == 0, F.lower("a")).otherwise("")})
     return _flat(training.sft_examples(rows, SYSTEM, FORWARD, BACKWARD, extra="extra", second="second"))
 
 
@@ -187,7 +187,7 @@ def _example(kind: str, xs: list[str], source: str, target: str, where: str = "t
 _BASE = """j AS (SELECT coalesce(u.conv_id, s.conv_id) AS conv_id, coalesce(u.turn, s.turn - 1) AS turn, u.conv_id IS NOT NULL AS has_a, s.conv_id IS NOT NULL AS has_b, u.text AS a_text, s.text AS b_text
   FROM (SELECT * FROM conversations WHERE role = 'user') AS u FULL JOIN (SELECT * FROM conversations WHERE role = 'assistant') AS s ON u.conv_id = s.conv_id AND s.turn - 1 = u.turn),
 p AS (SELECT conv_id || '.' || turn AS id, conv_id, turn, a_text AS a, b_text AS b, ('0x' || substr(sha256(conv_id::VARCHAR), 1, 8))::BIGINT % 10 AS bucket FROM j WHERE has_a AND has_b AND a_text <> '' AND b_text <> ''),
-p2 AS (SELECT *, CASE WHEN bucket < 8 THEN 'train' WHEN bucket = 8 THEN 'validation' ELSE 'test' END AS split, upper(b) AS extra, CASE WHEN turn % 4 = 0 THEN lower(a) ELSE '' END AS second FROM p),
+p2 AS (SELECT *, CASE WHEN bucket < 8 THEN 'train' WHEN bucket = 8 THEN 'validation' ELSE 'test' END AS split, 'Again: ' || b AS extra, CASE WHEN turn % 4 = 0 THEN lower(a) ELSE '' END AS second FROM p),
 ta AS (SELECT id, unnest(list_distinct(regexp_extract_all(lower(a), '[a-zA-Z'']+'))) AS x FROM p), tb AS (SELECT id, unnest(list_distinct(regexp_extract_all(lower(b), '[a-zA-Z'']+'))) AS y FROM p),
 ca AS (SELECT x, count(*) AS cx FROM ta GROUP BY x), cb AS (SELECT y, count(*) AS cy FROM tb GROUP BY y),
 co AS (SELECT x, y, count(*) AS n FROM ta JOIN tb USING (id) GROUP BY ALL HAVING count(*) >= 8), co2 AS (SELECT x, y, n, cx, cy, 2 * n / (cx + cy) AS dice FROM co JOIN ca USING (x) JOIN cb USING (y)),

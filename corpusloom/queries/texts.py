@@ -129,6 +129,7 @@ SQL = {
   list_reduce(list_prepend({{'t': '', 'note': false}}, flatten(list(parts ORDER BY doc_id))), lambda acc, x: {_PART}).t AS text
 FROM (SELECT *, min(doc_id) FILTER (label IS NOT NULL) OVER (PARTITION BY source, block) AS first FROM (SELECT source, doc_id // 100 AS block, doc_id, CASE WHEN doc_id % 2 <> 0 THEN doc_id::VARCHAR END AS label,
   list_transform(string_split(text, chr(10))[1:2], lambda s, i: {{'t': s, 'note': i = 2}}) AS parts FROM documents)) GROUP BY source, block""",
+    "html_unescape": "SELECT doc_id, '<& é' || replace(replace(substr(text, 1, 200), chr(65533), chr(39)), chr(160), ' ') AS text FROM documents",
     "rounding": "SELECT k, round_even(k / 256, 4) AS rounded FROM (SELECT unnest(generate_series(1, 199))::BIGINT AS k)",
     "label_checks": "SELECT doc_id, doc_id % 3 = 0 AS bracketed, CASE WHEN doc_id % 3 = 1 THEN 0 ELSE doc_id END::INT AS number FROM documents",
 }
