@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.common import checkpoint
+
 _NULL = "\x00null"
 
 
@@ -55,15 +57,17 @@ def rates(docs: DataFrame, weights: dict[str | None, float] | None, total: float
     return out.select("__source", "rate", "first", table.alias("cdf"))
 
 
-def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, total: float | None = None, seed: int = 17, source: str = "source", key: str = "doc_id", copy: str | None = "copy") -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, total: float | None = None, seed: int = 17, source: str = "source", key: str = "doc_id", copy: str | None = "copy", broadcast_sources: int = 2000) -> DataFrame:
     """``docs`` repeated to the target weights (equal ones if none are given; ``total`` rows in the mean, as many as there are if None).
 
     ``copy`` numbers a document's repetitions from 0; None leaves the number out.
-    The sources' table joins by the optimizer's choice: small, it is broadcast; with many sources it is shuffled.
+    The sources' table is broadcast if it has ``broadcast_sources`` rows at most; beyond that it is joined by shuffling.
     """
     names = docs.columns
     keyed = docs.withColumn("__source", F.coalesce(F.col(source), F.lit(_NULL)))
-    drawn = keyed.join(rates(docs, weights, total, source), "__source")
+    table = checkpoint(rates(docs, weights, total, source))
+    few = table.count() <= broadcast_sources
+    drawn = keyed.join(F.broadcast(table) if few else table, "__source")
     u = uniform(F.lit(seed), F.col(key))
     count = F.col("first") + F.size(F.filter("cdf", lambda c: c <= F.col("__u")))
     counted = drawn.withColumn("__u", u).withColumn("__n", count.cast("int")).where("__n > 0").select(*names, "__n")
