@@ -39,19 +39,30 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 def suffix_array(s: np.ndarray) -> np.ndarray:
-    """Suffix order by prefix doubling; the last symbol must be the least and unique."""
-    n = len(s)
-    order = np.argsort(s, kind="stable")
+    """Suffix order by prefix doubling; the last symbol must be the least and unique.
+
+    The first round compares as many symbols as fit in 62 bits; later ones sort only
+    suffixes that are not yet told apart.
+    """
+    n, width = len(s), max(1, int(s.max()).bit_length())
+    k = max(1, 62 // width)
+    padded = np.append(s, np.zeros(k, np.int64))
+    key = np.zeros(n, np.int64)
+    for j in range(k):
+        key = (key << width) | padded[j : j + n]
+    order = np.argsort(key)
+    open_, sub, sub_key = np.arange(n), order, key[order]
     rank = np.zeros(n, np.int64)
-    rank[order[1:]] = np.cumsum(s[order[1:]] != s[order[:-1]])
-    k = 1
-    while n and rank[order[-1]] < n - 1:
-        second = np.zeros(n, np.int64)
-        second[:-k] = rank[k:] + 1
-        key = rank * (n + 1) + second
-        order = np.argsort(key, kind="stable")
-        rank = np.zeros(n, np.int64)
-        rank[order[1:]] = np.cumsum(key[order[1:]] != key[order[:-1]])
+    while len(open_):
+        new = np.append(True, sub_key[1:] != sub_key[:-1])
+        first = np.flatnonzero(new)
+        rank[sub] = open_[first][np.cumsum(new) - 1]  # the place of a group's first suffix
+        alone = np.repeat(np.diff(np.append(first, len(sub))) == 1, np.diff(np.append(first, len(sub))))
+        open_, sub = open_[~alone], sub[~alone]
+        sub_key = rank[sub] * (n + 1) + np.where(sub + k < n, rank[np.minimum(sub + k, n - 1)] + 1, 0)
+        by = np.argsort(sub_key)
+        sub, sub_key = sub[by], sub_key[by]
+        order[open_] = sub
         k *= 2
     return order
 
