@@ -67,18 +67,19 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
     return b"WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields).encode() + b"\r\n" + block + b"\r\n\r\n"
 
 
-def elected(pages: DataFrame, key: str, payload: str, url: str, least_bytes: int) -> DataFrame:
-    """``page_id``, ``url``, ``payload``, ``revisit`` and ``refers_to``.
+def revisits(pages: DataFrame, key: str, payload: str, least_bytes: int) -> DataFrame:
+    """``page_id``, ``sha``, ``refers_to`` of the records that repeat another one's payload; payloads themselves stay where they are.
 
-    The election pre-aggregates narrow rows; its result joins back by digest, where
-    the optimizer may split a hot digest, as the elected side has one row for each.
+    The election pre-aggregates, and its result has one row a digest, so that the
+    optimizer may split a digest that many rows share.
     """
-    body = F.coalesce(F.encode(F.col(payload), "UTF-8"), F.lit(b""))
-    rows = pages.select(F.col(key).cast("bigint").alias("page_id"), F.col(url).alias("url"), body.alias("payload")).withColumn("sha", F.sha2("payload", 256))
-    chosen = rows.groupBy("sha").agg(F.max("page_id").alias("chosen"), F.count("*").alias("n")).where("n > 1").select("sha", "chosen")
-    joined = rows.join(chosen, "sha", "left")
-    revisit = (F.length("payload") >= least_bytes) & F.coalesce(~F.col("page_id").eqNullSafe(F.col("chosen")) & F.col("chosen").isNotNull(), F.lit(False))
-    return joined.withColumn("revisit", revisit).select("page_id", "url", "payload", "revisit", F.when(F.col("revisit"), F.col("chosen")).alias("refers_to"))
+    rows = pages.select(F.col(key).cast("bigint").alias("page_id"), _body(payload).alias("payload")).where(F.length("payload") >= least_bytes).select("page_id", F.unhex(F.sha2("payload", 256)).alias("sha"))
+    chosen = rows.groupBy("sha").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1 and refers_to is not null").select("sha", "refers_to")
+    return rows.join(chosen, "sha").where("page_id is null or page_id < refers_to").select("page_id", "sha", "refers_to").distinct()
+
+
+def _body(payload: str) -> Column:
+    return F.coalesce(F.encode(F.col(payload), "UTF-8"), F.lit(b""))
 
 
 def boundaries(sizes: DataFrame, shard_bytes: int, cells: int = 4096) -> list[int]:
@@ -168,21 +169,28 @@ def write(pages: DataFrame, folder: str, key: str = "page_id", payload: str = "h
     total = sizes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     starts = boundaries(sizes, max(shard_bytes, total // max_shards))
     shard = F.when(F.col("page_id").isNull(), 0).otherwise(at_or_below(starts, F.col("page_id")))
-    rows = elected(pages, key, payload, url, least_bytes).withColumn("shard", shard.cast("int"))
-    rows = rows.repartition(max(1, len(starts) + 1), "shard").sortWithinPartitions("shard", "page_id", "url", "payload")
-    rows = rows.select("shard", "page_id", "url", "payload", "revisit", "refers_to")
+    records = pages.select(F.col(key).cast("bigint").alias("page_id"), _body(payload).alias("payload"), F.col(url).alias("url")).select("page_id", F.unhex(F.sha2("payload", 256)).alias("sha"), F.lit(True).alias("whole"), "url", "payload", F.lit(None).cast("bigint").alias("refers_to"))
+    # What is decided about a record comes right before it; only records' payloads are shuffled, and once.
+    decided = revisits(pages, key, payload, least_bytes).select("page_id", "sha", F.lit(False).alias("whole"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), "refers_to")
+    rows = records.union(decided).withColumn("shard", shard.cast("int"))
+    rows = rows.repartition(len(starts) + 1, "shard").sortWithinPartitions("shard", "page_id", "sha", "whole", "url")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filesystem, root = pafs.FileSystem.from_uri(folder)
         attempt, roller, done = uuid.uuid4().hex, None, []
+        decision: tuple[tuple, int | None] = ((), None)
         for batch in batches:
-            for shard, page_id, target, body, revisit, refers_to in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for page_id, sha, whole, target, body, refers_to, shard in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if not whole:
+                    decision = (page_id, sha), refers_to
+                    continue
                 if roller is None or roller.shard != shard:
                     if roller:
                         roller.close()
                         done += roller.done
                     roller = Roller(filesystem, root, attempt, shard, roll_bytes, level)
-                roller.add(record(page_id, target, body, refers_to, revisit, date))
+                original = decision[1] if decision[0] == (page_id, sha) else None
+                roller.add(record(page_id, target, body, original, original is not None, date))
         if roller:
             roller.close()
             done += roller.done
