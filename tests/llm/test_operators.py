@@ -1,0 +1,346 @@
+"""Operators on small tables with nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from corpusloom.llm import decontaminate, fingerprints, jaccard, language_id, language_model, mixing, quality, substrings, urls, warc
+from corpusloom.llm.common import fold
+
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def sentence(r, n, stem=""):
+    return " ".join(stem + r.choice(["the", "of", "and", "rent", "tion", "house", "water", "stone", "bird"]) + str(r.randint(0, 40)) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def rows():
+    r = random.Random(11)
+    passage = sentence(r, 50)
+    out = [(i, sentence(r, r.randint(0, 120)), "en" if i % 2 else "de", f"s{i % 3}") for i in range(40)]
+    out += [(100 + i, f"{sentence(r, 30)} {passage} {sentence(r, 30)}", "en", "s0") for i in range(4)]
+    base = sentence(r, 200).split()
+    out += [(200 + i, " ".join(w if j != 7 * i else "changed" for j, w in enumerate(base)), "en", None) for i in range(6)]
+    out += [(300, None, "en", "s1"), (301, "", None, "s1"), (302, " \t\n", "en", "s1"), (303, "one two", "en", "s1"), (304, "one TWO", "de", "s1"), (305, "12 34 !!", "en", "s1"), (306, "long word " * 60_000, "en", "s2"), (None, "no id at all", "en", "s2"), (303, "one two", "en", "s1"), (307, "x" * 200_000, None, "s2")]
+    return [(i, t, lang, s, None if t is None else len(t)) for i, t, lang, s in out]
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    return spark.createDataFrame(rows, DOCS).repartition(5)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def by_id(frame, key="doc_id"):
+    out = {}
+    for r in frame.collect():
+        out.setdefault(r[key], []).append(r)
+    return out
+
+
+def lowered(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+
+
+def shingles(text):
+    w = WORDS.findall(lowered(text))
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def brute_components(rows):
+    sets = [(i, shingles(t)) for i, t, *_ in rows if i is not None]
+    label = {i: i for i, _ in sets}
+    for a, x in sets:
+        for b, y in sets:
+            if x and y and 100 * len(x & y) >= 75 * len(x | y) and label[a] != label[b]:
+                low, high = sorted((label[a], label[b]))
+                label = {k: low if v == high else v for k, v in label.items()}
+    return label
+
+
+def test_jaccard(rows, docs, none):
+    out = by_id(jaccard.join(docs), "id")
+    wanted = brute_components(rows)
+    assert sum(map(len, out.values())) == len(rows)
+    for i, t, *_ in rows:
+        assert {r.n_shingles for r in out[i]} >= {len(shingles(t))}
+        if i is not None:
+            assert {r.component_id for r in out[i]} == {wanted[i]}
+    assert jaccard.join(none).count() == 0
+    kept = {r.doc_id for r in jaccard.one_of_each(docs).collect()}
+    assert kept == {i for i, *_ in rows if i is None or wanted[i] == i}
+
+
+@pytest.mark.parametrize("group_sets", [2, 1000])
+def test_jaccard_in_blocks(spark, rows, group_sets):
+    """Groups beyond the bound are split, with the same result; candidates beyond theirs are joined."""
+    r = random.Random(2)
+    base = sentence(r, 300).split()
+    copies = [(i, " ".join(w if r.random() > 0.02 else "x" for w in base)) for i in range(24)]
+    frame = spark.createDataFrame([(i, t, None, None, 0) for i, t in copies], DOCS)
+    out = {x.id: x.component_id for x in jaccard.join(frame, group_sets=group_sets, broadcast_ids=0).collect()}
+    assert out == brute_components(copies)
+
+
+def test_components(spark):
+    r = random.Random(4)
+    pairs = [(r.randint(0, 80), r.randint(0, 80)) for _ in range(45)] + [(100 + i, 101 + i) for i in range(30)]
+    label = {k: k for p in pairs for k in p}
+    for a, b in pairs:
+        low, high = sorted((label[a], label[b]))
+        label = {k: low if v == high else v for k, v in label.items()}
+    got = {x.u: x.root for x in jaccard.components(spark.createDataFrame(pairs, "u bigint, v bigint")).collect()}
+    assert got == {k: v for k, v in label.items() if k != v}
+
+
+def brute_removed(rows, length):
+    words = [WORDS.findall(t or "") for _, t, *_ in rows]
+    starts = {}
+    for d, w in enumerate(words):
+        for i in range(len(w) - length + 1):
+            starts.setdefault(tuple(w[i : i + length]), []).append((d, i))
+    gone = [set() for _ in words]
+    for places in starts.values():
+        if len(places) > 1:
+            for d, i in places:
+                gone[d].update(range(i, i + length))
+    return [(len(w), len(g), hashlib.sha256(" ".join(x for i, x in enumerate(w) if i not in g).encode()).hexdigest()) for w, g in zip(words, gone, strict=True)]
+
+
+@pytest.mark.parametrize("limit", [0, 2_000_000])
+def test_substrings(rows, docs, none, limit):
+    cut = substrings.with_spans(docs, broadcast_spans=limit)
+    assert cut.count() == len(rows)
+    out = by_id(substrings.removed(docs))
+    for (i, t, *_), wanted in zip(rows, brute_removed(rows, 35), strict=True):
+        assert wanted in {(r.n_words, r.n_removed, r.kept_sha256) for r in out[i]}
+        if not wanted[1]:
+            assert t in {r.text for r in out[i]}
+    assert substrings.removed(none).count() == 0
+
+
+def brute_hits(text, items, window):
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered(t))
+    w, hit, found = words(text), set(), set()
+    for k, t in items:
+        x = words(t)
+        for i in range(max(1, len(x) - window + 1) if x else 0):
+            part = x[i : i + window]
+            for j in range(len(w) - len(part) + 1):
+                if w[j : j + len(part)] == part:
+                    hit.update(range(j, j + len(part)))
+                    found.add(str(k))
+    return len(w), len(hit), sorted(found)
+
+
+@pytest.mark.parametrize("block", [1, 8 << 20])
+def test_decontaminate(spark, rows, docs, none, block):
+    texts = {i: t for i, t, *_ in rows}
+    items = [(1, texts[100][150:600]), (2, texts[5][:200]), (30, "ONE, two"), (4, None), (5, "?!"), (6, texts[5][:200]), (7, "absent words here"), (8, "é" + texts[201][:300])]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    out = by_id(decontaminate.find(docs, benchmark, block_bytes=block, shard_words=500).withColumn("n_hit", decontaminate.n_hit()))
+    for i, t, *_ in rows:
+        if len(t or "") < 100_000:
+            assert brute_hits(t, items, 10) in [(r.n_words, r.n_hit, r.hit_items) for r in out[i]]
+    assert decontaminate.find(none, benchmark).count() == 0
+    assert decontaminate.decontaminated(docs, benchmark.where("false")).count() == len(rows)
+    kept = decontaminate.decontaminated(docs, benchmark)
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, t, *_ in rows if not any("0" not in r.hit_items and r.n_hit for r in out[i])}
+
+
+def test_language_id(spark, docs, rows, none):
+    r = random.Random(3)
+    made = [(i, sentence(r, 30, "sch") if i % 2 else sentence(r, 30, "qu"), "de" if i % 2 else "fr", None, 0) for i in range(80)]
+    train = spark.createDataFrame(made[:60], DOCS)
+    model = language_id.fit(train, landmarks_per_label=5)
+    out = language_id.predict(spark.createDataFrame(made[60:], DOCS), model).collect()
+    assert all(x.lang_pred == x.lang for x in out) and all(0 <= x.score <= 1 for x in out)
+    odd = by_id(language_id.predict(docs, model))
+    assert sum(map(len, odd.values())) == len(rows)
+    for i in (300, 301, 302, 305):
+        assert {(x.lang_pred, x.score) for x in odd[i]} == {("und", 0.0)}
+    assert {x.lang_pred for x in language_id.predict(docs, language_id.fit(none)).collect()} == {"und"}
+    assert language_id.predict(none, model).count() == 0
+    clash = language_id.predict(docs.withColumn("score", F.lit("mine")).withColumn("lang_pred", F.lit(1)), model)
+    assert dict(clash.dtypes)["score"] == "double" and len(clash.columns) == len({*clash.columns})
+
+
+def test_quality(spark, docs, rows, none):
+    r = random.Random(8)
+    made = [(i, sentence(r, 60) if i % 3 else " | ".join(sentence(r, 40).upper().split()), None, None, 0) for i in range(300)]
+    frame = spark.createDataFrame(made, DOCS).withColumn("held_out", fold(F.col("doc_id"), 5) == 0).withColumn("teaches", ~F.col("held_out"))
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(300)] + [(7, None), (9999, 1)], "doc_id bigint, quality int")
+    out = quality.classify(frame, labels, "teaches", ["doc_id", "held_out", "teaches"]).where("held_out").collect()
+    assert out and all(x.predicted == int(x.doc_id % 3 > 0) for x in out) and all(0 <= x.score <= 1 for x in out)
+    taught = docs.withColumn("teaches", F.lit(True))
+    blank = quality.classify(taught, labels.where("false"), "teaches", ["doc_id", "teaches"]).collect()
+    assert len(blank) == len(rows) and {x.score for x in blank} == {0.5}
+    assert quality.classify(none.withColumn("teaches", F.lit(True)), labels, "teaches", ["doc_id", "teaches"]).count() == 0
+
+
+def test_language_model(rows, docs, none):
+    import math
+    from collections import Counter
+
+    frame = docs.withColumn("teaches", fold(F.col("doc_id"), 7) != 2)
+    taught = {r.doc_id for r in frame.where("teaches").select("doc_id").collect()}
+    counts = Counter(w for i, t, *_ in rows if i in taught for w in [*WORDS.findall(lowered(t)), None])
+    n, v = sum(counts.values()), len(counts)
+    for hot in (3, 1 << 18):
+        out = by_id(language_model.score(frame, "teaches", ["doc_id"], hot_words=hot, max_grams=400))
+        for i, t, *_ in rows:
+            w = [*WORDS.findall(lowered(t)), None]
+            wanted = (len(w), sum(counts[x] > 0 for x in w), n, round(sum(math.log10((counts[x] + 1) / (n + v + 1)) for x in w), 5))
+            assert wanted in {(x.n_tokens, x.n_known, x.train_tokens, round(x.base_score, 5)) for x in out[i]}
+            assert all(x.score < 0 and math.isfinite(x.score) for x in out[i])
+        assert len({x.score for x in out[303]}) == 1
+    assert language_model.score(none.withColumn("teaches", F.lit(True)), "teaches", ["doc_id"]).count() == 0
+    untaught = language_model.score(docs.withColumn("teaches", F.lit(False)), "teaches", ["doc_id"]).where("doc_id = 303").first()
+    assert untaught.train_tokens == 0 and untaught.n_known == 0 and math.isclose(untaught.score, 8 * 8 * math.log10(0.5), rel_tol=1e-6)
+
+
+def test_fingerprints(spark, rows, docs, none):
+    from functools import cmp_to_key
+
+    order = sorted(rows, key=cmp_to_key(lambda a, b: ((a[0] is not None, a[0] or 0, a[1] or "") > (b[0] is not None, b[0] or 0, b[1] or "")) * 2 - 1))
+    texts = [t or "" for _, t, *_ in order]
+    out = by_id(fingerprints.fingerprint(docs))
+    assert sum(map(len, out.values())) == len(rows)
+    for (i, t, *_), following in zip(order, texts[1:] + texts[:1], strict=True):
+        wanted = hashlib.sha256(fingerprints.edited(t or "", following).encode()).hexdigest()
+        assert (len(t or ""), wanted) in {(r.n_chars, r.edited_sha256) for r in out[i]}
+        assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in out[i])
+    assert len({r.fingerprint for r in out[303]}) == 1 and {r.near_next for r in out[300]} == {1.0} and {r.near_next for r in out[301]} == {0.0}
+    assert fingerprints.fingerprint(none).count() == 0
+    one = fingerprints.fingerprint(docs.where("doc_id = 304")).collect()
+    assert [r.near_next for r in one] == [1.0]
+
+
+def test_near_duplicates_by_fingerprint(spark):
+    r = random.Random(6)
+    base = sentence(r, 150)
+    frame = spark.createDataFrame([(1, base, None, None, 0), (2, base[:-3] + "xyz", None, None, 0), (3, sentence(r, 150), None, None, 0), (4, base, None, None, 0)], DOCS)
+    assert {x.doc_id: x.leader for x in fingerprints.near_duplicates(frame).collect()} == {1: 1, 2: 1, 3: 3, 4: 1}
+
+
+RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+@pytest.mark.parametrize(
+    ("url", "host", "path", "rule"),
+    [
+        ("http://A.Example.net/en/1?x#y", "a.example.net", "/en/1", "example.net/en/"), ("http://a.example.net/fr/1", "a.example.net", "/fr/1", "net/"), ("http://anet/x", "anet", "/x", None), ("http://x.net", "x.net", "", None),
+        ("https://x.example.com/de/", "x.example.com", "/de/", "example.com/de/"), ("http://org/fr/?", "org", "/fr/", "org/fr/"), ("no scheme/en", "", "", None), (None, "", "", None), ("", "", "", None), ("a://b://c/d", "b:", "//c/d", None), ("x://é/\n?", "é", "/\n", None),
+    ],
+)
+def test_url_rules(spark, url, host, path, rule):
+    out = urls.judge(spark.createDataFrame([(1, url, "mine")], "page_id bigint, url string, verdict string"), RULES).first()
+    assert (out.host, out.path, out.rule) == (host, path, rule)
+    assert out.verdict == (dict((r, v) for v, r in RULES).get(rule) or "allow")
+
+
+def test_url_model_learns_from_rules(spark):
+    r = random.Random(1)
+    word = lambda s: "".join(r.choice(s) for _ in range(8))
+    made = [(i, f"http://{word('abc')}.net/{word('abc')}") for i in range(60)] + [(100 + i, f"http://{word('xyz')}.org/fr/{word('xyz')}") for i in range(60)] + [(200 + i, f"http://{word('abc' if i % 2 else 'xyz')}.com/{word('abc' if i % 2 else 'xyz')}") for i in range(40)]
+    pages = spark.createDataFrame([*made, made[-1]], "page_id bigint, url string")
+    out = urls.judge(pages, RULES).where("rule is null").collect()
+    assert len(out) == 41 and all(x.verdict == ("block" if x.page_id % 2 else "allow") for x in out)
+    assert urls.judge(pages.where("false"), RULES).count() == 0
+
+
+def test_mixing(spark, docs, rows, none):
+    assert mixing.mix(none).count() == 0
+    frame = spark.range(6000).selectExpr("id as doc_id", "case when id < 5000 then 'big' when id < 5900 then null else 'small' end as source", "'x' as copy", "id as rate", "id as first")
+    out = mixing.mix(frame, {"big": 1.0, None: 1.0, "small": 2.0, "absent": 3.0, "zero": 0.0})
+    assert out.columns == ["doc_id", "source", "rate", "first", "copy"]
+    n = {r.source: r.n for r in out.groupBy("source").agg(F.count("*").alias("n")).collect()}
+    total = 6000
+    for s, share in (("big", 1 / 4), (None, 1 / 4), ("small", 1 / 2)):
+        assert abs(n[s] - share * total) < 6 * (share * total) ** 0.5 + 1
+    again = mixing.mix(frame.repartition(3), {"big": 1.0, None: 1.0, "small": 2.0}, broadcast_sources=0)
+    assert out.exceptAll(again).count() == 0 and again.exceptAll(out).count() == 0
+    assert [r.doc_id for r in out.collect()] == [r.doc_id for r in again.collect()]
+    assert mixing.mix(docs).where("source is null").count() > 0
+
+
+@pytest.mark.parametrize("rate", [0.01, 1.0, 30.0, 2000.0])
+def test_poisson_table(spark, rate):
+    import math
+
+    packed = spark.createDataFrame([("s",)], "__source string")
+    r = mixing.rates(packed, None, rate).first()
+    k, total = r.first, 0.0
+    for i, c in enumerate(r.cdf[:50]):
+        total += math.exp((k + i) * math.log(rate) - rate - math.lgamma(k + i + 1))
+        assert math.isclose(c, total, rel_tol=1e-6, abs_tol=1e-12)
+    assert math.isclose(r.cdf[-1], 1, abs_tol=1e-9)
+
+
+def test_warc(spark, tmp_path, none):
+    made = [(5, "http://a/", "same"), (9, "http://b/", "same"), (7, "http://c/", "same"), (1, None, None), (2, "u", ""), (3, "u", "é" * 70_000), (None, "n", "same"), (None, "n", "only"), (9, "http://b/", "same"), (10**15, "far", "far")]
+    pages = spark.createDataFrame(made, "page_id bigint, url string, html string")
+
+    def archive(frame, name, **given):
+        folder = f"file://{tmp_path}/{name}"
+        manifest = warc.write(frame, folder, **given)
+        files = {f.name: f.read_bytes() for f in (tmp_path / name).glob("*.warc.gz")}
+        assert {r.name for r in manifest.collect()} == {*files} and (tmp_path / name / "_SUCCESS").exists() and not (tmp_path / name / "_temporary").exists()
+        return files, sorted(map(tuple, warc.read(manifest, folder).collect()), key=str)
+
+    files, got = archive(pages, "one", roll_bytes=600, shard_bytes=2000)
+    wanted = [(i, len((h or "").encode()), warc.digest((h or "").encode()), *(("revisit", 9) if h == "same" and i != 9 else ("revisit", 2) if h is None else ("response", None))) for i, _, h in made]
+    assert got == sorted(wanted, key=str) and len(files) > 2
+    again, _ = archive(pages.repartition(7), "two", roll_bytes=600, shard_bytes=2000)
+    assert again == files
+    _, all_responses = archive(pages, "three", least_bytes=5)
+    assert sum(r[3] == "revisit" for r in all_responses) == 0
+    assert archive(pages.where("false"), "four") == ({}, [])
+
+
+def test_shard_boundaries_are_exact_sums(spark):
+    sizes = spark.createDataFrame([(i, 10) for i in range(100)] + [(10**17 + i, 10) for i in range(100)], "page_id bigint, size bigint")
+    edges = warc.boundaries(sizes, 100, cells=8)
+    assert edges == warc.boundaries(sizes.repartition(9), 100, cells=8)
+    counts = sizes.groupBy(warc.at_or_below(edges, F.col("page_id")).alias("s")).agg(F.sum("size").alias("b")).collect()
+    assert max(r.b for r in counts) <= 100 and len(counts) >= 20
+
+
+def test_pipeline(spark, rows, tmp_path):
+    import corpus_pipeline
+
+    spark.createDataFrame(rows, DOCS).withColumns({"score": F.lit(1), "n_words": F.lit("x"), "first": F.lit(2)}).write.parquet(str(tmp_path / "documents.parquet"))
+    texts = {i: t for i, t, *_ in rows}
+    spark.createDataFrame([(1, texts[4] if len(texts[4].split()) > 12 else texts[6])], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    seen = [rows]
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        if name != "mix_sources":
+            assert out.columns == docs.columns
+        out.write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        seen.append(docs.collect())
+    ids = [{r[0] for r in s} for s in seen]
+    assert ids[1] == ids[0] - {300, 301, 302, 305}
+    components = brute_components([tuple(r) for r in seen[1]])
+    assert ids[2] == {i for i in ids[1] if i is None or components[i] == i}
+    removed = brute_removed([tuple(r) for r in seen[2]], 35)
+    assert ids[3] == {r[0] for r, (n, gone, _) in zip(seen[2], removed, strict=True) if gone < n or not n}
+    assert ids[4] < ids[3] and ids[5] <= ids[4]
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(seen[5])
+    empty = spark.createDataFrame([], DOCS)
+    for _, stage in corpus_pipeline.STAGES:
+        empty = stage(spark, empty, str(tmp_path)).select(*[c.split()[0] for c in DOCS.split(", ")])
+    assert empty.count() == 0
