@@ -219,7 +219,8 @@ def merged(spans: np.ndarray) -> np.ndarray:
 
 
 def find(docs: DataFrame, benchmark: DataFrame, window: int = 10, text: str = "text", item_key: str = "item_id", item_text: str = "text", block_bytes: int = 8 << 20, shard_words: int = 1 << 20) -> DataFrame:
-    """``docs`` with ``n_words``, ``hit_spans`` (word places, end exclusive) and ``hit_items`` (ids as strings, ascending)."""
+    """``docs`` with ``n_words``, ``hit_spans`` (word places, end exclusive) and ``hit_items`` (ids as strings, ascending), in place of any such columns."""
+    docs = docs.drop("n_words", "hit_spans", "hit_items")
     names = docs.columns
     out = docs.withColumns({"n_words": F.lit(0).cast("bigint"), "hit_spans": F.array().cast("array<array<int>>"), "hit_items": F.array().cast("array<string>")})
     schema = plus(docs, "n_words bigint, hit_spans array<array<int>>, hit_items array<string>")
@@ -256,4 +257,6 @@ def n_hit(spans: str = "hit_spans"):  # noqa: ANN201
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """The documents in which no window of the benchmark occurs."""
-    return find(docs, benchmark, window).where(F.size("hit_spans") == 0).select(*docs.columns)
+    inner = docs.withColumnsRenamed({c: f"doc__{c}" for c in docs.columns})
+    clean = find(inner, benchmark, window, "doc__text").where(F.size("hit_spans") == 0)
+    return clean.select(*(F.col(f"doc__{c}").alias(c) for c in docs.columns))

@@ -114,11 +114,11 @@ def fit(train: DataFrame, text: str = "text", label: str = "lang", key: str = "d
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", block: int = 128, batch_columns: list[Column] | None = None) -> DataFrame:
-    """The given columns (all, if none are named) with ``lang_pred`` and ``score``.
+    """The given columns (all, if none are named) with ``lang_pred`` and ``score``, in place of any such columns.
 
     ``score`` is the share of the predicted label in the labels' clipped ridge outputs.
     """
-    columns = batch_columns or [quoted(c) for c in docs.columns]
+    columns = batch_columns or [quoted(c) for c in docs.columns if c not in ("lang_pred", "score")]
     kept, source = docs.select(*columns), docs.select(*columns, quoted(text).alias("__text"))
     schema = plus(kept, "lang_pred string, score double")
     position = len(kept.columns)

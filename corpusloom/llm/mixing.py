@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import checkpoint
+from corpusloom.llm.common import checkpoint, quoted
 
 _NULL = "\x00null"
 
@@ -26,12 +26,12 @@ def uniform(*parts: Column) -> Column:
     return F.conv(F.substring(F.sha2(text, 256), 1, 13), 16, 10).cast("bigint") / F.lit(2.0**52)
 
 
-def rates(docs: DataFrame, weights: dict[str | None, float] | None, total: float | None, source: str) -> DataFrame:
+def rates(packed: DataFrame, weights: dict[str | None, float] | None, total: float | None) -> DataFrame:
     """One row a source: its rate, the first count of its table, and the table of the distribution function.
 
     The table leaves out counts whose probability is below 1e-30.
     """
-    counts = docs.groupBy(F.coalesce(F.col(source), F.lit(_NULL)).alias("__source")).agg(F.count("*").alias("n"))
+    counts = packed.groupBy("__source").agg(F.count("*").alias("n"))
     if weights is None:
         counts = counts.withColumn("w", F.lit(1.0))
     else:
@@ -60,17 +60,15 @@ def rates(docs: DataFrame, weights: dict[str | None, float] | None, total: float
 def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, total: float | None = None, seed: int = 17, source: str = "source", key: str = "doc_id", copy: str | None = "copy", broadcast_sources: int = 2000) -> DataFrame:
     """``docs`` repeated to the target weights (equal ones if none are given; ``total`` rows in the mean, as many as there are if None).
 
-    ``copy`` numbers a document's repetitions from 0; None leaves the number out.
+    ``copy`` names the column that numbers a document's repetitions from 0, in place of any such column; None leaves it out.
     The sources' table is broadcast if it has ``broadcast_sources`` rows at most; beyond that it is joined by shuffling.
     """
-    names = docs.columns
-    keyed = docs.withColumn("__source", F.coalesce(F.col(source), F.lit(_NULL)))
-    table = checkpoint(rates(docs, weights, total, source))
+    packed = docs.select(F.struct("*").alias("__row"), F.coalesce(quoted(source), F.lit(_NULL)).alias("__source"), quoted(key).alias("__key"))
+    table = checkpoint(rates(packed, weights, total))
     few = table.count() <= broadcast_sources
-    drawn = keyed.join(F.broadcast(table) if few else table, "__source")
-    u = uniform(F.lit(seed), F.col(key))
+    drawn = packed.join(F.broadcast(table) if few else table, "__source").withColumn("__u", uniform(F.lit(seed), F.col("__key")))
     count = F.col("first") + F.size(F.filter("cdf", lambda c: c <= F.col("__u")))
-    counted = drawn.withColumn("__u", u).withColumn("__n", count.cast("int")).where("__n > 0").select(*names, "__n")
-    copies = counted.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)))
-    order = [F.xxhash64(F.lit(seed), F.col(key), F.col("__copy")), F.col(key), F.col("__copy")]
-    return copies.orderBy(*order).select(*names, *([F.col("__copy").alias(copy)] if copy else []))
+    counted = drawn.select("__row", "__key", count.cast("int").alias("__n")).where("__n > 0")
+    copies = counted.select("__row", "__key", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)).alias("__copy"))
+    ordered = copies.orderBy(F.xxhash64(F.lit(seed), F.col("__key"), F.col("__copy")), "__key", "__copy")
+    return ordered.select(*(F.col(f"__row.`{c}`") for c in docs.columns if c != copy), *([F.col("__copy").alias(copy)] if copy else []))
