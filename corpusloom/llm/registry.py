@@ -39,7 +39,7 @@ URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urls.judge(_read(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
+    return urls.judge(_read(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,7 +86,45 @@ _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxy
 
 _DIGITS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"
 
+
+
+def _url_sql() -> str:
+    """The rules and, for the rest, the two character models, their ratio and its threshold."""
+    fits = "(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '/{p}')"
+    rules = sorted(URL_RULES, key=lambda r: (len(r[1]), r[1]), reverse=True)
+    case = lambda k: "CASE " + " ".join(f"WHEN {fits.format(h=r.partition('/')[0], p=r.partition('/')[2])} THEN '{(v, r)[k]}'" for v, r in rules) + " END"
+    chance = "1 / 256"
+    columns = {"a": chance, "r": chance}
+    for n in range(1, 6):
+        for k in columns:
+            columns[k] = f"CASE WHEN m{n}.all_{k} > 0 THEN (m{n}.{k} + m{n}.kinds_{k} * ({columns[k]})) / (m{n}.all_{k} + m{n}.kinds_{k}) ELSE {columns[k]} END"
+    joins = " ".join(f"JOIN m AS m{n} ON m{n}.tail = right(c.gram, {n})" for n in range(1, 6))
+    return f"""
+WITH p AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+q AS (SELECT page_id, {_LOWER.format("regexp_extract(rest, '^([^/?#]*)', 1)")} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+u AS (SELECT host, path, {case(1)} AS rule, {case(0)} AS verdict, ('0x' || substr(sha256(host || ' ' || path), 1, 8))::BIGINT % 5 = 0 AS kept FROM (SELECT DISTINCT host, path FROM q)),
+g AS (SELECT host, path, verdict, kept, substr(repeat(chr(2), 4) || host || path || chr(3), i, 5) AS gram FROM (SELECT *, unnest(generate_series(1, length(host || path) + 1)) AS i FROM u)),
+c AS (SELECT gram, count(*) FILTER (verdict = 'allow' AND NOT kept) AS a, count(*) FILTER (verdict = 'block' AND NOT kept) AS r FROM g GROUP BY gram),
+t AS (SELECT right(gram, n) AS tail, sum(a) AS a, sum(r) AS r FROM c, (SELECT unnest(generate_series(1, 5)) AS n) GROUP BY 1),
+x AS (SELECT left(tail, length(tail) - 1) AS context, length(tail) AS n, sum(a) AS all_a, count(*) FILTER (a > 0) AS kinds_a, sum(r) AS all_r, count(*) FILTER (r > 0) AS kinds_r FROM t GROUP BY 1, 2),
+m AS (SELECT tail, a, r, all_a, kinds_a, all_r, kinds_r FROM t JOIN x ON context = left(tail, length(tail) - 1) AND n = length(tail)),
+d AS (SELECT c.gram, round(1000000 * (ln({columns["a"]}) - ln({columns["r"]}))) AS ratio FROM c {joins}),
+s AS (SELECT host, path, verdict, sum(ratio) / count(*) / 1000000 AS score FROM g JOIN d USING (gram) WHERE verdict IS NULL OR kept GROUP BY ALL),
+h AS (SELECT least(greatest(floor(score * 100), -2000), 2000) AS cell, count(*) FILTER (verdict = 'allow') AS a, count(*) FILTER (verdict = 'block') AS r FROM s WHERE verdict IS NOT NULL GROUP BY 1),
+e AS (SELECT cell, coalesce((lag(cell) OVER w + 1 + cell) / 2, cell) / 100 AS edge, (sum(a) OVER () - sum(a) OVER w + a) / sum(a) OVER () + (sum(r) OVER w - r) / sum(r) OVER () AS value FROM h WINDOW w AS (ORDER BY cell)),
+b AS (SELECT coalesce((SELECT edge FROM e WHERE value IS NOT NULL AND NOT isnan(value) ORDER BY value DESC, abs(edge), cell LIMIT 1), 0) AS least)
+SELECT page_id, q.host, q.path, rule, coalesce(u.verdict, CASE WHEN score >= least THEN 'allow' ELSE 'block' END) AS verdict
+FROM q JOIN u ON q.host = u.host AND q.path = u.path LEFT JOIN s ON s.host = q.host AND s.path = q.path CROSS JOIN b"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op4_url_filter": _url_sql(),
+    "op7_mix_sources": """
+WITH n AS (SELECT source, count(*) AS n FROM documents GROUP BY source), r AS (SELECT source, sum(n) OVER () / count(*) OVER () / n AS rate FROM n),
+k AS (SELECT source, rate, unnest(generate_series(0, ceil(rate + 12 * sqrt(rate) + 40)::BIGINT)) AS k FROM r),
+c AS (SELECT source, list(cdf) AS cdf FROM (SELECT source, sum(exp(k * ln(rate) - rate - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS cdf FROM k) GROUP BY source),
+d AS (SELECT documents.*, len(list_filter(cdf, lambda x: x <= ('0x' || substr(sha256('17:' || doc_id), 1, 13))::BIGINT / 4503599627370496)) AS times FROM documents JOIN c ON documents.source IS NOT DISTINCT FROM c.source)
+SELECT * EXCLUDE (times), unnest(generate_series(0, times - 1))::INT AS copy FROM d WHERE times > 0""",
     "op3_warc": f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS chosen FROM pages)
 SELECT page_id, strlen(body)::BIGINT AS payload_bytes,

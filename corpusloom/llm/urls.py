@@ -82,22 +82,24 @@ def threshold(scored: DataFrame) -> float:
     accepted, rejected = sum(r.a for r in rows), sum(r.r for r in rows)
     if not accepted or not rejected:
         return 0.0
-    best, at, a, r = (-1.0, 0.0), 0.0, accepted, 0
+    # Between two neighbouring cells that have URLs the threshold is half-way; the one nearest 0 wins among equals.
+    best, at, a, r, before = (-1.0, 0.0), 0.0, accepted, 0, None
     for x in rows:
-        value = a / accepted + r / rejected
-        best = max(best, (value, -abs(x.cell / 100)), key=lambda b: b)
-        at = x.cell / 100 if best == (value, -abs(x.cell / 100)) else at
-        a, r = a - x.a, r + x.r
+        edge = (x.cell if before is None else (before + 1 + x.cell) / 2) / 100
+        if (score := (a / accepted + r / rejected, -abs(edge))) > best:
+            best, at = score, edge
+        a, r, before = a - x.a, r + x.r, x.cell
     return at
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str]], order: int = 4, url: str = "url") -> DataFrame:
-    """``pages`` with ``host``, ``path``, ``rule``, ``verdict`` and the model's ``score`` (null where a rule decides)."""
+    """``pages`` with ``host``, ``path``, ``rule``, ``verdict`` and the model's ``score`` (null where a rule decides), in place of any such columns."""
+    pages = pages.drop("host", "path", "rule", "verdict", "score")
     parsed = pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
     found = longest_rule(rules, F.col("host"), F.col("path"))
     urls = parsed.select("host", "path").distinct().withColumn("verdict", found["verdict"])
     # Of the decided URLs a fifth, by hash, is kept from the models to calibrate on.
-    kept_out = F.pmod(F.crc32(F.concat_ws(" ", "host", "path")), F.lit(5)) == 0
+    kept_out = F.pmod(F.conv(F.substring(F.sha2(F.concat_ws(" ", "host", "path"), 256), 1, 8), 16, 10).cast("bigint"), F.lit(5)) == 0
     exploded = urls.withColumn("kept_out", kept_out).select("*", F.explode(grams(F.concat("host", "path"), order)).alias("gram"))
     teaches = F.col("verdict").isNotNull() & ~F.col("kept_out")
     counted = checkpoint(exploded.groupBy("gram").agg(F.count_if(teaches & (F.col("verdict") == "allow")).alias("a"), F.count_if(teaches & (F.col("verdict") == "block")).alias("r")))
@@ -106,4 +108,4 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], order: int = 4, url: s
     least = threshold(scored.where("verdict is not null"))
     model = scored.where("verdict is null").select("host", "path", "score", F.when(F.col("score") >= least, "allow").otherwise("block").alias("__verdict"))
     out = parsed.withColumn("__rule", found).join(model, ["host", "path"], "left")
-    return out.select(*(F.col(f"`{c}`") for c in pages.columns if c not in ("host", "path")), "host", "path", F.col("__rule.rule").alias("rule"), F.coalesce("__rule.verdict", "__verdict").alias("verdict"), "score")
+    return out.select(*(F.col(f"`{c}`") for c in pages.columns), "host", "path", F.col("__rule.rule").alias("rule"), F.coalesce("__rule.verdict", "__verdict").alias("verdict"), "score")
