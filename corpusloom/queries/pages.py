@@ -80,7 +80,7 @@ def single_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_book_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("page_id") % 3
-    title = F.when(k == 0, F.concat(F.lit("Matthew "), F.col("page_id").cast("string"), F.lit(" | NIV Bible"))).when(k == 1, "The Beginning - App").otherwise("")
+    title = F.when(k == 0, F.concat(F.lit("Matthew "), F.col("page_id").cast("string"), F.lit(" | XYZ Bible"))).when(k == 1, "The Beginning - App").otherwise("")
     h1 = F.concat(F.lit("1 John "), F.col("page_id").cast("string"))
     return table(spark, sf_dir, "pages").select("page_id", tx.page_book_name(title, h1).alias("name"))
 

@@ -118,7 +118,7 @@ def test_deep_pages_do_not_recurse():
 
 @pytest.mark.parametrize(("blank", "status"), [(1, "verified"), (2, "LANGUAGE_UNCERTAIN")])
 def test_coverage_gate(spark, blank, status):
-    verses = [{"reference": f"GEN.1.{i}", "text": "" if i <= blank else "pathen leh van"} for i in range(1, 11)]
+    verses = [{"reference": f"GEN.1.{i}", "text": "" if i <= blank else "zub lor vem"} for i in range(1, 11)]
     url = "http://r/11/GEN.1.V"
     rows = spark.createDataFrame(
         [("Genesis 1 | V Bible", "Genesis 1", url, url, url + "/", ["/versions/11"], "genesis", True, "GEN", 1, verses)],

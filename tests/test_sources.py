@@ -41,10 +41,10 @@ def test_captures(spark, tmp_path):
 def test_tsv(spark, tmp_path):
     (tmp_path / "t.tsv").write_text('﻿ref\tthadou\tenglish\nr1\t"a\tb\nc"\t"say ""x"""\n', encoding="utf-8")
     assert [tuple(r) for r in readers.authorized(spark, str(tmp_path / "t.tsv")).collect()] == [("r1", "a\tb\nc", 'say "x"')]
-    (tmp_path / "u.tsv").write_text("tcz\ten_web\nx\ty\n")
+    (tmp_path / "u.tsv").write_text("left\tright\nx\ty\n")
     with pytest.raises(ValueError):
         readers.import_file(spark, str(tmp_path / "u.tsv"))
-    assert tuple(readers.import_file(spark, str(tmp_path / "u.tsv"), {"tcz": "thadou", "en_web": "english"}).select("thadou", "english", "ref").first()) == ("x", "y", "")
+    assert tuple(readers.import_file(spark, str(tmp_path / "u.tsv"), {"left": "thadou", "right": "english"}).select("thadou", "english", "ref").first()) == ("x", "y", "")
 
 
 def test_registry_and_small_json(spark, tmp_path):
