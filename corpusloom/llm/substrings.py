@@ -13,8 +13,8 @@ another block; factors that overlap or touch at such boundaries are merged per d
 
 Before the shuffle each task parses its own chunk in the same way and ships one
 place of each distinct window only: a passage that a third of all rows share costs
-a block as many rows as there are chunks.  Windows are compared by 64-bit hashes
-among those with equal 64-bit anchors.
+a block as many places as there are chunks.  Segments travel packed, a row a chunk and
+block.  Windows are equal if their 64-bit anchor hashes and 48-bit window hashes are.
 
 Defined results: null and empty texts have no words; texts with fewer words than
 ``length`` lose none; equal rows, and rows with equal or null ids, are documents like
@@ -28,15 +28,17 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import checkpoint, chunks, encoded, mixed, plus, quoted, shuffle_partitions, window_hashes, word_hashes
 from corpusloom.llm.decontaminate import merged
 
 _PLACE_BITS = 30
-ROUTED = "block bigint, local boolean, id bigint, body bigint, start int, data binary"
-SPANS = "id bigint, body bigint, start int, stop int"
+HASH_BYTES = 6
+BLOCKS_A_TASK = 4
+ROUTED = "block int, anchors binary, ids binary, bodies binary, starts binary, counts binary, windows binary"
+SPANS = "id bigint, body int, start int, stop int"
 
 
 def least_in_windows(values: np.ndarray, width: int) -> np.ndarray:
@@ -76,17 +78,15 @@ def runs(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.append(first[1:], n) - 1
 
 
-def _binary(data: np.ndarray, ends: np.ndarray) -> pa.Array:
-    """One binary value for each stretch of ``data`` that ends at ``ends``."""
-    offsets = np.append(0, ends * data.itemsize).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
+def segments(texts: list[bytes], length: int, anchor: int) -> tuple[np.ndarray, ...]:
+    """Spans that repeat within these texts (document, start, stop), and the segments to ship.
 
-
-def routed_segments(texts: list[bytes], ids: np.ndarray, bodies: np.ndarray, length: int, anchor: int) -> Iterator[pa.RecordBatch]:
-    """Spans that repeat within these texts, and the segments to ship, as rows of ``ROUTED``."""
+    Segments: anchor hash, document, first place, number of windows; and the windows' hashes.
+    """
     words, bounds = word_hashes(texts)
+    none = np.zeros(0, np.int64)
     if len(words) < length:
-        return
+        return none, none, none, none.view(np.uint64), none, none, none, none.view(np.uint64)
     doc = np.repeat(np.arange(len(texts)), np.diff(bounds))
     window, phrase = window_hashes(words, length), window_hashes(words, anchor)
     at = least_in_windows(mixed(phrase ^ np.uint64(0x5BD1E9955BD1E995)), length - anchor + 1)
@@ -94,68 +94,85 @@ def routed_segments(texts: list[bytes], ids: np.ndarray, bodies: np.ndarray, len
     twice, first = repeated(window[start])
     s = start[twice]
     a, b = runs(doc[s], s)
-    spans = np.column_stack([s[a] - bounds[doc[s[a]]], s[b] - bounds[doc[s[a]]] + length]).astype(np.int32)
-    if len(a):
-        d = doc[s[a]]
-        yield pa.RecordBatch.from_arrays([pa.array(phrase[at[s[a]]].view(np.int64)), pa.array(np.ones(len(a), bool)), pa.array(ids[d]), pa.array(bodies[d]), pa.array(spans[:, 0]), _binary(spans[:, 1], np.arange(1, len(a) + 1))], names=["block", "local", "id", "body", "start", "data"])
-    s = start[first]
-    a, b = runs(doc[s], at[s], s)
-    if len(a):
-        d = doc[s[a]]
-        yield pa.RecordBatch.from_arrays([pa.array(phrase[at[s[a]]].view(np.int64)), pa.array(np.zeros(len(a), bool)), pa.array(ids[d]), pa.array(bodies[d]), pa.array((s[a] - bounds[d]).astype(np.int32)), _binary(window[s], b + 1)], names=["block", "local", "id", "body", "start", "data"])
-
-
-def parsed_block(rows: pa.Table, length: int) -> pa.RecordBatch:
-    """Factors of all segments in ``rows`` relative to the block's other segments, as rows of ``SPANS``."""
-    rows = rows.combine_chunks()
-    data, local = rows["data"].to_pylist(), rows["local"].to_numpy()
-    ids, bodies, start = (rows[c].to_numpy() for c in ("id", "body", "start"))
-    known = np.flatnonzero(local)
-    stops = np.frombuffer(b"".join(data[i] for i in known), np.int32)
-    ship = np.flatnonzero(~local)
-    size = np.array([len(data[i]) // 8 for i in ship], np.int64)
-    hashes = np.frombuffer(b"".join(data[i] for i in ship), np.uint64)
-    row = np.repeat(ship, size)
-    place = np.arange(len(hashes)) - np.repeat(np.cumsum(size) - size, size) + start[row]
-    twice, _ = repeated(hashes)
+    home = bounds[doc[s[a]]]
+    ship = start[first]
+    c, d = runs(doc[ship], at[ship], ship)
+    return doc[s[a]], s[a] - home, s[b] - home + length, phrase[at[ship[c]]], doc[ship[c]], ship[c] - bounds[doc[ship[c]]], d - c + 1, window[ship]
+
+
+def routed(texts: list[bytes], ids: np.ndarray, bodies: np.ndarray, length: int, anchor: int, blocks: int) -> Iterator[pa.RecordBatch]:
+    """Packed rows of ``ROUTED``.  A count below 0 is that of a span already known: minus its stop."""
+    span_doc, span_start, span_stop, anchors, doc, place, count, windows = segments(texts, length, anchor)
+    anchors = np.concatenate([anchors, mixed(span_doc.astype(np.uint64))])
+    doc, place, size = np.concatenate([doc, span_doc]), np.concatenate([place, span_start]), np.concatenate([count, np.zeros(len(span_doc), np.int64)])
+    count = np.concatenate([count, -span_stop])
+    if not len(doc):
+        return
+    block = (((mixed(anchors) >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)).astype(np.int32)
+    order = np.argsort(block, kind="stable")
+    offset = (np.cumsum(size) - size)[order]
+    block, anchors, doc, place, count, size = (x[order] for x in (block, anchors, doc, place, count, size))
+    ends = np.cumsum(size)
+    short = windows.view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES] if len(windows) else np.zeros((0, HASH_BYTES), np.uint8)
+    short = short[np.repeat(offset - (ends - size), size) + np.arange(int(size.sum()))]
+    cut = np.append(np.flatnonzero(np.append(True, block[1:] != block[:-1])), len(block))
+    bytes_ = lambda x, k: [x[a:b].tobytes() for a, b in zip(k[:-1], k[1:], strict=True)]
+    parts = [anchors, ids[doc], bodies[doc].astype(np.int32), place.astype(np.int32), count.astype(np.int32)]
+    yield pa.RecordBatch.from_arrays([pa.array(block[cut[:-1]]), *(pa.array(bytes_(x, cut), pa.binary()) for x in parts), pa.array(bytes_(short, np.append(0, ends)[cut]), pa.binary())], names=["block", "anchors", "ids", "bodies", "starts", "counts", "windows"])
+
+
+def parsed_block(rows: list[tuple], length: int) -> pa.RecordBatch:
+    """Factors of all segments of a block relative to its other segments, as rows of ``SPANS``."""
+    anchors, ids, bodies, starts, counts, data = (np.frombuffer(b"".join(x), t) for x, t in zip(zip(*rows, strict=True), (np.uint64, np.int64, np.int32, np.int32, np.int32, np.uint8), strict=True))
+    known = counts < 0
+    size = np.maximum(counts, 0).astype(np.int64)
+    whole = np.zeros((len(data) // HASH_BYTES, 8), np.uint8)
+    whole[:, :HASH_BYTES] = data.reshape(-1, HASH_BYTES)
+    row = np.repeat(np.arange(len(size)), size)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size) + starts[row]
+    twice, _ = repeated(mixed(anchors[row]) ^ mixed(whole.reshape(-1).view(np.uint64) + np.uint64(1)))
     r, p = row[twice], place[twice]
     a, b = runs(r, p)
-    columns = [np.concatenate([ids[known], ids[r[a]]]), np.concatenate([bodies[known], bodies[r[a]]]), np.concatenate([start[known], p[a]]).astype(np.int32), np.concatenate([stops, p[b] + length]).astype(np.int32)]
+    columns = [np.concatenate([ids[known], ids[r[a]]]), np.concatenate([bodies[known], bodies[r[a]]]), np.concatenate([starts[known], p[a]]).astype(np.int32), np.concatenate([-counts[known], p[b] + length]).astype(np.int32)]
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["id", "body", "start", "stop"])
 
 
-def spans(docs: DataFrame, key: str, text: str, length: int = 35, anchor: int = 8, chunk: int = 16 << 20, block_windows: int = 2 << 20) -> DataFrame:
-    """``id``, ``body`` (hashes of key and text) and ``spans``, an array of (start, stop) word places, for documents that have any."""
-    rows = docs.select(F.xxhash64(quoted(key).cast("string")).alias("id"), F.xxhash64(quoted(text)).alias("body"), quoted(text).alias("text"))
+def _keys(key: str, text: str, types: dict[str, str]) -> list[Column]:
+    """A row's id (whole numbers as they are) and a hash of its text, which tells rows of one id apart."""
+    ident = quoted(key).cast("bigint") if types[key] in ("bigint", "int", "smallint", "tinyint") else F.xxhash64(quoted(key).cast("string"))
+    return [F.coalesce(ident, F.lit(-(2**63))), F.hash(quoted(text))]
+
+
+def spans(docs: DataFrame, key: str, text: str, length: int = 35, anchor: int = 8, chunk: int = 4 << 20) -> DataFrame:
+    """``id``, ``body`` (of ``_keys``) and ``spans``, an array of (start, stop) word places, for documents that have any."""
+    n = shuffle_partitions(docs.sparkSession)
+    blocks = BLOCKS_A_TASK * n
+    ident, body = _keys(key, text, dict(docs.dtypes))
+    rows = docs.select(ident.alias("id"), body.alias("body"), quoted(text).alias("text"))
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, ids, bodies = encoded(batch.column(2)), batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for a, b in chunks(texts, chunk):
-                yield from routed_segments(texts[a:b], ids[a:b], bodies[a:b], length, anchor)
+                yield from routed(texts[a:b], ids[a:b], bodies[a:b], length, anchor, blocks)
 
     def parse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        size = 0
+        here, held = None, []
         for batch in batches:
-            held.append(batch)
-            size += batch.column(5).nbytes // 8
-            if size > block_windows:
-                table = pa.Table.from_batches(held)
-                block = table["block"].to_numpy()
-                done = int(np.searchsorted(block, block[-1]))  # the last anchor may go on in the next batch
-                if done:
-                    yield parsed_block(table.slice(0, done), length)
-                held = table.slice(done).combine_chunks().to_batches()
-                size = sum(b.column(5).nbytes // 8 for b in held)
+            for block, *packet in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if block != here and held:
+                    yield parsed_block(held, length)
+                    held = []
+                here = block
+                held.append(packet)
         if held:
-            yield parsed_block(pa.Table.from_batches(held), length)
+            yield parsed_block(held, length)
 
-    routed = rows.mapInArrow(cut, ROUTED).repartition(shuffle_partitions(docs.sparkSession), "block").sortWithinPartitions("block")
-    return routed.mapInArrow(parse, SPANS).groupBy("id", "body").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    sent = rows.mapInArrow(cut, ROUTED).repartition(n, "block").sortWithinPartitions("block")
+    return sent.mapInArrow(parse, SPANS).groupBy("id", "body").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
 
 
-def with_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 35, broadcast_spans: int = 2_000_000) -> DataFrame:
+def with_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 35, broadcast_spans: int = 50_000) -> DataFrame:
     """``docs`` with ``repeated_spans`` (null if there are none).
 
     Up to ``broadcast_spans`` spans are broadcast, so that texts stay where they are; more are joined by shuffling.
@@ -163,15 +180,17 @@ def with_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", length:
     found = checkpoint(spans(docs, key, text, length))
     few = (found.agg(F.sum(F.size("spans") + 4)).first()[0] or 0) <= broadcast_spans
     found = found.withColumnsRenamed({"id": "__id", "body": "__body", "spans": "repeated_spans"})
-    keyed = docs.withColumns({"__id": F.xxhash64(quoted(key).cast("string")), "__body": F.xxhash64(quoted(text))})
+    ident, body = _keys(key, text, dict(docs.dtypes))
+    keyed = docs.withColumns({"__id": ident, "__body": body})
     return keyed.join(F.broadcast(found) if few else found, ["__id", "__body"], "left").drop("__id", "__body")
 
 
 def removed(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 35, keep_text: bool = True) -> DataFrame:
     """``docs`` with ``n_words``, ``n_removed``, ``kept_sha256``; a text that lost words becomes its kept words, joined by a space.
 
-    Without ``keep_text`` the text itself is left out.
+    Without ``keep_text`` the text itself is left out.  Columns of these names are replaced.
     """
+    docs = docs.drop("n_words", "n_removed", "kept_sha256", "repeated_spans")
     names = [c for c in docs.columns if keep_text or c != text]
     schema = plus(docs.select(*map(quoted, names)), "n_words bigint, n_removed bigint, kept_sha256 string")
     others = [c for c in docs.columns if c != text]
