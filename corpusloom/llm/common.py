@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 from collections.abc import Iterable, Iterator
 
@@ -144,5 +145,9 @@ def summed(df: DataFrame, column: str, fan_in: int = 16) -> np.ndarray | None:
         if total is not None:
             yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], ["blob"])
 
-    out = df.select(F.col(column).alias("blob")).repartition(fan_in).mapInArrow(add, "blob binary").collect()
+    blobs = df.select(F.col(column).alias("blob"))
+    middle = math.isqrt(shuffle_partitions(df.sparkSession))
+    if middle > fan_in:
+        blobs = blobs.repartition(middle).mapInArrow(add, "blob binary")
+    out = blobs.repartition(fan_in).mapInArrow(add, "blob binary").collect()
     return sum(np.frombuffer(r.blob, np.float64) for r in out) if out else None
