@@ -93,14 +93,15 @@ def test_jaccard_in_blocks(spark, rows, group_sets):
     assert out == brute_components(copies)
 
 
-def test_components(spark):
+@pytest.mark.parametrize("one_task", [0, 1000])
+def test_components(spark, one_task):
     r = random.Random(4)
     pairs = [(r.randint(0, 80), r.randint(0, 80)) for _ in range(45)] + [(100 + i, 101 + i) for i in range(30)]
     label = {k: k for p in pairs for k in p}
     for a, b in pairs:
         low, high = sorted((label[a], label[b]))
         label = {k: low if v == high else v for k, v in label.items()}
-    got = {x.u: x.root for x in jaccard.components(spark.createDataFrame(pairs, "u bigint, v bigint")).collect()}
+    got = {x.u: x.root for x in jaccard.components(spark.createDataFrame(pairs, "u bigint, v bigint"), one_task).collect()}
     assert got == {k: v for k, v in label.items() if k != v}
 
 
