@@ -8,9 +8,11 @@ score is the sum of the log10 probabilities of its bytes; a context that trainin
 has not seen is judged at the deepest one that it has.
 
 Counts come from all training texts: substring counts are made per task and summed
-in a shuffle that grows with the corpus.  The tree is built by one task and read by
-the scoring workers from the shared folder; the driver holds none of it.  It is bounded by ``max_grams`` substrings a depth (the most frequent ones; rarer
-ones still count at every smaller depth).
+in a shuffle that grows with the corpus.  The tree keeps all of them: contexts of up to
+two bytes are in one table (UTF-8 has a bounded number of them), longer ones in shards
+by their last three bytes, which are weighted shard by shard; the driver holds none of it.
+The ``max_grams`` most frequent substrings are looked up in the task; all others are
+shuffled to their shards, with the same values.
 
 The baseline needs each token's corpus count.  The ``hot_words`` most frequent
 tokens (of at most 64 bytes, so the table is bounded) are looked up in the task;
@@ -34,13 +36,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import LOWER_BYTES, checkpoint, chunks, encoded, plus, shared_folder
+from corpusloom.llm.common import LOWER_BYTES, checkpoint, chunks, encoded, plus, shared_folder, shuffle_partitions
 
 MARK = 0xFF  #: never in UTF-8: stands before and at the end of each text
 LONGEST_HOT = 64
+TOP = 2  #: contexts of up to so many bytes are in one table, longer ones in shards
+SHARDS = 4  #: for each shuffle partition
 _NONE = np.uint64(2**64 - 1)
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -70,8 +74,8 @@ def counted(keys: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray,
     return keys[first], np.add.reduceat(n, first) if n is not None and len(first) else np.diff(np.append(first, len(keys)))
 
 
-def gram_counts(texts: DataFrame, depth: int, chunk: int = 2 << 20) -> DataFrame:
-    """``gram`` and ``n`` over all texts (the frame's only column)."""
+def gram_counts(texts: DataFrame, depth: int, top: int, shards: int, chunk: int = 2 << 20) -> DataFrame:
+    """``shard``, ``gram`` and ``n`` over all texts (the frame's only column); a shard's rows are in one partition."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -86,7 +90,8 @@ def gram_counts(texts: DataFrame, depth: int, chunk: int = 2 << 20) -> DataFrame
                 keys, n = keys[:0], n[:0]
         yield out()
 
-    return texts.mapInArrow(run, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
+    rows = texts.mapInArrow(run, "gram bigint, n bigint").withColumn("shard", shard_of(F.col("gram"), top, shards))
+    return rows.repartition(shuffle_partitions(texts.sparkSession), "shard").groupBy("shard", "gram").agg(F.sum("n").alias("n"))
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -149,50 +154,81 @@ class Tree:
         return total
 
 
+def node_counts(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The nodes (context, bits so far) of substrings of one length, ascending, with their counts of zeros and ones."""
+    parts = []
+    for b in range(8):
+        byte = keys & np.uint64(255)
+        key = ((keys >> np.uint64(8)) << np.uint64(8)) | np.uint64(1 << b) | (byte >> np.uint64(8 - b))
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+        one = n * ((byte >> np.uint64(7 - b)) & np.uint64(1)).astype(np.int64)
+        parts.append((key[first], np.add.reduceat(n, first) if len(first) else n, np.add.reduceat(one, first) if len(first) else one))
+    key, all_n, one = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(key)
+    ones = one[order].astype(np.float64)
+    return key[order], all_n[order].astype(np.float64) - ones, ones
+
+
+def _places(nodes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Where the wanted nodes stand among ``nodes``."""
+    return np.minimum(np.searchsorted(nodes, wanted), max(0, len(nodes) - 1))
+
+
+class Levels:
+    """Consecutive depths of the tree, from ``first`` on, with their weights.
+
+    ``below`` has the sums of the weighted logarithms of deeper nodes that are held
+    elsewhere, by their parents in the last depth.
+    """
+
+    def __init__(self, grams: list[tuple[np.ndarray, np.ndarray]], first: int = 0, below: tuple[np.ndarray, np.ndarray] | None = None):
+        self.first = first
+        self.nodes, self.zeros, self.ones = (list(x) for x in zip(*(node_counts(*g) for g in grams), strict=True))
+        last = len(grams) - 1
+        self.parent: list[np.ndarray] = [np.zeros(0, np.int64)] * len(grams)
+        self.stay: list[np.ndarray] = [np.zeros(0)] * len(grams)
+        for d in reversed(range(len(grams))):
+            a, b, size = self.zeros[d], self.ones[d], len(self.nodes[d])
+            own = _log_gamma(a + 0.5) + _log_gamma(b + 0.5) - _log_gamma(a + b + 1) - math.log(math.pi)
+            if d < last:
+                at = self.parent[d + 1] = _places(self.nodes[d], self.above(d + 1))
+                deeper = self.weighted
+            else:
+                at, deeper = (_places(self.nodes[d], below[0]), below[1]) if below else (np.zeros(0, np.int64), np.zeros(0))
+            under = np.bincount(at, deeper, minlength=size) if size else np.zeros(0)
+            inner = np.bincount(at, minlength=size) > 0 if size else np.zeros(0, bool)
+            both = np.logaddexp(own, under) - math.log(2)
+            self.weighted = np.where(inner, both, own)
+            self.stay[d] = np.where(inner, np.exp(np.minimum(0, own - math.log(2) - both)), 1.0)
+
+    def above(self, d: int) -> np.ndarray:
+        """The parents of the nodes of the ``d``-th depth held."""
+        return self.nodes[d] & np.uint64((1 << (8 * (self.first + d))) - 1)
+
+    def final(self, given: np.ndarray | None = None, left: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        """The probability of a 1 at each node, and what each node of the last depth hands to deeper ones: the share ``given`` by shallower nodes, and the weight ``left``."""
+        given = np.zeros(len(self.nodes[0])) if given is None else given
+        left = np.ones(len(self.nodes[0])) if left is None else left
+        out = []
+        for d in range(len(self.nodes)):
+            if d:
+                given, left = given[self.parent[d]], left[self.parent[d]]
+            kt = (self.ones[d] + 0.5) / (self.zeros[d] + self.ones[d] + 1)
+            out.append(given + left * kt)
+            given, left = given + left * self.stay[d] * kt, left * (1 - self.stay[d])
+        return out, given, left
+
+
 def tree(levels: list[tuple[np.ndarray, np.ndarray]]) -> Tree:
     """The weighted tree of the substring counts of each length (index: number of context bytes), keys ascending."""
-    nodes, zeros, ones = [], [], []
-    for keys, n in levels:
-        parts = []
-        for b in range(8):
-            byte = keys & np.uint64(255)
-            key = ((keys >> np.uint64(8)) << np.uint64(8)) | np.uint64(1 << b) | (byte >> np.uint64(8 - b))
-            first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
-            one = n * ((byte >> np.uint64(7 - b)) & np.uint64(1)).astype(np.int64)
-            parts.append((key[first], np.add.reduceat(n, first) if len(first) else n, np.add.reduceat(one, first) if len(first) else one))
-        key, all_n, one = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.argsort(key)
-        nodes.append(key[order])
-        ones.append(one[order].astype(np.float64))
-        zeros.append(all_n[order].astype(np.float64) - ones[-1])
-    depth = len(levels) - 1
-    own = [_log_gamma(a + 0.5) + _log_gamma(b + 0.5) - _log_gamma(a + b + 1) - math.log(math.pi) for a, b in zip(zeros, ones, strict=True)]
-    stay: list[np.ndarray] = [np.ones(len(x)) for x in nodes]
-    parent: list[np.ndarray] = [np.zeros(0, np.int64)] * (depth + 1)
-    weighted = own[depth]
-    for d in reversed(range(depth)):
-        key = nodes[d + 1] & np.uint64((1 << (8 * (d + 1))) - 1)
-        parent[d + 1] = np.minimum(np.searchsorted(nodes[d], key), max(0, len(nodes[d]) - 1))
-        size = len(nodes[d])
-        below = np.bincount(parent[d + 1], weighted, minlength=size) if size else np.zeros(0)
-        inner = np.bincount(parent[d + 1], minlength=size) > 0 if size else np.zeros(0, bool)
-        both = np.logaddexp(own[d], below) - math.log(2)
-        weighted = np.where(inner, both, own[d])
-        stay[d] = np.where(inner, np.exp(np.minimum(0, own[d] - math.log(2) - both)), 1.0)
-    given, left, final = np.zeros(len(nodes[0])), np.ones(len(nodes[0])), []
-    for d in range(depth + 1):
-        kt = (ones[d] + 0.5) / (zeros[d] + ones[d] + 1)
-        final.append(given + left * kt)
-        if d < depth:
-            up = parent[d + 1]
-            given, left = (given + left * stay[d] * kt)[up], (left * (1 - stay[d]))[up]
-    return Tree(nodes, final)
+    built = Levels(levels)
+    return Tree(built.nodes, built.final()[0])
 
 
 class Lookup:
     """Gram to log10 probability: a table with open addressing for grams seen in training, the tree for others."""
 
-    def __init__(self, grams: np.ndarray, values: np.ndarray, fallback: Tree):
+    def __init__(self, grams: np.ndarray, values: np.ndarray, fallback: Tree | None):
         self.fallback, self.shift = fallback, np.uint64(64 - max(10, int(4 * len(grams)).bit_length()))
         self.keys = np.full(1 << (64 - int(self.shift)), _NONE)
         self.values = np.zeros(len(self.keys), np.float32)
@@ -207,12 +243,13 @@ class Lookup:
             rest[put] = False
             waiting, slot = waiting[rest], (slot[rest] + 1) & self.mask
 
-    def __call__(self, grams: np.ndarray) -> np.ndarray:
+    def known(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values from the table, 0 for grams that it doesn't hold, and the places of those."""
         slot = ((grams * _SPREAD) >> self.shift).astype(np.int64)
         there = self.keys[slot]
         out = self.values[slot].astype(np.float64)
         wrong = np.flatnonzero(there != grams)
-        new: list[np.ndarray] = []
+        new: list[np.ndarray] = [np.zeros(0, np.int64)]
         slot = slot[wrong]
         while len(wrong):
             there = self.keys[slot]
@@ -220,48 +257,81 @@ class Lookup:
             out[wrong[hit]] = self.values[slot[hit]]
             new.append(wrong[gone])
             wrong, slot = wrong[~hit & ~gone], (slot[~hit & ~gone] + 1) & self.mask
-        if new and len(at := np.concatenate(new)):
+        at = np.concatenate(new)
+        out[at] = 0
+        return out, at
+
+    def __call__(self, grams: np.ndarray) -> np.ndarray:
+        out, at = self.known(grams)
+        if len(at):
             distinct, back = np.unique(grams[at], return_inverse=True)
             out[at] = self.fallback.log10(distinct)[back]
         return out
 
 
-def write_levels(texts: DataFrame, folder: str, depth: int, max_grams: int) -> None:
-    """The substring counts of each length, as tables in ``folder``; all rows of ``texts`` (one column) count."""
-    grams = checkpoint(gram_counts(texts, depth))
-    for d in range(depth + 1):
-        level = grams if d == depth else grams.groupBy(F.col("gram").bitwiseAND((1 << (8 * (d + 1))) - 1).alias("gram")).agg(F.sum("n").alias("n"))
-        if d > 1:
-            # Two bytes of context at most make fewer grams than the bound.  Beyond, whole contexts go, the least frequent ones.
-            context = F.shiftrightunsigned("gram", 8)
-            contexts = level.groupBy(context.alias("context")).agg(F.sum("n").alias("all"), F.count("*").alias("kinds"))
-            sizes = sorted(contexts.groupBy(F.least("all", F.lit(65536)).alias("all")).agg(F.sum("kinds").alias("k")).collect(), reverse=True)
-            least, kept = 0, 0
-            for r in sizes:
-                kept += r.k
-                if kept > max_grams:
-                    least = r["all"] + 1
-                    break
-            if least:
-                level = level.withColumn("context", context).join(contexts.where(F.col("all") >= least).select("context"), "context", "left_semi").select("gram", "n")
-        level.write.parquet(f"{folder}/level-{d}")
-
-
-def build(spark: SparkSession, folder: str, depth: int) -> None:
-    """The weighted tree of the tables in ``folder``, built by one task from their bounded rows and written beside them."""
+def shard_of(gram: Column, top: int, shards: int) -> Column:
+    """The shard of a substring: by the ``top`` + 1 bytes before its last, so that a subtree below depth ``top`` is in one shard."""
+    return F.pmod(F.hash(F.shiftrightunsigned(gram, 8).bitwiseAND((1 << (8 * (top + 1))) - 1)), F.lit(shards))
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def write_levels(grams: DataFrame, folder: str, top: int) -> None:
+    """The substring counts of each length up to ``top`` bytes of context, as tables in ``folder``."""
+    for d in range(top + 1):
+        grams.groupBy(F.col("gram").bitwiseAND((1 << (8 * (d + 1))) - 1).alias("gram")).agg(F.sum("n").alias("n")).write.parquet(f"{folder}/level-{d}")
+
+
+def _by_shard(batches: Iterable[pa.RecordBatch], top: int, depth: int) -> Iterator[tuple[int, Levels, np.ndarray, np.ndarray]]:
+    """The shards of a task's rows (``shard``, ``gram``, ``n``): the depths below ``top``, and the substrings with their counts."""
+    table = pa.Table.from_batches(batches) if (batches := [*batches]) else None
+    if table is None or not table.num_rows:
+        return
+    shards, keys, n = table["shard"].to_numpy(), table["gram"].to_numpy().astype(np.uint64), table["n"].to_numpy()
+    order = np.lexsort((keys, shards))
+    shards, keys, n = shards[order], keys[order], n[order]
+    first = np.flatnonzero(np.append(True, shards[1:] != shards[:-1]))
+    for a, b in zip(first, [*first[1:], len(shards)], strict=True):
+        levels = [counted(keys[a:b] & np.uint64((1 << (8 * (d + 1))) - 1), n[a:b]) for d in range(top + 1, depth)]
+        yield int(shards[a]), Levels([*levels, (keys[a:b], n[a:b])], top + 1), keys[a:b], n[a:b]
+
+
+def _array(folder: str, name: str) -> np.ndarray:
+    filesystem, root = pafs.FileSystem.from_uri(folder)
+    return pq.read_table(f"{root}/{name}.parquet", filesystem=filesystem)["x"].to_numpy()
+
+
+def _top(folder: str, top: int) -> Tree:
+    return Tree([_array(folder, f"model/nodes-{d}") for d in range(top + 1)], [_array(folder, f"model/ones-{d}") for d in range(top + 1)])
+
+
+def build(grams: DataFrame, folder: str, top: int, depth: int) -> DataFrame:
+    """The weighted tree of all substrings, written to ``folder``: the depths up to ``top`` by one task, all deeper ones by shards.
+
+    One to three bytes of UTF-8 make a bounded number of substrings, whatever the
+    corpus; everything longer stays in shards, whose number grows with it.
+    Returned are ``gram``, ``n``, ``value`` (log10 of its probability), and a row for each shard with the ``file`` that has its nodes.
+    """
+    spark = grams.sparkSession
+
+    def sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, part, _, _ in _by_shard(batches, top, depth):
+            above, back = np.unique(part.above(0), return_inverse=True)
+            yield pa.RecordBatch.from_arrays([pa.array(above.astype(np.int64)), pa.array(np.bincount(back, part.weighted))], names=["node", "below"])
+
+    grams.mapInArrow(sums, "node bigint, below double").groupBy("node").agg(F.sum("below").alias("below")).write.parquet(f"{folder}/below")
+
+    def first(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _ in batches:
             filesystem, root = pafs.FileSystem.from_uri(folder)
             levels = []
-            for d in range(depth + 1):
+            for d in range(top + 1):
                 table = pq.read_table(f"{root}/level-{d}", filesystem=filesystem)
                 keys = table["gram"].to_numpy().astype(np.uint64)
                 order = np.argsort(keys)
                 levels.append((keys[order], table["n"].to_numpy()[order]))
-            built = tree(levels)
-            tables = {"grams": levels[depth][0], "values": built.log10(levels[depth][0]).astype(np.float32)}
-            tables |= {f"nodes-{d}": x for d, x in enumerate(built.nodes)} | {f"ones-{d}": x.astype(np.float32) for d, x in enumerate(built.ones)}
+            table = pq.read_table(f"{root}/below", filesystem=filesystem)
+            built = Levels(levels, 0, (table["node"].to_numpy().astype(np.uint64), table["below"].to_numpy()))
+            ones, given, left = built.final()
+            tables = {"given": given, "left": left} | {f"nodes-{d}": x for d, x in enumerate(built.nodes)} | {f"ones-{d}": x for d, x in enumerate(ones)}
             attempt = uuid.uuid4().hex
             filesystem.create_dir(f"{root}/model-{attempt}")
             for name, x in tables.items():
@@ -269,19 +339,83 @@ def build(spark: SparkSession, folder: str, depth: int) -> None:
             yield pa.RecordBatch.from_pydict({"attempt": [attempt]})
 
     # Which attempt counts is what the accepted task says; another attempt's files are left aside.
-    attempt = spark.range(1).coalesce(1).mapInArrow(run, "attempt string").first().attempt
+    attempt = spark.range(1).coalesce(1).mapInArrow(first, "attempt string").first().attempt
     filesystem, root = pafs.FileSystem.from_uri(folder)
     filesystem.move(f"{root}/model-{attempt}", f"{root}/model")
+    filesystem.create_dir(f"{root}/shards")
+
+    def rest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filesystem, root = pafs.FileSystem.from_uri(folder)
+        name, tables, above = uuid.uuid4().hex, [], None
+        for shard, part, keys, n in _by_shard(batches, top, depth):
+            if above is None:
+                above, given, left = _top(folder, top), _array(folder, "model/given"), _array(folder, "model/left")
+            at = _places(above.nodes[top], part.above(0))
+            ones = part.final(given[at], left[at])[0]
+            value = Tree([*above.nodes, *part.nodes], [*above.ones, *ones]).log10(keys)
+            for d, (nodes, x) in enumerate(zip(part.nodes, ones, strict=True)):
+                tables.append(pa.table({"shard": np.full(len(nodes), shard, np.int32), "depth": np.full(len(nodes), d, np.int8), "node": nodes, "one": x}))
+            none, size = pa.nulls(len(keys), pa.string()), len(keys)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(size, shard, np.int32)), none, pa.array(keys.astype(np.int64)), pa.array(n), pa.array(value)], names=["shard", "file", "gram", "n", "value"])
+            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([name]), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.float64())], names=["shard", "file", "gram", "n", "value"])
+        if tables:
+            pq.write_table(pa.concat_tables(tables), f"{root}/shards/{name}.parquet", filesystem=filesystem)
+
+    return checkpoint(grams.mapInArrow(rest, "shard int, file string, gram bigint, n bigint, value double"))
+
+
+def write_hot(valued: DataFrame, folder: str, max_grams: int) -> None:
+    """The most frequent substrings with their values, at most ``max_grams``, as a table for the scoring workers."""
+    cell = F.floor(F.log2("n") * 64)
+    sizes = sorted(valued.groupBy(cell.alias("cell")).agg(F.count("*").alias("k")).collect(), reverse=True)
+    least, kept = math.inf, 0
+    for r in sizes:
+        kept += r.k
+        if kept > max_grams:
+            break
+        least = r.cell
+    hot = valued.where(cell >= least) if least < math.inf else valued.limit(0)
+    hot.select("gram", F.col("value").cast("float").alias("value")).repartition(8).write.parquet(f"{folder}/hot-grams")
+
+
+def judged(asked: DataFrame, folder: str, files: dict[int, str], top: int, depth: int) -> DataFrame:
+    """``row`` and the sum ``add`` of ``k`` times the log10 probability, for rows of ``shard``, ``row``, ``gram``, ``k``, which meet their shards' subtrees."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filesystem, root = pafs.FileSystem.from_uri(folder)
+        above, held = None, {}
+
+        def subtree(shard: int) -> Tree:
+            if shard not in held:
+                part = pq.read_table(f"{root}/shards/{files[shard]}.parquet", filesystem=filesystem, filters=[("shard", "=", shard)]) if shard in files else None
+                deeper = [(np.zeros(0, np.uint64), np.zeros(0))] * (depth - top)
+                if part is not None:
+                    at, node, one = part["depth"].to_numpy(), part["node"].to_numpy(), part["one"].to_numpy()
+                    deeper = [(node[at == d], one[at == d]) for d in range(depth - top)]
+                held[shard] = Tree([*above.nodes, *(x for x, _ in deeper)], [*above.ones, *(x for _, x in deeper)])
+            return held[shard]
+
+        for batch in batches:
+            above = above or _top(folder, top)
+            shards, grams, k = batch.column(0).to_numpy(), batch.column(2).to_numpy().astype(np.uint64), batch.column(3).to_numpy()
+            add = np.zeros(len(k))
+            for shard in np.unique(shards):
+                at = np.flatnonzero(shards == shard)
+                distinct, back = np.unique(grams[at], return_inverse=True)
+                add[at] = subtree(int(shard)).log10(distinct)[back]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(add * k)], names=["row", "add"])
+
+    return asked.select("shard", "row", "gram", "k").repartition(shuffle_partitions(asked.sparkSession), "shard").mapInArrow(run, "row binary, add double")
 
 
-def load(folder: str, depth: int) -> tuple[Lookup, dict[bytes, int], np.ndarray]:
-    """The scorer and the hot words' numbers and logarithms, read from the shared folder by a worker."""
+def load(folder: str) -> tuple[Lookup, dict[bytes, int], np.ndarray]:
+    """The frequent substrings' values, and the hot words' numbers and logarithms, read from the shared folder by a worker."""
     filesystem, root = pafs.FileSystem.from_uri(folder)
-    array = lambda name: pq.read_table(f"{root}/model/{name}.parquet", filesystem=filesystem)["x"].to_numpy()
-    built = Tree([array(f"nodes-{d}") for d in range(depth + 1)], [array(f"ones-{d}") for d in range(depth + 1)])
+    grams = pq.read_table(f"{root}/hot-grams", filesystem=filesystem)
     hot = pq.read_table(f"{root}/hot", filesystem=filesystem)
     n = hot["n"].to_numpy()
-    return Lookup(array("grams"), array("values"), built), dict(zip(hot["word"].to_pylist(), range(len(n)), strict=True)), np.log10(np.append(n, 0) + 1.0)
+    look = Lookup(grams["gram"].to_numpy().astype(np.uint64), grams["value"].to_numpy(), None)
+    return look, dict(zip(hot["word"].to_pylist(), range(len(n)), strict=True)), np.log10(np.append(n, 0) + 1.0)
 
 
 _held: dict[str, object] = {}
@@ -304,24 +438,36 @@ def score(docs: DataFrame, teaches: str, columns: list[str], text: str = "text",
     folder = f"{shared_folder(spark)}/language-model-{uuid.uuid4().hex}"
     train = docs.where(F.col(teaches)).select(F.coalesce(F.col(text), F.lit("")).alias("text"))
     n_train = train.count()
-    write_levels(train, folder, depth, max_grams)
-    build(spark, folder, depth)
+    top = min(TOP, depth - 1)
+    shards = SHARDS * shuffle_partitions(spark)
+    grams = checkpoint(gram_counts(train, depth, top, shards))
+    write_levels(grams, folder, top)
+    valued = build(grams, folder, top, depth)
+    files = {r.shard: r.file for r in valued.where("file is not null").select("shard", "file").collect()}
+    write_hot(valued.where("gram is not null"), folder, max_grams)
     counts = checkpoint(word_counts(train))
     kinds, words = counts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     tokens, kinds = words + n_train, kinds + (n_train > 0)
     counts.where(F.octet_length("word") <= LONGEST_HOT).orderBy(F.desc("n"), "word").limit(hot_words).write.parquet(f"{folder}/hot")
 
     kept = docs.select(*columns)
-    schema = plus(kept, "row string, n_bytes bigint, n_words bigint, known bigint, logs double, score double, rest array<struct<word:binary,n:bigint>>")
+    schema = plus(kept, "row binary, n_bytes bigint, n_words bigint, known bigint, logs double, score double, rest array<struct<word:binary,n:bigint>>, grams array<struct<gram:bigint,n:bigint>>")
     width = len(columns)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        look, hot_at, hot_log = _once(folder, lambda: load(folder, depth))
+        look, hot_at, hot_log = _once(folder, lambda: load(folder))
         for batch in batches:
             texts = encoded(batch.column(width))
             for a, b in chunks(texts, chunk):
                 keys, starts = keys_of(texts[a:b], depth)
-                total = np.add.reduceat(look(keys), starts)
+                values, miss = look.known(keys)
+                total = np.add.reduceat(values, starts)
+                text_of = np.searchsorted(starts, miss, side="right") - 1
+                order = np.lexsort((keys[miss], text_of))
+                missed, text_of = keys[miss][order], text_of[order]
+                first = np.flatnonzero(np.append(True, (missed[1:] != missed[:-1]) | (text_of[1:] != text_of[:-1]))) if len(miss) else miss
+                grams = pa.StructArray.from_arrays([pa.array(missed[first].astype(np.int64)), pa.array(np.diff(np.append(first, len(missed))))], ["gram", "n"])
+                gram_ends = np.searchsorted(text_of[first], np.arange(b - a + 1)).astype(np.int32)
                 n_words, known, logs, cold_words, cold_n, ends = [], [], [], [], [], [0]
                 for t in texts[a:b]:
                     words = t.translate(LOWER_BYTES).split()
@@ -334,12 +480,13 @@ def score(docs: DataFrame, teaches: str, columns: list[str], text: str = "text",
                     cold_words += rest.keys()
                     cold_n += rest.values()
                     ends.append(len(cold_n))
-                ids = uuid.uuid4().hex
+                ids = uuid.uuid4().bytes
                 rest = pa.StructArray.from_arrays([pa.array(cold_words, pa.binary()), pa.array(cold_n, pa.int64())], ["word", "n"])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *(c[a:b] for c in batch.columns[:width]), pa.array([f"{ids}{i}" for i in range(b - a)]), pa.array([len(t) for t in texts[a:b]], pa.int64()), pa.array(n_words, pa.int64()),
+                        *(c[a:b] for c in batch.columns[:width]), pa.array([ids + i.to_bytes(4, "big") for i in range(b - a)], pa.binary()), pa.array([len(t) for t in texts[a:b]], pa.int64()), pa.array(n_words, pa.int64()),
                         pa.array(known, pa.int64()), pa.array(logs, pa.float64()), pa.array(total), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rest),
+                        pa.ListArray.from_arrays(pa.array(gram_ends), grams),
                     ],
                     names=schema.names,
                 )
@@ -347,11 +494,15 @@ def score(docs: DataFrame, teaches: str, columns: list[str], text: str = "text",
     # The rows' own ids are written once, here, and never made again.
     part = checkpoint(docs.select(*columns, F.col(text).alias("__text")).mapInArrow(run, schema))
     cold = part.select("row", F.explode("rest").alias("x")).select("row", F.col("x.word").alias("word"), F.col("x.n").alias("k")).join(counts, "word")
-    cold = cold.groupBy("row").agg(F.sum("k").alias("cold_known"), F.sum(F.col("k") * F.log10(F.col("n") + 1.0)).alias("cold_logs"))
+    cold = cold.select("row", F.col("k").alias("known"), (F.col("k") * F.log10(F.col("n") + 1.0)).alias("logs"), F.lit(0.0).alias("add"))
+    asked = part.select("row", F.explode("grams").alias("x")).select("row", "x.gram", F.col("x.n").alias("k")).withColumn("shard", shard_of(F.col("gram"), top, shards))
+    cold = cold.union(judged(asked, folder, files, top, depth).select("row", F.lit(0).cast("bigint"), F.lit(0.0), "add"))
+    cold = cold.groupBy("row").agg(F.sum("known").alias("cold_known"), F.sum("logs").alias("cold_logs"), F.sum("add").alias("cold_score"))
     end_log = math.log10(n_train + 1)
     n_tokens = F.col("n_words") + 1
     logs = F.col("logs") + F.coalesce("cold_logs", F.lit(0.0)) + F.lit(end_log)
-    return part.drop("rest").join(cold, "row", "left").select(
+    score = F.col("score") + F.coalesce("cold_score", F.lit(0.0))
+    return part.drop("rest", "grams").join(cold, "row", "left").select(
         *columns, "n_bytes", n_tokens.alias("n_tokens"), (F.col("known") + F.coalesce("cold_known", F.lit(0)) + F.lit(int(n_train > 0))).cast("bigint").alias("n_known"), F.lit(tokens).cast("bigint").alias("train_tokens"),
-        (logs - n_tokens * F.lit(math.log10(tokens + kinds + 1))).alias("base_score"), "score", (-F.col("score") * F.lit(math.log2(10)) / (F.col("n_bytes") + 1)).alias("bits_per_byte"),
+        (logs - n_tokens * F.lit(math.log10(tokens + kinds + 1))).alias("base_score"), score.alias("score"), (-score * F.lit(math.log2(10)) / (F.col("n_bytes") + 1)).alias("bits_per_byte"),
     )

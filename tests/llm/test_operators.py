@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -211,6 +212,19 @@ def test_language_model(rows, docs, none):
     assert untaught.train_tokens == 0 and untaught.n_known == 0 and math.isclose(untaught.score, 8 * 8 * math.log10(0.5), rel_tol=1e-6)
 
 
+@pytest.mark.parametrize("table", [0, 60, 1 << 19])
+def test_language_model_keeps_every_context(docs, table):
+    """The scores are those of one tree of all substrings, whatever number of them fits in a task's table."""
+    frame = docs.withColumn("teaches", F.col("doc_id") % 3 != 0)
+    given = [(r.doc_id, r.teaches, (r.text or "").encode()) for r in frame.select("doc_id", "teaches", "text").collect()]
+    keys = language_model.keys_of([t for _, teaches, t in given if teaches], 5)[0]
+    built = language_model.tree([language_model.counted(keys & np.uint64((1 << (8 * (d + 1))) - 1)) for d in range(6)])
+    wanted = sorted((i is None, i or 0, float(built.log10(language_model.keys_of([t], 5)[0]).sum())) for i, _, t in given)
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.score) for r in language_model.score(frame, "teaches", ["doc_id"], max_grams=table).collect())
+    assert [x[:2] for x in got] == [x[:2] for x in wanted]
+    assert [x[2] for x in got] == pytest.approx([x[2] for x in wanted], rel=1e-5)
+
+
 def test_fingerprints(spark, rows, docs, none):
     from functools import cmp_to_key
 
