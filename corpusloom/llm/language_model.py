@@ -170,8 +170,11 @@ def node_counts(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _places(nodes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Where the wanted nodes stand among ``nodes``."""
-    return np.minimum(np.searchsorted(nodes, wanted), max(0, len(nodes) - 1))
+    """Where the wanted nodes stand among ``nodes``, which must have them all."""
+    at = np.minimum(np.searchsorted(nodes, wanted), max(0, len(nodes) - 1))
+    if len(wanted) and (not len(nodes) or (nodes[at] != wanted).any()):
+        raise ValueError("a node of the context tree has no parent")
+    return at
 
 
 class Levels:

@@ -262,6 +262,25 @@ def test_context_tree_is_a_distribution_and_matches_a_plain_one():
         assert math.isclose(got, wanted, rel_tol=1e-9)
 
 
+def test_context_tree_in_parts_weighs_all_children():
+    texts = [b"the cat sat on the mat", b"that hat", b"a rat", b""]
+    levels = levels_of(texts, 4)
+    whole = language_model.tree(levels)
+    part = language_model.Levels(levels[2:], 2)
+    top = language_model.Levels(levels[:2], 0, (part.above(0), part.weighted))
+    ones, given, left = top.final()
+    at = np.searchsorted(top.nodes[-1], part.above(0))
+    for got, wanted in zip([*ones, *part.final(given[at], left[at])[0]], whole.ones, strict=True):
+        assert np.allclose(got, wanted, rtol=1e-12)
+
+
+def test_context_tree_refuses_nodes_without_parents():
+    levels = levels_of([b"the cat sat on the mat", b"that hat"], 3)
+    levels[2] = tuple(a[:-4] for a in levels[2])
+    with pytest.raises(ValueError, match="no parent"):
+        language_model.tree(levels)
+
+
 def test_lookup_agrees_with_the_tree():
     texts = [b"the cat sat on the mat", b"The dog"]
     built = language_model.tree(levels_of(texts, 3))
