@@ -252,6 +252,17 @@ def test_near_duplicates_by_fingerprint(spark):
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
 
+@pytest.mark.parametrize("block", [1, 1000])
+def test_near_duplicates_of_a_bucket_with_an_unrelated_head(spark, monkeypatch, block):
+    r = random.Random(6)
+    texts = [" ".join(sentence(r, 40) for _ in range(5)) for _ in range(4)]
+    given = [(1, texts[0]), (2, texts[1]), (3, texts[1][:-9] + "elsewhere"), (4, texts[2]), (5, texts[1][:-5] + "other"), (6, texts[3]), (7, texts[3][:-4] + "more")]
+    real = fingerprints.fingerprint
+    monkeypatch.setattr(fingerprints, "fingerprint", lambda *a: real(*a).withColumn("bands", F.array(F.lit(5).cast("bigint"))))
+    frame = spark.createDataFrame(given, "doc_id bigint, text string")
+    assert {x.doc_id: x.leader for x in fingerprints.near_duplicates(frame, hot=block).collect()} == {1: 1, 2: 2, 3: 2, 4: 4, 5: 2, 6: 6, 7: 6}
+
+
 @pytest.mark.parametrize(
     ("url", "host", "path", "rule"),
     [

@@ -200,6 +200,22 @@ def test_walk_lengths_are_those_of_the_definition():
     assert fingerprints.walks(texts)[0].tolist() == [walk(t, 8 * len(t) + 64) for t in texts]
 
 
+def test_bands_meet_at_the_threshold():
+    r = random.Random(8)
+    texts = []
+    for k in range(240):
+        text = [r.choice("abcdefghij klmnop") for _ in range(r.randint(1200, 6000))]
+        texts.append("".join(text))
+        for _ in range(int(len(text) * r.uniform(0.005, 0.06))):
+            text[r.randrange(len(text))] = r.choice("abcdefghij klmnop")
+        texts.append("".join(text))
+    prints = fingerprints.Fingerprints(texts)
+    like = prints.likeness(np.arange(0, 480, 2), np.arange(1, 480, 2))
+    near = [2 * i for i in np.flatnonzero((like >= 0.75) & (like < 0.85))]
+    met = [bool({*prints.bands(i)} & {*prints.bands(i + 1)}) for i in near]
+    assert len(near) > 20 and np.mean(met) >= 0.9
+
+
 def test_edited():
     assert fingerprints.edited("abcde", "XYZ") == "abcXY" and fingerprints.edited("abcdef", "X") == "abcX" and fingerprints.edited("", "x") == ""
 
