@@ -14,8 +14,8 @@ The benchmark is a stated query set: it is searched in blocks of at most
 passes within the same task, so neither text nor results are shuffled.
 
 Defined results: null and empty texts have no words; an item without words
-occurs nowhere; items that repeat a text all count; null item ids aren't
-reported; repeated documents get equal results.
+occurs nowhere; items that repeat a text all count; items with a
+null id are searched, and count as one null item; repeated documents get equal results.
 """
 
 from __future__ import annotations
@@ -129,14 +129,18 @@ class FMIndex:
         return out
 
 
+def _null_last(item: str | None) -> tuple[bool, str]:
+    return item is None, item or ""
+
+
 class Searcher:
     """The windows of a block of items, ready to search shards."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int):
+    def __init__(self, items: list[tuple[str | None, bytes]], window: int):
         self.vocabulary: dict[bytes, int] = {}
         windows: dict[tuple[int, ...], int] = {}
         owners: list[set[int]] = []
-        self.items = sorted({k for k, _ in items})
+        self.items = sorted({k for k, _ in items}, key=_null_last)
         number = {k: i for i, k in enumerate(self.items)}
         for k, text in items:
             ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 2) for w in words_of(text)]
@@ -186,7 +190,7 @@ class Searcher:
         words = words_of(text)
         return np.fromiter(map(self.vocabulary.get, words, repeat(0)), np.int64, len(words))
 
-    def documents(self, texts: list[bytes], shard_words: int) -> Iterator[tuple[int, np.ndarray, list[str]]]:
+    def documents(self, texts: list[bytes], shard_words: int) -> Iterator[tuple[int, np.ndarray, list[str | None]]]:
         """For each text: its number of words, merged spans (pairs of word places), and the items with occurring windows."""
         at = 0
         while at < len(texts):
@@ -219,14 +223,14 @@ def merged(spans: np.ndarray) -> np.ndarray:
 
 
 def find(docs: DataFrame, benchmark: DataFrame, window: int = 10, text: str = "text", item_key: str = "item_id", item_text: str = "text", block_bytes: int = 8 << 20, shard_words: int = 1 << 20) -> DataFrame:
-    """``docs`` with ``n_words``, ``hit_spans`` (word places, end exclusive) and ``hit_items`` (ids as strings, ascending), in place of any such columns."""
+    """``docs`` with ``n_words``, ``hit_spans`` (word places, end exclusive) and ``hit_items`` (ids as strings, ascending; one null, last, for items without an id), in place of any such columns."""
     docs = docs.drop("n_words", "hit_spans", "hit_items")
     names = docs.columns
     out = docs.withColumns({"n_words": F.lit(0).cast("bigint"), "hit_spans": F.array().cast("array<array<int>>"), "hit_items": F.array().cast("array<string>")})
     schema = plus(docs, "n_words bigint, hit_spans array<array<int>>, hit_items array<string>")
     text_at, block, size = names.index(text), [], 0
 
-    def search(df: DataFrame, items: list[tuple[str, bytes]]) -> DataFrame:
+    def search(df: DataFrame, items: list[tuple[str | None, bytes]]) -> DataFrame:
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             searcher = Searcher(items, window)
             for batch in batches:
@@ -235,13 +239,13 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = 10, text: str = "t
                 for (count, new, its), (old, old_its) in zip(searcher.documents(encoded(batch.column(text_at)), shard_words), had, strict=True):
                     n.append(count)
                     spans.append(merged(np.array([*old, *new.tolist()], np.int64).reshape(-1, 2)).tolist())
-                    found.append(sorted({*old_its, *its}))
+                    found.append(sorted({*old_its, *its}, key=_null_last))
                 arrays = [pa.array(n, pa.int64()), pa.array(spans, pa.list_(pa.list_(pa.int32()))), pa.array(found, pa.list_(pa.string()))]
                 yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *arrays], names=schema.names)
 
         return df.mapInArrow(run, schema)
 
-    for row in benchmark.select(F.col(item_key).cast("string"), F.col(item_text)).where(f"`{item_key}` is not null").toLocalIterator():
+    for row in benchmark.select(F.col(item_key).cast("string"), F.col(item_text)).toLocalIterator():
         item = (row[0], (row[1] or "").encode())
         if block and size + len(item[1]) > block_bytes:
             out, block, size = search(out, block), [], 0

@@ -161,6 +161,16 @@ def test_decontaminate(spark, rows, docs, none, block):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, t, *_ in rows if not any("0" not in r.hit_items and r.n_hit for r in out[i])}
 
 
+@pytest.mark.parametrize("block", [1, 8 << 20])
+def test_decontaminate_searches_items_without_an_id(spark, block):
+    passage = " ".join(f"word{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, f"before {passage} after"), (2, "clean text"), (3, passage[:90])], "doc_id bigint, text string")
+    benchmark = spark.createDataFrame([(None, passage), (None, passage), (7, passage[:90])], "item_id bigint, text string")
+    out = {r.doc_id: (r.n_hit, r.hit_items) for r in decontaminate.find(docs, benchmark, block_bytes=block).withColumn("n_hit", decontaminate.n_hit()).collect()}
+    assert out[1][0] == 30 and out[1][1] == ["7", None] and out[2] == (0, [])
+    assert {r.doc_id for r in decontaminate.decontaminated(docs, benchmark.where("item_id is null")).collect()} == {2}
+
+
 def test_language_id(spark, docs, rows, none):
     r = random.Random(3)
     made = [(i, sentence(r, 30, "sch") if i % 2 else sentence(r, 30, "qu"), "de" if i % 2 else "fr", None, 0) for i in range(80)]
