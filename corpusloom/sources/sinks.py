@@ -10,9 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def plain_tsv(rows: DataFrame, path: str, header: list[str] | None = None) -> None:
-    """Tab-separated without quoting: tabs in values become spaces.  One header line a file."""
-    clean = rows.select(*(F.regexp_replace(F.coalesce(F.col(c).cast("string"), F.lit("")), "\t", " ").alias(n) for c, n in zip(rows.columns, header or rows.columns, strict=True)))
+def plain_tsv(rows: DataFrame, path: str, header: list[str] | None = None, order: list[str] | None = None) -> None:
+    """Tab-separated without quoting: tabs in values become spaces.
+
+    One file with one header line is what the format asks for; ``order`` names the
+    columns by which its rows are sorted.
+    """
+    one = rows.repartition(1).sortWithinPartitions(*order) if order else rows.coalesce(1)
+    clean = one.select(*(F.regexp_replace(F.coalesce(F.col(c).cast("string"), F.lit("")), "\t", " ").alias(n) for c, n in zip(rows.columns, header or rows.columns, strict=True)))
     clean.write.mode("overwrite").option("quote", "\u0000").option("emptyValue", "").csv(path, sep="\t", header=True)
 
 

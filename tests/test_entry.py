@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import glob
 import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
@@ -50,3 +54,14 @@ def test_query(spark, duck, name):
     got = catalog.QUERIES[name](spark, SF).toPandas()
     if name in catalog.SQL:
         assert rows(got) == rows(duck.sql(catalog.SQL[name]).df())
+
+
+def test_the_rest_works_without_the_optional_folders(tmp_path):
+    root = Path(entry.__file__).parent
+    shutil.copytree(root, tmp_path / "copy", ignore=shutil.ignore_patterns(".git", "llm", "__pycache__", ".pytest_cache", ".hypothesis"))
+    said = "import __spark_entry__ as e; print(sorted(e.queries()) == sorted(e.catalog.QUERIES), sorted(e.oracle_sql()) == sorted(e.catalog.SQL))"
+    for gone in ([], ["corpus_pipeline.py"]):
+        for name in gone:
+            (tmp_path / "copy" / name).unlink()
+        out = subprocess.run([sys.executable, "-c", said], cwd=tmp_path / "copy", capture_output=True, text=True, check=True)
+        assert out.stdout.split() == ["True", "True"]

@@ -25,7 +25,7 @@ def test_jsonl(spark, tmp_path):
     assert [r.a for r in readers.jsonl(spark, str(tmp_path / "x.jsonl"), "a int").collect()] == [1, None]
     assert readers.jsonl(spark, str(tmp_path / "no.jsonl"), "a int").count() == 0
     sinks.jsonl(spark.createDataFrame([(1, None)], "a int, b string"), str(tmp_path / "out"))
-    assert json.loads(next((tmp_path / "out").glob("part-*")).read_text()) == {"a": 1, "b": None}
+    assert json.loads(written(tmp_path / "out")) == {"a": 1, "b": None}
 
 
 def test_captures(spark, tmp_path):
@@ -68,19 +68,50 @@ def test_containment(tmp_path):
         readers.within(str(tmp_path / "in"), "z")
 
 
-def test_sinks_round_trip(spark, tmp_path):
-    rows = spark.createDataFrame([("r", 'a\tb "q"', None, "train")], "ref string, a string, b string, split string")
-    sinks.plain_tsv(rows.select("ref", "a", "b"), str(tmp_path / "plain"), ["ref", "x", "y"])
-    assert next((tmp_path / "plain").glob("part-*")).read_text() == 'ref\tx\ty\nr\ta b "q"\t\n'
+def written(folder):
+    """What the part files hold, in the order of their names."""
+    return "".join(f.read_text() for f in sorted(folder.glob("part-*")))
+
+
+def side_rows(spark):
+    return spark.createDataFrame([("r", 'a\tb "q"', None, "train"), ("s", "c", "d", "test"), ("q", "", "e", "train")], "ref string, a string, b string, split string").repartition(3)
+
+
+def test_plain_tsv_has_one_header(spark, tmp_path):
+    rows = side_rows(spark)
+    sinks.plain_tsv(rows.select("ref", "a", "b"), str(tmp_path / "plain"), ["ref", "x", "y"], ["ref"])
+    assert written(tmp_path / "plain") == 'ref\tx\ty\nq\t\te\nr\ta b "q"\t\ns\tc\td\n'
+    sinks.plain_tsv(rows.select("ref", "a"), str(tmp_path / "unsorted"))
+    assert written(tmp_path / "unsorted").count("ref\ta\n") == 1 and len(written(tmp_path / "unsorted").splitlines()) == 4
+    sinks.plain_tsv(rows.where("false").select("ref"), str(tmp_path / "empty"))
+    assert written(tmp_path / "empty") == "ref\n"
+
+
+def test_quoted_tsv(spark, tmp_path):
+    rows = side_rows(spark)
     sinks.quoted_tsv(rows, str(tmp_path / "quoted"))
-    assert readers.tsv(spark, str(tmp_path / "quoted"), {"ref", "a"}).first().a == 'a\tb "q"'
-    sinks.splits(rows, str(tmp_path / "splits"))
-    assert (tmp_path / "splits" / "split=train").is_dir()
+    assert {r.a for r in readers.tsv(spark, str(tmp_path / "quoted"), {"ref", "a"}).collect()} == {'a\tb "q"', "c", None}
+
+
+def test_splits_have_their_folders(spark, tmp_path):
+    sinks.splits(side_rows(spark), str(tmp_path / "splits"))
+    assert {p.name for p in (tmp_path / "splits").glob("split=*")} == {"split=train", "split=test"}
+    assert {json.loads(x)["ref"] for x in written(tmp_path / "splits" / "split=train").splitlines()} == {"r", "q"}
+
+
+def test_aligned_lines(spark, tmp_path):
     sinks.aligned_lines(spark.createDataFrame([(1, "b"), (0, ""), (2, "c")], "line_no int, text string"), str(tmp_path / "lines"))
-    assert next((tmp_path / "lines").glob("part-*")).read_text() == "\nb\nc\n"
-    sinks.metrics_csv(spark.createDataFrame([("m", "1")], "metric string, value string"), str(tmp_path / "csv"))
-    assert next((tmp_path / "csv").glob("part-*")).read_text() == "metric,value\nm,1\n"
-    sinks.chapter_manifest(spark.createDataFrame([("A", 1, "Genesis", "GEN", "V", [1, 2])], "version string, version_id int, name string, code string, version_code string, chapters array<int>"), "http://r", str(tmp_path / "manifest"))
+    assert written(tmp_path / "lines") == "\nb\nc\n"
+
+
+def test_metrics_csv(spark, tmp_path):
+    sinks.metrics_csv(spark.createDataFrame([("m", "1"), ("n", "2")], "metric string, value string"), str(tmp_path / "csv"))
+    assert sorted(written(tmp_path / "csv").splitlines()) == ["m,1", "metric,value", "n,2"]
+
+
+def test_chapter_manifest(spark, tmp_path):
+    books = spark.createDataFrame([("A", 1, "Genesis", "GEN", "V", [1, 2])], "version string, version_id int, name string, code string, version_code string, chapters array<int>")
+    sinks.chapter_manifest(books, "http://r", str(tmp_path / "manifest"))
     assert {r.url for r in readers.jsonl(spark, str(tmp_path / "manifest"), schemas.CHAPTER_TASK).collect()} == {"http://r/1/GEN.1.V", "http://r/1/GEN.2.V"}
 
 
