@@ -112,8 +112,8 @@ def spans_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mixed((sums[ends] - sums[starts]) * inverse[starts])
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the whitespace-separated words of all texts, and where each text's words begin (one more at the end)."""
+def word_places(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All texts as one byte buffer, where its whitespace-separated words start and end, and where each text's words begin (one more at the end)."""
     data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
     inside = np.zeros(len(data) + 2, np.int8)
     inside[1:-1] = ~SPACE[data]
@@ -121,7 +121,18 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     starts, ends = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
     bounds = np.zeros(len(texts) + 1, np.int64)
     np.cumsum([len(x) + 1 for x in texts], out=bounds[1:])
-    return spans_hash(_BYTE_VALUE[data], starts, ends), np.searchsorted(starts, bounds)
+    return data, starts, ends, np.searchsorted(starts, bounds)
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, and where each text's words begin (one more at the end)."""
+    data, starts, ends, bounds = word_places(texts)
+    return hashes_at(data, starts, ends), bounds
+
+
+def hashes_at(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the words at these places."""
+    return spans_hash(_BYTE_VALUE[data], starts, ends)
 
 
 def window_hashes(words: np.ndarray, length: int) -> np.ndarray:
@@ -130,6 +141,39 @@ def window_hashes(words: np.ndarray, length: int) -> np.ndarray:
     return spans_hash(words, np.arange(n), np.arange(n) + length)
 
 
+def bucket_of(values: np.ndarray, buckets: int) -> np.ndarray:
+    """Evenly spread numbers from 0 to ``buckets`` - 1."""
+    return (((mixed(values) >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+
+
+def groups_of(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First places and sizes of equal neighbours."""
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return first, np.diff(np.append(first, len(keys)))
+
+
+def by_bucket(df: DataFrame, make, schema: str, buckets: int) -> DataFrame:  # noqa: ANN001
+    """``make(rows)`` for all rows of each ``bucket`` (numbers below ``buckets``, dealt evenly); a bucket is in memory at a time.
+
+    ``rows`` are tuples of the other columns.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, held = None, []
+        for batch in batches:
+            for bucket, *packet in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if bucket != here and held:
+                    yield make(held)
+                    held = []
+                here = bucket
+                held.append(packet)
+        if held:
+            yield make(held)
+
+    tasks = min(buckets, shuffle_partitions(df.sparkSession))
+    return df.repartitionById(tasks, F.col("bucket") % tasks).sortWithinPartitions("bucket").mapInArrow(run, schema)
+
+
 def summed(df: DataFrame, column: str, fan_in: int = 16) -> np.ndarray | None:
     """The sum of the float64 blobs in ``column`` (one a partition), added up on the executors in rounds.
 

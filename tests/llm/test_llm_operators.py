@@ -122,16 +122,35 @@ def brute_removed(rows, length):
 
 @pytest.mark.parametrize("limit", [0, 2_000_000])
 def test_substrings(rows, docs, none, limit):
-    cut = substrings.with_spans(docs, broadcast_spans=limit)
-    assert cut.count() == len(rows)
+    """Joined by shuffling or by broadcast, spans cover what brute force removes."""
+    wanted = brute_removed(rows, 35)
+    cut = by_id(substrings.with_spans(docs, broadcast_spans=limit, broadcast_anchors=limit))
+    assert sum(map(len, cut.values())) == len(rows)
+    for (i, t, *_), (_, n, _) in zip(rows, wanted, strict=True):
+        assert n in {len({k for s in r.repeated_spans or () for k in range(s.start, s.stop)}) for r in cut[i] if r.text == t}
     out = by_id(substrings.removed(docs))
-    for (i, t, *_), wanted in zip(rows, brute_removed(rows, 35), strict=True):
-        assert wanted in {(r.n_words, r.n_removed, r.kept_sha256) for r in out[i]}
-        if not wanted[1]:
+    for (i, t, *_), numbers in zip(rows, wanted, strict=True):
+        assert numbers in {(r.n_words, r.n_removed, r.kept_sha256) for r in out[i]}
+        if not numbers[1]:
             assert t in {r.text for r in out[i]}
     assert substrings.removed(none).count() == 0
 
 
+def test_substrings_with_rows_of_one_id_and_clashing_names(spark, monkeypatch):
+    r = random.Random(9)
+    passage = sentence(r, 60)
+    made = [(None, f"{sentence(r, 20)} {passage} {sentence(r, k)}") for k in range(8)] + [(None, sentence(r, 80)) for _ in range(40)] + [(3, passage)] * 2
+    names = "__id __body ident signature row owner told spans start stop block".split()
+    frame = spark.createDataFrame([(i, t, *[str(k) + n for n in names]) for k, (i, t) in enumerate(made)], "doc_id bigint, text string, " + ", ".join(f"{n} string" for n in names)).withColumns({"n_words": F.lit("mine"), "repeated_spans": F.lit(1)})
+    # What the texts of one owner are told is a superset, whatever owners clash.
+    monkeypatch.setattr(substrings, "owner_of", lambda ident, signature: F.pmod(F.xxhash64(ident, signature), F.lit(4)))
+    out = substrings.removed(frame)
+    assert out.columns == ["doc_id", "text", *names, "n_words", "n_removed", "kept_sha256"]
+    wanted = sorted(zip(brute_removed(made, 35), [str(k) for k in range(len(made))], strict=True))
+    assert sorted(((x.n_words, x.n_removed, x.kept_sha256), x.owner.removesuffix("owner")) for x in out.collect()) == wanted
+    assert {x[n].lstrip("0123456789") for x in out.collect() for n in ("__id", "__body", "ident")} == {"__id", "__body", "ident"}
+
+
 def brute_hits(text, items, window):
     words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered(t))
     w, hit, found = words(text), set(), set()

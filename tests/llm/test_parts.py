@@ -145,25 +145,55 @@ def brute_removed(texts, length):
     return out
 
 
+def packets_of(batches):
+    out = {}
+    for batch in batches:
+        for bucket, *packet in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            out.setdefault(bucket, []).append(packet)
+    return out
+
+
+@pytest.mark.parametrize("bits", [64, 4])
 @pytest.mark.parametrize("seed", range(20))
-def test_blocks_find_all_repeats(seed):
+def test_blocks_find_all_repeats(seed, bits, monkeypatch):
+    """Whatever clashes in 4 bits of a hash, the removed words are those of equal windows."""
+    if bits < 64:
+        monkeypatch.setattr(substrings, "window_hashes", lambda *a: window_hashes(*a) & np.uint64((1 << bits) - 1))
     r = random.Random(seed)
     passages = [[str(r.randint(0, 30)) for _ in range(r.randint(5, 40))] for _ in range(5)]
-    texts = [" ".join(sum((r.choice([r.choice(passages), [str(r.randint(0, 30)) for _ in range(12)]]) for _ in range(r.randint(0, 5))), [])).encode() for _ in range(12)]
-    length, ids = 9, np.arange(12)
-    rows = [b for half in (slice(0, 6), slice(6, 12)) for b in substrings.routed(texts[half], ids[half], ids[half], length, 4, 3)]
-    packets = {}
-    for batch in rows:
-        for block, *packet in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            packets.setdefault(block, []).append(packet)
+    texts = [" \n".join(sum((r.choice([r.choice(passages), [str(r.randint(0, 30)) for _ in range(12)], ["7"] * 15]) for _ in range(r.randint(0, 5))), [])).encode() for _ in range(12)]
+    length, ids, signatures = 9, np.arange(12), [bytes([i]) * substrings.SIGNATURE for i in range(12)]
+    halves = (slice(0, 6), slice(6, 12))
+    told = np.unique(substrings.phrases(word_hashes(texts)[0], 4))
     got = [set() for _ in texts]
-    for held in packets.values():
-        out = substrings.parsed_block(held, length)
-        for d, a, b in zip(*(out.column(i).to_pylist() for i in (0, 2, 3)), strict=True):
+    for held in packets_of(b for h in halves for b in substrings.routed(texts[h], ids[h], signatures[h], told, length, 4, 3)).values():
+        for d, s, a, b in zip(*(c.to_pylist() for c in substrings.parsed_block(held, length).columns), strict=True):
+            assert s == signatures[d] and b - a >= length
             got[d].update(range(a, b))
     assert got == brute_removed(texts, length)
 
 
+@given(st.lists(st.lists(st.integers(1, 3), max_size=25), min_size=1, max_size=5), st.integers(1, 6))
+@settings(max_examples=60, deadline=None)
+def test_greedy_parse(texts, length):
+    """Matches are the longest ones with any other place, and factors cover every place of a match of ``length``."""
+    symbols = [x for i, t in enumerate(texts) for x in [*t, 10 + i]] + [0]
+    n = len(symbols)
+
+    def common(i, j):
+        k = 0
+        while max(i, j) + k < n and symbols[i + k] == symbols[j + k]:
+            k += 1
+        return k
+
+    longest = [max(common(i, j) for j in range(n) if j != i) if n > 1 else 0 for i in range(n)]
+    got = substrings.longest_matches(np.array(symbols), length)
+    assert got.tolist() == [k if k >= length else 0 for k in longest]
+    begin, end = (x.tolist() for x in substrings.factors(got, length))
+    assert all(e - b == longest[b] for b, e in zip(begin, end, strict=True)) and all(c >= e - length + 1 for e, c in zip(end, begin[1:], strict=False))
+    assert {i for b, e in zip(begin, end, strict=True) for i in range(b, e)} == {i for b in range(n) if longest[b] >= length for i in range(b, b + longest[b])}
+
+
 def test_least_in_windows():
     r = np.random.default_rng(1)
     for width in (1, 2, 3, 7, 8):
