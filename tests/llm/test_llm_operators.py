@@ -10,8 +10,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontaminate, fingerprints, jaccard, language_id, language_model, mixing, quality, substrings, urls, warc
-from corpusloom.llm.common import fold
+from corpusloom.llm import decontaminate, fingerprints, jaccard, language_id, language_model, mixing, quality, spanning, substrings, urls, warc
+from corpusloom.llm.common import checkpoint, fold
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -83,17 +83,48 @@ def test_jaccard(rows, docs, none):
     assert kept == {i for i, *_ in rows if i is None or wanted[i] == i}
 
 
-@pytest.mark.parametrize("group_sets", [2, 1000])
-def test_jaccard_in_blocks(spark, rows, group_sets):
-    """Groups beyond the bound are split, with the same result; candidates beyond theirs are joined."""
+@pytest.mark.parametrize("exact", [False, True])
+@pytest.mark.parametrize("group_sets", [2, 5, 1000])
+def test_jaccard_in_parts(spark, rows, group_sets, exact):
+    """Groups beyond the bound are dealt to parts, frequent shingles looked up, candidates beyond theirs joined: with the same result."""
     r = random.Random(2)
     base = sentence(r, 300).split()
     copies = [(i, " ".join(w if r.random() > 0.02 else "x" for w in base)) for i in range(24)]
+    copies += [(100 + i, " ".join(base[: 150 + 10 * i])) for i in range(9)]
     frame = spark.createDataFrame([(i, t, None, None, 0) for i, t in copies], DOCS)
-    out = {x.id: x.component_id for x in jaccard.join(frame, group_sets=group_sets, broadcast_ids=0).collect()}
+    out = {x.id: x.component_id for x in jaccard.join(frame, group_sets=group_sets, broadcast_ids=0, hot=3, exact=exact).collect()}
     assert out == brute_components(copies)
 
 
+def test_jaccard_keeps_columns_of_any_name(spark):
+    names = "id row __id component_id group body n s1 s2".split()
+    frame = spark.createDataFrame([(1, "one two", *names), (1, "one two", *names), (2, "ONE two", *names), (None, "x", *names)], "doc_id bigint, text string, " + ", ".join(f"{n} string" for n in names))
+    out = jaccard.one_of_each(frame)
+    assert out.columns == frame.columns and sorted((str(x.doc_id), x.id, x.component_id) for x in out.collect()) == [("1", "id", "component_id")] * 2 + [("None", "id", "component_id")]
+
+
+@pytest.mark.parametrize("size", [3, 7, 50])
+@pytest.mark.parametrize("seed", range(4))
+def test_group_links(spark, seed, size):
+    """Chains, stars and strays in groups of any size are connected as all pairs connect them."""
+    r = random.Random(seed)
+    points = [(g, 100 * g + k, r.choice([1000 * g, r.randint(0, 90), k * 2])) for g in range(3) for k in range(r.choice([2, 12, 30]))]
+
+    def forest(ids, bodies):
+        sets = spanning.Sets()
+        return [(i, j) for k, (i, a) in enumerate(zip(ids, bodies, strict=True)) for j, b in zip(ids[:k], bodies, strict=False) if abs(int(a) - int(b)) <= 2 and sets.join(i, j)]
+
+    members = checkpoint(spark.createDataFrame([(g, i, str(p).encode()) for g, i, p in points], "group bigint, id bigint, body binary"))
+    got, wanted = spanning.Sets(), spanning.Sets()
+    for x in spanning.group_links(members, forest, size).collect():
+        got.join(x.u, x.v)
+    for g, i, a in points:
+        for h, j, b in points:
+            if g == h and abs(a - b) <= 2:
+                wanted.join(i, j)
+    assert all(got.root(i) == wanted.root(i) for _, i, _ in points)
+
+
 @pytest.mark.parametrize("one_task", [0, 1000])
 def test_components(spark, one_task):
     r = random.Random(4)
@@ -102,7 +133,7 @@ def test_components(spark, one_task):
     for a, b in pairs:
         low, high = sorted((label[a], label[b]))
         label = {k: low if v == high else v for k, v in label.items()}
-    got = {x.u: x.root for x in jaccard.components(spark.createDataFrame(pairs, "u bigint, v bigint"), one_task).collect()}
+    got = {x.u: x.root for x in spanning.components(spark.createDataFrame(pairs, "u bigint, v bigint"), one_task).collect()}
     assert got == {k: v for k, v in label.items() if k != v}
 
 

@@ -95,7 +95,7 @@ def test_forest_connects_what_links_connect(seed):
             sets.append(np.array(sorted(s), np.uint64))
     wanted = brute_components(sets)
     got = list(range(len(sets)))
-    for u, v in jaccard.forest(list(range(len(sets))), sets):
+    for u, v in jaccard.forest(list(range(len(sets))), [x.tobytes() for x in sets]):
         x, y = got[u], got[v]
         got = [y if g == x else g for g in got]
     same = lambda label: {frozenset(i for i in range(len(label)) if label[i] == k) for k in label}
