@@ -11,36 +11,46 @@ texts count, and the last half of a text has its own octave whatever its length.
 A fingerprint is the walk's length and its sampled bits, in hex.  Likeness compares
 two fingerprints octave by octave, weighted with the octaves' lengths.
 
-Near-duplicate search samples bits of the fingerprint into bands; documents that
-meet in a band are verified, all pairs of a bucket; components of the links are groups.
+Near-duplicates are documents of likeness ``LEAST`` or more, joined by links.  Bands
+of bits, sampled below a length that both walks have or nearly have, bring candidates
+together; candidates that meet form groups, and each link is verified on whole
+fingerprints (``spanning``).  Bits of a pair at likeness 0.9 agree at 0.95, so 28 bands of
+48 bits meet with a chance of 0.92; texts that don't resemble each other meet with one of 2^-48 a band.
 
 Defined results: null counts as the empty text, whose fingerprint is that of a walk
-of length 0; two empty texts have likeness 1, an empty and another 0; ids are
-ordered with null first, equal ids by their texts; the last document's next is the
-first; a table of one document has itself as next.
+of length 0; two empty texts have likeness 1, an empty and another 0; ids are whole
+numbers, ordered with null first, equal ids by their texts' SHA-256; the last document's
+next is the first; a table of one document has itself as next; documents with equal ids are one
+vertex of a cluster; empty texts link with nothing, and a null id has a null cluster.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterable, Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import checkpoint, plus, shuffle_partitions
-from corpusloom.llm.jaccard import components
+from corpusloom.llm.common import bucket_of, checkpoint, mixed, plus, quoted, shared_folder, shuffle_partitions
+from corpusloom.llm.spanning import LINKS, PACKET, Sets, components, group_links, pair_batch, star_edges, star_packets
 
-CLASSES = 64  #: characters are hashed to so many classes, which share their random bits
+LEAST = 0.9
+BANDS, BAND_BITS = 28, 48
+RANGE_BYTES = 64 << 20
 OCTAVES = 40
+ALONE = 12  #: so few walks go one by one, in plain integers, instead of all together
+_MASK = (1 << 32) - 1
 
 
 @cache
 def sampled_steps(per_octave: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The shared steps, their octaves, and a random bit of each class at each step."""
+    """The shared steps, their octaves, and a random multiplier for each, which gives the bit that is written there."""
     rng = np.random.default_rng(71)
     steps, octave = [np.array([0])], [np.array([0])]
     for o in range(1, OCTAVES):
@@ -48,74 +58,110 @@ def sampled_steps(per_octave: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         steps.append(np.arange(low, low + n) if n <= per_octave else low + np.unique(rng.integers(0, n, per_octave * 2))[:: 2][:per_octave])
         octave.append(np.full(len(steps[-1]), o))
     s = np.concatenate(steps)
-    bits = np.zeros((len(s), CLASSES + 1), np.uint8)
-    bits[:, :CLASSES] = rng.integers(0, 2, (len(s), CLASSES))
-    return s, np.concatenate(octave), bits
+    return s, np.concatenate(octave), rng.integers(0, 1 << 31, len(s), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+
+
+def characters(points: np.ndarray) -> np.ndarray:
+    """A scrambled number for each code point, another for each; the highest bit of its product with a step's multiplier is the code point's random bit at that step."""
+    h = points.astype(np.uint32) + np.uint32(1)
+    h = (h ^ (h >> np.uint32(16))) * np.uint32(0x85EBCA6B)
+    h = (h ^ (h >> np.uint32(13))) * np.uint32(0xC2B2AE35)
+    return h ^ (h >> np.uint32(16))
 
 
 def _moves(first: int, n: int) -> np.ndarray:
-    """Shared bits of ``n`` steps from ``first`` on: does a walk on a character of this class move on?"""
+    """Shared odd multipliers of ``n`` steps from ``first`` on: does a walk on a character move on?"""
     h = np.arange(first, first + n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0x632BE59BD9B4E019)
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    h ^= h >> np.uint64(31)
-    out = np.zeros((n, CLASSES + 1), np.int64)
-    out[:, :CLASSES] = (h[:, None] >> np.arange(CLASSES, dtype=np.uint64)) & np.uint64(1)
-    return out
+    return ((h ^ (h >> np.uint64(31))) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
 def walks(texts: list[str], per_octave: int = 128, block: int = 256) -> tuple[np.ndarray, np.ndarray]:
     """Lengths of the walks over all texts, and their sampled bits (a row a text, 0 behind the end)."""
-    steps, _, bits = sampled_steps(per_octave)
-    points = np.frombuffer("\0".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
-    kind = ((points * np.uint32(2654435761)) >> np.uint32(26)).astype(np.uint8)
+    steps, _, written = sampled_steps(per_octave)
     size = np.array([len(t) for t in texts], np.int64)
     start = np.cumsum(size + 1) - size - 1
-    kind[start + size] = CLASSES  # the end: a walk stays there
+    here_of = characters(np.frombuffer("\0".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32))
+    here_of[start + size] = 0  # the end: all its bits are 0, so a walk stays there
     out = np.zeros((len(texts), int(np.searchsorted(steps, 4 * size.max(initial=0) + 64))), np.uint8)
     length = np.zeros(len(texts), np.int64)
-    live, at, step, next_sample = np.arange(len(texts)), start.copy(), 0, 0
-    keep = size > 0
-    live, at = live[keep], at[keep]
+    live, step = np.flatnonzero(size > 0), 0
+    at = start[live]
     while len(live):
         moves = _moves(step, block)
+        a, b = np.searchsorted(steps, (step, step + block))
+        if b > out.shape[1]:
+            out = np.hstack([out, np.zeros((len(texts), int(b) - out.shape[1] + 1024), np.uint8)])
+        samples = [*zip((steps[a:b] - step).tolist(), range(a, b), written[a:b].tolist(), strict=True), (block, -1, 0)]
         entered = at.copy()
-        for j in range(block):
-            here = kind[at]
-            if next_sample < len(steps) and steps[next_sample] == step + j:
-                if next_sample >= out.shape[1]:
-                    out = np.hstack([out, np.zeros((len(texts), 256), np.uint8)])
-                out[live, next_sample] = bits[next_sample][here]
-                next_sample += 1
-            at += moves[j][here]
-        ended = kind[at] == CLASSES
+        if len(live) <= ALONE:
+            view, factors = memoryview(here_of), moves.tolist()
+            for k in range(len(live)):
+                at[k] = _alone(view, int(at[k]), factors, samples, out[live[k]])
+        else:
+            here, j = np.empty(len(live), np.uint32), 0
+            for stop, column, factor in samples:
+                for m in moves[j:stop]:
+                    np.take(here_of, at, out=here, mode="clip")
+                    np.multiply(here, m, out=here)
+                    np.right_shift(here, 31, out=here)
+                    np.add(at, here, out=at)
+                j = stop
+                if column >= 0:
+                    out[live, column] = (here_of[at] * np.uint32(factor)) >> np.uint32(31)
+        ended = here_of[at] == 0
         if ended.any():
             # The exact length: the block again, for walks that ended in it.
             again, counted = entered[ended], np.zeros(int(ended.sum()), np.int64)
-            for j in range(block):
-                here = kind[again]
-                counted += here != CLASSES
-                again += moves[j][here]
+            for m in moves:
+                here = here_of[again]
+                counted += here != 0
+                again += (here * m) >> np.uint32(31)
             length[live[ended]] = step + counted
             live, at = live[~ended], at[~ended]
         step += block
     return length, out
 
 
+def _alone(view: memoryview, at: int, moves: list[int], samples: list[tuple[int, int, int]], out: np.ndarray) -> int:
+    """One walk through a block of steps."""
+    j = 0
+    for stop, column, factor in samples:
+        for m in moves[j:stop]:
+            at += (view[at] * m & _MASK) >> 31
+        j = stop
+        if column >= 0:
+            out[column] = (view[at] * factor & _MASK) >> 31
+    return at
+
+
 class Fingerprints:
     """Walk lengths and sampled bits of many texts."""
 
-    def __init__(self, texts: list[str], per_octave: int = 128):
-        self.per_octave = per_octave
-        self.length, self.bits = walks(texts, per_octave)
-        self.samples = np.searchsorted(sampled_steps(per_octave)[0], self.length)
+    def __init__(self, length: np.ndarray, bits: np.ndarray, per_octave: int = 128):
+        self.per_octave, self.length, self.bits = per_octave, length, bits
+        self.samples = np.searchsorted(sampled_steps(per_octave)[0], length)
+
+    @classmethod
+    def walked(cls, texts: list[str], per_octave: int = 128) -> Fingerprints:
+        return cls(*walks(texts, per_octave), per_octave)
+
+    @classmethod
+    def of(cls, prints: list[bytes], per_octave: int = 128) -> Fingerprints:
+        """Read again what ``print`` has written."""
+        length = np.array([int.from_bytes(x[:5], "big") for x in prints], np.int64)
+        out = cls(length, np.zeros((len(prints), int(np.searchsorted(sampled_steps(per_octave)[0], length.max(initial=0)))), np.uint8), per_octave)
+        for i, x in enumerate(prints):
+            out.bits[i, : out.samples[i]] = np.unpackbits(np.frombuffer(x, np.uint8, offset=5))[: out.samples[i]]
+        return out
 
-    def hex(self, i: int) -> str:
-        return f"{int(self.length[i]):010x}:{np.packbits(self.bits[i, : self.samples[i]]).tobytes().hex()}"
+    def print(self, i: int) -> bytes:
+        return int(self.length[i]).to_bytes(5, "big") + np.packbits(self.bits[i, : self.samples[i]]).tobytes()
 
     def likeness(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Weighted share of agreeing samples, with what chance gives taken off; 1 for equal, 0 for unrelated fingerprints."""
-        steps, octave, _ = sampled_steps(self.per_octave)
+        octave = sampled_steps(self.per_octave)[1]
         width = self.bits.shape[1]
         columns, octave = np.arange(width), octave[:width]
         short, long = np.minimum(self.samples[i], self.samples[j])[:, None], np.maximum(self.samples[i], self.samples[j])[:, None]
@@ -126,39 +172,49 @@ class Fingerprints:
         if not width:
             return np.ones(len(i))
         agree, all_ = np.add.reduceat(same, first, axis=1), np.add.reduceat(there, first, axis=1)
-        low = steps[first]
+        low = (1 << octave[first]) >> 1
         reach = np.maximum(self.length[i], self.length[j])[:, None]
         weight = np.clip(reach - low, 0, np.maximum(1, low))
         share = np.where(all_ > 0, agree / np.maximum(all_, 1), 0)
         mean = (share * weight).sum(1) / np.maximum(weight.sum(1), 1)
         return np.where(reach[:, 0] == 0, 1.0, np.where((short == 0)[:, 0], 0.0, np.clip(2 * mean - 1, 0, 1))).astype(np.float64)
 
-    def bands(self, i: int, bands: int = 40, sampled: int = 16) -> list[int]:
-        """One hash for each band: ``sampled`` bits, drawn from the walk's octaves by their lengths.
+    def bands(self, bands: int = BANDS, sampled: int = BAND_BITS) -> tuple[np.ndarray, np.ndarray]:
+        """The fingerprints' numbers and a 64-bit key for each of their bands; none for an empty text.
 
-        At likeness 0.75 bits agree at 0.875, so 20 bands of 16 bits meet with a chance of 0.92.
+        Lengths have levels, four an octave.  A walk has the bands of its own level and of that of a
+        walk a tenth longer; so two walks of likeness ``LEAST``, whose lengths differ by less, share a level.
+        Bits behind a walk's end are 0.
         """
-        octave = sampled_steps(self.per_octave)[1]
-        n = int(self.samples[i])
-        if not n:
-            return []
-        # Texts whose walks end in neighbouring octaves must meet: bits come from octaves that both have in full.
-        top = max(1, int(octave[n - 1]) - 1)
-        out = []
-        for back in (0, 1):
-            size = int(np.searchsorted(octave[:n], max(1, top - back), side="right"))
-            for b, chosen in enumerate(_chosen(self.per_octave, size, 1000 * (top - back), bands // 2, sampled)):
-                head = f"{top - back}/{b}/".encode()
-                out.append(int.from_bytes(hashlib.blake2b(head + self.bits[i, chosen].tobytes(), digest_size=8).digest(), "big", signed=True))
-        return out
+        there = np.flatnonzero(self.length > 0)
+        level = lambda x: np.floor(4 * np.log2(x) + 1e-9).astype(np.int64)
+        own, above = level(self.length[there]), level(self.length[there] / LEAST)
+        number, level_of = np.concatenate([there, there[above > own]]), np.concatenate([own, above[above > own]])
+        out = np.zeros((len(number), bands), np.uint64)
+        for q in np.unique(level_of):
+            at = np.flatnonzero(level_of == q)
+            chosen = _chosen(self.per_octave, int(q), bands, sampled)
+            bits = np.zeros((len(at), max(self.bits.shape[1], int(chosen.max()) + 1)), np.uint8)
+            bits[:, : self.bits.shape[1]] = self.bits[number[at]]
+            value = np.zeros((len(at), bands, 64), np.uint8)
+            value[:, :, : chosen.shape[1]] = bits[:, chosen]
+            key = np.packbits(value, axis=2).view(np.uint64)[:, :, 0]
+            out[at] = mixed(mixed(key) + np.uint64(1000 * int(q)) + np.arange(bands, dtype=np.uint64))
+        return np.repeat(number, bands), out.reshape(-1)
 
 
 @cache
-def _chosen(per_octave: int, size: int, seed: int, bands: int, sampled: int) -> list[np.ndarray]:
-    """The samples of each band, among the first ``size``; a sample stands for its share of its octave, as in likeness."""
-    octave = sampled_steps(per_octave)[1][:size]
+def _chosen(per_octave: int, level: int, bands: int, sampled: int) -> np.ndarray:
+    """The samples of each band (a row), of those below the level's end; a sample stands for its share of its octave, as in likeness.
+
+    Bands of short walks have a quarter of the samples, so that they can miss what differs.
+    """
+    steps, octave, _ = sampled_steps(per_octave)
+    size = max(1, int(np.searchsorted(steps, 2 ** ((level + 1) / 4))))
+    octave = octave[:size]
     weight = np.maximum(1, 2.0 ** (octave - 1)) / np.bincount(octave)[octave]
-    return [np.random.default_rng(seed + b).choice(size, min(sampled, size), replace=False, p=weight / weight.sum()) for b in range(bands)]
+    n = max(min(size, 8), min(sampled, size // 4))
+    return np.stack([np.random.default_rng(1000 * level + b).choice(size, n, replace=False, p=weight / weight.sum()) for b in range(bands)])
 
 
 def edited(text: str, following: str) -> str:
@@ -167,56 +223,78 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-_LEAST = -(2**63)
+_LEAST_ID = -(2**63)
 
 
 def beside_next(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``part``, ``echo``, ``id``, ``text``: sorted within partitions so that each document's next follows it.
+    """``part``, ``echo``, ``id``, ``packed`` (the text, compressed): sorted within partitions so that each document's next follows it.
 
-    The ids are cut into ranges at actual ids (quantiles; their number is the number of
-    shuffle partitions).  The document at a cut goes to its own range and, as an
-    echo, to the end of the range before; the very first also to the end of the
-    last.  Texts are shuffled once.
+    Ids are cut into ranges at actual ids (quantiles, for ranges of about ``RANGE_BYTES`` or as many
+    as there are shuffle partitions); an id that several quantiles hit is cut by the texts' hashes.
+    The document at a cut goes to its own range and, as an echo, to the end of the range
+    before; the very first also to the end of the last.  Texts are shuffled once.
     """
-    n = shuffle_partitions(docs.sparkSession)
-    rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("place", F.coalesce(F.col("id").cast("bigint"), F.lit(_LEAST)))
-    ends = rows.agg(F.percentile_approx("place", [i / n for i in range(n)], max(10_000, 20 * n)).alias("cuts"), F.min("place").alias("first")).first()
-    cuts = sorted({*(ends.cuts or []), *([ends.first] if ends.first is not None else [])})
-    array = F.split(F.lit(",".join(map(str, cuts)) or "0"), ",").cast("array<bigint>")
+    body = F.coalesce(quoted(text), F.lit(""))
+    rows = docs.select(quoted(key).alias("id"), body.alias("text")).withColumns({"place": F.coalesce(F.col("id").cast("bigint"), F.lit(_LEAST_ID)), "tie": tie(F.col("text"))})
+    total, first = rows.agg(F.sum(F.octet_length("text")), F.min("place")).first()
+    n = max(shuffle_partitions(docs.sparkSession), (total or 0) // RANGE_BYTES)
+    found = [] if first is None else [first, *rows.agg(F.percentile_approx("place", [i / n for i in range(1, n)], max(10_000, 4 * n))).first()[0]] if n > 1 else [first]
+    often = {p: k for p in {*found} if (k := found.count(p)) > 2}
+    cuts = [(p, -1) for p in sorted({*found})]
+    if often:
+        # Parts of an id's texts, by their hash; the cut is at the first hash that is there.
+        share = F.element_at(F.create_map(*(F.lit(x) for pair in often.items() for x in pair)), F.col("place"))
+        parts = rows.where(F.col("place").isin([*often])).groupBy("place", F.floor(F.col("tie") * share / F.lit(2.0**60)).alias("k")).agg(F.min("tie").alias("tie")).where("k > 0").collect()
+        cuts = sorted([*cuts, *((r.place, r.tie) for r in parts)])
+    literal = lambda values: F.split(F.lit(",".join(map(str, values)) or "0"), ",").cast("array<bigint>")
+    places, ties = literal([p for p, _ in cuts]), literal([t for _, t in cuts])
+    below = lambda k: (F.get(places, k) < F.col("place")) | ((F.get(places, k) == F.col("place")) & (F.get(ties, k) <= F.col("tie")))
     steps = F.array(*(F.lit(1 << b) for b in reversed(range(max(1, len(cuts)).bit_length()))))
-    part = F.aggregate(steps, F.lit(0), lambda k, s: F.when((k + s <= len(cuts)) & (F.get(array, k + s - 1) <= F.col("place")), k + s).otherwise(k))
-    rows = rows.withColumn("part", part)
-    at_cut = F.get(array, F.col("part") - 1) == F.col("place")
-    before = F.when(F.col("part") == 1, F.lit(len(cuts))).otherwise(F.col("part") - 1)
-    own = F.struct(F.col("part"), F.lit(False).alias("echo"))
-    copies = F.when(at_cut, F.array(own, F.struct(before.alias("part"), F.lit(True).alias("echo")))).otherwise(F.array(own))
-    spread = rows.select("id", "place", "text", F.explode(copies).alias("c")).select("c.part", "c.echo", "id", "place", "text")
-    return spread.repartition(n, "part").sortWithinPartitions("part", "echo", "place", "text").select("part", "echo", "id", "text")
+    rows = rows.withColumn("part", F.aggregate(steps, F.lit(0), lambda k, s: F.when((k + s <= len(cuts)) & below(k + s - 1), k + s).otherwise(k)))
+    own = F.col("part") - 1
+    at_cut = (F.get(places, own) == F.col("place")) & ((F.get(ties, own) == F.col("tie")) | (F.get(ties, own) == -1))
+    before = F.when(F.col("part") == 1, F.lit(len(cuts))).otherwise(own)
+    here = F.struct(F.col("part"), F.lit(False).alias("echo"))
+    copies = F.when(at_cut, F.array(here, F.struct(before.alias("part"), F.lit(True).alias("echo")))).otherwise(F.array(here))
+    spread = rows.select(F.explode(copies).alias("c"), "id", "place", "tie", "text").select("c.part", "c.echo", "id", "place", "tie", "text")
+
+    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([press.compress(t.encode()) for t in batch.column(5).to_pylist()], pa.binary())], names=[*batch.schema.names[:-1], "packed"])
+
+    sent = spread.mapInArrow(pack, plus(spread.drop("text"), "packed binary"))
+    return sent.repartitionById(max(1, len(cuts)), F.col("part") - 1).sortWithinPartitions("part", "echo", "place", "tie").select("part", "echo", "id", "packed")
 
 
-def fingerprint(docs: DataFrame, key: str = "doc_id", text: str = "text", per_octave: int = 128, lanes: int = 4096, chars: int = 16 << 20) -> DataFrame:
-    """One row a document: its id, ``n_chars``, ``edited_sha256``, both fingerprints, their likeness, that of the next one's, and bands.
+def tie(text: F.Column) -> F.Column:
+    """The first 60 bits of the text's SHA-256."""
+    return F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("bigint")
+
+
+def prints(docs: DataFrame, key: str = "doc_id", text: str = "text", per_octave: int = 128, lanes: int = 4096, chars: int = 8 << 20) -> DataFrame:
+    """One row a document: its id, ``n_chars``, ``edited_sha256``, ``print`` and ``edited_print`` (bytes), their likeness and that of the next one's.
 
     Walks of up to ``lanes`` texts, or ``chars`` characters, are taken together.
     """
     rows = beside_next(docs, key, text)
-    schema = plus(docs.select(key), "n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, bands array<bigint>")
+    schema = plus(docs.select(quoted(key)), "n_chars bigint, edited_sha256 binary, print binary, edited_print binary, near_edited double, near_next double")
 
     def made(held: list[tuple[object, str]], following: list[str], types: pa.DataType) -> pa.RecordBatch:
         n = len(held)
         texts = [t for _, t in held]
         new = [edited(t, f) for t, f in zip(texts, following, strict=True)]
-        prints = Fingerprints([*texts, following[-1], *new], per_octave)
+        found = Fingerprints.walked([*texts, following[-1], *new], per_octave)
         i = np.arange(n)
         arrays = [
-            pa.array([k for k, _ in held], types), pa.array([len(t) for t in texts], pa.int64()), pa.array([hashlib.sha256(t.encode()).hexdigest() for t in new]),
-            pa.array([prints.hex(k) for k in range(n)]), pa.array([prints.hex(n + 1 + k) for k in range(n)]),
-            pa.array(prints.likeness(i, i + n + 1)), pa.array(prints.likeness(i, i + 1)), pa.array([prints.bands(k) for k in range(n)], pa.list_(pa.int64())),
+            pa.array([k for k, _ in held], types), pa.array([len(t) for t in texts], pa.int64()), pa.array([hashlib.sha256(t.encode()).digest() for t in new], pa.binary()),
+            pa.array([found.print(k) for k in range(n)], pa.binary()), pa.array([found.print(n + 1 + k) for k in range(n)], pa.binary()), pa.array(found.likeness(i, i + n + 1)), pa.array(found.likeness(i, i + 1)),
         ]
         return pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[object, str]] = []
+        unpack = zstandard.ZstdDecompressor()
         size, here, over, types = 0, None, False, None
         for batch in batches:
             types = batch.schema.types[2]
@@ -225,6 +303,7 @@ def fingerprint(docs: DataFrame, key: str = "doc_id", text: str = "text", per_oc
                     held, size, here, over = [], 0, part, False
                 if over:  # further documents with the id of the echo
                     continue
+                t = unpack.decompress(t).decode()
                 if echo or len(held) >= lanes or size >= chars:
                     if held:
                         yield made(held, [*(x for _, x in held[1:]), t], types)
@@ -236,43 +315,79 @@ def fingerprint(docs: DataFrame, key: str = "doc_id", text: str = "text", per_oc
     return rows.mapInArrow(run, schema)
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", least: float = 0.75, hot: int = 1000) -> DataFrame:
-    """``doc_id``, ``leader``: documents joined by links, which meet in a band and have likeness ``least`` or more.
+def forest(least: float = LEAST):  # noqa: ANN201
+    """A function that connects the ids of a part whose fingerprints links of likeness ``least`` or more connect."""
+
+    def link(ids: list[int], bodies: list[bytes]) -> list[tuple[int, int]]:
+        found, sets, out, pivots = Fingerprints.of(bodies), Sets(), [], []
+
+        def compare(i: np.ndarray, j: np.ndarray) -> bool:
+            near = np.flatnonzero(found.likeness(i, j) >= least)
+            out.extend((ids[a], ids[b]) for a, b in zip(i[near].tolist(), j[near].tolist(), strict=True) if sets.join(a, b))
+            return len(near) > 0
+
+        for i in range(len(ids)):
+            near = [compare(np.full(len(p), i), p) for p in (np.array(pivots[k : k + 1024]) for k in range(0, len(pivots), 1024))]
+            if not any(near):
+                pivots.append(i)
+        # Those that no pivot connects are compared with all that are still apart from them.
+        for i in range(len(ids)):
+            apart = np.array([j for j in range(i) if sets.root(j) != sets.root(i)], np.int64) if len({sets.root(p) for p in pivots}) > 1 else np.zeros(0, np.int64)
+            for k in range(0, len(apart), 1024):
+                compare(np.full(len(apart[k : k + 1024]), i), apart[k : k + 1024])
+        return out
+
+    return link
+
+
+def clusters(table: DataFrame, key: str = "doc_id", least: float = LEAST, part: int = 1024, broadcast_ids: int = 500_000) -> DataFrame:
+    """``u``, ``root`` for each id that near-duplicates link to a lesser one, the least of its cluster (``table``: ``key`` and ``print``; read twice).
+
+    Up to ``broadcast_ids`` ids of candidates are broadcast; more are joined by shuffling.
+    """
+    buckets = shuffle_partitions(table.sparkSession)
+    rows = table.select(quoted(key).cast("bigint").alias("id"), "print").where("id is not null")
+
+    def ship(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            least_of: dict[bytes, int] = {}
+            for i, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                least_of[p] = min(i, least_of.get(p, i))
+            number, value = Fingerprints.of([*least_of]).bands()
+            yield star_packets(np.array([*least_of.values()], np.int64)[number], value, buckets)
+
+    def copies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Equal fingerprints of a batch are links already."""
+        for batch in batches:
+            least_of: dict[bytes, int] = {}
+            pairs = [*zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+            for i, p in pairs:
+                least_of[p] = min(i, least_of.get(p, i))
+            links = {(i, least_of[p]) for i, p in pairs if least_of[p] != i and any(p[:5])}
+            yield pair_batch(*np.array(sorted(links), np.int64).reshape(-1, 2).T)
+
+    met = components(star_edges(rows.mapInArrow(ship, PACKET), buckets))
+    member = checkpoint(met.select(F.col("u").alias("id"), F.col("root").alias("group")).union(met.select(F.col("root").alias("id"), F.col("root").alias("group")).distinct()))
+    few = member.count() <= broadcast_ids
+    found = checkpoint(rows.join(F.broadcast(member) if few else member, "id").select("group", "id", F.col("print").alias("body")).distinct())
+    return components(group_links(found, forest(least), part).union(rows.mapInArrow(copies, LINKS)))
+
+
+def fingerprint(docs: DataFrame, key: str = "doc_id", text: str = "text", broadcast_ids: int = 500_000) -> DataFrame:
+    """One row a document: its id, ``n_chars``, ``edited_sha256``, both fingerprints (in hex), their likeness, that of the next one's, and ``cluster_id``.
 
-    Equal fingerprints are one class.  All pairs of a bucket's classes are verified;
-    buckets of more than ``hot`` classes are cut into blocks, whose pairs are dealt
-    out.  The leader is the least id of a component of the links.
+    ``cluster_id`` is the least id that near-duplicates connect, the document's own included.  The fingerprints are
+    written to the shared folder once; up to ``broadcast_ids`` clustered ids are broadcast, more are joined by shuffling.
     """
-    prints = checkpoint(fingerprint(docs, key, text).select(key, "fingerprint", "bands"))
-    classes = checkpoint(prints.groupBy("fingerprint").agg(F.min(key).alias("leader"), F.first("bands").alias("bands")).withColumn("class", F.monotonically_increasing_id()))
-    buckets = classes.select("class", F.explode("bands").alias("band")).distinct()
-    sizes = buckets.groupBy("band").agg(F.ceil(F.count("*") / hot).cast("int").alias("blocks"), F.count("*").alias("n")).where("n > 1")
-    own = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
-    sides = buckets.join(sizes, "band").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    sides = sides.select("band", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "class")
-    others = sides.withColumnsRenamed({"own": "own_b", "class": "v"})
-    pairs = sides.withColumnRenamed("class", "u").join(others, ["band", "low", "high"]).where("u < v and (low = high or own <> own_b)").select("u", "v").distinct()
-    met = pairs.join(classes.select(F.col("class").alias("u"), "fingerprint"), "u").join(classes.select(F.col("class").alias("v"), F.col("fingerprint").alias("other_print")), "v")
-
-    @F.pandas_udf("double")
-    def likeness(a, b):  # noqa: ANN001, ANN202
-        return _likeness_of_hex(a.tolist(), b.tolist())
-
-    roots = components(met.where(likeness("fingerprint", "other_print") >= least).select("u", "v")).withColumnRenamed("u", "class")
-    joined = classes.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
-    leaders = joined.groupBy("root").agg(F.min("leader").alias("leader"))
-    return prints.join(joined.select("fingerprint", "root"), "fingerprint").join(leaders, "root").select(key, "leader")
-
-
-def _likeness_of_hex(a: list[str], b: list[str], per_octave: int = 128):  # noqa: ANN202
-    import pandas as pd
-
-    both = Fingerprints([], per_octave)
-    parts = [x.split(":") for x in [*a, *b]]
-    both.length = np.array([int(n, 16) for n, _ in parts], np.int64)
-    both.samples = np.searchsorted(sampled_steps(per_octave)[0], both.length)
-    both.bits = np.zeros((len(parts), int(both.samples.max(initial=0))), np.uint8)
-    for i, (_, bits) in enumerate(parts):
-        both.bits[i, : both.samples[i]] = np.unpackbits(np.frombuffer(bytes.fromhex(bits), np.uint8))[: both.samples[i]]
-    n = len(a)
-    return pd.Series(both.likeness(np.arange(n), np.arange(n) + n))
+    spark = docs.sparkSession
+    folder = f"{shared_folder(spark)}/fingerprints-{uuid.uuid4().hex}"
+    prints(docs, key, text).write.option("compression", "zstd").parquet(folder)
+    table = spark.read.parquet(folder)
+    roots = clusters(table, key)
+    roots = F.broadcast(roots) if roots.count() <= broadcast_ids else roots
+    shown = lambda c: F.lower(F.concat(F.hex(F.substring(c, 1, 5)), F.lit(":"), F.hex(F.expr(f"substring({c}, 6)"))))
+    out = table.withColumn("u", quoted(key).cast("bigint")).join(roots, "u", "left")
+    return out.select(
+        quoted(key), "n_chars", F.lower(F.hex("edited_sha256")).alias("edited_sha256"), shown("print").alias("fingerprint"), shown("edited_print").alias("edited_fingerprint"), "near_edited", "near_next",
+        F.coalesce("root", "u").alias("cluster_id"),
+    )

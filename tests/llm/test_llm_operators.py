@@ -285,44 +285,110 @@ def test_language_model_keeps_every_context(docs, table):
     assert [x[2] for x in got] == pytest.approx([x[2] for x in wanted], rel=1e-5)
 
 
-def test_fingerprints(spark, rows, docs, none):
-    from functools import cmp_to_key
-
-    order = sorted(rows, key=cmp_to_key(lambda a, b: ((a[0] is not None, a[0] or 0, a[1] or "") > (b[0] is not None, b[0] or 0, b[1] or "")) * 2 - 1))
+def in_order(rows):
+    """By id, null first, and the texts' hashes."""
+    return sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, hashlib.sha256((r[1] or "").encode()).hexdigest()[:15]))
+
+
+def brute_likeness(a, b, per_octave=128):
+    """Octave by octave, sample by sample, for two walks as the definition has them."""
+    steps, octaves, written = (x.tolist() for x in fingerprints.sampled_steps(per_octave))
+    walked = []
+    for text in (a, b):
+        codes = fingerprints.characters(np.array([ord(c) for c in text], np.uint32)).tolist()
+        moves, at, places = fingerprints._moves(0, 8 * len(text) + 64).tolist(), 0, []
+        while at < len(codes):
+            places.append(codes[at])
+            at += (codes[at] * moves[len(places) - 1] & 0xFFFFFFFF) >> 31
+        walked.append(places)
+    x, y = walked
+    if not x or not y:
+        return float(x == y)
+    score = total = 0.0
+    for o in sorted(set(octaves)):
+        low = 0 if o == 0 else 1 << (o - 1)
+        weight = min(max(len(x), len(y)) - low, max(1, low))
+        if weight <= 0:
+            break
+        same = [1.0 * ((x[s] * w >> 31) & 1 == (y[s] * w >> 31) & 1) if s < min(len(x), len(y)) else 0.5 for s, k, w in zip(steps, octaves, written, strict=True) if k == o and s < max(len(x), len(y))]
+        score += weight * sum(same) / max(1, len(same))
+        total += weight
+    return min(1.0, max(0.0, 2 * score / total - 1))
+
+
+def test_fingerprints(rows, docs, none):
+    order = in_order(rows)
     texts = [t or "" for _, t, *_ in order]
     out = by_id(fingerprints.fingerprint(docs))
     assert sum(map(len, out.values())) == len(rows)
     for (i, t, *_), following in zip(order, texts[1:] + texts[:1], strict=True):
-        wanted = hashlib.sha256(fingerprints.edited(t or "", following).encode()).hexdigest()
-        assert (len(t or ""), wanted) in {(r.n_chars, r.edited_sha256) for r in out[i]}
-        assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in out[i])
+        new = fingerprints.edited(t or "", following)
+        found = [r for r in out[i] if (r.n_chars, r.edited_sha256) == (len(t or ""), hashlib.sha256(new.encode()).hexdigest())]
+        assert found and all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in out[i])
+        if len(t or "") + len(following) < 5000:
+            assert any(abs(r.near_edited - brute_likeness(t or "", new)) < 1e-6 and abs(r.near_next - brute_likeness(t or "", following)) < 1e-6 for r in found)
     assert len({r.fingerprint for r in out[303]}) == 1 and {r.near_next for r in out[300]} == {1.0} and {r.near_next for r in out[301]} == {0.0}
     assert fingerprints.fingerprint(none).count() == 0
     one = fingerprints.fingerprint(docs.where("doc_id = 304")).collect()
     assert [r.near_next for r in one] == [1.0]
 
 
-def test_near_duplicates_by_fingerprint(spark):
+def test_fingerprints_of_one_id_are_in_many_ranges(spark, monkeypatch):
+    """An id that a third of the rows share is cut into ranges, and each document's next is still the next one."""
+    r = random.Random(3)
+    made = [(None if k % 3 == 0 else k, sentence(r, 1 + k % 9)) for k in range(120)]
+    monkeypatch.setattr(fingerprints, "RANGE_BYTES", 300)
+    frame = spark.createDataFrame(made, "doc_id bigint, text string").repartition(5)
+    parts = fingerprints.beside_next(frame, "doc_id", "text").where("id is null and not echo").select("part").distinct().count()
+    out = sorted((x.n_chars, x.edited_sha256) for x in fingerprints.prints(frame).withColumn("edited_sha256", F.lower(F.hex("edited_sha256"))).collect())
+    texts = [t for _, t in in_order(made)]
+    assert parts > 3 and out == sorted((len(t), hashlib.sha256(fingerprints.edited(t, n).encode()).hexdigest()) for t, n in zip(texts, texts[1:] + texts[:1], strict=True))
+
+
+def brute_clusters(given):
+    prints = fingerprints.Fingerprints.walked([t or "" for _, t in given])
+    sets = spanning.Sets()
+    for a, (i, t) in enumerate(given):
+        for b, (j, _) in enumerate(given[:a]):
+            if t and i is not None and j is not None and prints.likeness(np.array([a]), np.array([b]))[0] >= fingerprints.LEAST:
+                sets.join(i, j)
+    return {i: None if i is None else sets.root(i) for i, _ in given}
+
+
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_near_duplicates_by_fingerprint(spark, limit):
+    """Clusters are those of all pairs' likeness: copies, near copies, chains, empty texts, and ids that are null or repeat."""
     r = random.Random(6)
-    base = sentence(r, 150)
-    frame = spark.createDataFrame([(1, base, None, None, 0), (2, base[:-3] + "xyz", None, None, 0), (3, sentence(r, 150), None, None, 0), (4, base, None, None, 0)], DOCS)
-    assert {x.doc_id: x.leader for x in fingerprints.near_duplicates(frame).collect()} == {1: 1, 2: 1, 3: 3, 4: 1}
+    texts = [sentence(r, 150) for _ in range(12)]
+    given = [(k, t) for k, t in enumerate(texts)] + [(20 + k, texts[k][:-3] + "xyz") for k in range(8)] + [(40, texts[1]), (41, texts[1]), (42, ""), (43, None), (None, texts[2]), (44, "a"), (45, "a"), (3, texts[5])]
+    for k in range(6):
+        given.append((60 + k, given[-1][1][:-12] + sentence(r, 2)[:12] if k else texts[9]))
+    frame = spark.createDataFrame(given, "doc_id bigint, text string").repartition(4)
+    table = fingerprints.fingerprint(frame, broadcast_ids=limit)
+    assert {x.doc_id: x.cluster_id for x in table.collect()} == brute_clusters(given)
+
+
+def test_clusters_reach_what_all_pairs_link(spark):
+    """Recall on edited texts of all lengths, against brute force."""
+    r = random.Random(16)
+    given = []
+    for k in range(150):
+        text = list(sentence(r, r.randint(5, 400)))
+        given.append((2 * k, "".join(text)))
+        for _ in range(r.randint(1, max(1, len(text) // 200))):
+            text[r.randrange(len(text) // 2, len(text))] = r.choice("abcdefgh")
+        given.append((2 * k + 1, "".join(text)))
+    prints = fingerprints.Fingerprints.walked([t for _, t in given])
+    like = prints.likeness(np.arange(0, 300, 2), np.arange(1, 300, 2))
+    out = {x.doc_id: x.cluster_id for x in fingerprints.fingerprint(spark.createDataFrame(given, "doc_id bigint, text string")).collect()}
+    linked = np.flatnonzero(like >= fingerprints.LEAST)
+    assert len(linked) > 40 and np.mean([out[2 * k] == out[2 * k + 1] for k in linked]) >= 0.9
+    assert all(out[2 * k + 1] == 2 * k + 1 for k in np.flatnonzero(like < 0.8))
 
 
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
 
-@pytest.mark.parametrize("block", [1, 1000])
-def test_near_duplicates_of_a_bucket_with_an_unrelated_head(spark, monkeypatch, block):
-    r = random.Random(6)
-    texts = [" ".join(sentence(r, 40) for _ in range(5)) for _ in range(4)]
-    given = [(1, texts[0]), (2, texts[1]), (3, texts[1][:-9] + "elsewhere"), (4, texts[2]), (5, texts[1][:-5] + "other"), (6, texts[3]), (7, texts[3][:-4] + "more")]
-    real = fingerprints.fingerprint
-    monkeypatch.setattr(fingerprints, "fingerprint", lambda *a: real(*a).withColumn("bands", F.array(F.lit(5).cast("bigint"))))
-    frame = spark.createDataFrame(given, "doc_id bigint, text string")
-    assert {x.doc_id: x.leader for x in fingerprints.near_duplicates(frame, hot=block).collect()} == {1: 1, 2: 2, 3: 2, 4: 4, 5: 2, 6: 6, 7: 6}
-
-
 @pytest.mark.parametrize(
     ("url", "host", "path", "rule"),
     [

@@ -203,47 +203,66 @@ def test_least_in_windows():
 
 def test_walks_are_shared_and_cover_whole_texts():
     texts = ["", "a", "abc" * 400, "abc" * 400, "abc" * 300 + "xyz" * 100, "é😀" * 50]
-    prints = fingerprints.Fingerprints(texts)
-    hexes = [prints.hex(i) for i in range(len(texts))]
-    assert hexes[2] == hexes[3] and len(set(hexes)) == 5 and hexes[0] == "0000000000:"
-    alike = prints.likeness(np.array([2, 0, 0, 2, 2]), np.array([3, 0, 1, 4, 5])).tolist()
+    found = fingerprints.Fingerprints.walked(texts)
+    prints = [found.print(i) for i in range(len(texts))]
+    assert prints[2] == prints[3] and len(set(prints)) == 5 and prints[0] == bytes(5)
+    i, j = np.array([2, 0, 0, 2, 2]), np.array([3, 0, 1, 4, 5])
+    alike = found.likeness(i, j).tolist()
     assert alike[:3] == [1.0, 1.0, 0.0] and 0.3 < alike[3] < 1 and alike[4] < 0.3
-    again = fingerprints.Fingerprints(texts[::-1])
-    assert [again.hex(i) for i in range(len(texts))] == hexes[::-1]
-    assert fingerprints._likeness_of_hex([hexes[2]], [hexes[4]]).tolist() == [alike[3]]
+    again = fingerprints.Fingerprints.walked(texts[::-1])
+    assert [again.print(i) for i in range(len(texts))] == prints[::-1]
+    assert fingerprints.Fingerprints.of(prints).likeness(i, j).tolist() == alike
+
+
+def test_every_code_point_has_its_own_bits():
+    """Runs of characters that the texts don't share are seen, whatever the characters."""
+    pairs = [("the quick " + " " * 40 + " brown", "the quick " + c * 40 + " brown") for c in "Wçв日eC0gA\U0001f600"]
+    found = fingerprints.Fingerprints.walked([t for p in pairs for t in p])
+    assert (found.likeness(np.arange(0, 20, 2), np.arange(1, 20, 2)) < 0.9).all()
 
 
 def walk(text, steps):
-    """One walk, character by character, as the definition says."""
-    kinds = [(ord(c) * 2654435761 % 2**32) >> 26 for c in text]
-    moves, i, out = fingerprints._moves(0, steps), 0, 0
+    """One walk, character by character, as the definition says: its length and what is written at the sampled steps."""
+    codes = fingerprints.characters(np.array([ord(c) for c in text], np.uint32)).tolist()
+    moves, i, out, bits = fingerprints._moves(0, steps).tolist(), 0, 0, []
+    sampled, _, written = (x.tolist() for x in fingerprints.sampled_steps(128))
+    factor = dict(zip(sampled, written, strict=True))
     for j in range(steps):
-        if i == len(kinds):
+        if i == len(codes):
             break
+        if j in factor:
+            bits.append((codes[i] * factor[j] & 0xFFFFFFFF) >> 31)
         out += 1
-        i += int(moves[j][kinds[i]])
-    return out
+        i += (codes[i] * moves[j] & 0xFFFFFFFF) >> 31
+    return out, bits
 
 
-def test_walk_lengths_are_those_of_the_definition():
-    texts = ["hello world", "x", "zq" * 300]
-    assert fingerprints.walks(texts)[0].tolist() == [walk(t, 8 * len(t) + 64) for t in texts]
+@pytest.mark.parametrize("alone", [0, 2, 100])
+def test_walks_are_those_of_the_definition(alone, monkeypatch):
+    monkeypatch.setattr(fingerprints, "ALONE", alone)
+    texts = ["hello world", "x", "zq" * 300, "", "日本語 text " * 40]
+    length, bits = fingerprints.walks(texts)
+    for k, t in enumerate(texts):
+        n, wanted = walk(t, 8 * len(t) + 64)
+        assert length[k] == n and bits[k, : len(wanted)].tolist() == wanted and not bits[k, len(wanted) :].any()
 
 
 def test_bands_meet_at_the_threshold():
     r = random.Random(8)
     texts = []
-    for k in range(240):
+    for _ in range(400):
         text = [r.choice("abcdefghij klmnop") for _ in range(r.randint(1200, 6000))]
         texts.append("".join(text))
-        for _ in range(int(len(text) * r.uniform(0.005, 0.06))):
+        for _ in range(r.randint(1, 8)):
             text[r.randrange(len(text))] = r.choice("abcdefghij klmnop")
         texts.append("".join(text))
-    prints = fingerprints.Fingerprints(texts)
-    like = prints.likeness(np.arange(0, 480, 2), np.arange(1, 480, 2))
-    near = [2 * i for i in np.flatnonzero((like >= 0.75) & (like < 0.85))]
-    met = [bool({*prints.bands(i)} & {*prints.bands(i + 1)}) for i in near]
-    assert len(near) > 20 and np.mean(met) >= 0.9
+    found = fingerprints.Fingerprints.walked(texts)
+    like = found.likeness(np.arange(0, 800, 2), np.arange(1, 800, 2))
+    near = np.flatnonzero((like >= 0.9) & (like < 0.96))
+    number, value = found.bands()
+    keys = [set(value[number == i].tolist()) for i in range(800)]
+    assert len(near) > 20 and np.mean([bool(keys[2 * k] & keys[2 * k + 1]) for k in near]) >= 0.9
+    assert not any(keys[2 * k] & keys[2 * k + 2] for k in range(399))
 
 
 def test_edited():
