@@ -141,6 +141,25 @@ def window_hashes(words: np.ndarray, length: int) -> np.ndarray:
     return spans_hash(words, np.arange(n), np.arange(n) + length)
 
 
+def text_tie(text: Column) -> Column:
+    """The first 60 bits of the text's (or bytes') SHA-256, which orders rows of one id."""
+    return digest_tie(F.sha2(text, 256))
+
+
+def digest_tie(digest: Column) -> Column:
+    """The first 60 bits of a digest in hex."""
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+
+
+def at_or_below(edges: list[tuple[int, int]], place: Column, tie: Column) -> tuple[Column, Column, Column]:
+    """How many of the ascending edges are at or below (place, tie), by binary search, one step a bit; and the edges' two halves as arrays."""
+    literal = lambda values: F.split(F.lit(",".join(map(str, values)) or "0"), ",").cast("array<bigint>")
+    places, ties = literal([p for p, _ in edges]), literal([t for _, t in edges])
+    below = lambda k: (F.get(places, k) < place) | ((F.get(places, k) == place) & (F.get(ties, k) <= tie))
+    steps = F.array(*(F.lit(1 << b) for b in reversed(range(max(1, len(edges)).bit_length()))))
+    return F.aggregate(steps, F.lit(0), lambda n, step: F.when((n + step <= len(edges)) & below(n + step - 1), n + step).otherwise(n)), places, ties
+
+
 def bucket_of(values: np.ndarray, buckets: int) -> np.ndarray:
     """Evenly spread numbers from 0 to ``buckets`` - 1."""
     return (((mixed(values) >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)

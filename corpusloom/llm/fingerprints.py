@@ -37,7 +37,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import bucket_of, checkpoint, mixed, plus, quoted, shared_folder, shuffle_partitions
+from corpusloom.llm.common import at_or_below, checkpoint, mixed, plus, quoted, shared_folder, shuffle_partitions, text_tie
 from corpusloom.llm.spanning import LINKS, PACKET, Sets, components, group_links, pair_batch, star_edges, star_packets
 
 LEAST = 0.9
@@ -235,7 +235,7 @@ def beside_next(docs: DataFrame, key: str, text: str) -> DataFrame:
     before; the very first also to the end of the last.  Texts are shuffled once.
     """
     body = F.coalesce(quoted(text), F.lit(""))
-    rows = docs.select(quoted(key).alias("id"), body.alias("text")).withColumns({"place": F.coalesce(F.col("id").cast("bigint"), F.lit(_LEAST_ID)), "tie": tie(F.col("text"))})
+    rows = docs.select(quoted(key).alias("id"), body.alias("text")).withColumns({"place": F.coalesce(F.col("id").cast("bigint"), F.lit(_LEAST_ID)), "tie": text_tie(F.col("text"))})
     total, first = rows.agg(F.sum(F.octet_length("text")), F.min("place")).first()
     n = max(shuffle_partitions(docs.sparkSession), (total or 0) // RANGE_BYTES)
     found = [] if first is None else [first, *rows.agg(F.percentile_approx("place", [i / n for i in range(1, n)], max(10_000, 4 * n))).first()[0]] if n > 1 else [first]
@@ -246,11 +246,8 @@ def beside_next(docs: DataFrame, key: str, text: str) -> DataFrame:
         share = F.element_at(F.create_map(*(F.lit(x) for pair in often.items() for x in pair)), F.col("place"))
         parts = rows.where(F.col("place").isin([*often])).groupBy("place", F.floor(F.col("tie") * share / F.lit(2.0**60)).alias("k")).agg(F.min("tie").alias("tie")).where("k > 0").collect()
         cuts = sorted([*cuts, *((r.place, r.tie) for r in parts)])
-    literal = lambda values: F.split(F.lit(",".join(map(str, values)) or "0"), ",").cast("array<bigint>")
-    places, ties = literal([p for p, _ in cuts]), literal([t for _, t in cuts])
-    below = lambda k: (F.get(places, k) < F.col("place")) | ((F.get(places, k) == F.col("place")) & (F.get(ties, k) <= F.col("tie")))
-    steps = F.array(*(F.lit(1 << b) for b in reversed(range(max(1, len(cuts)).bit_length()))))
-    rows = rows.withColumn("part", F.aggregate(steps, F.lit(0), lambda k, s: F.when((k + s <= len(cuts)) & below(k + s - 1), k + s).otherwise(k)))
+    part, places, ties = at_or_below(cuts, F.col("place"), F.col("tie"))
+    rows = rows.withColumn("part", part)
     own = F.col("part") - 1
     at_cut = (F.get(places, own) == F.col("place")) & ((F.get(ties, own) == F.col("tie")) | (F.get(ties, own) == -1))
     before = F.when(F.col("part") == 1, F.lit(len(cuts))).otherwise(own)
@@ -267,11 +264,6 @@ def beside_next(docs: DataFrame, key: str, text: str) -> DataFrame:
     return sent.repartitionById(max(1, len(cuts)), F.col("part") - 1).sortWithinPartitions("part", "echo", "place", "tie").select("part", "echo", "id", "packed")
 
 
-def tie(text: F.Column) -> F.Column:
-    """The first 60 bits of the text's SHA-256."""
-    return F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("bigint")
-
-
 def prints(docs: DataFrame, key: str = "doc_id", text: str = "text", per_octave: int = 128, lanes: int = 4096, chars: int = 8 << 20) -> DataFrame:
     """One row a document: its id, ``n_chars``, ``edited_sha256``, ``print`` and ``edited_print`` (bytes), their likeness and that of the next one's.
 

@@ -2,8 +2,9 @@
 
 1. Records with equal payloads (by SHA-256) elect the one with the largest id as
    the response; the others become revisits of it.
-2. Shard boundaries come from exact sums of payload bytes over ranges of ids: a
-   function of the data alone, not of a sample or of the order of partitions.
+2. Shard boundaries come from exact running sums of payload bytes in the order of ids (and,
+   for rows of one id, of digests): a function of the data alone, not of a sample or of the
+   order of partitions.  Executors sum; the driver gets a number a partition and a shard.
 3. Records are range-sorted: each shard is one sorted run in one task, which rolls
    its files by compressed size and writes every record as a gzip member of its
    own, with regenerated HTTP and WARC headers and digests.
@@ -14,7 +15,7 @@
 
 Files go through ``pyarrow.fs``, so any shared store that it opens will do.
 
-Defined results: a null payload is empty; a null id sorts first, is never chosen
+Defined results: ids are whole numbers; a null payload is empty; a null id sorts first, is never chosen
 over another id, and repeats as null; of equal rows with the largest id each is a
 response; a null url is written as an empty target; an empty table gives an
 archive of no files.
@@ -32,12 +33,13 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from typing import BinaryIO
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import checkpoint, shuffle_partitions
+from corpusloom.llm.common import at_or_below, checkpoint, digest_tie, quoted, shuffle_partitions
 
 EMPTY_DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -67,57 +69,55 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
     return b"WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields).encode() + b"\r\n" + block + b"\r\n\r\n"
 
 
-def revisits(pages: DataFrame, key: str, payload: str, least_bytes: int) -> DataFrame:
+def revisits(narrow: DataFrame, least_bytes: int) -> DataFrame:
     """``page_id``, ``sha``, ``refers_to`` of the records that repeat another one's payload; payloads themselves stay where they are.
 
     The election pre-aggregates, and its result has one row a digest, so that the
     optimizer may split a digest that many rows share.
     """
-    rows = pages.select(F.col(key).cast("bigint").alias("page_id"), _body(payload).alias("payload")).where(F.length("payload") >= least_bytes).select("page_id", F.unhex(F.sha2("payload", 256)).alias("sha"))
+    rows = narrow.where(F.col("bytes") >= least_bytes).select("page_id", "sha")
     chosen = rows.groupBy("sha").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1 and refers_to is not null").select("sha", "refers_to")
     return rows.join(chosen, "sha").where("page_id is null or page_id < refers_to").select("page_id", "sha", "refers_to").distinct()
 
 
 def _body(payload: str) -> Column:
-    return F.coalesce(F.encode(F.col(payload), "UTF-8"), F.lit(b""))
+    return F.coalesce(F.encode(quoted(payload), "UTF-8"), F.lit(b""))
 
 
-def boundaries(sizes: DataFrame, shard_bytes: int, cells: int = 4096) -> list[int]:
-    """First ids of all shards but the first: ascending, each shard about ``shard_bytes`` by exact sums.
+def _place(key: str) -> Column:
+    return F.coalesce(quoted(key).cast("bigint"), F.lit(-(2**63)))
 
-    Ids are counted in ``cells`` equal ranges; a range that is too heavy is counted
-    again by itself, so that ids may be spread as unevenly as they like.
+
+def boundaries(narrow: DataFrame, shard_bytes: int) -> list[tuple[int, int]]:
+    """The first (id, digest's bits) of all shards but the first, ascending: a shard has about ``shard_bytes`` by running sums over ``bytes``.
+
+    ``narrow`` (``page_id``, ``sha``, ``bytes``) is sorted over the partitions once; how it is cut into them doesn't matter.
     """
-    ends = sizes.agg(F.min("page_id").alias("lo"), F.max("page_id").alias("hi")).first()
-    if ends.lo is None:
-        return []
-    open_ranges, parts = [(ends.lo, ends.hi)], {}
-    while open_ranges:
-        lo, hi = open_ranges.pop()
-        width = (hi - lo) // cells + 1
-        cell = F.floor((F.col("page_id") - F.lit(lo)) / F.lit(width)).cast("bigint") if hi - lo < 2**52 else F.expr(f"cast((cast(page_id as decimal(38,0)) - {lo}) div {width} as bigint)")
-        for r in sizes.where(F.col("page_id").between(lo, hi)).groupBy(cell.alias("c")).agg(F.sum("size").alias("s")).collect():
-            a, b = lo + r.c * width, min(hi, lo + (r.c + 1) * width - 1)
-            if r.s > shard_bytes and b > a:
-                open_ranges.append((a, b))
-            else:
-                parts[a] = r.s
-    out, held = [], 0
-    for a in sorted(parts):
-        if held and held + parts[a] > shard_bytes:
-            out.append(a)
-            held = 0
-        held += parts[a]
-    return out
-
-
-def at_or_below(edges: list[int], value: Column) -> Column:
-    """How many of the ascending edges are at or below the value: a binary search, one step a bit."""
-    if not edges:
-        return F.lit(0)
-    array = F.split(F.lit(",".join(map(str, edges))), ",").cast("array<bigint>")
-    steps = F.array(*(F.lit(1 << b) for b in reversed(range(len(edges).bit_length()))))
-    return F.aggregate(steps, F.lit(0), lambda n, step: F.when((n + step <= len(edges)) & (F.get(array, n + step - 1) <= value), n + step).otherwise(n))
+    places = narrow.select(_place("page_id").alias("place"), digest_tie(F.hex("sha")).alias("tie"), (F.col("bytes") + 512).alias("size"))
+    ordered = places.repartitionByRange(shuffle_partitions(narrow.sparkSession), "place", "tie").sortWithinPartitions("place", "tie").withColumn("part", F.spark_partition_id())
+    ordered = checkpoint(ordered)
+    before, total = {}, 0
+    for part, size in sorted(map(tuple, ordered.groupBy("part").agg(F.sum("size")).collect())):
+        before[part] = total
+        total += size
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, last = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if here is None:
+                here = before[batch.column(3)[0].as_py()]
+            size = batch.column(2).to_numpy()
+            ends = here + np.cumsum(size)
+            shard = (ends - size) // shard_bytes
+            new = np.flatnonzero(np.append(shard[0] != last, shard[1:] != shard[:-1]))
+            here, last = int(ends[-1]), shard[-1]
+            yield pa.RecordBatch.from_arrays([pa.array(shard[new]), batch.column(0).take(pa.array(new)), batch.column(1).take(pa.array(new))], names=["shard", "place", "tie"])
+
+    firsts = ordered.mapInArrow(cut, "shard bigint, place bigint, tie bigint").groupBy("shard").agg(F.min(F.struct("place", "tie")).alias("first"))
+    found = sorted({(r["first"].place, r["first"].tie) for r in firsts.where("shard > 0").collect()})
+    return found
 
 
 @dataclass
@@ -158,22 +158,27 @@ class Roller:
 MANIFEST = "name string, temporary string, records bigint, bytes bigint, sha256 string"
 
 
-def write(pages: DataFrame, folder: str, key: str = "page_id", payload: str = "html", url: str = "url", least_bytes: int = 0, shard_bytes: int = 16 << 20, max_shards: int = 20_000, roll_bytes: int = 1 << 30, level: int = 6, date: str = EMPTY_DATE) -> DataFrame:
+def write(pages: DataFrame, folder: str, key: str = "page_id", payload: str = "html", url: str = "url", least_bytes: int = 0, shard_bytes: int = 16 << 20, max_shards: int = 20_000, roll_bytes: int | None = None, level: int = 6, date: str = EMPTY_DATE) -> DataFrame:
     """Write the archive to ``folder`` (a URI) and return its manifest.
 
-    A shard has ``shard_bytes``, or more where that would make more than ``max_shards``.
+    A shard has ``shard_bytes``, or more where that would make more than ``max_shards``.  Its files are
+    rolled at ``roll_bytes`` of compressed data: if none are given, at a 16th of the shard's bytes, between 1 MiB and 1 GiB.
     Equal tables give equal files, byte for byte, however they are partitioned.
     """
     spark = pages.sparkSession
-    sizes = pages.select(F.col(key).cast("bigint").alias("page_id"), (F.coalesce(F.octet_length(F.col(payload)), F.lit(0)) + 512).alias("size"))
-    total = sizes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    starts = boundaries(sizes, max(shard_bytes, total // max_shards))
-    shard = F.when(F.col("page_id").isNull(), 0).otherwise(at_or_below(starts, F.col("page_id")))
-    records = pages.select(F.col(key).cast("bigint").alias("page_id"), _body(payload).alias("payload"), F.col(url).alias("url")).select("page_id", F.unhex(F.sha2("payload", 256)).alias("sha"), F.lit(True).alias("whole"), "url", "payload", F.lit(None).cast("bigint").alias("refers_to"))
+    rows = pages.select(quoted(key).cast("bigint").alias("page_id"), _body(payload).alias("payload"), quoted(url).alias("url"))
+    rows = rows.select("page_id", F.unhex(F.sha2("payload", 256)).alias("sha"), "url", "payload")
+    narrow = checkpoint(rows.select("page_id", "sha", F.octet_length("payload").cast("bigint").alias("bytes")))
+    total = narrow.agg(F.coalesce(F.sum(F.col("bytes") + 512), F.lit(0))).first()[0]
+    shard_bytes = max(shard_bytes, total // max_shards)
+    roll_bytes = roll_bytes or max(1 << 20, min(1 << 30, shard_bytes // 16))
+    starts = boundaries(narrow, shard_bytes)
+    shard = at_or_below(starts, _place("page_id"), digest_tie(F.hex("sha")))[0] if starts else F.lit(0)
+    records = rows.select("page_id", "sha", F.lit(True).alias("whole"), "url", "payload", F.lit(None).cast("bigint").alias("refers_to"))
     # What is decided about a record comes right before it; only records' payloads are shuffled, and once.
-    decided = revisits(pages, key, payload, least_bytes).select("page_id", "sha", F.lit(False).alias("whole"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), "refers_to")
+    decided = revisits(narrow, least_bytes).select("page_id", "sha", F.lit(False).alias("whole"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), "refers_to")
     rows = records.union(decided).withColumn("shard", shard.cast("int"))
-    rows = rows.repartition(len(starts) + 1, "shard").sortWithinPartitions("shard", "page_id", "sha", "whole", "url")
+    rows = rows.repartitionById(len(starts) + 1, F.col("shard")).sortWithinPartitions("shard", "page_id", "sha", "whole", "url")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filesystem, root = pafs.FileSystem.from_uri(folder)

@@ -462,11 +462,34 @@ def test_warc(spark, tmp_path, none):
 
 
 def test_shard_boundaries_are_exact_sums(spark):
-    sizes = spark.createDataFrame([(i, 10) for i in range(100)] + [(10**17 + i, 10) for i in range(100)], "page_id bigint, size bigint")
-    edges = warc.boundaries(sizes, 100, cells=8)
-    assert edges == warc.boundaries(sizes.repartition(9), 100, cells=8)
-    counts = sizes.groupBy(warc.at_or_below(edges, F.col("page_id")).alias("s")).agg(F.sum("size").alias("b")).collect()
-    assert max(r.b for r in counts) <= 100 and len(counts) >= 20
+    """Whatever the ids and the partitions, and in a number of jobs that doesn't grow with the shards."""
+    sha = F.unhex(F.sha2(F.concat(F.lit("x"), F.col("k").cast("string")), 256))
+    ids = "case when k % 3 = 0 then null when k < 1500 then k else 100000000000000000 + k end as page_id"
+    narrow = spark.range(3000).withColumnRenamed("id", "k").selectExpr("k", ids, "cast(k % 50 as bigint) as bytes").withColumn("sha", sha).select("page_id", "sha", "bytes")
+    sc, jobs = spark.sparkContext, []
+    for size in (20_000, 600):
+        sc.setJobGroup(f"boundaries-{size}", "")
+        edges = warc.boundaries(narrow, size)
+        jobs.append(len(sc.statusTracker().getJobIdsForGroup(f"boundaries-{size}")))
+        rows = sorted((-(2**63) if r.page_id is None else r.page_id, int(r.sha.hex()[:15], 16), r.bytes + 512) for r in narrow.collect())
+        wanted, total, last = [], 0, 0
+        for place, tie, n in rows:
+            if total // size > last:
+                last = total // size
+                wanted.append((place, tie))
+            total += n
+        assert edges == wanted == warc.boundaries(narrow.repartition(9), size)
+    sc.setJobGroup("none", "")
+    assert jobs[0] == jobs[1] and len(edges) > 2000 and sum(p == -(2**63) for p, _ in edges) > 500
+
+
+def test_warc_rolls_the_shards_of_one_id(spark, tmp_path):
+    r = random.Random(5)
+    made = [(7, f"http://x/{k}", "".join(r.choice("abcdefghijklmnop<>/ ") for _ in range(3000))) for k in range(60)]
+    folder = f"file://{tmp_path}/one"
+    manifest = warc.write(spark.createDataFrame(made, "page_id bigint, url string, html string"), folder, shard_bytes=20_000, roll_bytes=4000).collect()
+    assert len({x.name.split("-")[1] for x in manifest}) > 5 and len(manifest) > 15
+    assert sorted(x.payload_digest for x in warc.read(spark.createDataFrame(manifest), folder).collect()) == sorted(warc.digest(h.encode()) for _, _, h in made)
 
 
 def test_pipeline(spark, rows, tmp_path):
