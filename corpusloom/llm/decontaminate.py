@@ -9,9 +9,10 @@ Words outside the benchmark's vocabulary can't be part of an occurrence, so the
 index holds the runs of known words that are as long as the shortest window, with
 separators between them; this leaves out no occurrence.
 
-The benchmark is a stated query set: it is searched in blocks of at most
-``block_bytes``, each of which travels with the task; further blocks are further
-passes within the same task, so neither text nor results are shuffled.
+The benchmark is a stated query set.  It is written to the shared folder in blocks of
+about ``block_bytes``, which the tasks read: few blocks stay in memory, more are streamed for
+each shard.  A shard's texts are tokenised and indexed once, and all blocks search that index,
+so neither text nor results are shuffled and the driver holds no benchmark text.
 
 Defined results: null and empty texts have no words; an item without words
 occurs nowhere; items that repeat a text all count; items with a
@@ -20,15 +21,22 @@ null id are searched, and count as one null item; repeated documents get equal r
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-from itertools import repeat
+import math
+import uuid
+from collections.abc import Callable, Iterable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import encoded, plus
+from corpusloom.llm.common import chunks, encoded, plus, quoted, shared_folder
+
+#: So many blocks stay in a worker's memory.
+HELD_BLOCKS = 4
 
 #: A-Z become a-z; digits, letters and bytes from 0x80 on stay; everything else separates words.
 _WORD_TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256))
@@ -133,82 +141,91 @@ def _null_last(item: str | None) -> tuple[bool, str]:
     return item is None, item or ""
 
 
-class Searcher:
-    """The windows of a block of items, ready to search shards."""
+class Block:
+    """Items of the benchmark: their words as numbers from 1 on, item by item, with a 0 behind each, and their windows."""
 
     def __init__(self, items: list[tuple[str | None, bytes]], window: int):
+        self.items = [k for k, _ in items]
         self.vocabulary: dict[bytes, int] = {}
-        windows: dict[tuple[int, ...], int] = {}
-        owners: list[set[int]] = []
-        self.items = sorted({k for k, _ in items}, key=_null_last)
-        number = {k: i for i, k in enumerate(self.items)}
-        for k, text in items:
-            ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 2) for w in words_of(text)]
-            for i in range(max(1, len(ids) - window + 1) if ids else 0):
-                w = windows.setdefault(tuple(ids[i : i + window]), len(windows))
-                if w == len(owners):
-                    owners.append(set())
-                owners[w].add(number[k])
-        self.owners = [np.array(sorted(x)) for x in owners]
-        self.lengths = np.array([len(w) for w in windows], np.int64)
-        self.patterns = np.zeros((len(windows), window), np.int64)
-        for w, i in windows.items():
-            self.patterns[i, : len(w)] = w
-
-    def shard(self, ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Starts and ends of occurrences (word places in ``ids``) and their windows; ``ids`` is 0 for unknown words, and documents begin at ``bounds``."""
-        least = int(self.lengths.min(initial=1))
-        known = np.zeros(len(ids) + len(bounds) + 1, np.int8)
-        place = np.arange(len(ids)) + np.searchsorted(bounds, np.arange(len(ids)), side="right")  # a gap before each document
-        known[place] = ids > 0
-        step = np.diff(known)
-        starts, ends = np.flatnonzero(step == 1) + 1, np.flatnonzero(step == -1) + 1
-        long = ends - starts >= least
-        starts, ends = starts[long], ends[long]
-        none = np.zeros(0, np.int64)
-        if not len(starts) or not len(self.lengths):
-            return none, none, none
-        back = np.zeros(len(known), np.int64)
-        back[place] = np.arange(len(ids))
-        size = ends - starts + 1
-        offset = np.cumsum(size) - size
-        at = np.repeat(starts - offset, size) + np.arange(size.sum())
-        last = np.zeros(len(at), bool)
-        last[offset + size - 1] = True
-        at[last] -= 1
-        symbols = ids[back[at]]
-        symbols[last] = 1
-        index = FMIndex(symbols)
-        low, high = index.search(self.patterns, self.lengths)
-        n = high - low
-        which = np.repeat(np.arange(len(n)), n)
-        rows = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        begin = back[at[index.locate(rows)]]
-        return begin, begin + self.lengths[which], which
-
-    def ids(self, text: bytes) -> np.ndarray:
-        words = words_of(text)
-        return np.fromiter(map(self.vocabulary.get, words, repeat(0)), np.int64, len(words))
-
-    def documents(self, texts: list[bytes], shard_words: int) -> Iterator[tuple[int, np.ndarray, list[str | None]]]:
-        """For each text: its number of words, merged spans (pairs of word places), and the items with occurring windows."""
-        at = 0
-        while at < len(texts):
-            parts: list[np.ndarray] = []
-            size = 0
-            while at < len(texts) and size < shard_words:
-                parts.append(self.ids(texts[at]))
-                size += len(parts[-1])
-                at += 1
-            bounds = np.cumsum([0, *map(len, parts)])
-            begin, end, which = self.shard(np.concatenate(parts), bounds[:-1])
-            order = np.argsort(begin, kind="stable")
-            begin, end, which = begin[order], end[order], which[order]
-            cut = np.searchsorted(begin, bounds)
-            for i, part in enumerate(parts):
-                b, e, w = (x[cut[i] : cut[i + 1]] for x in (begin, end, which))
-                items = np.unique(np.concatenate([self.owners[x] for x in np.unique(w)])) if len(w) else []
-                yield len(part), merged(np.column_stack([b, e]) - bounds[i]), [self.items[x] for x in items]
+        numbers = [[self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words_of(t)] for _, t in items]
+        size = np.array([len(x) for x in numbers], np.int64)
+        self.tokens = np.array([n for x in numbers for n in (*x, 0)], np.int64)
+        offset = np.cumsum(size + 1) - size - 1
+        n = np.where(size > 0, np.maximum(1, size - window + 1), 0)
+        self.owner = np.repeat(np.arange(len(items)), n)
+        self.starts = np.repeat(offset, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        self.lengths = np.minimum(size, window)[self.owner]
+
+    def patterns(self, symbol_of: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The windows all of whose words have a symbol: symbols (filled up behind each length), lengths, and items."""
+        symbol = np.zeros(len(self.vocabulary) + 1, np.int64)
+        symbol[1:] = np.fromiter((symbol_of.get(w, 0) for w in self.vocabulary), np.int64, len(self.vocabulary))
+        tokens = symbol[self.tokens]
+        absent = np.concatenate([[0], np.cumsum(tokens == 0)])
+        there = np.flatnonzero(absent[self.starts + self.lengths] == absent[self.starts])
+        lengths = self.lengths[there]
+        place = np.arange(int(lengths.max(initial=0)))
+        at = np.minimum(self.starts[there][:, None] + place, max(0, len(tokens) - 1))
+        return np.where(place < lengths[:, None], tokens[at] if len(tokens) else 0, 0), lengths, self.owner[there]
+
+
+def stretches(known: np.ndarray, bounds: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the known words that stand in runs of ``least`` or more within a document, each run followed by -1."""
+    gaps = np.searchsorted(bounds, np.arange(len(known)), side="right")  # a gap before each document
+    spread = np.zeros(len(known) + len(bounds) + 1, np.int8)
+    place = np.arange(len(known)) + gaps
+    spread[place] = known
+    step = np.diff(spread)
+    starts, ends = np.flatnonzero(step == 1) + 1, np.flatnonzero(step == -1) + 1
+    long = ends - starts >= least
+    starts, ends = starts[long], ends[long]
+    back = np.zeros(len(spread), np.int64)
+    back[place] = np.arange(len(known))
+    size = ends - starts + 1
+    offset = np.cumsum(size) - size
+    at = np.repeat(starts - offset, size) + np.arange(int(size.sum()))
+    last = np.zeros(len(at), bool)
+    last[offset + size - 1] = True
+    return np.where(last, -1, back[np.where(last, 0, at)]), last
+
+
+def searched(texts: list[bytes], blocks: Callable[[], Iterable[Block]]) -> Iterator[tuple[int, np.ndarray, list[str | None]]]:
+    """For each text of a shard: its number of words, merged spans (pairs of word places), and the items with occurring windows."""
+    number: dict[bytes, int] = {}
+    parts = [[number.setdefault(w, len(number)) for w in words_of(t)] for t in texts]
+    bounds = np.cumsum([0, *map(len, parts)])
+    words = np.fromiter((n for p in parts for n in p), np.int64, int(bounds[-1]))
+    known, least = np.zeros(len(number) + 1, bool), math.inf
+    for block in blocks():
+        known[[n for w, n in number.items() if w in block.vocabulary]] = True
+        least = min(least, block.lengths.min(initial=len(words) + 1))
+    place, last = stretches(known[words], bounds[:-1], least)
+    found: list[list[np.ndarray]] = [[], [], []]
+    items: dict[str | None, int] = {}
+    if len(place):
+        # Symbols from 2 on for known words; 1 separates runs.
+        symbol = np.cumsum(known) + 1
+        index = FMIndex(np.where(last, 1, symbol[words[np.maximum(place, 0)]]))
+        symbol_of = {w: int(symbol[n]) for w, n in number.items() if known[n]}
+        for block in blocks():
+            patterns, lengths, owner = block.patterns(symbol_of)
+            if not len(patterns):
+                continue
+            low, high = index.search(patterns, lengths)
+            n = high - low
+            which = np.repeat(np.arange(len(n)), n)
+            rows = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            begin = place[index.locate(rows)]
+            name = np.array([items.setdefault(k, len(items)) for k in block.items], np.int64)
+            for x, y in zip(found, (begin, begin + lengths[which], name[owner[which]]), strict=True):
+                x.append(y)
+    begin, end, item = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in found)
+    order = np.argsort(begin, kind="stable")
+    begin, end, item = begin[order], end[order], item[order]
+    cut, names = np.searchsorted(begin, bounds), [*items]
+    for i, part in enumerate(parts):
+        a, b = cut[i], cut[i + 1]
+        yield len(part), merged(np.column_stack([begin[a:b], end[a:b]]) - bounds[i]), sorted((names[k] for k in np.unique(item[a:b])), key=_null_last)
 
 
 def merged(spans: np.ndarray) -> np.ndarray:
@@ -222,36 +239,53 @@ def merged(spans: np.ndarray) -> np.ndarray:
     return np.column_stack([spans[first, 0], reach[np.append(first[1:], len(spans)) - 1]])
 
 
-def find(docs: DataFrame, benchmark: DataFrame, window: int = 10, text: str = "text", item_key: str = "item_id", item_text: str = "text", block_bytes: int = 8 << 20, shard_words: int = 1 << 20) -> DataFrame:
-    """``docs`` with ``n_words``, ``hit_spans`` (word places, end exclusive) and ``hit_items`` (ids as strings, ascending; one null, last, for items without an id), in place of any such columns."""
+_held: dict[str, list[Block]] = {}
+
+
+def blocks_of(folder: str, n: int, window: int) -> Iterator[Block]:
+    """The blocks in ``folder``, read by a worker, which keeps them if they are few."""
+    filesystem, root = pafs.FileSystem.from_uri(folder)
+
+    def read(k: int) -> Block:
+        if filesystem.get_file_info(f"{root}/block={k}").type == pafs.FileType.NotFound:
+            return Block([], window)
+        table = pq.read_table(f"{root}/block={k}", filesystem=filesystem, columns=["item", "text"])
+        return Block([*zip(table["item"].to_pylist(), table["text"].to_pylist(), strict=True)], window)
+
+    if n > HELD_BLOCKS:
+        yield from map(read, range(n))
+    else:
+        if folder not in _held:
+            _held.clear()
+            _held[folder] = [*map(read, range(n))]
+        yield from _held[folder]
+
+
+def find(docs: DataFrame, benchmark: DataFrame, window: int = 10, text: str = "text", item_key: str = "item_id", item_text: str = "text", block_bytes: int = 8 << 20, shard_bytes: int = 6 << 20) -> DataFrame:
+    """``docs`` with ``n_words``, ``hit_spans`` (word places, end exclusive) and ``hit_items`` (ids as strings, ascending; one null, last, for items without an id), in place of any such columns.
+
+    A shard is about ``shard_bytes`` of a task's texts; a longer text is a shard of its own.
+    """
     docs = docs.drop("n_words", "hit_spans", "hit_items")
     names = docs.columns
-    out = docs.withColumns({"n_words": F.lit(0).cast("bigint"), "hit_spans": F.array().cast("array<array<int>>"), "hit_items": F.array().cast("array<string>")})
     schema = plus(docs, "n_words bigint, hit_spans array<array<int>>, hit_items array<string>")
-    text_at, block, size = names.index(text), [], 0
-
-    def search(df: DataFrame, items: list[tuple[str | None, bytes]]) -> DataFrame:
-        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            searcher = Searcher(items, window)
-            for batch in batches:
-                had = zip(batch.column(len(names) + 1).to_pylist(), batch.column(len(names) + 2).to_pylist(), strict=True)
-                n, spans, found = [], [], []
-                for (count, new, its), (old, old_its) in zip(searcher.documents(encoded(batch.column(text_at)), shard_words), had, strict=True):
-                    n.append(count)
-                    spans.append(merged(np.array([*old, *new.tolist()], np.int64).reshape(-1, 2)).tolist())
-                    found.append(sorted({*old_its, *its}, key=_null_last))
-                arrays = [pa.array(n, pa.int64()), pa.array(spans, pa.list_(pa.list_(pa.int32()))), pa.array(found, pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *arrays], names=schema.names)
-
-        return df.mapInArrow(run, schema)
-
-    for row in benchmark.select(F.col(item_key).cast("string"), F.col(item_text)).toLocalIterator():
-        item = (row[0], (row[1] or "").encode())
-        if block and size + len(item[1]) > block_bytes:
-            out, block, size = search(out, block), [], 0
-        block.append(item)
-        size += len(item[1]) + 16
-    return search(out, block)
+    text_at = names.index(text)
+    items = benchmark.select(quoted(item_key).cast("string").alias("item"), F.encode(F.coalesce(quoted(item_text), F.lit("")), "UTF-8").alias("text"))
+    total = items.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0]
+    n = -(-total // block_bytes)
+    folder = f"{shared_folder(docs.sparkSession)}/benchmark-{uuid.uuid4().hex}"
+    items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(max(1, n))).cast("int")).write.partitionBy("block").parquet(folder)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = partial(blocks_of, folder, n, window)
+        for batch in batches:
+            texts, found = encoded(batch.column(text_at)), []
+            for a, b in chunks(texts, shard_bytes):
+                found += searched(texts[a:b], blocks)
+            arrays = [pa.array([x for x, _, _ in found], pa.int64()), pa.array([x.tolist() for _, x, _ in found], pa.list_(pa.list_(pa.int32()))), pa.array([x for _, _, x in found], pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=schema.names)
+
+    return docs.mapInArrow(run, schema)
 
 
 def n_hit(spans: str = "hit_spans"):  # noqa: ANN201

@@ -196,12 +196,12 @@ def brute_hits(text, items, window):
     return len(w), len(hit), sorted(found)
 
 
-@pytest.mark.parametrize("block", [1, 8 << 20])
+@pytest.mark.parametrize("block", [40, 300, 8 << 20])
 def test_decontaminate(spark, rows, docs, none, block):
     texts = {i: t for i, t, *_ in rows}
     items = [(1, texts[100][150:600]), (2, texts[5][:200]), (30, "ONE, two"), (4, None), (5, "?!"), (6, texts[5][:200]), (7, "absent words here"), (8, "é" + texts[201][:300])]
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
-    out = by_id(decontaminate.find(docs, benchmark, block_bytes=block, shard_words=500).withColumn("n_hit", decontaminate.n_hit()))
+    out = by_id(decontaminate.find(docs, benchmark, block_bytes=block, shard_bytes=3000).withColumn("n_hit", decontaminate.n_hit()))
     for i, t, *_ in rows:
         if len(t or "") < 100_000:
             assert brute_hits(t, items, 10) in [(r.n_words, r.n_hit, r.hit_items) for r in out[i]]
@@ -211,7 +211,7 @@ def test_decontaminate(spark, rows, docs, none, block):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, t, *_ in rows if not any("0" not in r.hit_items and r.n_hit for r in out[i])}
 
 
-@pytest.mark.parametrize("block", [1, 8 << 20])
+@pytest.mark.parametrize("block", [60, 8 << 20])
 def test_decontaminate_searches_items_without_an_id(spark, block):
     passage = " ".join(f"word{i}" for i in range(30))
     docs = spark.createDataFrame([(1, f"before {passage} after"), (2, "clean text"), (3, passage[:90])], "doc_id bigint, text string")
