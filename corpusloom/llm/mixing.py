@@ -12,10 +12,10 @@ number; an empty table gives no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import checkpoint, quoted
+from corpusloom.llm.common import checkpoint, quoted, shuffle_partitions
 
 _NULL = "\x00null"
 
@@ -47,14 +47,12 @@ def rates(packed: DataFrame, weights: dict[str | None, float] | None, total: flo
     # ln k! by Stirling's series; the table starts above 0 only where k is in the hundreds.
     log_factorial = F.when(F.col("first") == 0, 0.0).otherwise(k * F.ln(k) - k + 0.5 * F.ln(2 * F.lit(3.141592653589793) * k) + 1 / (12 * k) - 1 / (360 * k * k * k))
     log_p = F.when(F.col("first") == 0, -F.col("rate")).otherwise(k * F.ln("rate") - F.col("rate") - log_factorial)
-    start = F.struct(log_p.alias("p"), F.exp(log_p).alias("c"), F.array(F.exp(log_p)).alias("cdf"))
-
-    def step(acc: Column, i: Column) -> Column:
-        p = acc["p"] + F.ln(F.col("rate") / i)
-        return F.struct(p.alias("p"), (acc["c"] + F.exp(p)).alias("c"), F.array_append(acc["cdf"], acc["c"] + F.exp(p)).alias("cdf"))
-
-    table = F.aggregate(F.sequence(F.col("first") + 1, F.col("last")), start, step, lambda acc: acc["cdf"])
-    return out.select("__source", "rate", "first", table.alias("cdf"))
+    # A row a count; running sums along a source's counts, of which there are 24 square roots of its rate.
+    along = Window.partitionBy("__source").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = out.select("__source", "rate", "first", log_p.alias("log_p"), F.explode(F.sequence("first", "last")).alias("k"))
+    rows = rows.withColumn("p", F.exp(F.col("log_p") + F.sum(F.when(F.col("k") > F.col("first"), F.ln(F.col("rate") / F.col("k"))).otherwise(0.0)).over(along)))
+    rows = rows.withColumn("c", F.sum("p").over(along))
+    return rows.groupBy("__source", "rate", "first").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "c"))), lambda x: x["c"]).alias("cdf"))
 
 
 def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, total: float | None = None, seed: int = 17, source: str = "source", key: str = "doc_id", copy: str | None = "copy", broadcast_sources: int = 2000) -> DataFrame:
@@ -65,10 +63,16 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, total:
     """
     packed = docs.select(F.struct("*").alias("__row"), F.coalesce(quoted(source), F.lit(_NULL)).alias("__source"), quoted(key).alias("__key"))
     table = checkpoint(rates(packed, weights, total))
-    few = table.count() <= broadcast_sources
-    drawn = packed.join(F.broadcast(table) if few else table, "__source").withColumn("__u", uniform(F.lit(seed), F.col("__key")))
-    count = F.col("first") + F.size(F.filter("cdf", lambda c: c <= F.col("__u")))
-    counted = drawn.select("__row", "__key", count.cast("int").alias("__n")).where("__n > 0")
+    sources, longest = table.agg(F.count("*"), F.coalesce(F.max(F.size("cdf")), F.lit(1))).first()
+    drawn = packed.join(F.broadcast(table) if sources <= broadcast_sources else table, "__source").withColumn("__u", uniform(F.lit(seed), F.col("__key")))
+    # How many entries are at or below the uniform number: a binary search, one step a bit.
+    steps = F.array(*(F.lit(1 << b) for b in reversed(range(longest.bit_length()))))
+    entries = F.aggregate(steps, F.lit(0), lambda n, step: F.when((n + step <= F.size("cdf")) & (F.get("cdf", n + step - 1) <= F.col("__u")), n + step).otherwise(n))
+    counted = drawn.select("__row", "__key", (F.col("first") + entries).cast("int").alias("__n")).where("__n > 0")
     copies = counted.select("__row", "__key", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)).alias("__copy"))
-    ordered = copies.orderBy(F.xxhash64(F.lit(seed), F.col("__key"), F.col("__copy")), "__key", "__copy")
+    # The order is that of a uniform hash, so its range is cut evenly, without a sample of the copies.
+    n = shuffle_partitions(docs.sparkSession)
+    place = copies.withColumn("__place", F.xxhash64(F.lit(seed), F.col("__key"), F.col("__copy")))
+    part = F.shiftright((F.shiftright("__place", 33) + F.lit(1 << 30)) * F.lit(n).cast("bigint"), 31).cast("int")
+    ordered = place.repartitionById(n, part).sortWithinPartitions("__place", "__key", "__copy")
     return ordered.select(*(F.col(f"__row.`{c}`") for c in docs.columns if c != copy), *([F.col("__copy").alias(copy)] if copy else []))

@@ -3,14 +3,15 @@
 Members of a group are compared by a function that returns a spanning forest of the
 true links among those it is given.  A group of up to ``size`` members is one part.  A
 larger one is dealt to parts of that size; then one member of each component found so
-far stands for it in further rounds, so that copies of one text cost a pass, not all
-pairs.  What is still apart from the group's largest component afterwards (strays) is
-compared with all members, part by part.  So all links count, every part is bounded, and
-only members that link to little cost more than a pass.
+far stands for it in further rounds, as long as each round halves them, so that copies of
+one text cost a pass, not all pairs.  What is still apart from the group's largest
+component afterwards (strays) is compared with all members, part by part.  So all links
+count, every part is bounded, and only members that link to little cost more than a pass.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -170,14 +171,10 @@ def bounded(table: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(table) if table.count() <= rows else table
 
 
-def _numbered(group: str, *more: str) -> F.Column:
-    """A part's number; parts that clash are compared with each other in vain."""
-    return F.xxhash64(group, *more)
-
-
 def group_links(members: DataFrame, forest: Forest, size: int, broadcast_groups: int = 100_000) -> DataFrame:
     """``u``, ``v``: links that connect exactly the members of each group which true links connect (``members``: ``group``, ``id``, ``body``; checkpointed).
 
+    Parts are numbered by hashes; those that clash are compared with each other in vain.
     The sizes of large groups are broadcast if they are ``broadcast_groups`` rows at most, and joined by shuffling otherwise.
     """
     large = checkpoint(members.groupBy("group").agg(F.count("*").alias("n")).where(F.col("n") > size))
@@ -186,7 +183,7 @@ def group_links(members: DataFrame, forest: Forest, size: int, broadcast_groups:
     sizes = F.broadcast(large) if any_large <= broadcast_groups else large
     spread = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.ceil(n / F.lit(size))).cast("int")
     placed = members.join(sizes, "group", "left").withColumn("block", F.coalesce(spread(F.col("n"), 0), F.lit(0)))
-    found = checkpoint(part_links(placed.withColumn("part", _numbered("group", "block")), forest))
+    found = checkpoint(part_links(placed.withColumn("part", F.xxhash64("group", "block")), forest))
     split = checkpoint(members.join(sizes, "group").withColumn("block", spread(F.col("n"), 0)))
 
     def standing(links: DataFrame) -> DataFrame:
@@ -194,26 +191,31 @@ def group_links(members: DataFrame, forest: Forest, size: int, broadcast_groups:
         roots = components(links).withColumnsRenamed({"u": "id", "root": "component"})
         return split.select("group", "id", "block").join(roots, "id", "left").withColumn("component", F.coalesce("component", "id"))
 
-    salt = 0
+    salt, left = 0, math.inf
     while True:
         state = checkpoint(standing(found))
         heads = state.groupBy("group", "component").agg(F.min("id").alias("id"), F.count("*").alias("k"))
-        apart = checkpoint(heads.join(bounded(heads.groupBy("group").agg(F.count("*").alias("heads"), F.max("k").alias("most")).where("heads > 1"), broadcast_groups), "group"))
-        if apart.isEmpty():
+        apart = checkpoint(heads.join(bounded(heads.groupBy("group").agg(F.count("*").alias("heads")).where("heads > 1"), broadcast_groups), "group"))
+        n = apart.count()
+        if not n:
             return found
-        # One member of each component for it, in new parts, as long as that joins any.
-        salt += 1
-        chosen = split.select("group", "id", "body").join(apart.select("group", "id", "heads"), ["group", "id"])
-        more = checkpoint(part_links(chosen.withColumn("block", spread(F.col("heads"), salt)).withColumn("part", _numbered("group", "block")), forest))
-        if more.isEmpty():
+        if n > left / 2:
             break
-        found = checkpoint(found.union(more))
+        # One member of each component for it, in new parts.
+        salt, left = salt + 1, n
+        chosen = split.select("group", "id", "body").join(apart.select("group", "id", "heads"), ["group", "id"])
+        more = part_links(chosen.withColumn("block", spread(F.col("heads"), salt)).withColumn("part", F.xxhash64("group", "block")), forest)
+        found = checkpoint(found.union(more).coalesce(shuffle_partitions(members.sparkSession)))
     # The largest component of each group stays; all others meet every member of the group.
-    main = apart.groupBy("group").agg(F.max(F.struct("k", "component"))["component"].alias("main"), F.sum("k").alias("all"), F.max("k").alias("most"))
-    main = bounded(main.select("group", "main", (F.col("all") - F.col("most")).alias("strays"), F.ceil(F.col("all") / F.lit(size)).cast("int").alias("blocks")), broadcast_groups)
-    rest = checkpoint(state.join(main, "group").select("group", "id", "component", "main", "strays", "blocks", spread(F.col("strays"), -1).alias("stray"), "block"))
-    strays = rest.where("component <> main").select("group", "id", "stray", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    every = rest.select("group", "id", "block", F.explode(F.sequence(F.lit(0), F.ceil(F.col("strays") / F.lit(size)).cast("int") - 1)).alias("stray"))
-    places = strays.select("group", "id", "stray", "block").union(every.select("group", "id", "stray", "block")).distinct()
-    met = places.join(split.select("group", "id", "body"), ["group", "id"]).withColumn("part", _numbered("group", "stray", "block"))
+    sums = apart.groupBy("group").agg(F.max(F.struct("k", "component"))["component"].alias("main"), F.sum("k").alias("all"), F.max("k").alias("most"))
+    sums = sums.select("group", "main", "all", (F.col("all") - F.col("most")).alias("strays"), F.ceil(F.col("all") / F.lit(size)).cast("int").alias("blocks"))
+    rest = checkpoint(state.join(bounded(sums, broadcast_groups), "group").withColumn("stray", spread(F.col("strays"), -1)))
+    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    # Where most are strays, every two blocks meet; otherwise the strays' blocks meet all blocks.
+    many = F.col("strays") * 2 > F.col("all")
+    pairs = rest.where(many).withColumn("other", others).select("group", "id", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    strays = rest.where(~many & (F.col("component") != F.col("main"))).select("group", "id", "stray", others.alias("block"))
+    every = rest.where(~many).select("group", "id", F.explode(F.sequence(F.lit(0), F.ceil(F.col("strays") / F.lit(size)).cast("int") - 1)).alias("stray"), "block")
+    places = pairs.union(strays).union(every).distinct()
+    met = places.join(split.select("group", "id", "body"), ["group", "id"]).withColumn("part", F.xxhash64("group", "low", "high"))
     return found.union(part_links(met, forest))
