@@ -9,7 +9,8 @@ scored by matrix products.
 
 Defined results: a null text and a text without a letter get ``und`` and score 0;
 null labels teach nothing; with no labelled text at all every text is ``und``;
-repeated rows get equal results.
+repeated rows get equal results; more than ``most_labels`` labels are an error; given columns
+named ``lang_pred`` or ``score`` are replaced, all others stay, whatever their names.
 """
 
 from __future__ import annotations
@@ -74,25 +75,28 @@ def landmark_model(texts: list[str], labels: list[str]) -> Model:
     matrix = np.zeros((len(grams), len(sets)), np.float32)
     for j, s in enumerate(sets):
         matrix[np.searchsorted(grams, s), j] = 1 / np.sqrt(max(1, len(s)))
-    values, vectors = np.linalg.eigh((matrix.T @ matrix).astype(np.float64))
+    values, vectors = np.linalg.eigh((matrix.T @ matrix).astype(np.float64)) if sets else (np.zeros(0), np.zeros((0, 0)))
     good = values > 1e-6 * max(values.max(initial=0), 1e-12)
     whiten = (vectors[:, good] / np.sqrt(values[good])).astype(np.float32)
     return Model(labels, grams, matrix, whiten, np.zeros((whiten.shape[1] + 1, len(labels))))
 
 
-def fit(train: DataFrame, text: str = "text", label: str = "lang", key: str = "doc_id", landmarks_per_label: int = 24, ridge: float = 1e-3, block: int = 128) -> Model:
+def fit(train: DataFrame, text: str = "text", label: str = "lang", key: str = "doc_id", landmarks_per_label: int = 24, ridge: float = 1e-3, block: int = 128, landmark_bytes: int = 16 << 10, most_labels: int = 1000) -> Model:
     """A model from the rows of ``train``.
 
     The sample, bounded by ``landmarks_per_label`` times the number of labels, takes
-    the texts of each label with the least hash of their id; every row enters the
-    normal equations.
+    the texts of each label with the least hash of their id, among those of ``landmark_bytes``
+    at most, as the driver holds them; every row enters the normal equations.
     """
     train = train.select(quoted(key).cast("string").alias("k"), quoted(text).alias("t"), quoted(label).alias("l")).where("t is not null and t <> '' and l is not null")
+    labels = sorted(r.l for r in train.select("l").distinct().limit(most_labels + 1).collect())
+    if len(labels) > most_labels:
+        raise ValueError(f"more than {most_labels} labels")
     order = F.struct(F.xxhash64(F.lit(7), "k"), "k", "t")
     # Rows pre-aggregated by slots of the hash, so that no task gathers a label's texts.
     slot = F.pmod(F.xxhash64(F.lit(11), "k"), F.lit(landmarks_per_label))
-    sample = sorted((r.l, r.o[2]) for r in train.groupBy("l", slot.alias("s")).agg(F.min(order).alias("o")).collect())
-    model = landmark_model([t for _, t in sample], sorted({x for x, _ in sample}))
+    short = train.where(F.octet_length("t") <= landmark_bytes)
+    model = landmark_model(sorted(r.o[2] for r in short.groupBy("l", slot.alias("s")).agg(F.min(order).alias("o")).collect()), labels)
     width, n = model.weights.shape
 
     def partial(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,7 +109,7 @@ def fit(train: DataFrame, text: str = "text", label: str = "lang", key: str = "d
                 total += x.T @ np.hstack([x, y])
         yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], ["blob"])
 
-    if sample:
+    if labels:
         total = summed(train.select("t", "l").mapInArrow(partial, "blob binary"), "blob").reshape(width, width + n)
         penalty = ridge * max(1.0, total[-1, width - 1]) * np.eye(width)
         penalty[-1, -1] = 1e-9

@@ -14,13 +14,14 @@ by their last three bytes, which are weighted shard by shard; the driver holds n
 The ``max_grams`` most frequent substrings are looked up in the task; all others are
 shuffled to their shards, with the same values.
 
-The baseline needs each token's corpus count.  The ``hot_words`` most frequent
-tokens (of at most 64 bytes, so the table is bounded) are looked up in the task;
-all other tokens are shuffled to the counts, exactly.
+The baseline needs each token's corpus count.  The most frequent tokens, as many as
+``hot_words`` bytes hold, are looked up in the task; all other tokens are shuffled to
+the counts, exactly.
 
 Defined results: null counts as the empty text, which consists of its end; repeated
 rows get equal results and each counts in training; without training texts every
-bit has probability 1/2.
+bit has probability 1/2; given columns with the names of results are replaced, all
+others stay, whatever their names.
 """
 
 from __future__ import annotations
@@ -39,10 +40,10 @@ import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import LOWER_BYTES, checkpoint, chunks, encoded, plus, shared_folder, shuffle_partitions
+from corpusloom.llm.common import LOWER_BYTES, checkpoint, chunks, encoded, plus, quoted, shared_folder, shuffle_partitions
 
 MARK = 0xFF  #: never in UTF-8: stands before and at the end of each text
-LONGEST_HOT = 64
+WORD_COST = 64  #: bytes that a word in a table costs beside its own
 TOP = 2  #: contexts of up to so many bytes are in one table, longer ones in shards
 SHARDS = 4  #: for each shuffle partition
 _NONE = np.uint64(2**64 - 1)
@@ -367,18 +368,17 @@ def build(grams: DataFrame, folder: str, top: int, depth: int) -> DataFrame:
     return checkpoint(grams.mapInArrow(rest, "shard int, file string, gram bigint, n bigint, value double"))
 
 
-def write_hot(valued: DataFrame, folder: str, max_grams: int) -> None:
-    """The most frequent substrings with their values, at most ``max_grams``, as a table for the scoring workers."""
+def most_frequent(counts: DataFrame, size: Column, limit: int) -> DataFrame:
+    """The rows with the largest ``n`` whose sizes have a sum of ``limit`` at most: those from a threshold on, found in a histogram of 64 cells an octave."""
     cell = F.floor(F.log2("n") * 64)
-    sizes = sorted(valued.groupBy(cell.alias("cell")).agg(F.count("*").alias("k")).collect(), reverse=True)
+    sums = sorted(((r.cell, r.size) for r in counts.groupBy(cell.alias("cell")).agg(F.sum(size).alias("size")).collect()), reverse=True)
     least, kept = math.inf, 0
-    for r in sizes:
-        kept += r.k
-        if kept > max_grams:
+    for at, more in sums:
+        kept += more
+        if kept > limit:
             break
-        least = r.cell
-    hot = valued.where(cell >= least) if least < math.inf else valued.limit(0)
-    hot.select("gram", F.col("value").cast("float").alias("value")).repartition(8).write.parquet(f"{folder}/hot-grams")
+        least = at
+    return counts.where(cell >= least) if least < math.inf else counts.limit(0)
 
 
 def judged(asked: DataFrame, folder: str, files: dict[int, str], top: int, depth: int) -> DataFrame:
@@ -432,14 +432,17 @@ def _once(name: str, make):  # noqa: ANN001, ANN202
     return _held[name]
 
 
-def score(docs: DataFrame, teaches: str, columns: list[str], text: str = "text", depth: int = 5, max_grams: int = 1 << 19, hot_words: int = 1 << 18, chunk: int = 2 << 20) -> DataFrame:
-    """``columns`` with ``n_bytes``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score`` and ``bits_per_byte``.
+RESULTS = ["n_bytes", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]
+
+
+def score(docs: DataFrame, teaches: str, columns: list[str], text: str = "text", depth: int = 5, max_grams: int = 1 << 19, hot_words: int = 24 << 20, chunk: int = 2 << 20) -> DataFrame:
+    """``columns`` with ``RESULTS``, in place of any such columns.
 
     Texts where the boolean column ``teaches`` holds are the training corpus.
     """
     spark = docs.sparkSession
     folder = f"{shared_folder(spark)}/language-model-{uuid.uuid4().hex}"
-    train = docs.where(F.col(teaches)).select(F.coalesce(F.col(text), F.lit("")).alias("text"))
+    train = docs.where(quoted(teaches)).select(F.coalesce(quoted(text), F.lit("")).alias("text"))
     n_train = train.count()
     top = min(TOP, depth - 1)
     shards = SHARDS * shuffle_partitions(spark)
@@ -447,20 +450,20 @@ def score(docs: DataFrame, teaches: str, columns: list[str], text: str = "text",
     write_levels(grams, folder, top)
     valued = build(grams, folder, top, depth)
     files = {r.shard: r.file for r in valued.where("file is not null").select("shard", "file").collect()}
-    write_hot(valued.where("gram is not null"), folder, max_grams)
+    most_frequent(valued.where("gram is not null"), F.lit(1), max_grams).select("gram", F.col("value").cast("float").alias("value")).repartition(8).write.parquet(f"{folder}/hot-grams")
     counts = checkpoint(word_counts(train))
     kinds, words = counts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     tokens, kinds = words + n_train, kinds + (n_train > 0)
-    counts.where(F.octet_length("word") <= LONGEST_HOT).orderBy(F.desc("n"), "word").limit(hot_words).write.parquet(f"{folder}/hot")
+    most_frequent(counts, F.octet_length("word") + WORD_COST, hot_words).repartition(8).write.parquet(f"{folder}/hot")
 
-    kept = docs.select(*columns)
-    schema = plus(kept, "row binary, n_bytes bigint, n_words bigint, known bigint, logs double, score double, rest array<struct<word:binary,n:bigint>>, grams array<struct<gram:bigint,n:bigint>>")
-    width = len(columns)
+    kept = [c for c in columns if c not in RESULTS]
+    given = docs.select(F.struct(*map(quoted, kept)).alias("given"), quoted(text).alias("text"))
+    schema = plus(given.select("given"), "row binary, n_bytes bigint, n_words bigint, known bigint, logs double, score double, rest array<struct<word:binary,n:bigint>>, grams array<struct<gram:bigint,n:bigint>>")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look, hot_at, hot_log = _once(folder, lambda: load(folder))
         for batch in batches:
-            texts = encoded(batch.column(width))
+            texts = encoded(batch.column(1))
             for a, b in chunks(texts, chunk):
                 keys, starts = keys_of(texts[a:b], depth)
                 values, miss = look.known(keys)
@@ -487,7 +490,7 @@ def score(docs: DataFrame, teaches: str, columns: list[str], text: str = "text",
                 rest = pa.StructArray.from_arrays([pa.array(cold_words, pa.binary()), pa.array(cold_n, pa.int64())], ["word", "n"])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *(c[a:b] for c in batch.columns[:width]), pa.array([ids + i.to_bytes(4, "big") for i in range(b - a)], pa.binary()), pa.array([len(t) for t in texts[a:b]], pa.int64()), pa.array(n_words, pa.int64()),
+                        batch.column(0)[a:b], pa.array([ids + i.to_bytes(4, "big") for i in range(b - a)], pa.binary()), pa.array([len(t) for t in texts[a:b]], pa.int64()), pa.array(n_words, pa.int64()),
                         pa.array(known, pa.int64()), pa.array(logs, pa.float64()), pa.array(total), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rest),
                         pa.ListArray.from_arrays(pa.array(gram_ends), grams),
                     ],
@@ -495,7 +498,7 @@ def score(docs: DataFrame, teaches: str, columns: list[str], text: str = "text",
                 )
 
     # The rows' own ids are written once, here, and never made again.
-    part = checkpoint(docs.select(*columns, F.col(text).alias("__text")).mapInArrow(run, schema))
+    part = checkpoint(given.mapInArrow(run, schema))
     cold = part.select("row", F.explode("rest").alias("x")).select("row", F.col("x.word").alias("word"), F.col("x.n").alias("k")).join(counts, "word")
     cold = cold.select("row", F.col("k").alias("known"), (F.col("k") * F.log10(F.col("n") + 1.0)).alias("logs"), F.lit(0.0).alias("add"))
     asked = part.select("row", F.explode("grams").alias("x")).select("row", "x.gram", F.col("x.n").alias("k")).withColumn("shard", shard_of(F.col("gram"), top, shards))
@@ -506,6 +509,7 @@ def score(docs: DataFrame, teaches: str, columns: list[str], text: str = "text",
     logs = F.col("logs") + F.coalesce("cold_logs", F.lit(0.0)) + F.lit(end_log)
     score = F.col("score") + F.coalesce("cold_score", F.lit(0.0))
     return part.drop("rest", "grams").join(cold, "row", "left").select(
-        *columns, "n_bytes", n_tokens.alias("n_tokens"), (F.col("known") + F.coalesce("cold_known", F.lit(0)) + F.lit(int(n_train > 0))).cast("bigint").alias("n_known"), F.lit(tokens).cast("bigint").alias("train_tokens"),
-        (logs - n_tokens * F.lit(math.log10(tokens + kinds + 1))).alias("base_score"), score.alias("score"), (-score * F.lit(math.log2(10)) / (F.col("n_bytes") + 1)).alias("bits_per_byte"),
+        *(F.col(f"given.`{c}`") for c in kept), "n_bytes", n_tokens.alias("n_tokens"), (F.col("known") + F.coalesce("cold_known", F.lit(0)) + F.lit(int(n_train > 0))).cast("bigint").alias("n_known"),
+        F.lit(tokens).cast("bigint").alias("train_tokens"), (logs - n_tokens * F.lit(math.log10(tokens + kinds + 1))).alias("base_score"), score.alias("score"),
+        (-score * F.lit(math.log2(10)) / (F.col("n_bytes") + 1)).alias("bits_per_byte"),
     )

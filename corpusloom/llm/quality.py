@@ -7,7 +7,8 @@ calibration is fitted on scores of rows that the fold's weights haven't seen.
 
 Defined results: null and empty texts have all-zero statistics and a score like
 any other; a document without a label teaches nothing; of several labels of one
-document each counts; with no labelled row at all every score is 0.5.
+document each counts; a null id has no label; with no labelled row at all every score is 0.5;
+given columns named ``score`` or ``predicted`` are replaced, all others stay, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import SPACE, checkpoint, encoded, plus, summed
+from corpusloom.llm.common import SPACE, checkpoint, encoded, plus, quoted, summed
 
 STATISTICS = [
     "log_bytes", "log_words", "mean_word", "sd_word", "unique_words", "top_word", "upper", "digit", "space", "ascii_punct",
@@ -61,18 +62,17 @@ def statistics(text: bytes) -> list[float]:
     ]
 
 
-def with_statistics(docs: DataFrame, columns: list[str], text: str = "text") -> DataFrame:
-    """``columns`` and an array ``stats`` of each row's whole text."""
-    kept = docs.select(*(F.col(f"`{c}`") for c in columns))
-    schema = plus(kept, "stats array<double>")
-    n = len(columns)
+def with_statistics(rows: DataFrame) -> DataFrame:
+    """``rows`` with an array ``stats`` of each row's whole text in place of their last column, which is the text."""
+    n = len(rows.columns) - 1
+    schema = plus(rows.select(*map(quoted, rows.columns[:n])), "stats array<double>")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             stats = pa.array([statistics(t) for t in encoded(batch.column(n))], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], stats], names=schema.names)
 
-    return docs.select(*(F.col(f"`{c}`") for c in columns), F.col(text).alias("__text")).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def isotonic(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -159,24 +159,27 @@ def fit(train: DataFrame, features: int = 192, gamma: float = 0.04, ridge: float
     return model
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` (with ``stats``) with ``score`` in its place."""
-    names = [c for c in docs.columns if c != "stats"]
-    schema = plus(docs.select(*names), "score double")
+def score(rows: DataFrame, model: Model) -> DataFrame:
+    """``rows`` with ``score`` in place of their last column ``stats``."""
+    n = len(rows.columns) - 1
+    schema = plus(rows.drop("stats"), "score double")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(model.score(_stacked(batch.column(len(names)))), pa.float64())], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(model.score(_stacked(batch.column(n))), pa.float64())], names=schema.names)
 
-    return docs.select(*names, "stats").mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
-def classify(docs: DataFrame, labels: DataFrame, teaches: str, columns: list[str], threshold: float = 0.3) -> DataFrame:
-    """Fit on the labelled rows where the boolean column ``teaches`` holds, and score every row.
+def classify(docs: DataFrame, labels: DataFrame, teaches: str, columns: list[str], threshold: float = 0.3, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Fit on the labelled rows where the boolean column ``teaches`` holds, and score every row: ``columns``, ``score``, ``predicted``.
 
     Statistics are taken once and checkpointed; only these narrow rows meet the labels.
     """
-    stats = checkpoint(with_statistics(docs, columns))
-    train = stats.where(F.col(teaches)).join(labels.select("doc_id", F.col("quality").alias("label")).where("label is not null"), "doc_id")
-    model = fit(train.withColumn("fold", F.pmod(F.xxhash64("doc_id"), F.lit(4))))
-    return score(stats, model).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    names = [c for c in columns if c not in ("score", "predicted")]
+    rows = docs.select(F.struct(*map(quoted, names)).alias("row"), quoted(key).alias("key"), quoted(teaches).alias("teaches"), quoted(text).alias("text"))
+    stats = checkpoint(with_statistics(rows))
+    known = labels.select(F.col("doc_id").alias("key"), F.col("quality").alias("label")).where("label is not null")
+    train = stats.where("teaches").join(known, "key").withColumn("fold", F.pmod(F.xxhash64("key"), F.lit(4)))
+    out = score(stats.select("row", "stats"), fit(train))
+    return out.select(*(F.col(f"row.`{c}`") for c in names), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

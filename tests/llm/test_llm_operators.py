@@ -238,6 +238,81 @@ def test_language_id(spark, docs, rows, none):
     assert dict(clash.dtypes)["score"] == "double" and len(clash.columns) == len({*clash.columns})
 
 
+def test_language_id_is_kernel_ridge(spark):
+    """The scores are those of a plain kernel ridge regression on Nystrom features of gram sets."""
+    r = random.Random(13)
+    made = [(i, sentence(r, r.randint(1, 12), ["sch", "qu", "zh"][i % 3]) + "é" * (i % 2), ["de", "fr", "pl"][i % 3], None, 0) for i in range(45)] + [(100, "x" * 500, "zz", None, 0)]
+    frame = spark.createDataFrame(made, DOCS)
+    model = language_id.fit(frame, landmarks_per_label=4, landmark_bytes=300)
+    got = {x.doc_id: (x.lang_pred, x.score) for x in language_id.predict(frame, model).collect()}
+
+    def grams(text):
+        b = "".join(c.lower() if "A" <= c <= "Z" else c for c in text).encode()
+        return {b[i : i + n] for n in (1, 2, 3) for i in range(len(b) - n + 1)}
+
+    # The landmarks are those texts whose sets the model holds.
+    columns = {tuple(np.flatnonzero(c)) for c in model.landmarks.T}
+    chosen = sorted(t for _, t, *_ in made if len(t) <= 300 and tuple(np.searchsorted(model.grams, np.unique(language_id._grams(t.encode())))) in columns and np.isin(language_id._grams(t.encode()), model.grams).all())
+    assert 6 <= len(chosen) == model.landmarks.shape[1] <= 12 and model.labels == ["de", "fr", "pl", "zz"]
+    known = set().union(*map(grams, chosen))
+    kernel = lambda a, b: len(grams(a) & grams(b)) / (max(1, len(grams(a) & known)) * len(grams(b))) ** 0.5
+    k = np.array([[kernel(a, b) for b in chosen] for a in chosen])
+    values, vectors = np.linalg.eigh(k)
+    good = values > 1e-6 * values.max()
+    x = np.array([[kernel(t, b) for b in chosen] for _, t, *_ in made]) @ vectors[:, good] / np.sqrt(values[good])
+    x = np.column_stack([x, np.ones(len(x))])
+    y = np.array([[float(lang == c) for c in model.labels] for _, _, lang, *_ in made])
+    penalty = np.diag([1e-3 * len(made)] * (x.shape[1] - 1) + [1e-9])
+    out = np.clip(x @ np.linalg.solve(x.T @ x + penalty, x.T @ y), 1e-6, 1)
+    for (i, *_), row in zip(made, out, strict=True):
+        assert got[i][0] == model.labels[int(row.argmax())] and abs(got[i][1] - row.max() / row.sum()) < 1e-3
+    with pytest.raises(ValueError, match="labels"):
+        language_id.fit(frame, most_labels=2)
+    long = language_id.fit(frame, landmark_bytes=0)
+    assert {x.lang_pred for x in language_id.predict(frame, long).collect()} <= set(long.labels)
+
+
+def test_quality_is_ridge_on_random_features(spark):
+    """Weights, out-of-fold scores and calibration are those of plain least squares and of the min-max formula of isotonic regression."""
+    r = random.Random(21)
+    stats = [[*map(float, quality.statistics((sentence(r, r.randint(1, 40)) + "!" * (i % 7)).encode()))] for i in range(150)]
+    train = [(s, int(r.random() < 0.2 + 0.6 * (i % 7 < 3)), i % 3) for i, s in enumerate(stats)]
+    frame = spark.createDataFrame(train, "stats array<double>, label int, fold int").repartition(6)
+    features, folds, bins = 12, 3, 40
+    model = quality.fit(frame, features=features, folds=folds, bins=bins)
+    z = np.array(stats)
+    scale = np.maximum(z.std(0), 1e-6)
+    x = np.column_stack([np.cos(np.clip((z - z.mean(0)) / scale, -8, 8) @ model.omega + model.phase) * np.sqrt(2 / features), np.ones(len(z))])
+    y, k = np.array([t[1] for t in train], float), np.array([t[2] for t in train])
+
+    def ridge(at):
+        penalty = np.diag([1e-4 * at.sum()] * features + [1e-9 * 1e-4 * at.sum()])
+        return np.linalg.lstsq(np.vstack([x[at], np.sqrt(penalty)]), np.concatenate([y[at], np.zeros(features + 1)]), rcond=None)[0]
+
+    assert np.allclose(model.weights, ridge(np.ones(len(y), bool)), atol=1e-5)
+    raw = np.array([x[i] @ ridge(k != k[i]) for i in range(len(y))])
+    cell = np.clip(np.rint((raw + 0.5) / 2 * bins), 0, bins).astype(int)
+    there = np.unique(cell)
+    n, ones = (np.array([w[cell == c].sum() for c in there]) for w in (np.ones(len(y)), y))
+    mean = (ones + 0.5 * y.mean()) / (n + 0.5)
+    average = lambda a, b: (mean[a : b + 1] * n[a : b + 1]).sum() / n[a : b + 1].sum()
+    level = [max(min(average(a, b) for b in range(i, len(there))) for a in range(i + 1)) for i in range(len(there))]
+    knots = {}
+    for c, v in zip(there, level, strict=True):
+        knots.setdefault(round(v, 9), []).append(c / bins * 2 - 0.5)
+    assert np.allclose(model.knots, [np.mean(v) for v in knots.values()]) and np.allclose(model.levels, [*knots])
+    assert np.allclose(model.score(z), np.clip(np.interp(x @ model.weights, model.knots, model.levels), 0, 1))
+
+
+def test_quality_keeps_columns_of_any_name(spark):
+    frame = spark.createDataFrame([(i, "good words " * (i % 4), i % 4 != 1, *["mine"] * 5, "old") for i in range(20)] + [(None, None, True, *["mine"] * 5, "old")], "doc_id bigint, body string, train boolean, stats string, label string, fold string, row string, key string, score string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)] + [(None, 1)], "doc_id bigint, quality int")
+    out = quality.classify(frame, labels, "train", frame.columns, text="body")
+    assert out.columns == [*frame.columns[:-1], "score", "predicted"]
+    found = out.collect()
+    assert len(found) == 21 and {x.stats for x in found} == {x.key for x in found} == {"mine"} and all(0 <= x.score <= 1 for x in found)
+
+
 def test_quality(spark, docs, rows, none):
     r = random.Random(8)
     made = [(i, sentence(r, 60) if i % 3 else " | ".join(sentence(r, 40).upper().split()), None, None, 0) for i in range(300)]
@@ -259,7 +334,7 @@ def test_language_model(rows, docs, none):
     taught = {r.doc_id for r in frame.where("teaches").select("doc_id").collect()}
     counts = Counter(w for i, t, *_ in rows if i in taught for w in [*WORDS.findall(lowered(t)), None])
     n, v = sum(counts.values()), len(counts)
-    for hot in (3, 1 << 18):
+    for hot in (300, 24 << 20):
         out = by_id(language_model.score(frame, "teaches", ["doc_id"], hot_words=hot, max_grams=400))
         for i, t, *_ in rows:
             w = [*WORDS.findall(lowered(t)), None]
@@ -285,6 +360,26 @@ def test_language_model_keeps_every_context(docs, table):
     assert [x[2] for x in got] == pytest.approx([x[2] for x in wanted], rel=1e-5)
 
 
+def test_language_model_keeps_columns_of_any_name(spark):
+    names = "row logs known rest n_words grams given text x word k gram shard".split()
+    frame = spark.createDataFrame([(i, i % 3 > 0, "a word or two " * (i % 4), *names, "old") for i in range(12)], "doc_id bigint, train boolean, body string, " + ", ".join(f"{n} string" for n in names) + ", score string")
+    out = language_model.score(frame, "train", frame.columns, text="body")
+    assert out.columns == [*frame.columns[:-1], *language_model.RESULTS]
+    assert {tuple(x[n] for n in names) for x in out.collect()} == {tuple(names)} and out.where("score < 0").count() == 12
+
+
+def test_language_model_beats_a_shallower_tree(spark):
+    """Held-out texts take no more bits a byte than under a whole tree of depth 3."""
+    r = random.Random(4)
+    words = ["".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(2, 9))) for _ in range(300)]
+    texts = [" ".join(r.choice(words[: 30 * (1 + k % 10)]) for _ in range(120)) for k in range(120)]
+    frame = spark.createDataFrame([(k, t, k % 4 > 0) for k, t in enumerate(texts)], "doc_id bigint, text string, teaches boolean")
+    got = [x.score for x in language_model.score(frame, "teaches", ["doc_id", "teaches"], max_grams=500).where("not teaches").collect()]
+    keys = language_model.keys_of([t.encode() for k, t in enumerate(texts) if k % 4], 3)[0]
+    three = language_model.tree([language_model.counted(keys & np.uint64((1 << (8 * (d + 1))) - 1)) for d in range(4)])
+    assert sum(got) >= sum(float(three.log10(language_model.keys_of([t.encode()], 3)[0]).sum()) for k, t in enumerate(texts) if k % 4 == 0)
+
+
 def in_order(rows):
     """By id, null first, and the texts' hashes."""
     return sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, hashlib.sha256((r[1] or "").encode()).hexdigest()[:15]))
