@@ -22,7 +22,6 @@ null id are searched, and count as one null item; repeated documents get equal r
 from __future__ import annotations
 
 import math
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 from functools import partial
 
@@ -33,7 +32,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import chunks, encoded, plus, quoted, shared_folder
+from corpusloom.llm.common import chunks, encoded, plus, quoted, scratch
 
 #: So many blocks stay in a worker's memory.
 HELD_BLOCKS = 4
@@ -273,7 +272,7 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = 10, text: str = "t
     items = benchmark.select(quoted(item_key).cast("string").alias("item"), F.encode(F.coalesce(quoted(item_text), F.lit("")), "UTF-8").alias("text"))
     total = items.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0]
     n = -(-total // block_bytes)
-    folder = f"{shared_folder(docs.sparkSession)}/benchmark-{uuid.uuid4().hex}"
+    folder = f"{scratch(docs.sparkSession, 'benchmark')}/blocks"
     items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(max(1, n))).cast("int")).write.partitionBy("block").parquet(folder)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

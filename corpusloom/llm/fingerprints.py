@@ -27,7 +27,6 @@ vertex of a cluster; empty texts link with nothing, and a null id has a null clu
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterable, Iterator
 from functools import cache
 
@@ -37,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import at_or_below, checkpoint, mixed, plus, quoted, shared_folder, shuffle_partitions, text_tie
+from corpusloom.llm.common import at_or_below, checkpoint, mixed, plus, quoted, scratch, shuffle_partitions, text_tie
 from corpusloom.llm.spanning import LINKS, PACKET, Sets, components, group_links, pair_batch, star_edges, star_packets
 
 LEAST = 0.9
@@ -372,7 +371,7 @@ def fingerprint(docs: DataFrame, key: str = "doc_id", text: str = "text", broadc
     written to the shared folder once; up to ``broadcast_ids`` clustered ids are broadcast, more are joined by shuffling.
     """
     spark = docs.sparkSession
-    folder = f"{shared_folder(spark)}/fingerprints-{uuid.uuid4().hex}"
+    folder = f"{scratch(spark, 'fingerprints')}/prints"
     prints(docs, key, text).write.option("compression", "zstd").parquet(folder)
     table = spark.read.parquet(folder)
     roots = clusters(table, key)

@@ -40,7 +40,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import LOWER_BYTES, checkpoint, chunks, encoded, plus, quoted, shared_folder, shuffle_partitions
+from corpusloom.llm.common import LOWER_BYTES, checkpoint, chunks, encoded, plus, quoted, scratch, shuffle_partitions
 
 MARK = 0xFF  #: never in UTF-8: stands before and at the end of each text
 WORD_COST = 64  #: bytes that a word in a table costs beside its own
@@ -441,7 +441,7 @@ def score(docs: DataFrame, teaches: str, columns: list[str], text: str = "text",
     Texts where the boolean column ``teaches`` holds are the training corpus.
     """
     spark = docs.sparkSession
-    folder = f"{shared_folder(spark)}/language-model-{uuid.uuid4().hex}"
+    folder = scratch(spark, "language-model")
     train = docs.where(quoted(teaches)).select(F.coalesce(quoted(text), F.lit("")).alias("text"))
     n_train = train.count()
     top = min(TOP, depth - 1)

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import decontaminate, fingerprints, jaccard, language_id, language_model, mixing, quality, substrings, urls, warc
-from corpusloom.llm.common import fold, shared_folder
+from corpusloom.llm.common import fold, scratch
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -31,7 +30,7 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    folder = scratch(spark, "warc")
     return warc.read(warc.write(_read(spark, sf_dir, "pages"), folder), folder)
 
 
