@@ -13,13 +13,11 @@ those of ``documents`` pass through.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import decontaminate, jaccard, language_id, mixing, substrings
-from corpusloom.llm.common import fold, shared_folder
+from corpusloom.llm.common import fold, scratch
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,10 +60,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``, each written to the shared folder and read again."""
-    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    """All stages on ``documents``, each written to the shared folder and read again; the one before it goes then."""
+    folder, before = scratch(spark, "pipeline"), None
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{before}")
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        before = name
     return docs
