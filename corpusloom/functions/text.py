@@ -160,3 +160,8 @@ def like_any_case(c: Column, part: str) -> Column:
 def hash_fraction(c: Column, salt: str = "") -> Column:
     """A whole number in 0 .. 999 from a text."""
     return F.pmod(F.conv(F.substring(F.sha2(F.concat(F.lit(salt), c), 256), 1, 8), 16, 10).cast("bigint"), F.lit(1000))
+
+
+def now_iso() -> Column:
+    """The time of the query in UTC, to the second, as ISO 8601; as a text, for records that keep it so."""
+    return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")

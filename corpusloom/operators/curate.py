@@ -21,7 +21,7 @@ def search(segments: DataFrame, q: str | None = None, status: str | None = None,
     out = segments
     if q and q.strip():
         pattern = f"%{q.strip()}%"
-        out = out.where(F.col("thadou").ilike(pattern) | F.col("english").ilike(pattern) | F.col("ref").ilike(pattern))
+        out = out.where(F.col("a_text").ilike(pattern) | F.col("b_text").ilike(pattern) | F.col("ref").ilike(pattern))
     if status:
         out = out.where(F.col("status") == status)
     if source_id:
@@ -51,15 +51,15 @@ def stats(segments: DataFrame, sources: DataFrame) -> DataFrame:
 
 def cleaned(batch: DataFrame) -> DataFrame:
     """Imported rows with normalized texts; rows without text on either side go."""
-    rows = batch.withColumns({"thadou": normalize_text(F.coalesce("thadou", F.lit(""))), "english": normalize_text(F.coalesce("english", F.lit("")))})
-    return rows.where("thadou <> '' and english <> ''")
+    rows = batch.withColumns({"a_text": normalize_text(F.coalesce("a_text", F.lit(""))), "b_text": normalize_text(F.coalesce("b_text", F.lit("")))})
+    return rows.where("a_text <> '' and b_text <> ''")
 
 
 def import_batch(segments: DataFrame, batch: DataFrame, source_id: str, order: list[str]) -> DataFrame:
-    """The new segments of a batch (thadou, english, ref), ready to be appended."""
+    """The new segments of a batch (a_text, b_text, ref), ready to be appended."""
     rows = cleaned(batch).withColumn("source_id", F.lit(source_id))
-    fresh = dedup.insert_absent(segments, rows, ["thadou", "english", "source_id"], order)
-    return fresh.select("id", F.coalesce("ref", F.lit("")).alias("ref"), "thadou", "english", "source_id", F.lit("unassigned").alias("split"), F.lit("unreviewed").alias("status"))
+    fresh = dedup.insert_absent(segments, rows, ["a_text", "b_text", "source_id"], order)
+    return fresh.select("id", F.coalesce("ref", F.lit("")).alias("ref"), "a_text", "b_text", "source_id", F.lit("unassigned").alias("split"), F.lit("unreviewed").alias("status"))
 
 
 def import_counts(batch: DataFrame, inserted: DataFrame) -> DataFrame:
@@ -70,16 +70,18 @@ def import_counts(batch: DataFrame, inserted: DataFrame) -> DataFrame:
 def check_updates(updates: DataFrame) -> DataFrame:
     """Updates with what is wrong: an unknown status or split, or a text that is empty after normalization."""
     wrong = F.when(F.col("status").isNotNull() & ~F.col("status").isin(REVIEW_STATUSES), "status").when(F.col("split").isNotNull() & ~F.col("split").isin([*SPLITS, "unassigned"]), "split")
-    for side in ("thadou", "english"):
+    for side in ("a_text", "b_text"):
         wrong = F.coalesce(wrong, F.when(normalize_text(F.col(side)) == "", side))
     return updates.withColumn("wrong", wrong)
 
 
-def review(segments: DataFrame, updates: DataFrame, fields: tuple[str, ...] = ("thadou", "english", "split", "status", "notes")) -> DataFrame:
-    """Copy-on-write: the given fields of an update (one a segment) replace the segment's; texts are normalized."""
-    new = updates.select("id", *((normalize_text(F.col(c)) if c in ("thadou", "english") else F.col(c)).alias(f"new_{c}") for c in fields))
-    out = segments.join(new, "id", "left")
-    return out.withColumns({c: F.coalesce(f"new_{c}", c) for c in fields}).select(*segments.columns)
+def review(segments: DataFrame, updates: DataFrame, fields: tuple[str, ...] = ("a_text", "b_text", "split", "status", "notes")) -> DataFrame:
+    """Copy-on-write: the given fields of an update (one a segment) replace the segment's; texts are normalized, and ``updated_at`` is the time of the update."""
+    new = updates.select("id", F.lit(True).alias("__new"), *((normalize_text(F.col(c)) if c in ("a_text", "b_text") else F.col(c)).alias(f"new_{c}") for c in fields))
+    out = segments.join(new, "id", "left").withColumns({c: F.coalesce(f"new_{c}", c) for c in fields})
+    if "updated_at" in segments.columns:
+        out = out.withColumn("updated_at", F.when(F.col("__new"), F.current_timestamp()).otherwise(F.col("updated_at")))
+    return out.select(*segments.columns)
 
 
 def upsert_sources(sources: DataFrame, new: DataFrame) -> DataFrame:
@@ -87,7 +89,7 @@ def upsert_sources(sources: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def export_reviewed(segments: DataFrame) -> DataFrame:
-    return segments.where(F.col("status").isin(REVIEWED)).select("id", "ref", "thadou", "english", "source_id", "status").orderBy("id")
+    return segments.where(F.col("status").isin(REVIEWED)).select("id", "ref", "a_text", "b_text", "source_id", "status").orderBy("id")
 
 
 def releasable(segments: DataFrame, sources: DataFrame) -> DataFrame:

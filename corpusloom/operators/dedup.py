@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,10 +18,17 @@ def keep_first(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFra
 
 
 def duplicates(rows: DataFrame, keys: list[str], order: list[Column], shown: str) -> DataFrame:
-    """The rows that lose, with ``kept`` and ``dropped``: the winner's and their own ``shown``."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    ranked = rows.withColumn("rank", F.row_number().over(w)).withColumn("kept", F.first(shown).over(w))
-    return ranked.where("rank > 1").select(*keys, "kept", F.col(shown).alias("dropped"))
+    """The rows that lose, with ``kept`` and ``dropped``: the winner's and their own ``shown``.
+
+    Equal rows are counted and winners found before keys meet, in a join that the
+    optimizer may split: a key that many rows share (an empty text) is in no one sort.
+    """
+    at = F.struct(*(c.alias(f"o{i}") for i, c in enumerate(order)), F.col(shown).alias("dropped"))
+    counted = rows.groupBy(*keys, at.alias("__at")).agg(F.count("*").alias("__n"))
+    first = counted.groupBy(*keys).agg(F.min("__at").alias("__first"), F.sum("__n").alias("__all")).where("__all > 1").select(*(F.col(k).alias(f"__{k}") for k in keys), "__first")
+    same = reduce(lambda x, y: x & y, (F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys))
+    lost = counted.join(first, same).withColumn("__lost", F.col("__n") - F.when(F.col("__at").eqNullSafe(F.col("__first")), 1).otherwise(0)).where("__lost > 0")
+    return lost.select(*keys, F.col("__first.dropped").alias("kept"), F.col("__at.dropped").alias("dropped"), F.explode(F.sequence(F.lit(1), F.col("__lost").cast("int")))).drop("col")
 
 
 def key_counts(rows: DataFrame, keys: list[str]) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions.text import now_iso
 from corpusloom.schemas import COMPLETE_STATES, VERIFIED
 
 
@@ -25,10 +26,12 @@ def remaining(tasks: DataFrame, state: DataFrame, files: DataFrame, keys: list[s
 
 
 def upsert_state(state: DataFrame, changes: DataFrame, keys: list[str], default: str = "discovered") -> DataFrame:
-    """Each change's given fields over the entry's; a new entry begins as discovered."""
+    """Each change's given fields over the entry's, with the time in ``updated_at``; a new entry begins as discovered."""
     fields = [c for c in changes.columns if c not in keys]
-    new = changes.select(*keys, *(F.col(c).alias(f"new_{c}") for c in fields))
+    new = changes.select(*keys, F.lit(True).alias("__new"), *(F.col(c).alias(f"new_{c}") for c in fields))
     out = state.join(new, keys, "full_outer").withColumns({c: F.coalesce(f"new_{c}", c) for c in fields})
+    if "updated_at" in state.columns:
+        out = out.withColumn("updated_at", F.when(F.col("__new"), now_iso()).otherwise(F.col("updated_at")))
     return out.withColumn("status", F.coalesce("status", F.lit(default))).select(*state.columns)
 
 

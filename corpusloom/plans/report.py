@@ -23,19 +23,22 @@ def union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def quality_metrics(sides: dict[str, DataFrame], tasks: dict[str, DataFrame], captures: dict[str, DataFrame], audit: DataFrame, parallel: DataFrame, ml: DataFrame, splits: DataFrame, files: DataFrame, verdict: DataFrame, unreadable: DataFrame) -> DataFrame:
-    """All metrics of a run: discovered, extracted and normalized counts by side, alignment, audit, splits, files and the verdict."""
+def quality_metrics(sides: dict[str, DataFrame], tasks: dict[str, DataFrame], captures: dict[str, DataFrame], audit: DataFrame, parallel: DataFrame, ml: DataFrame, splits: DataFrame, files: DataFrame, verdict: DataFrame, unreadable: DataFrame, failed: DataFrame) -> DataFrame:
+    """The 30 metrics of a run: discovered, extracted and normalized counts by side, alignment, audit, splits, files and the verdict.
+
+    Each frame is aggregated once, to one row.
+    """
     status = lambda s: F.count_if(F.col("alignment_status") == s)
-    parts = []
-    for side in "ab":
-        parts.append(metrics(tasks[side], {f"books_discovered_{side}": F.countDistinct("book_code"), f"chapters_discovered_{side}": F.count("*")}))
-        parts.append(metrics(captures[side], {f"chapters_extracted_{side}": F.count("*"), f"uncertain_chapters_{side}": F.count_if(~F.col("language_verification.status").eqNullSafe("verified")), f"empty_segments_{side}": F.coalesce(F.sum(F.size(F.filter("verses", lambda v: F.trim(F.coalesce(v["text"], F.lit(""))) == ""))), F.lit(0))}))
-        parts.append(metric(sides[side], f"segments_normalized_{side}", F.count("*")))
-        parts.append(metric(tasks[side].join(captures[side].select("book_code", "chapter"), ["book_code", "chapter"], "left_anti"), f"missing_chapters_{side}", F.count("*")))
+    blank = F.size(F.filter("verses", lambda v: F.trim(F.coalesce(v["text"], F.lit(""))) == ""))
+    parts = [metrics(tasks[s], {f"books_discovered_{s}": F.countDistinct("book_code"), f"chapters_discovered_{s}": F.count("*")}) for s in "ab"]
+    parts += [metric(captures[s], f"chapters_extracted_{s}", F.count("*")) for s in "ab"] + [metric(sides[s], f"segments_normalized_{s}", F.count("*")) for s in "ab"]
     parts += [metric(parallel, "aligned_pairs", F.count("*")), metric(ml, "ml_pairs", F.count("*"))]
     parts.append(metrics(audit, {s: status(s) for s in ("missing_a", "missing_b", "duplicate_a", "duplicate_b", "language_uncertain", "extraction_error")} | {"audit_records": F.count("*")}))
+    both = union([captures[s].select("language_verification", "verses") for s in "ab"])
+    parts.append(metrics(both, {"uncertain_chapters": F.count_if(~F.col("language_verification.status").eqNullSafe("verified")), "empty_segments": F.coalesce(F.sum(blank), F.lit(0))}))
+    parts += [metric(failed, "failed_chapters", F.count("*")), metric(unreadable, "unreadable_files", F.count("*"))]
     parts.append(metrics(splits, {f"{s}_{k}": F.coalesce(F.max(F.when(F.col("split") == s, F.col(k))), F.lit(0)) for s in ("train", "validation", "test") for k in ("segments", "books")}))
-    parts += [metric(unreadable, "unreadable_files", F.count("*")), metric(files, "checksummed_files", F.count("*")), metrics(verdict, {"verification_ok": F.bool_and("ok"), "verification_complete": F.bool_and("complete")})]
+    parts += [metric(files, "checksummed_files", F.count("*")), metrics(verdict, {"verification_ok": F.bool_and("ok"), "verification_complete": F.bool_and("complete")})]
     return union(parts)
 
 
@@ -84,3 +87,15 @@ def markdown(title: str, sections: dict[str, tuple[list[str], list[tuple]]]) ->
 def quality_markdown(metric_rows: DataFrame, check_rows: DataFrame) -> str:
     found = [(r.metric, r.value) for r in metric_rows.collect()]
     return markdown("Quality report", {"Metrics": (["metric", "value"], found), "Checks": (["check", "ok", "detail"], [tuple(r) for r in check_rows.select("check", "ok", "detail").collect()])})
+
+
+def source_markdown(title: str, sides: list[dict], metric_rows: DataFrame, files: DataFrame, notes: list[str], largest: int = 20) -> str:
+    """The source manifest: what the corpus is made of, its counts, the rights notes given, and its ``largest`` final files' checksums.
+
+    ``sides`` has a dict a side: side, version_id, version_code, language, url, publisher.
+    """
+    header = ["side", "version_id", "version_code", "language", "url", "publisher"]
+    counts = [(r.metric, r.value) for r in metric_rows.collect()]
+    final = [(r.path.rsplit("/", 1)[-1], r.sha256) for r in files.where("class = 1").orderBy("ord", "path").limit(largest).collect()]
+    sections = {"Sources": (header, [tuple(s.get(h) for h in header) for s in sides]), "Counts": (["metric", "value"], counts), "Files": (["file", "sha256"], final)}
+    return markdown(title, sections) + "".join(f"\n* {cell(n)}" for n in notes) + ("\n" if notes else "")

@@ -52,9 +52,26 @@ def audit_reconciles(audit: DataFrame, parallel: DataFrame) -> DataFrame:
     return out.withColumn("ok", (F.col("parallel_rows") == 0) | (F.col("audit_aligned") == F.col("parallel_rows")))
 
 
-def leaked_uncertain(parallel: DataFrame, audit: DataFrame, key: str = "reference") -> DataFrame:
-    """Parallel rows that the audit calls uncertain: none, if all is well."""
-    return parallel.join(audit.where("alignment_status = 'language_uncertain'").select(key), key, "left_semi")
+def leaked_uncertain(parallel: DataFrame, audit: DataFrame, keys: list[str]) -> DataFrame:
+    """Parallel rows whose whole reference the audit calls uncertain: none, if all is well."""
+    return parallel.join(audit.where("alignment_status = 'language_uncertain'").select(*keys), keys, "left_semi")
+
+
+def ml_errors(ml: DataFrame, parallel: DataFrame) -> DataFrame:
+    """One row: ML rows without an id or a text, rows of the ML and the parallel table."""
+    empty = F.col("id").isNull() | F.coalesce(is_blank(F.col("source")), F.lit(True)) | F.coalesce(is_blank(F.col("target")), F.lit(True))
+    return ml.agg(F.count("*").alias("ml"), F.count_if(empty).alias("errors")).crossJoin(parallel.agg(F.count("*").alias("parallel")))
+
+
+def manifest_counts(books: DataFrame, tasks: DataFrame) -> DataFrame:
+    """One row: collections and groups of a side's manifests."""
+    return books.agg(F.count("*").alias("books")).crossJoin(tasks.agg(F.count("*").alias("chapters")))
+
+
+def capture_faults(tasks: DataFrame, captures: DataFrame, unreadable: DataFrame, keys: list[str]) -> DataFrame:
+    """One row: tasks without a capture, and files that can't be read."""
+    absent = tasks.join(captures.select(*keys), keys, "left_anti").agg(F.count("*").alias("missing"))
+    return absent.crossJoin(unreadable.agg(F.count("*").alias("unreadable")))
 
 
 def check(name: str, row: DataFrame, ok: Column, detail: Column) -> DataFrame:

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import refs
-from corpusloom.functions.text import is_blank
-from corpusloom.operators import align, dedup, normalize
+from corpusloom.operators import align, dedup, discovery, normalize
 from corpusloom.plans import report, verify
+from corpusloom.plans.storage import checkpoint
 from corpusloom.schemas import ALIGNMENT_STATUSES
 from corpusloom.sources.readers import table
 
@@ -155,8 +155,12 @@ def failed_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def verify_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verify_frame(parallel(spark, sf_dir))
+
+
+def verify_frame(pairs: DataFrame) -> DataFrame:
     """Parallel rows with faults put in, as the schema check sees them."""
-    rows = _books(parallel(spark, sf_dir))
+    rows = _books(pairs)
     ident = refs.reference(F.col("book"), F.col("grp"), F.col("seg"))
     fault = F.col("grp") % 97
     return rows.select(
@@ -189,39 +193,84 @@ def audit_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify.audit_reconciles(audit(spark, sf_dir), parallel(spark, sf_dir))
 
 
-def verify_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The checks that apply to these sides, with counts as detail."""
+CHAPTER = ["book_code", "chapter"]
+
+
+def discovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A task for each order: ``book_code``, ``chapter``."""
+    return _books(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("grp"))).select(F.col("book").alias("book_code"), F.col("grp").alias("chapter"))
+
+
+def captured(side: DataFrame) -> DataFrame:
+    """The side's rows, repeated ones included, as captures of chapters."""
+    doubt = F.max(F.when(F.col("language_status") != "verified", F.col("language_status")))
+    rows = _books(side).groupBy("book", "grp").agg(F.coalesce(doubt, F.lit("verified")).alias("status"), F.collect_list(F.struct("text")).alias("verses"))
+    return rows.select(F.col("book").alias("book_code"), F.col("grp").alias("chapter"), F.struct("status").alias("language_verification"), "verses")
+
+
+def stored_run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """What a run has stored, each made once: both sides, the decisions, the lost rows and the captures."""
     a, b = sides(spark, sf_dir)
-    rows, found = verify_rows(spark, sf_dir), parallel(spark, sf_dir)
+    ka, kb = checkpoint(kept(a)), checkpoint(kept(b))
+    out = {"a": ka, "b": kb, "decided": checkpoint(align.decide(align.join_sides(ka, kb, KEY), ["grp"])), "lost": checkpoint(lost(spark, sf_dir))}
+    out["tasks"] = discovered(spark, sf_dir)
+    out |= {f"captures_{s}": checkpoint(captured(rows)) for s, rows in (("a", a), ("b", b))}
+    out["audit"], out["parallel"] = align.audit(out["decided"], KEY, out["lost"]), align.parallel(out["decided"])
+    out["ml"] = align.ml(out["parallel"], F.concat_ws(".", F.col("grp").cast("string"), F.col("seg").cast("string")))
+    return out
+
+
+def checks_of(spark: SparkSession, run: dict[str, DataFrame], leak: DataFrame | None = None) -> DataFrame:
+    """All named checks over what a run has stored; ``leak`` are parallel rows put in by hand."""
     n = F.col("n")
     count = lambda f: f.agg(F.count("*").alias("n"))
-    ml = align.ml(found, F.concat_ws(".", F.col("grp").cast("string"), F.col("seg").cast("string")))
-    both = count(found).withColumnRenamed("n", "p").crossJoin(count(ml))
-    leaks = verify.leaked_uncertain(found, audit(spark, sf_dir).select("grp", "alignment_status"), "grp")
-    reconciled = verify.audit_reconciles(audit(spark, sf_dir), found)
+    books = run["tasks"].select("book_code").distinct()
+    none = spark.createDataFrame([], "source_file string")
+    pairs = run["parallel"] if leak is None else run["parallel"].unionByName(leak)
+    rows, missing = verify_frame(pairs), discovery.missing_and_extra(books, refs.collections(spark), "book_code").where("kind = 'missing'")
+    spots = verify.spot_checks(pairs.select(F.concat_ws(".", F.col("grp").cast("string"), F.col("seg").cast("string")).alias("reference")), SPOTS[:1])
+    split = align.with_split(_books(pairs), F.col("book"))
     return verify.report([
-        verify.check("normalized_deduplicated_a", dedup.key_counts(kept(a), KEY), F.col("duplicates") == 0, F.col("total").cast("string")),
-        verify.check("normalized_deduplicated_b", dedup.key_counts(kept(b), KEY), F.col("duplicates") == 0, F.col("total").cast("string")),
+        *(verify.check(f"manifests_{s}", verify.manifest_counts(books, run["tasks"]), (F.col("books") > 0) & (F.col("chapters") > 0), F.col("chapters").cast("string")) for s in "ab"),
+        verify.check("book_mapping", count(missing), n == 0, n.cast("string")),
+        *(verify.check(f"raw_captures_{s}", verify.capture_faults(run["tasks"], run[f"captures_{s}"], none, CHAPTER), (F.col("missing") == 0) & (F.col("unreadable") == 0), F.col("missing").cast("string")) for s in "ab"),
+        *(verify.check(f"normalized_deduplicated_{s}", dedup.key_counts(run[s], KEY), F.col("duplicates") == 0, F.col("total").cast("string")) for s in "ab"),
         verify.check("parallel_schema", count(verify.schema_errors(rows, REQUIRED)), n == 0, n.cast("string")),
-        verify.check("ml_schema", both, F.col("p") == n, n.cast("string")),
+        verify.check("ml_schema", verify.ml_errors(run["ml"], pairs), (F.col("errors") == 0) & (F.col("ml") == F.col("parallel")), F.col("ml").cast("string")),
         verify.check("no_duplicate_ids", count(dedup.repeated_keys(verify.countable(rows, REQUIRED), ["id"], None)), n == 0, n.cast("string")),
-        verify.check("audit_reconciles", reconciled, F.col("ok"), F.col("audit_aligned").cast("string")),
-        verify.check("split_whole_books", count(align.split_overlap(split_rows(spark, sf_dir))), n == 0, n.cast("string")),
-        verify.check("uncertain_excluded", count(leaks), n >= 0, n.cast("string")),
+        verify.check("audit_reconciles", verify.audit_reconciles(run["audit"], pairs), F.col("ok"), F.col("audit_aligned").cast("string")),
+        verify.check("split_whole_books", count(align.split_overlap(split)), n == 0, n.cast("string")),
+        verify.check("uncertain_excluded", count(verify.leaked_uncertain(pairs, run["audit"], KEY)), n == 0, n.cast("string")),
+        verify.check("spot_checks", spots.agg(F.count_if("found").alias("n"), F.count("*").alias("all")), n == F.col("all"), n.cast("string")),
     ])
 
 
+def verify_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All checks over a run with faults in its rows."""
+    return checks_of(spark, stored_run(spark, sf_dir))
+
+
+def verify_leaked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same checks after uncertain rows were put into the parallel table: those that see it fail."""
+    run = stored_run(spark, sf_dir)
+    return checks_of(spark, run, run["decided"].where("alignment_status = 'language_uncertain' and grp % 11 = 0 and has_a and has_b"))
+
+
 def quality_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a, b = sides(spark, sf_dir)
-    status = lambda s: F.count_if(F.col("alignment_status") == s)
-    when = table(spark, sf_dir, "lineitem").agg(F.concat(F.date_format(F.min("l_shipdate"), "yyyy-MM-dd"), F.lit(" to "), F.date_format(F.max("l_shipdate"), "yyyy-MM-dd")).alias("v"))
-    return report.union([
-        report.metrics(kept(a), {"segments_a": F.count("*"), "groups_a": F.countDistinct("grp"), "empty_a": F.count_if(is_blank(F.col("text")))}),
-        report.metrics(kept(b), {"segments_b": F.count("*"), "groups_b": F.countDistinct("grp"), "empty_b": F.count_if(is_blank(F.col("text")))}),
-        report.metrics(audit(spark, sf_dir), {s: status(s) for s in ALIGNMENT_STATUSES} | {"audit_records": F.count("*")}),
-        report.metrics(split_rows(spark, sf_dir), {f"{s}_segments": F.count_if(F.col("split") == s) for s in ("train", "validation", "test")}),
-        when.select(F.lit("retrieval_range").alias("metric"), F.col("v").alias("value")),
-    ])
+    """The 30 metrics of a run; its first task failed and its region table is the one checksummed file."""
+    run = stored_run(spark, sf_dir)
+    none = spark.createDataFrame([], "source_file string")
+    failed = normalize.failed_groups(run["tasks"].withColumnRenamed("chapter", "grp"), run["tasks"].where("chapter = 1").select(F.col("chapter").alias("grp"), F.lit("failed").alias("status"), F.lit("e").alias("error")), ["grp"])
+    verdict = verify.verdict(checks_of(spark, run), run["a"].where("language_status <> 'verified'"), none, none)
+    splits = align.split_summary(align.with_split(_books(run["parallel"]), F.col("book")))
+    return report.quality_metrics(
+        {s: run[s] for s in "ab"}, {s: run["tasks"] for s in "ab"}, {s: run[f"captures_{s}"] for s in "ab"}, run["audit"], run["parallel"], run["ml"], splits, report.checksums(spark, f"{sf_dir}/region.parquet", []), verdict, none, failed,
+    )
+
+
+def retrieval_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First and last ship date as one text."""
+    return report.retrieval_range(table(spark, sf_dir, "lineitem").select(F.date_format("l_shipdate", "yyyy-MM-dd").alias("retrieved_at")))
 
 
 def ref_duplicate_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,7 +282,7 @@ def ref_duplicate_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 NAMES = """align_status_histogram align_parallel align_audit audit_reason align_ml group_identical_ratio contaminated_groups contamination_flag_join dedup_first_wins duplicate_records
 key_uniqueness repeated_keys hash_split split_summary split_books split_integrity holdout_split uncertain_groups empty_segments failed_groups schema_errors error_samples spot_checks audit_reconcile
-verify_checks quality_metrics ref_duplicate_audit""".split()
+verify_checks verify_leaked quality_metrics retrieval_range ref_duplicate_audit""".split()
 QUERIES = {n: globals()[n] for n in NAMES}
 
 _CODES = ", ".join(f"'{c}'" for c in refs.COLLECTIONS)
@@ -272,6 +321,26 @@ errors AS (SELECT row_id, unnest(CASE WHEN reference IS NULL THEN ['missing_fiel
   CASE WHEN trim(a_text) = '' THEN 'empty_a' END, CASE WHEN trim(b_text) = '' THEN 'empty_b' END, CASE WHEN a_url = '' THEN 'missing_url_a' END], lambda x: x IS NOT NULL) END) AS error FROM v)"""
 _W = f"WITH {FIXTURE} "
 _STATUSES = ", ".join(f"('{s}')" for s in ALIGNMENT_STATUSES)
+
+
+def _checks_sql(rows: str) -> str:
+    """All checks over the parallel rows ``p``, or over those and some uncertain ones."""
+    pairs = "SELECT * FROM p" if rows == "p" else f"SELECT * FROM p UNION ALL SELECT *, ([{_CODES}])[(grp % 66 + 1)::INT] FROM d WHERE alignment_status = 'language_uncertain' AND grp % 11 = 0 AND has_a AND has_b"
+    faults = FIXTURE[FIXTURE.index("v0 AS"):].replace("FROM p)", "FROM q)")
+    return f"""WITH {FIXTURE[: FIXTURE.index("v0 AS")]} q AS ({pairs}), {faults}, tasks AS (SELECT o_orderkey AS grp FROM orders)
+SELECT s AS "check", count(*) > 0 AS ok, count(*)::VARCHAR AS detail FROM tasks, (VALUES ('manifests_a'), ('manifests_b')) AS t(s) GROUP BY s
+UNION ALL SELECT 'book_mapping', count(DISTINCT grp % 66) = 66, (66 - count(DISTINCT grp % 66))::VARCHAR FROM tasks
+UNION ALL SELECT 'raw_captures_a', count(*) = 0, count(*)::VARCHAR FROM tasks ANTI JOIN a_all USING (grp) UNION ALL SELECT 'raw_captures_b', count(*) = 0, count(*)::VARCHAR FROM tasks ANTI JOIN b_all USING (grp)
+UNION ALL SELECT 'normalized_deduplicated_a', count(*) = count(DISTINCT (grp, seg)), count(*)::VARCHAR FROM a UNION ALL SELECT 'normalized_deduplicated_b', count(*) = count(DISTINCT (grp, seg)), count(*)::VARCHAR FROM b
+UNION ALL SELECT 'parallel_schema', count(*) = 0, count(*)::VARCHAR FROM errors
+UNION ALL SELECT 'ml_schema', count(*) = (SELECT count(*) FROM q) AND bool_and(trim(a_text) <> '' AND trim(b_text) <> ''), count(*)::VARCHAR FROM p
+UNION ALL SELECT 'no_duplicate_ids', count(*) = 0, count(*)::VARCHAR FROM (SELECT id FROM v WHERE regexp_full_match(reference, '[0-9A-Z]{{3}}\\.[0-9]+\\.[0-9]+[a-z]?') AND id IS NOT NULL AND a_text IS NOT NULL AND b_text IS NOT NULL GROUP BY id HAVING count(*) > 1)
+UNION ALL SELECT 'audit_reconciles', count(*) FILTER (alignment_status = 'aligned') = (SELECT count(*) FROM q), (count(*) FILTER (alignment_status = 'aligned'))::VARCHAR FROM audit
+UNION ALL SELECT 'split_whole_books', count(*) = 0, count(*)::VARCHAR FROM (SELECT book FROM q JOIN labels_of ON book = code GROUP BY book HAVING count(DISTINCT split) > 1)
+UNION ALL SELECT 'uncertain_excluded', count(*) = 0, count(*)::VARCHAR FROM q SEMI JOIN (SELECT * FROM audit WHERE alignment_status = 'language_uncertain') USING (grp, seg)
+UNION ALL SELECT 'spot_checks', count(*) = 1, count(*)::VARCHAR FROM (SELECT DISTINCT grp, seg FROM q WHERE grp || '.' || seg = '{SPOTS[0]}')"""
+
+
 SQL = {
     "align_status_histogram": f"{_W} SELECT s AS alignment_status, count(d.alignment_status) AS n FROM (VALUES {_STATUSES}) AS t(s) LEFT JOIN d ON d.alignment_status = s GROUP BY s",
     "align_parallel": f"{_W} SELECT grp, seg, a_text, b_text, same AS identical_text_flag FROM d WHERE alignment_status = 'aligned'",
@@ -298,18 +367,19 @@ SQL = {
     "error_samples": f"{_W} SELECT row_id, error FROM errors ORDER BY row_id, error LIMIT 20",
     "spot_checks": f"{_W} SELECT r AS reference, r IN (SELECT grp || '.' || seg FROM p) AS found FROM (VALUES {', '.join(f"('{s}')" for s in SPOTS)}) AS t(r)",
     "audit_reconcile": f"{_W} SELECT (SELECT count(*) FROM audit WHERE alignment_status = 'aligned') AS audit_aligned, (SELECT count(*) FROM p) AS parallel_rows, true AS ok",
-    "verify_checks": f"""{_W} SELECT 'normalized_deduplicated_a' AS "check", count(*) = count(DISTINCT (grp, seg)) AS ok, count(*)::VARCHAR AS detail FROM a
-UNION ALL SELECT 'normalized_deduplicated_b', count(*) = count(DISTINCT (grp, seg)), count(*)::VARCHAR FROM b
-UNION ALL SELECT 'parallel_schema', count(*) = 0, count(*)::VARCHAR FROM errors
-UNION ALL SELECT 'ml_schema', true, count(*)::VARCHAR FROM p
-UNION ALL SELECT 'no_duplicate_ids', count(*) = 0, count(*)::VARCHAR FROM (SELECT id FROM v WHERE reference IS NOT NULL AND reference <> 'BAD' AND regexp_full_match(reference, '[0-9A-Z]{{3}}\\.[0-9]+\\.[0-9]+[a-z]?') GROUP BY id HAVING count(*) > 1)
-UNION ALL SELECT 'audit_reconciles', count(*) FILTER (alignment_status = 'aligned') = (SELECT count(*) FROM p), (count(*) FILTER (alignment_status = 'aligned'))::VARCHAR FROM audit
-UNION ALL SELECT 'split_whole_books', count(*) = 0, count(*)::VARCHAR FROM (SELECT book FROM sp GROUP BY book HAVING count(DISTINCT split) > 1)
-UNION ALL SELECT 'uncertain_excluded', true, count(*)::VARCHAR FROM p WHERE grp IN (SELECT grp FROM audit WHERE alignment_status = 'language_uncertain')""",
-    "quality_metrics": f"""{_W} SELECT 'segments_a' AS metric, count(*)::VARCHAR AS value FROM a UNION ALL SELECT 'groups_a', count(DISTINCT grp)::VARCHAR FROM a UNION ALL SELECT 'empty_a', (count(*) FILTER (text = ''))::VARCHAR FROM a
-UNION ALL SELECT 'segments_b', count(*)::VARCHAR FROM b UNION ALL SELECT 'groups_b', count(DISTINCT grp)::VARCHAR FROM b UNION ALL SELECT 'empty_b', (count(*) FILTER (text = ''))::VARCHAR FROM b
-UNION ALL SELECT s, count(audit.alignment_status)::VARCHAR FROM (VALUES {_STATUSES}) AS t(s) LEFT JOIN audit ON alignment_status = s GROUP BY s UNION ALL SELECT 'audit_records', count(*)::VARCHAR FROM audit
+    "verify_checks": _checks_sql("p"),
+    "verify_leaked": _checks_sql("leaked"),
+    "quality_metrics": f"""{_W}, tasks AS (SELECT o_orderkey AS grp, ([{_CODES}])[(o_orderkey % 66 + 1)::INT] AS book FROM orders),
+caps AS (SELECT 'a' AS side, grp, bool_or(language_status <> 'verified') AS doubt, count(*) FILTER (text = '') AS blank FROM a_all GROUP BY grp UNION ALL SELECT 'b', grp, bool_or(language_status <> 'verified'), count(*) FILTER (text = '') FROM b_all GROUP BY grp)
+SELECT 'books_discovered_' || s AS metric, count(DISTINCT book)::VARCHAR AS value FROM tasks, (VALUES ('a'), ('b')) AS t(s) GROUP BY s UNION ALL SELECT 'chapters_discovered_' || s, count(*)::VARCHAR FROM tasks, (VALUES ('a'), ('b')) AS t(s) GROUP BY s
+UNION ALL SELECT 'chapters_extracted_' || side, count(*)::VARCHAR FROM caps GROUP BY side UNION ALL SELECT 'segments_normalized_a', count(*)::VARCHAR FROM a UNION ALL SELECT 'segments_normalized_b', count(*)::VARCHAR FROM b
+UNION ALL SELECT m, (SELECT count(*) FROM p)::VARCHAR FROM (VALUES ('aligned_pairs'), ('ml_pairs')) AS t(m)
+UNION ALL SELECT s, count(audit.alignment_status)::VARCHAR FROM (VALUES {_STATUSES}) AS t(s) LEFT JOIN audit ON alignment_status = s WHERE s <> 'aligned' GROUP BY s UNION ALL SELECT 'audit_records', count(*)::VARCHAR FROM audit
+UNION ALL SELECT 'uncertain_chapters', (count(*) FILTER (doubt))::VARCHAR FROM caps UNION ALL SELECT 'empty_segments', sum(blank)::BIGINT::VARCHAR FROM caps
+UNION ALL SELECT 'failed_chapters', count(*)::VARCHAR FROM tasks WHERE grp = 1 UNION ALL SELECT 'unreadable_files', '0' UNION ALL SELECT 'checksummed_files', '1'
 UNION ALL SELECT s || '_segments', count(book)::VARCHAR FROM (VALUES ('train'), ('validation'), ('test')) AS t(s) LEFT JOIN sp ON split = s GROUP BY s
-UNION ALL SELECT 'retrieval_range', strftime(min(l_shipdate), '%Y-%m-%d') || ' to ' || strftime(max(l_shipdate), '%Y-%m-%d') FROM lineitem""",
+UNION ALL SELECT s || '_books', count(DISTINCT book)::VARCHAR FROM (VALUES ('train'), ('validation'), ('test')) AS t(s) LEFT JOIN sp ON split = s GROUP BY s
+UNION ALL SELECT 'verification_ok', (SELECT bool_and(ok) FROM ({_checks_sql("p")}))::VARCHAR UNION ALL SELECT 'verification_complete', ((SELECT bool_and(ok) FROM ({_checks_sql("p")})) AND (SELECT count(*) FROM a WHERE language_status <> 'verified') = 0)::VARCHAR""",
+    "retrieval_range": "SELECT strftime(min(l_shipdate), '%Y-%m-%d') || ' to ' || strftime(max(l_shipdate), '%Y-%m-%d') AS range FROM lineitem",
     "ref_duplicate_audit": f"{_W} SELECT alignment_status, count(*) AS n FROM audit WHERE (grp, seg) IN (SELECT (grp, seg) FROM lost) GROUP BY 1",
 }

@@ -12,10 +12,11 @@ from corpusloom.sources.readers import table
 
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as segments: halves of 60 characters as the two texts; status by labels."""
+    """Documents as segments: their halves as the two texts; status by labels."""
     rows = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    half = F.floor(F.length("text") / 2).cast("int")
     status = F.when(F.col("quality").isNull(), "unreviewed").when(F.col("toxic") == 1, "rejected").when(F.col("quality") == 1, "approved").otherwise("corrected")
-    return rows.select(F.col("doc_id").alias("id"), F.concat(F.col("lang"), F.lit("."), F.col("doc_id").cast("string")).alias("ref"), F.substring("text", 1, 60).alias("thadou"), F.substring("text", 61, 60).alias("english"), F.col("source").alias("source_id"), F.lit("unassigned").alias("split"), status.alias("status"), F.lit("").alias("notes"))
+    return rows.select(F.col("doc_id").alias("id"), F.concat(F.col("lang"), F.lit("."), F.col("doc_id").cast("string")).alias("ref"), F.substring(F.col("text"), F.lit(1), half).alias("a_text"), F.substring(F.col("text"), half + 1, F.length("text")).alias("b_text"), F.col("source").alias("source_id"), F.lit("unassigned").alias("split"), status.alias("status"), F.lit("").alias("notes"))
 
 
 def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,13 +34,13 @@ def segment_wildcard_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def segment_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows 20 to 50 of the approved segments, with the total."""
+    """Rows 20 to 50 of the approved segments, with the total: a page is what the service returns."""
     page, total = curate.page(curate.search(segments(spark, sf_dir), status="approved"), 30, 20)
     return page.select("id", "ref", F.lit(total).cast("bigint").alias("total"))
 
 
 def segment_get(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return curate.get(segments(spark, sf_dir), 42).select("id", "ref", "thadou", "english")
+    return curate.get(segments(spark, sf_dir), 42).select("id", "ref", "a_text", "b_text")
 
 
 def segment_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,16 +71,16 @@ def registry_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An import: every third segment again, and others with changed texts."""
     s = segments(spark, sf_dir)
-    changed = F.when(F.col("id") % 3 == 0, F.col("english")).otherwise(F.concat(F.lit("new "), F.col("english")))
-    return s.select("id", F.col("id").alias("line_no"), F.when(F.col("id") % 2 == 0, F.col("ref")).alias("ref"), "thadou", changed.alias("english")).drop("id")
+    changed = F.when(F.col("id") % 3 == 0, F.col("b_text")).otherwise(F.concat(F.lit("new "), F.col("b_text")))
+    return s.select("id", F.col("id").alias("line_no"), F.when(F.col("id") % 2 == 0, F.col("ref")).alias("ref"), "a_text", changed.alias("b_text")).drop("id")
 
 
 def _existing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segments(spark, sf_dir).withColumns({"thadou": normalize_text(F.col("thadou")), "english": normalize_text(F.col("english")), "source_id": F.lit("batch")})
+    return segments(spark, sf_dir).withColumns({"a_text": normalize_text(F.col("a_text")), "b_text": normalize_text(F.col("b_text")), "source_id": F.lit("batch")})
 
 
 def segment_import(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return curate.import_batch(_existing(spark, sf_dir), _batch(spark, sf_dir), "batch", ["line_no"]).select("id", "ref", "thadou", "english", "status")
+    return curate.import_batch(_existing(spark, sf_dir), _batch(spark, sf_dir), "batch", ["line_no"]).select("id", "ref", "a_text", "b_text", "status")
 
 
 def import_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,13 +89,13 @@ def import_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def review_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     none = F.lit(None).cast("string")
-    updates = segments(spark, sf_dir).where("id % 10 = 0").select("id", F.concat(F.lit("  new   "), F.col("id").cast("string")).alias("thadou"), none.alias("english"), F.lit("train").alias("split"), F.when(F.col("id") % 20 == 0, "approved").alias("status"), none.alias("notes"))
-    return curate.review(segments(spark, sf_dir), updates).select("id", "thadou", "split", "status")
+    updates = segments(spark, sf_dir).where("id % 10 = 0").select("id", F.concat(F.lit("  new   "), F.col("id").cast("string")).alias("a_text"), none.alias("b_text"), F.lit("train").alias("split"), F.when(F.col("id") % 20 == 0, "approved").alias("status"), none.alias("notes"))
+    return curate.review(segments(spark, sf_dir), updates).select("id", "a_text", "split", "status")
 
 
 def update_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("id") % 5
-    updates = segments(spark, sf_dir).select("id", F.when(k == 0, " \t ").otherwise("x").alias("thadou"), F.lit("y").alias("english"), F.when(k == 1, "dev").otherwise("train").alias("split"), F.when(k == 2, "maybe").otherwise("approved").alias("status"))
+    updates = segments(spark, sf_dir).select("id", F.when(k == 0, " \t ").otherwise("x").alias("a_text"), F.lit("y").alias("b_text"), F.when(k == 1, "dev").otherwise("train").alias("split"), F.when(k == 2, "maybe").otherwise("approved").alias("status"))
     return curate.check_updates(updates).select("id", "wrong")
 
 
@@ -110,28 +111,28 @@ NAMES = """segment_search segment_wildcard_search segment_page segment_get segme
 translation_directions""".split()
 QUERIES = {n: globals()[n] for n in NAMES}
 
-_SEG = """WITH seg AS (SELECT doc_id AS id, lang || '.' || doc_id AS ref, substr(text, 1, 60) AS thadou, substr(text, 61, 60) AS english, source AS source_id, 'unassigned' AS split,
+_SEG = """WITH seg AS (SELECT doc_id AS id, lang || '.' || doc_id AS ref, substr(text, 1, length(text) // 2) AS a_text, substr(text, length(text) // 2 + 1) AS b_text, source AS source_id, 'unassigned' AS split,
   CASE WHEN quality IS NULL THEN 'unreviewed' WHEN toxic = 1 THEN 'rejected' WHEN quality = 1 THEN 'approved' ELSE 'corrected' END AS status FROM documents LEFT JOIN labels USING (doc_id)),
 src AS (SELECT DISTINCT source AS source_id, 'Source ' || source AS title, CASE regexp_extract(source, '[0-9]+$')::INT % 3 WHEN 0 THEN 'OPEN_LICENSE' WHEN 1 THEN 'PUBLIC_DOMAIN' ELSE 'UNKNOWN' END AS rights_status FROM documents)"""
 _NORM = lambda c: f"trim(regexp_replace(replace(replace(nfc_normalize({c}), chr(160), ' '), chr(8203), ''), '{WS}+', ' ', 'g'), ' ')"
-_IMPORT = f"""{_SEG}, had AS (SELECT {_NORM('thadou')} AS thadou, {_NORM('english')} AS english FROM seg),
-batch AS (SELECT id AS line_no, CASE WHEN id % 2 = 0 THEN ref ELSE '' END AS ref, {_NORM('thadou')} AS thadou, {_NORM("CASE WHEN id % 3 = 0 THEN english ELSE 'new ' || english END")} AS english FROM seg),
-good AS (SELECT * FROM batch WHERE thadou <> '' AND english <> ''),
-fresh AS (SELECT * FROM (SELECT * FROM good QUALIFY row_number() OVER (PARTITION BY thadou, english ORDER BY line_no) = 1) ANTI JOIN had USING (thadou, english)) """
+_IMPORT = f"""{_SEG}, had AS (SELECT {_NORM('a_text')} AS a_text, {_NORM('b_text')} AS b_text FROM seg),
+batch AS (SELECT id AS line_no, CASE WHEN id % 2 = 0 THEN ref ELSE '' END AS ref, {_NORM('a_text')} AS a_text, {_NORM("CASE WHEN id % 3 = 0 THEN b_text ELSE 'new ' || b_text END")} AS b_text FROM seg),
+good AS (SELECT * FROM batch WHERE a_text <> '' AND b_text <> ''),
+fresh AS (SELECT * FROM (SELECT * FROM good QUALIFY row_number() OVER (PARTITION BY a_text, b_text ORDER BY line_no) = 1) ANTI JOIN had USING (a_text, b_text)) """
 SQL = {
-    "segment_search": f"{_SEG} SELECT id, ref, status, source_id FROM seg WHERE (thadou ILIKE '%TH%' OR english ILIKE '%TH%' OR ref ILIKE '%TH%') AND status = 'approved' AND source_id = 'src1'",
-    "segment_wildcard_search": f"{_SEG} SELECT id, ref FROM seg WHERE thadou ILIKE '%en.1_%' OR english ILIKE '%en.1_%' OR ref ILIKE '%en.1_%'",
+    "segment_search": f"{_SEG} SELECT id, ref, status, source_id FROM seg WHERE (a_text ILIKE '%TH%' OR b_text ILIKE '%TH%' OR ref ILIKE '%TH%') AND status = 'approved' AND source_id = 'src1'",
+    "segment_wildcard_search": f"{_SEG} SELECT id, ref FROM seg WHERE a_text ILIKE '%en.1_%' OR b_text ILIKE '%en.1_%' OR ref ILIKE '%en.1_%'",
     "segment_page": f"{_SEG} SELECT id, ref, (SELECT count(*) FROM seg WHERE status = 'approved') AS total FROM seg WHERE status = 'approved' ORDER BY id LIMIT 30 OFFSET 20",
-    "segment_get": f"{_SEG} SELECT id, ref, thadou, english FROM seg WHERE id = 42",
+    "segment_get": f"{_SEG} SELECT id, ref, a_text, b_text FROM seg WHERE id = 42",
     "segment_stats": f"{_SEG} SELECT count(*) AS total, count(*) FILTER (status IN ('approved', 'corrected')) AS reviewed, count(*) FILTER (status = 'unreviewed') AS pending, count(*) FILTER (status = 'rejected') AS rejected, (SELECT count(*) FROM src) AS sources FROM seg",
-    "reviewed_export": f"{_SEG} SELECT id, ref, thadou, english, source_id, status FROM seg WHERE status IN ('approved', 'corrected')",
+    "reviewed_export": f"{_SEG} SELECT id, ref, a_text, b_text, source_id, status FROM seg WHERE status IN ('approved', 'corrected')",
     "source_upsert": f"{_SEG} SELECT source_id, CASE WHEN rights_status = 'UNKNOWN' THEN 'New title' ELSE title END AS title, CASE WHEN rights_status = 'UNKNOWN' THEN 'OPEN_LICENSE' ELSE rights_status END AS rights_status FROM src UNION ALL SELECT 'fresh', 'Fresh', 'UNKNOWN'",
     "source_list": f"{_SEG} SELECT * FROM src",
     "registry_sync": "SELECT 'n' || n_nationkey AS source_id, n_name AS title, 'P' AS provider, '' AS license, CASE WHEN n_nationkey % 2 = 0 THEN 'OPEN_LICENSE' ELSE 'UNKNOWN' END AS rights_status, 'http://x/' AS canonical_url, '' AS notes FROM nation WHERE n_nationkey % 5 <> 0",
-    "segment_import": f"{_IMPORT} SELECT row_number() OVER (ORDER BY line_no) + (SELECT max(id) FROM seg) AS id, ref, thadou, english, 'unreviewed' AS status FROM fresh",
+    "segment_import": f"{_IMPORT} SELECT row_number() OVER (ORDER BY line_no) + (SELECT max(id) FROM seg) AS id, ref, a_text, b_text, 'unreviewed' AS status FROM fresh",
     "import_counts": f"{_IMPORT} SELECT (SELECT count(*) FROM fresh) AS inserted, (SELECT count(*) FROM good) - (SELECT count(*) FROM fresh) AS duplicates",
-    "review_update": f"{_SEG} SELECT id, CASE WHEN id % 10 = 0 THEN 'new ' || id ELSE thadou END AS thadou, CASE WHEN id % 10 = 0 THEN 'train' ELSE split END AS split, CASE WHEN id % 20 = 0 THEN 'approved' ELSE status END AS status FROM seg",
-    "update_validation": f"{_SEG} SELECT id, CASE id % 5 WHEN 0 THEN 'thadou' WHEN 1 THEN 'split' WHEN 2 THEN 'status' END AS wrong FROM seg",
+    "review_update": f"{_SEG} SELECT id, CASE WHEN id % 10 = 0 THEN 'new ' || id ELSE a_text END AS a_text, CASE WHEN id % 10 = 0 THEN 'train' ELSE split END AS split, CASE WHEN id % 20 = 0 THEN 'approved' ELSE status END AS status FROM seg",
+    "update_validation": f"{_SEG} SELECT id, CASE id % 5 WHEN 0 THEN 'a_text' WHEN 1 THEN 'split' WHEN 2 THEN 'status' END AS wrong FROM seg",
     "rights_gate": f"{_SEG} SELECT id, source_id FROM seg JOIN src USING (source_id) WHERE rights_status IN ({', '.join(f"'{r}'" for r in PUBLIC_RIGHTS)})",
     "translation_directions": "SELECT * FROM (VALUES ('a-b', 'a', 'b'), ('b-a', 'b', 'a')) AS t(direction, source, target)",
 }

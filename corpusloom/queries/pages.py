@@ -28,18 +28,28 @@ def html_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.groupBy("page_id").agg(F.count("*").alias("links"), F.countDistinct("e.href").alias("distinct_links"))
 
 
+def _words() -> F.Column:
+    """All words of a page's text."""
+    return F.filter(F.split(F.regexp_replace("html", "<[^>]*>|[^a-zA-Z ]", " "), " +"), lambda w: w != "")
+
+
+def _title() -> F.Column:
+    return F.trim(F.regexp_extract("html", "<title>([^<]*)", 1))
+
+
 def _chapter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chapter pages made around the pages' titles: spans with labels, notes and split contents."""
+    """Chapter pages made of all the pages' words, in up to 12 verses, with labels, notes and split contents."""
     n = (F.col("page_id") % 30 + 1).cast("int")
-    words = F.filter(F.split(F.regexp_replace("html", "<[^>]*>|[^a-zA-Z ]", " "), " +"), lambda w: w != "")
+    size = F.greatest(F.lit(1), F.ceil(F.size("words") / 12)).cast("int")
+    verses = F.transform(F.sequence(F.lit(1), F.ceil(F.size("words") / size).cast("int"), F.lit(1)), lambda i: F.array_join(F.slice("words", (i - 1) * size + 1, size), " "))
     ref = lambda i: F.concat(F.lit("GEN."), n.cast("string"), F.lit("."), i.cast("string"))
     span = lambda w, i: F.concat(
         F.lit('<span class="x__verse" data-usfm="'), ref(i + 1), F.lit('"><span class="x__label">'), (i + 1).cast("string"), F.lit('</span><span class="x__content">'), w,
         F.lit('</span><span class="x__note"><span class="x__ref" data-usfm="'), ref(i + 1), F.lit('">n</span></span><span class="x__content"> tail</span></span>'),
     )
-    body = F.array_join(F.transform(F.slice(words, 1, 12), span), "")
+    body = F.when(F.size("words") > 0, F.array_join(F.transform(verses, span), "")).otherwise("")
     page = F.concat(F.lit('<html lang="en"><head><title>Genesis '), n.cast("string"), F.lit(' | XYZ Bible - App</title></head><body><h1>Genesis</h1><a href="/versions/111">v</a><div class="x__chapter" data-usfm="GEN.'), n.cast("string"), F.lit('"><div class="x__label">'), n.cast("string"), F.lit("</div>"), body, F.lit("</div></body></html>"))
-    return table(spark, sf_dir, "pages").select("page_id", F.lit("GEN").alias("book_code"), n.alias("chapter"), words.alias("words"), page.alias("html"))
+    return table(spark, sf_dir, "pages").select("page_id", F.lit("GEN").alias("book_code"), n.alias("chapter"), _words().alias("words")).withColumn("html", page)
 
 
 def html_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,44 +72,52 @@ def chapter_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def version_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Collections of version pages: chapters by sorted links, with their headers."""
+    """Collections of version pages (the pages with links of chapters behind): chapters by sorted links, with their headers."""
     link = lambda code, mid: F.concat(F.lit(f'<a href="/bible/111/{code}.'), mid, F.lit('.XYZ">x</a>'))
     n = (F.col("page_id") % 5 + 1).cast("int")
     links = lambda code: F.array_join(F.transform(F.sequence(F.lit(1), n), lambda i: link(code, i.cast("string"))), "")
-    page = F.concat(F.lit("<h2>Old Testament</h2><h3>Genesis</h3>"), link("GEN", F.lit("INTRO1")), links("GEN"), link("GEN", F.lit("1")), F.lit("<h2>New Testament</h2>"), links("MAT"), F.lit("<h3>Mark</h3>"), links("MRK"))
+    page = F.concat(F.col("html"), F.lit("<h2>Old Testament</h2><h3>Genesis</h3>"), link("GEN", F.lit("INTRO1")), links("GEN"), link("GEN", F.lit("1")), F.lit("<h2>New Testament</h2>"), links("MAT"), F.lit("<h3>Mark</h3>"), links("MRK"))
     found = extract.books(extract.version_page(table(spark, sf_dir, "pages").select("page_id", page.alias("html")), "111"))
     return found.select("page_id", "code", "name", "testament", F.array_join("chapters", ",").alias("chapters"), F.col("intro_url").isNotNull().alias("has_intro"))
 
 
 def single_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Verses of one-page editions."""
+    """Verses of one-page editions; all words of the page are in one of them."""
     k = F.col("page_id").cast("string")
-    page = F.concat(F.lit("menu 1 none\n<a>Genesis 1</a>\n1 In "), k, F.lit("&amp;\n2 And\n2 more\n<a>Genesis 2</a>\n1 Then\n<a>Exodus 1</a>\n1 Now"))
+    page = F.concat(F.lit("menu 1 none\n<a>Genesis 1</a>\n1 In "), k, F.lit("&amp;\n2 And\n2 more "), F.array_join(_words(), " "), F.lit("\n<a>Genesis 2</a>\n1 Then\n<a>Exodus 1</a>\n1 Now"))
     return extract.single_page(table(spark, sf_dir, "pages").select("page_id", page.alias("html")))
 
 
 def page_book_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages' own titles as names, in the title or else in the heading."""
     k = F.col("page_id") % 3
-    title = F.when(k == 0, F.concat(F.lit("Matthew "), F.col("page_id").cast("string"), F.lit(" | XYZ Bible"))).when(k == 1, "The Beginning - App").otherwise("")
-    h1 = F.concat(F.lit("1 John "), F.col("page_id").cast("string"))
-    return table(spark, sf_dir, "pages").select("page_id", tx.page_book_name(title, h1).alias("name"))
+    numbered = F.concat(_title(), F.lit(" "), F.col("page_id").cast("string"))
+    title = F.when(k == 0, F.concat(numbered, F.lit(" | XYZ Bible"))).when(k == 1, "The Beginning - App").otherwise("")
+    return table(spark, sf_dir, "pages").select("page_id", tx.page_book_name(title, F.when(k != 0, numbered).otherwise("")).alias("name"))
 
 
 def title_version_code(spark: SparkSession, sf_dir: str) -> DataFrame:
-    title = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("Matthew 1 |  V"), F.col("page_id").cast("string"), F.lit(" Bible - App"))).otherwise("No code - App")
+    """Codes behind the pages' own titles."""
+    title = F.when(F.col("page_id") % 2 == 0, F.concat(_title(), F.lit(" 1 |  V"), F.col("page_id").cast("string"), F.lit(" Bible - App"))).otherwise(F.concat(_title(), F.lit(" - App")))
     return table(spark, sf_dir, "pages").select("page_id", tx.title_code(title).alias("code"))
 
 
 def url_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    url = F.concat(F.lit(f"{ROOT}/"), (F.col("page_id") % 3 + 110).cast("string"), F.lit("/GEN.1.X"), F.when(F.col("page_id") % 2 == 0, "/").otherwise(""))
+    """The paths of the pages' addresses below those of versions."""
+    path = F.regexp_extract("url", "^[^:]*://[^/]*(/[^?#]*)", 1)
+    url = F.concat(F.lit(f"{ROOT}/"), (F.col("page_id") % 3 + 110).cast("string"), F.lit("/GEN.1.X"), path, F.when(F.col("page_id") % 2 == 0, "/").otherwise(""))
     links = F.array(F.lit("/versions/11"), F.concat(F.lit("/versions/"), (F.col("page_id") % 4 + 109).cast("string"), F.lit("-x")))
-    found = extract.url_checks(url, F.lit(f"{ROOT}/111/GEN.1.X"), F.lit(None).cast("string"), links, "111", ROOT)
+    found = extract.url_checks(url, F.concat(F.lit(f"{ROOT}/111/GEN.1.X"), path), F.when(F.col("page_id") % 5 > 0, F.col("url")).otherwise(F.concat(F.lit(f"{ROOT}/111/GEN.1.X"), path)), links, "111", ROOT)
     return table(spark, sf_dir, "pages").select("page_id", *(v.alias(k) for k, v in found.items()))
 
 
+TABLES = "benchmark conversations customer documents embeddings events labels lineitem orders pages part supplier nation region".split()
+
+
 def file_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Checksums of two files of the tables' folder."""
-    out = report.checksums(spark, f"{sf_dir}/nation.parquet", [f"{sf_dir}/region.parquet"])
+    """Checksums of all files of the tables' folder, the last two as final ones."""
+    paths = [f"{sf_dir}/{t}.parquet" for t in TABLES]
+    out = report.checksums(spark, paths[:-2], paths[-2:])
     return out.select("class", "ord", F.element_at(F.split("path", "/"), -1).alias("file"), "sha256")
 
 
@@ -107,15 +125,20 @@ NAMES = "html_page_meta html_lang html_links html_spans chapter_validation versi
 QUERIES = {n: globals()[n] for n in NAMES}
 
 _WORDS = "list_filter(regexp_split_to_array(regexp_replace(html, '<[^>]*>|[^a-zA-Z ]', ' ', 'g'), ' +'), lambda w: w <> '')"
+_TITLE = "trim(regexp_extract(html, '<title>([^<]*)', 1), ' ')"
 _K = "page_id % 7"
 SQL = {
     "html_lang": "SELECT page_id, regexp_extract(html, '<html lang=\"([^\"]*)\"', 1) AS lang FROM pages",
-    "html_spans": f"SELECT page_id, 'GEN.' || (page_id % 30 + 1) || '.' || i AS usfm, i::VARCHAR AS label, 2 AS parts, w[i] || ' tail' AS text FROM (SELECT page_id, w, unnest(generate_series(1, least(12, len(w)))) AS i FROM (SELECT page_id, {_WORDS} AS w FROM pages))",
+    "html_spans": f"""SELECT page_id, 'GEN.' || (page_id % 30 + 1) || '.' || i AS usfm, i::VARCHAR AS label, 2 AS parts, array_to_string(w[(i - 1) * k + 1 : i * k], ' ') || ' tail' AS text
+FROM (SELECT page_id, w, k, unnest(generate_series(1, ceil(len(w) / k)::BIGINT)) AS i FROM (SELECT page_id, w, greatest(1, ceil(len(w) / 12))::BIGINT AS k FROM (SELECT page_id, {_WORDS} AS w FROM pages)))""",
     "version_page": """SELECT page_id, code, name, testament, array_to_string(generate_series(1, page_id % 5 + 1), ',') AS chapters, code = 'GEN' AS has_intro FROM pages, (VALUES ('GEN', 'Genesis', 'Old Testament'), ('MAT', NULL, 'New Testament'), ('MRK', 'Mark', 'New Testament')) AS t(code, name, testament)""",
-    "single_page": """SELECT page_id, book_index::BIGINT AS book_index, chapter, verse, CASE WHEN text = 'In' THEN 'In ' || page_id || '&' ELSE text END AS text FROM pages, (VALUES (0, 1, 1, 'In'), (0, 1, 2, 'And more'), (0, 2, 1, 'Then'), (1, 1, 1, 'Now')) AS t(book_index, chapter, verse, text)""",
-    "page_book_name": "SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'Matthew' ELSE '1 John' END AS name FROM pages",
+    "single_page": f"""SELECT page_id, book_index::BIGINT AS book_index, chapter, verse, CASE WHEN text = 'In' THEN 'In ' || page_id || '&' WHEN text = 'And more' THEN trim('And more ' || array_to_string({_WORDS}, ' '), ' ') ELSE text END AS text
+FROM pages, (VALUES (0, 1, 1, 'In'), (0, 1, 2, 'And more'), (0, 2, 1, 'Then'), (1, 1, 1, 'Now')) AS t(book_index, chapter, verse, text)""",
+    "page_book_name": f"SELECT page_id, nullif({_TITLE}, '') AS name FROM pages",
     "title_version_code": "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'V' || page_id END AS code FROM pages",
-    "url_checks": "SELECT page_id, page_id % 3 = 1 AS url_version_id, page_id % 3 = 1 AS url_matches_expected, false AS canonical_matches, page_id % 4 = 2 AS version_link_present FROM pages",
+    "url_checks": "SELECT page_id, page_id % 3 = 1 AS url_version_id, page_id % 3 = 1 AS url_matches_expected, page_id % 5 = 0 AS canonical_matches, page_id % 4 = 2 AS version_link_present FROM pages",
+    "html_links": "SELECT page_id, len(links)::BIGINT AS links, len(list_distinct(links))::BIGINT AS distinct_links FROM (SELECT page_id, regexp_extract_all(regexp_replace(html, '<!--.*?-->|<script>.*?</script>', '', 'gs'), '<a href=\"([^\"]*)\"', 1) AS links FROM pages) WHERE len(links) > 0",
+    "html_page_meta": f"SELECT page_id, nullif(replace(replace(replace(replace({_TITLE}, '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&amp;', '&'), '') AS title, regexp_extract(html, '<html lang=\"([^\"]*)\"', 1) AS lang, 0 AS version_links FROM pages",
     "chapter_validation": f"""SELECT page_id, CASE WHEN f = '' THEN 'verified' ELSE 'LANGUAGE_UNCERTAIN' END AS status, f AS failing, array_to_string(list_filter([CASE WHEN {_K} <> 5 THEN 'version_metadata' END, CASE WHEN {_K} <> 2 THEN 'page_metadata' END, CASE WHEN {_K} <> 4 AND n > 0 THEN 'DOM_context' END], lambda x: x IS NOT NULL), ',') AS method
 FROM (SELECT page_id, n, CASE {_K} WHEN 2 THEN 'canonical_matches' WHEN 3 THEN 'has_text_content,text_coverage_ok' WHEN 4 THEN 'book_name_matches' WHEN 5 THEN 'title_version_consistent' ELSE '' END AS f FROM (SELECT page_id, len({_WORDS}) AS n FROM pages))""",
 }

@@ -77,14 +77,14 @@ def merge_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def group_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of a source and thousand as spans of one reference."""
-    parts = F.transform(F.slice(F.split("text", "\n", -1), 1, 2), lambda x, i: F.struct(x.alias("text"), (i == 1).alias("note_before")))
+    parts = F.transform(F.split("text", "\n", -1), lambda x, i: F.struct(x.alias("text"), (i == 1).alias("note_before")))
     label = F.when(F.col("doc_id") % 2 == 0, "").otherwise(F.col("doc_id").cast("string"))
     spans = docs(spark, sf_dir).select("source", F.floor(F.col("doc_id") / 100).alias("block"), "doc_id", label.alias("label"), parts.alias("parts"))
     return sequence.group_parts(spans, ["source", "block"], "doc_id").select("source", "block", "label", "span_count", "text")
 
 
 def html_unescape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return docs(spark, sf_dir).select("doc_id", tx.unescape(F.concat(F.lit("&lt;&amp;&nbsp;&eacute;"), F.substring("text", 1, 200))).alias("text"))
+    return docs(spark, sf_dir).select("doc_id", tx.unescape(F.concat(F.lit("&lt;&amp;&nbsp;&eacute;"), F.col("text"))).alias("text"))
 
 
 def rounding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,8 +128,8 @@ SQL = {
     "group_parts": f"""SELECT source, block, min(CASE WHEN doc_id = first THEN label END) AS label, count(*) AS span_count,
   list_reduce(list_prepend({{'t': '', 'note': false}}, flatten(list(parts ORDER BY doc_id))), lambda acc, x: {_PART}).t AS text
 FROM (SELECT *, min(doc_id) FILTER (label IS NOT NULL) OVER (PARTITION BY source, block) AS first FROM (SELECT source, doc_id // 100 AS block, doc_id, CASE WHEN doc_id % 2 <> 0 THEN doc_id::VARCHAR END AS label,
-  list_transform(string_split(text, chr(10))[1:2], lambda s, i: {{'t': s, 'note': i = 2}}) AS parts FROM documents)) GROUP BY source, block""",
-    "html_unescape": "SELECT doc_id, '<& é' || replace(replace(substr(text, 1, 200), chr(65533), chr(39)), chr(160), ' ') AS text FROM documents",
+  list_transform(string_split(text, chr(10)), lambda s, i: {{'t': s, 'note': i = 2}}) AS parts FROM documents)) GROUP BY source, block""",
+    "html_unescape": "SELECT doc_id, '<& é' || replace(replace(text, chr(65533), chr(39)), chr(160), ' ') AS text FROM documents",
     "rounding": "SELECT k, round_even(k / 256, 4) AS rounded FROM (SELECT unnest(generate_series(1, 199))::BIGINT AS k)",
     "label_checks": "SELECT doc_id, doc_id % 3 = 0 AS bracketed, CASE WHEN doc_id % 3 = 1 THEN 0 ELSE doc_id END::INT AS number FROM documents",
 }

@@ -10,7 +10,7 @@ CAPTURE = """version string, version_id int, version_code string, book_code stri
 page struct<title:string,url:string,canonical:string,og_url:string,lang:string,h1:string,version_links:array<string>>, chapter_label string, heading string, selector_fallback boolean,
 navigation_attempts int, anomalies array<string>, language_verification struct<status:string,failing:array<string>>, verse_count int,
 verses array<struct<verse:string,reference:string,label:string,text:string,span_count:int,parts:array<struct<text:string,note_before:boolean>>>>"""
-CURATED = "id bigint, ref string, thadou string, english string, source_id string, split string, status string, notes string, created_at timestamp, updated_at timestamp"
+CURATED = "id bigint, ref string, a_text string, b_text string, source_id string, split string, status string, notes string, created_at timestamp, updated_at timestamp"
 SOURCE = "source_id string, title string, provider string, license string, rights_status string, canonical_url string, notes string"
 SFT = "messages array<struct<role:string,content:string>>"
 

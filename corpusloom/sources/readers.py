@@ -66,12 +66,16 @@ def tsv(spark: SparkSession, path: str, required: set[str], optional: dict[str,
     return out
 
 
-def authorized(spark: SparkSession, path: str) -> DataFrame:
-    return tsv(spark, path, {"ref", "thadou", "english"})
+#: The sides' columns in files of the authorized format.
+SIDE_COLUMNS = {"thadou": "a_text", "english": "b_text"}
+
+
+def authorized(spark: SparkSession, path: str, names: dict[str, str] | None = None) -> DataFrame:
+    return tsv(spark, path, {"ref", "a_text", "b_text"}, names=names or SIDE_COLUMNS)
 
 
 def import_file(spark: SparkSession, path: str, names: dict[str, str] | None = None) -> DataFrame:
-    return tsv(spark, path, {"thadou", "english"}, {"ref": ""}, names)
+    return tsv(spark, path, {"a_text", "b_text"}, {"ref": ""}, names or SIDE_COLUMNS)
 
 
 def within(root: str, path: str) -> Path:
@@ -85,7 +89,7 @@ def within(root: str, path: str) -> Path:
 
 
 def registry(spark: SparkSession, path: str) -> DataFrame:
-    """Source rows of a registry file: a list, or an object with ``sources``; a file that can't be read gives none."""
+    """Source rows of a registry file (a small one, which the driver reads): a list, or an object with ``sources``; a file that can't be read gives none."""
     try:
         content = json.loads("\n".join(r.value for r in spark.read.text(path).collect()))
         found = content.get("sources", []) if isinstance(content, dict) else content

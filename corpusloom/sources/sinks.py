@@ -42,6 +42,12 @@ def chapter_manifest(books: DataFrame, root: str, path: str) -> None:
     jsonl(one.select("version", "book", "book_code", "chapter", url.alias("url"), F.lit("discovered").alias("status")), path)
 
 
+def book_manifest(books: DataFrame, header: dict, path: str) -> None:
+    """One JSON object for a side: its header, the number of its collections, and a row for each (code, name, testament, chapters, intro_url), of which there are dozens."""
+    rows = books.select("code", "name", "testament", F.size("chapters").alias("chapter_count"), "intro_url").orderBy("code").collect()
+    small_json({**header, "book_count": len(rows), "books": [r.asDict() for r in rows]}, path)
+
+
 def metrics_csv(metrics: DataFrame, path: str) -> None:
     metrics.select("metric", "value").coalesce(1).write.mode("overwrite").csv(path, header=True)
 

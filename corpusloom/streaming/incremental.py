@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.operators import curate
 from corpusloom.sources.readers import exists
 
-BATCH = "ref string, thadou string, english string, line_no bigint"
+BATCH = "ref string, a_text string, b_text string, line_no bigint"
 
 
 def import_new_files(spark: SparkSession, incoming: str, target: str, checkpoint: str, source_id: str) -> None:
@@ -20,7 +20,7 @@ def import_new_files(spark: SparkSession, incoming: str, target: str, checkpoint
 
     def insert(batch: DataFrame, number: int) -> None:
         folders = f"{target}/batch=*"
-        known = "id bigint, ref string, thadou string, english string, source_id string, split string, status string"
+        known = "id bigint, ref string, a_text string, b_text string, source_id string, split string, status string"
         had = spark.read.schema(known).option("basePath", target).parquet(folders).where(F.col("batch") != number).drop("batch") if exists(spark, folders) else spark.createDataFrame([], known)
         new = curate.import_batch(had, batch, source_id, ["line_no", "ref"])
         new.write.mode("overwrite").parquet(f"{target}/batch={number}")

@@ -33,7 +33,7 @@ def test_entry(spark):
 
 
 def test_every_query_but_rows_only_ones_has_sql():
-    assert set(catalog.QUERIES) - set(catalog.SQL) == {"html_page_meta", "html_links", "file_checksums"}
+    assert set(catalog.QUERIES) - set(catalog.SQL) == {"file_checksums"}
     assert set(catalog.SQL) <= set(catalog.QUERIES)
 
 
@@ -65,3 +65,10 @@ def test_the_rest_works_without_the_optional_folders(tmp_path):
             (tmp_path / "copy" / name).unlink()
         out = subprocess.run([sys.executable, "-c", said], cwd=tmp_path / "copy", capture_output=True, text=True, check=True)
         assert out.stdout.split() == ["True", "True"]
+
+
+def test_file_checksums(spark):
+    import hashlib
+
+    out = {r.file: r.sha256 for r in catalog.QUERIES["file_checksums"](spark, SF).collect()}
+    assert out == {os.path.basename(f): hashlib.sha256(Path(f).read_bytes()).hexdigest() for f in glob.glob(f"{SF}/*.parquet")}

@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
+from corpusloom.functions.text import now_iso
 from corpusloom.operators import curate, dedup, discovery, extract, sequence, tasks, training
 
 
@@ -39,7 +42,7 @@ def test_record_errors(spark):
 
 
 def segments(spark):
-    return spark.createDataFrame([(1, "GEN 1:1", "abc", "one", "s", "train", "approved", ""), (2, "GEN 1:2", "xAb", "two", "t", "train", "unreviewed", "")], "id bigint, ref string, thadou string, english string, source_id string, split string, status string, notes string")
+    return spark.createDataFrame([(1, "GEN 1:1", "abc", "one", "s", "train", "approved", ""), (2, "GEN 1:2", "xAb", "two", "t", "train", "unreviewed", "")], "id bigint, ref string, a_text string, b_text string, source_id string, split string, status string, notes string")
 
 
 def test_curation(spark):
@@ -53,15 +56,33 @@ def test_curation(spark):
             curate.page(s, *bad)
     with pytest.raises(LookupError):
         curate.get(s, 9)
-    batch = spark.createDataFrame([(1, "abc ", "one", None), (2, "new", "n​ew", "r"), (3, "new", "new", "r2"), (4, "", "x", "")], "line_no bigint, thadou string, english string, ref string")
+    batch = spark.createDataFrame([(1, "abc ", "one", None), (2, "new", "n​ew", "r"), (3, "new", "new", "r2"), (4, "", "x", "")], "line_no bigint, a_text string, b_text string, ref string")
     fresh = curate.import_batch(s, batch, "s", ["line_no"])
-    assert [(r.id, r.thadou, r.english, r.status) for r in fresh.collect()] == [(3, "new", "new", "unreviewed")]
+    assert [(r.id, r.a_text, r.b_text, r.status) for r in fresh.collect()] == [(3, "new", "new", "unreviewed")]
     assert tuple(curate.import_counts(batch, fresh).first()) == (1, 2)
-    updates = spark.createDataFrame([(2, "  n  ", None, None, "corrected", None)], "id bigint, thadou string, english string, split string, status string, notes string")
-    assert tuple(curate.review(s, updates).where("id = 2").select("thadou", "english", "status").first()) == ("n", "two", "corrected")
+    updates = spark.createDataFrame([(2, "  n  ", None, None, "corrected", None)], "id bigint, a_text string, b_text string, split string, status string, notes string")
+    assert tuple(curate.review(s, updates).where("id = 2").select("a_text", "b_text", "status").first()) == ("n", "two", "corrected")
     assert curate.export_reviewed(s).count() == 1
 
 
+def test_updates_are_stamped(spark):
+    """A review and a change of state carry the time; what isn't changed keeps its own."""
+    old = "2001-01-01 00:00:00"
+    s = segments(spark).withColumn("updated_at", F.lit(old).cast("timestamp"))
+    out = {r.id: str(r.updated_at) for r in curate.review(s, spark.createDataFrame([(2, "n", None, None, "corrected", None)], "id bigint, a_text string, b_text string, split string, status string, notes string")).collect()}
+    assert out[1].startswith("2001") and not out[2].startswith("2001")
+    state = spark.createDataFrame([("k1", "verified", "t"), ("k2", "failed", "t")], "k string, status string, updated_at string")
+    found = {r.k: r.updated_at for r in tasks.upsert_state(state, spark.createDataFrame([("k2", "verified"), ("k3", None)], "k string, status string"), ["k"]).collect()}
+    stamp = spark.range(1).select(now_iso().alias("t")).first().t
+    assert found["k1"] == "t" and found["k2"][:13] == found["k3"][:13] == stamp[:13] and re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\+00:00", stamp)
+
+
+def test_duplicates_of_null_keys_and_equal_rows(spark):
+    rows = spark.createDataFrame([(None, 2, "b"), (None, 1, "a"), ("k", 1, "x"), ("k", 1, "x"), ("k", 1, "x"), ("z", 1, "y"), ("", None, "n"), ("", 3, "m")], "k string, o int, s string")
+    out = sorted((r.k or "", r.kept, r.dropped) for r in dedup.duplicates(rows, ["k"], [F.col("o")], "s").collect())
+    assert out == [("", "a", "b"), ("", "n", "m"), ("k", "x", "x"), ("k", "x", "x")]
+
+
 def test_upsert_overwrites_all_columns(spark):
     had = spark.createDataFrame([("a", "x"), ("b", "y")], "source_id string, title string")
     new = spark.createDataFrame([("b", None), ("c", "z")], "source_id string, title string")

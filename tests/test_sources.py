@@ -44,7 +44,7 @@ def test_tsv(spark, tmp_path):
     (tmp_path / "u.tsv").write_text("left\tright\nx\ty\n")
     with pytest.raises(ValueError):
         readers.import_file(spark, str(tmp_path / "u.tsv"))
-    assert tuple(readers.import_file(spark, str(tmp_path / "u.tsv"), {"left": "thadou", "right": "english"}).select("thadou", "english", "ref").first()) == ("x", "y", "")
+    assert tuple(readers.import_file(spark, str(tmp_path / "u.tsv"), {"left": "a_text", "right": "b_text"}).select("a_text", "b_text", "ref").first()) == ("x", "y", "")
 
 
 def test_registry_and_small_json(spark, tmp_path):
@@ -115,6 +115,19 @@ def test_chapter_manifest(spark, tmp_path):
     assert {r.url for r in readers.jsonl(spark, str(tmp_path / "manifest"), schemas.CHAPTER_TASK).collect()} == {"http://r/1/GEN.1.V", "http://r/1/GEN.2.V"}
 
 
+def test_book_manifest(spark, tmp_path):
+    books = spark.createDataFrame([("MRK", "Mark", "New Testament", [1, 2], None), ("GEN", "Genesis", "Old Testament", [1], "u")], "code string, name string, testament string, chapters array<int>, intro_url string")
+    sinks.book_manifest(books, {"version": "A", "version_id": 1}, str(tmp_path / "books.json"))
+    found = readers.small_json(spark, str(tmp_path / "books.json"))
+    assert (found["version"], found["book_count"]) == ("A", 2) and found["books"][1] == {"code": "MRK", "name": "Mark", "testament": "New Testament", "chapter_count": 2, "intro_url": None}
+
+
+def test_source_markdown(spark):
+    files = spark.createDataFrame([(0, 0, "/x/raw.json", "s0"), (1, 1, "/x/b.jsonl", "s2"), (1, 0, "/x/a.jsonl", "s1")], "class int, ord int, path string, sha256 string")
+    out = report.source_markdown("Sources", [{"side": "a", "version_id": 1, "publisher": "P|Q"}], spark.createDataFrame([("m", "1")], "metric string, value string"), files, ["No public release."])
+    assert "| a | 1 |  |  |  | P\\|Q |" in out and out.index("| a.jsonl | s1 |") < out.index("| b.jsonl | s2 |") and "raw.json" not in out and out.endswith("* No public release.\n")
+
+
 def test_checksums_and_markdown(spark, tmp_path):
     for name in ("b.json", "a.json", ".c.json", "d._x.json"):
         (tmp_path / name).write_text(name)
@@ -156,10 +169,10 @@ def test_incremental_import(spark, tmp_path):
         import_new_files(spark, str(incoming), str(tmp_path / "out"), str(tmp_path / "cp"), "s")
         return spark.read.parquet(str(tmp_path / "out")).orderBy("id").collect()
 
-    (incoming / "1.json").write_text('{"ref":"r","thadou":"a","english":"b","line_no":1}\n{"ref":"r","thadou":"a","english":"b","line_no":2}\n')
-    assert [(r.id, r.thadou) for r in run()] == [(1, "a")]
-    (incoming / "2.json").write_text('{"ref":"r","thadou":"a","english":"b","line_no":1}\n{"ref":"r","thadou":"c","english":"d","line_no":2}\n')
-    assert [(r.id, r.thadou) for r in run()] == [(1, "a"), (2, "c")]
+    (incoming / "1.json").write_text('{"ref":"r","a_text":"a","b_text":"b","line_no":1}\n{"ref":"r","a_text":"a","b_text":"b","line_no":2}\n')
+    assert [(r.id, r.a_text) for r in run()] == [(1, "a")]
+    (incoming / "2.json").write_text('{"ref":"r","a_text":"a","b_text":"b","line_no":1}\n{"ref":"r","a_text":"c","b_text":"d","line_no":2}\n')
+    assert [(r.id, r.a_text) for r in run()] == [(1, "a"), (2, "c")]
     assert len(run()) == 2
 
 
