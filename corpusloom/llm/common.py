@@ -3,9 +3,6 @@
 from __future__ import annotations
 
 import math
-import re
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -14,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from corpusloom.plans.storage import checkpoint, scratch, shared_folder  # noqa: F401
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 #: Bytes that separate words written as ``[^\x20\x09-\x0D]+``.
@@ -46,38 +45,6 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """URI of the folder that driver and executors share, named in ``spark.checkpoint.dir``.
-
-    Without that setting a session on this machine alone gets a folder of its own; on a cluster it is an error.
-    """
-    context = spark.sparkContext
-    found = context._jsc.sc().getCheckpointDir()
-    if found.isEmpty():
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if not named and not re.fullmatch(r"local(\[.*\])?", context.master):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="corpusloom-"))
-        found = context._jsc.sc().getCheckpointDir()
-    return found.get()
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """URI of a new folder in the shared one, which goes when the session's JVM ends."""
-    folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    store.mkdirs(path)
-    store.deleteOnExit(path)
-    return folder
-
-
-def checkpoint(df: DataFrame) -> DataFrame:
-    """``df`` cut from its lineage in the shared folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def plus(df: DataFrame, ddl: str) -> StructType:
     """The schema of ``df`` with further fields."""
     return StructType([*df.schema.fields, *StructType.fromDDL(ddl).fields])

@@ -52,16 +52,16 @@ def grams(text: Column, order: int) -> Column:
     return F.transform(F.sequence(F.lit(1), F.length(text) + 1), lambda i: F.substring(padded, i, F.lit(order + 1)))
 
 
-def log_ratios(counted: DataFrame, order: int) -> DataFrame:
+def log_ratios(counted: DataFrame, order: int, few: bool) -> DataFrame:
     """``gram`` and ``ratio``: millionths of ln P(last | before, accepted) - ln P(last | before, rejected).
 
-    ``counted`` holds each full gram with its counts ``a`` and ``r``.
+    ``counted`` holds each full gram with its counts ``a`` and ``r``; if they are ``few``, the model is broadcast, so that a short frequent context meets in no one task.
     """
     suffixes = counted.select("gram", "a", "r", F.explode(F.sequence(F.lit(1), F.lit(order + 1))).alias("n")).withColumn("tail", F.expr("right(gram, n)"))
     tails = suffixes.groupBy("tail").agg(F.sum("a").alias("a"), F.sum("r").alias("r")).withColumn("context", F.expr("left(tail, length(tail) - 1)"))
     contexts = tails.groupBy("context").agg(F.sum("a").alias("all_a"), F.count_if(F.col("a") > 0).alias("kinds_a"), F.sum("r").alias("all_r"), F.count_if(F.col("r") > 0).alias("kinds_r"))
-    model = tails.join(contexts, "context").select("tail", F.struct(F.length("tail").alias("n"), "a", "all_a", "kinds_a", "r", "all_r", "kinds_r").alias("level"))
-    levels = suffixes.select("gram", "tail").join(model, "tail").groupBy("gram").agg(F.array_sort(F.collect_list("level")).alias("levels"))
+    model = tails.join(F.broadcast(contexts) if few else contexts, "context").select("tail", F.struct(F.length("tail").alias("n"), "a", "all_a", "kinds_a", "r", "all_r", "kinds_r").alias("level"))
+    levels = suffixes.select("gram", "tail").join(F.broadcast(model) if few else model, "tail").groupBy("gram").agg(F.array_sort(F.collect_list("level")).alias("levels"))
 
     def chance(k: str) -> Column:
         def step(p: Column, x: Column) -> Column:
@@ -92,8 +92,11 @@ def threshold(scored: DataFrame) -> float:
     return at
 
 
-def judge(pages: DataFrame, rules: list[tuple[str, str]], order: int = 4, url: str = "url") -> DataFrame:
-    """``pages`` with ``host``, ``path``, ``rule``, ``verdict`` and the model's ``score`` (null where a rule decides), in place of any such columns."""
+def judge(pages: DataFrame, rules: list[tuple[str, str]], order: int = 4, url: str = "url", broadcast_grams: int = 200_000) -> DataFrame:
+    """``pages`` with ``host``, ``path``, ``rule``, ``verdict`` and the model's ``score`` (null where a rule decides), in place of any such columns.
+
+    Tables of a model of up to ``broadcast_grams`` grams (of ``order`` + 1 characters and seven numbers) are broadcast; larger ones are joined by shuffling.
+    """
     pages = pages.drop("host", "path", "rule", "verdict", "score")
     parsed = pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
     found = longest_rule(rules, F.col("host"), F.col("path"))
@@ -103,7 +106,9 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], order: int = 4, url: s
     exploded = urls.withColumn("kept_out", kept_out).select("*", F.explode(grams(F.concat("host", "path"), order)).alias("gram"))
     teaches = F.col("verdict").isNotNull() & ~F.col("kept_out")
     counted = checkpoint(exploded.groupBy("gram").agg(F.count_if(teaches & (F.col("verdict") == "allow")).alias("a"), F.count_if(teaches & (F.col("verdict") == "block")).alias("r")))
-    asked = exploded.where("verdict is null or kept_out").join(log_ratios(counted, order), "gram")
+    few = counted.count() <= broadcast_grams
+    ratios = checkpoint(log_ratios(counted, order, few))
+    asked = exploded.where("verdict is null or kept_out").join(F.broadcast(ratios) if few else ratios, "gram")
     scored = checkpoint(asked.groupBy("host", "path").agg((F.sum("ratio") / F.count("*") / MICRO).alias("score"), F.first("verdict").alias("verdict")))
     least = threshold(scored.where("verdict is not null"))
     model = scored.where("verdict is null").select("host", "path", "score", F.when(F.col("score") >= least, "allow").otherwise("block").alias("__verdict"))

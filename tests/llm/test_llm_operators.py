@@ -497,16 +497,27 @@ def test_url_rules(spark, url, host, path, rule):
     assert out.verdict == (dict((r, v) for v, r in RULES).get(rule) or "allow")
 
 
-def test_url_model_learns_from_rules(spark):
+@pytest.mark.parametrize("grams", [0, 200_000])
+def test_url_model_learns_from_rules(spark, grams):
     r = random.Random(1)
     word = lambda s: "".join(r.choice(s) for _ in range(8))
     made = [(i, f"http://{word('abc')}.net/{word('abc')}") for i in range(60)] + [(100 + i, f"http://{word('xyz')}.org/fr/{word('xyz')}") for i in range(60)] + [(200 + i, f"http://{word('abc' if i % 2 else 'xyz')}.com/{word('abc' if i % 2 else 'xyz')}") for i in range(40)]
     pages = spark.createDataFrame([*made, made[-1]], "page_id bigint, url string")
-    out = urls.judge(pages, RULES).where("rule is null").collect()
+    out = urls.judge(pages, RULES, broadcast_grams=grams).where("rule is null").collect()
     assert len(out) == 41 and all(x.verdict == ("block" if x.page_id % 2 else "allow") for x in out)
     assert urls.judge(pages.where("false"), RULES).count() == 0
 
 
+def test_urls_that_are_long_or_at_the_threshold(spark):
+    """A very long URL counts whole; where models tell nothing apart, all scores are the threshold and allowed."""
+    long = "http://x.com/" + "ab" * 40_000
+    made = [(1, long), (2, "http://a.net/"), (3, "http://a.org/fr/"), (4, "http://same.com/p"), (4, "http://same.com/p")]
+    out = {x.page_id: x for x in urls.judge(spark.createDataFrame(made, "page_id bigint, url string"), RULES).collect()}
+    assert len(out[1].path) == 80_001 and out[1].verdict in ("allow", "block")
+    alike = [(i, "http://q.com/z") for i in range(3)] + [(9, None)]
+    assert {(x.verdict, x.score) for x in urls.judge(spark.createDataFrame(alike, "page_id bigint, url string"), RULES).collect()} == {("allow", 0.0)}
+
+
 def test_mixing(spark, docs, rows, none):
     assert mixing.mix(none).count() == 0
     frame = spark.range(6000).selectExpr("id as doc_id", "case when id < 5000 then 'big' when id < 5900 then null else 'small' end as source", "'x' as copy", "id as rate", "id as first")
