@@ -141,9 +141,13 @@ def merge_parts(parts: Column) -> Column:
     return F.aggregate(parts, F.lit(""), step)
 
 
+#: Fixed value: how a page title names a version's code.
+TITLE_CODE = r"\|[\x09-\x0D\x20]*([A-Za-z0-9]+)[\x09-\x0D\x20]+Bible\b"
+
+
 def title_code(title: Column) -> Column:
     """The version code that a page title names; null if it names none."""
-    return F.nullif(F.regexp_extract(title, r"\|[\x09-\x0D\x20]*([A-Za-z0-9]+)[\x09-\x0D\x20]+Bible\b", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(title, TITLE_CODE, 1), F.lit(""))
 
 
 def page_book_name(title: Column, h1: Column) -> Column:

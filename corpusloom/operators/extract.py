@@ -20,6 +20,7 @@ from corpusloom.functions.refs import REFERENCE
 from corpusloom.operators import sequence
 from corpusloom.schemas import UNCERTAIN, VERIFIED
 
+#: Thresholds of the language checks, and how many version links a page's record holds.
 MOST_STOP_WORDS_A, LEAST_STOP_WORDS_B, LEAST_COVERAGE = 0.55, 0.25, 0.90
 MOST_VERSION_LINKS = 10
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -96,6 +97,7 @@ def parse(html: str) -> Node:
 
 
 def page_meta(root: Node) -> dict:
+    """A page's head and heading, and its first ``MOST_VERSION_LINKS`` version links, of which its record has no more."""
     out = {"title": None, "canonical": None, "og_url": None, "lang": None, "h1": None, "version_links": []}
     for e in root.elements():
         a = e.attributes
@@ -201,6 +203,7 @@ def with_elements(rows: DataFrame, html: str = "html", tags: tuple[str, ...] = (
     return _mapped(rows, html, [], "elements array<struct<pos:int,kind:string,text:string,href:string>>", make)
 
 
+#: Fixed value: the form of a group's address.
 LINK = r"^/bible/([0-9]+)/([0-9A-Z]{3})\.([0-9]+|[A-Z]+[0-9]*)\.([A-Z]+)\z"
 OUTER_TITLES = ["Old Testament", "New Testament"]
 
@@ -225,6 +228,7 @@ def books(links: DataFrame, by: str = "page_id") -> DataFrame:
     return links.groupBy(by, "code").agg(first("name").alias("name"), first("testament").alias("testament"), F.array_sort(F.collect_set(F.when(chapter, F.col("mid").try_cast("int")))).alias("chapters"), F.max(F.when(F.col("mid").startswith("INTRO"), F.col("href"))).alias("intro_url"), first("version_code").alias("version_code"))
 
 
+#: Fixed value: a header's anchor, or a numbered line, of a one-page edition.
 HEADER_OR_LINE = r"<a>([^<]+?)\s+([0-9]+)</a>|(?:^|\n|>)\s*([0-9]+)\s+([^\n<]+)"
 
 

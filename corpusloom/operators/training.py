@@ -82,8 +82,8 @@ def lexicon(counted: DataFrame, least: float = LEAST_DICE) -> DataFrame:
 
 
 def lexicon_rows(found: DataFrame) -> DataFrame:
-    """In the order of the file: greatest coefficient first; three decimals."""
-    return found.orderBy(F.desc("dice"), "x").select("x", "y", F.format_string("%.3f", "dice").alias("dice"), F.col("cx").alias("x_frequency"))
+    """In the order of the file: greatest coefficient first; three decimals, halves to even."""
+    return found.orderBy(F.desc("dice"), "x").select("x", "y", F.format_string("%.3f", F.bround("dice", 3)).alias("dice"), F.col("cx").alias("x_frequency"))
 
 
 def record_errors(lines: DataFrame, text: str = "value") -> DataFrame:

@@ -36,7 +36,7 @@ def countable(rows: DataFrame, required: list[str]) -> DataFrame:
 
 
 def samples(errors: DataFrame, limit: int = 20) -> DataFrame:
-    """The first errors, for the report."""
+    """The first ``limit`` errors: the report shows no more."""
     return errors.orderBy("row_id", "error").limit(limit)
 
 

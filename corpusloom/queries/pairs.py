@@ -91,10 +91,14 @@ def lexicon_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lexicon_top(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first fifty lines of the lexicon's file."""
+    """The first fifty lines of the lexicon's file: a top list is what it is."""
     return training.lexicon(cooccurrence(spark, sf_dir)).orderBy(F.desc("dice"), "x").limit(50).select("x", "y", "n", "cx", "cy")
 
 
+def lexicon_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training.lexicon_rows(training.lexicon(cooccurrence(spark, sf_dir)))
+
+
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns as lines: a reference, the text, and range markers on every third turn."""
     marked = F.when(F.col("turn") % 3 == 2, sequence.RANGE).otherwise(F.col("text"))
@@ -167,7 +171,7 @@ def group_content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.content_hash(rows, ["conv_id"], ["turn"])
 
 
-NAMES = """turn_pairs length_ratio_filter ml_pairs rag_docs sft_examples sft_sampled hash_shuffle_rank sft_record_check doc_frequency cooccurrence lexicon_dice lexicon_top range_merge group_label_merge forward_fill
+NAMES = """turn_pairs length_ratio_filter ml_pairs rag_docs sft_examples sft_sampled hash_shuffle_rank sft_record_check doc_frequency cooccurrence lexicon_dice lexicon_top lexicon_rows range_merge group_label_merge forward_fill
 forward_fill_headers fragment_concat note_boundary merge_fold vref_fill positional_zip line_count chapter_coverage group_content_hash""".split()
 QUERIES = {n: globals()[n] for n in NAMES}
 
@@ -213,6 +217,7 @@ UNION ALL {_example('second_forward', FORWARD, 'second', 'b', _SECOND)} UNION AL
     "doc_frequency": f"{_W} SELECT x AS token, cx AS n, 'a' AS side FROM ca UNION ALL SELECT y, cy, 'b' FROM cb",
     "cooccurrence": f"{_W} SELECT x, y, n, cx, cy FROM co2",
     "lexicon_dice": f"{_W} SELECT x, y, n, cx, cy FROM lex",
+    "lexicon_rows": f"{_W} SELECT x, y, format('{{:.3f}}', dice) AS dice, cx AS x_frequency FROM lex",
     "lexicon_top": f"{_W} SELECT x, y, n, cx, cy FROM lex ORDER BY dice DESC, x LIMIT 50",
     "range_merge": f"{_W} SELECT conv_id, turn, array_to_string(refs, ',') AS refs, t, w FROM l3",
     "group_label_merge": f"{_W} SELECT conv_id, turn, {_LABEL} AS label, string_split(refs[1], ' ')[1] AS book FROM l3",
