@@ -8,7 +8,7 @@ and equal windows have equal anchors.
 
 1. Anchors are counted.  One that stands in one place only has no repeated window, so
    only windows of the other anchors go on.  A hash clash lets more go on, never less.
-2. Runs of windows with one anchor place are segments; their words travel to the block.
+2. Runs of windows with one anchor place are segments; their words travel, compressed, to the block.
    Before the shuffle each task finds windows that repeat within its own chunk, compared
    word by word, and ships one place of each: a passage that a third of all rows share
    costs a block as many places as there are chunks.
@@ -36,6 +36,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -194,13 +195,13 @@ def routed(texts: list[bytes], idents: np.ndarray, signatures: list[bytes], told
     count = np.concatenate([last - first + 1, -(known_stop - bounds[known_doc])])
     bodies = [raw[x:y] for x, y in zip(begins[first], ends[last], strict=True)] + [b""] * len(known_doc)
     block = np.concatenate([bucket_of(value[sent[c]], blocks), bucket_of(idents[known_doc].view(np.uint64), blocks)])
-    order = np.argsort(block, kind="stable")
+    order, press = np.argsort(block, kind="stable"), zstandard.ZstdCompressor(level=1)
     f, n = groups_of(block[order])
     groups = [order[x : x + k] for x, k in zip(f, n, strict=True)]
     yield pa.RecordBatch.from_arrays(
         [
             pa.array(block[order][f].astype(np.int32)), pa.array([idents[owner[g]].tobytes() for g in groups], pa.binary()), pa.array([b"".join(signatures[owner[i]] for i in g) for g in groups], pa.binary()),
-            *(pa.array([x[g].astype(np.int32).tobytes() for g in groups], pa.binary()) for x in (place, count)), pa.array([b"\n".join(bodies[i] for i in g) for g in groups], pa.binary()),
+            *(pa.array([x[g].astype(np.int32).tobytes() for g in groups], pa.binary()) for x in (place, count)), pa.array([press.compress(b"\n".join(bodies[i] for i in g)) for g in groups], pa.binary()),
         ],
         names=["block", "idents", "signatures", "starts", "counts", "words"],
     )
@@ -242,7 +243,8 @@ def parsed_block(rows: list[tuple], length: int) -> pa.RecordBatch:
     """Factors of all segments of a block relative to its other places, as rows of ``SPANS``."""
     idents, starts, counts = (np.frombuffer(b"".join(x), t) for x, t in zip(([r[0] for r in rows], [r[2] for r in rows], [r[3] for r in rows]), (np.int64, np.int32, np.int32), strict=True))
     signatures = b"".join(r[1] for r in rows)
-    numbers = numbered(b"\n".join(r[4] for r in rows).split())
+    unpack = zstandard.ZstdDecompressor()
+    numbers = numbered(b"\n".join(unpack.decompress(r[4]) for r in rows).split())
     size = np.maximum(counts, 0).astype(np.int64)
     segment = np.flatnonzero(size)
     # A symbol of its own behind each segment; 0 ends it all.
