@@ -209,13 +209,12 @@ def captured(side: DataFrame) -> DataFrame:
 
 
 def stored_run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """What a run has stored, each made once: both sides, the decisions, the lost rows and the captures."""
+    """What a run has stored: both sides, the decisions and the audit, each made once; and its tasks and captures."""
     a, b = sides(spark, sf_dir)
     ka, kb = checkpoint(kept(a)), checkpoint(kept(b))
-    out = {"a": ka, "b": kb, "decided": checkpoint(align.decide(align.join_sides(ka, kb, KEY), ["grp"])), "lost": checkpoint(lost(spark, sf_dir))}
-    out["tasks"] = discovered(spark, sf_dir)
-    out |= {f"captures_{s}": checkpoint(captured(rows)) for s, rows in (("a", a), ("b", b))}
-    out["audit"], out["parallel"] = align.audit(out["decided"], KEY, out["lost"]), align.parallel(out["decided"])
+    out = {"a": ka, "b": kb, "decided": checkpoint(align.decide(align.join_sides(ka, kb, KEY), ["grp"]))}
+    out |= {"tasks": discovered(spark, sf_dir), "captures_a": captured(a), "captures_b": captured(b)}
+    out["audit"], out["parallel"] = checkpoint(align.audit(out["decided"], KEY, lost(spark, sf_dir)).select(*KEY, "alignment_status")), align.parallel(out["decided"])
     out["ml"] = align.ml(out["parallel"], F.concat_ws(".", F.col("grp").cast("string"), F.col("seg").cast("string")))
     return out
 

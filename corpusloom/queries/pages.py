@@ -91,7 +91,7 @@ def single_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_book_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages' own titles as names, in the title or else in the heading."""
     k = F.col("page_id") % 3
-    numbered = F.concat(_title(), F.lit(" "), F.col("page_id").cast("string"))
+    numbered = F.concat(F.translate(_title(), "|", "/"), F.lit(" "), F.col("page_id").cast("string"))
     title = F.when(k == 0, F.concat(numbered, F.lit(" | XYZ Bible"))).when(k == 1, "The Beginning - App").otherwise("")
     return table(spark, sf_dir, "pages").select("page_id", tx.page_book_name(title, F.when(k != 0, numbered).otherwise("")).alias("name"))
 
@@ -134,7 +134,7 @@ FROM (SELECT page_id, w, k, unnest(generate_series(1, ceil(len(w) / k)::BIGINT))
     "version_page": """SELECT page_id, code, name, testament, array_to_string(generate_series(1, page_id % 5 + 1), ',') AS chapters, code = 'GEN' AS has_intro FROM pages, (VALUES ('GEN', 'Genesis', 'Old Testament'), ('MAT', NULL, 'New Testament'), ('MRK', 'Mark', 'New Testament')) AS t(code, name, testament)""",
     "single_page": f"""SELECT page_id, book_index::BIGINT AS book_index, chapter, verse, CASE WHEN text = 'In' THEN 'In ' || page_id || '&' WHEN text = 'And more' THEN trim('And more ' || array_to_string({_WORDS}, ' '), ' ') ELSE text END AS text
 FROM pages, (VALUES (0, 1, 1, 'In'), (0, 1, 2, 'And more'), (0, 2, 1, 'Then'), (1, 1, 1, 'Now')) AS t(book_index, chapter, verse, text)""",
-    "page_book_name": f"SELECT page_id, nullif({_TITLE}, '') AS name FROM pages",
+    "page_book_name": f"SELECT page_id, nullif(replace({_TITLE}, '|', '/'), '') AS name FROM pages",
     "title_version_code": "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'V' || page_id END AS code FROM pages",
     "url_checks": "SELECT page_id, page_id % 3 = 1 AS url_version_id, page_id % 3 = 1 AS url_matches_expected, page_id % 5 = 0 AS canonical_matches, page_id % 4 = 2 AS version_link_present FROM pages",
     "html_links": "SELECT page_id, len(links)::BIGINT AS links, len(list_distinct(links))::BIGINT AS distinct_links FROM (SELECT page_id, regexp_extract_all(regexp_replace(html, '<!--.*?-->|<script>.*?</script>', '', 'gs'), '<a href=\"([^\"]*)\"', 1) AS links FROM pages) WHERE len(links) > 0",
