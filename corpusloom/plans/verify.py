@@ -63,9 +63,10 @@ def ml_errors(ml: DataFrame, parallel: DataFrame) -> DataFrame:
     return ml.agg(F.count("*").alias("ml"), F.count_if(empty).alias("errors")).crossJoin(parallel.agg(F.count("*").alias("parallel")))
 
 
-def manifest_counts(books: DataFrame, tasks: DataFrame) -> DataFrame:
-    """One row: collections and groups of a side's manifests."""
-    return books.agg(F.count("*").alias("books")).crossJoin(tasks.agg(F.count("*").alias("chapters")))
+def manifest_counts(tasks: DataFrame) -> DataFrame:
+    """One row: groups and collections of a side's manifest, and how many canonical collections it lacks."""
+    known = F.countDistinct(F.when(F.col("book_code").isin([*refs.COLLECTIONS]), F.col("book_code")))
+    return tasks.agg(F.count("*").alias("chapters"), F.countDistinct("book_code").alias("books"), (F.lit(len(refs.COLLECTIONS)) - known).alias("missing"))
 
 
 def capture_faults(tasks: DataFrame, captures: DataFrame, unreadable: DataFrame, keys: list[str]) -> DataFrame:
@@ -79,6 +80,12 @@ def check(name: str, row: DataFrame, ok: Column, detail: Column) -> DataFrame:
     return row.select(F.lit(name).alias("check"), ok.alias("ok"), detail.alias("detail"))
 
 
+def checks(row: DataFrame, tests: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """Several checks, each with its condition and detail, from one frame of one row."""
+    cells = [F.struct(F.lit(k).alias("check"), ok.alias("ok"), detail.alias("detail")) for k, (ok, detail) in tests.items()]
+    return row.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+
+
 def report(checks: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)
 
