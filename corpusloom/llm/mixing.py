@@ -68,8 +68,9 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, total:
     # How many entries are at or below the uniform number: a binary search, one step a bit.
     steps = F.array(*(F.lit(1 << b) for b in reversed(range(longest.bit_length()))))
     entries = F.aggregate(steps, F.lit(0), lambda n, step: F.when((n + step <= F.size("cdf")) & (F.get("cdf", n + step - 1) <= F.col("__u")), n + step).otherwise(n))
-    counted = drawn.select("__row", "__key", (F.col("first") + entries).cast("int").alias("__n")).where("__n > 0")
-    copies = counted.select("__row", "__key", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)).alias("__copy"))
+    counted = drawn.select("__row", "__key", F.coalesce((F.col("first") + entries).cast("int"), F.lit(0)).alias("__n"))
+    # The count is compared behind the explode: a filter before it would become a condition of the join.
+    copies = counted.select("__row", "__key", "__n", F.explode_outer(F.sequence(F.lit(0), F.greatest(F.col("__n") - 1, F.lit(0)))).alias("__copy")).where("__copy < __n")
     # The order is that of a uniform hash, so its range is cut evenly, without a sample of the copies.
     n = shuffle_partitions(docs.sparkSession)
     place = copies.withColumn("__place", F.xxhash64(F.lit(seed), F.col("__key"), F.col("__copy")))
