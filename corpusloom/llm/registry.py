@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontaminate, fingerprints, jaccard, language_id, language_model, mixing, quality, substrings, urls, warc
+from corpusloom.llm import decontaminate, fingerprints, jaccard, language_id, language_model, mixing, periodic, prefix_trie, quality, substrings, topk, urls, warc
 from corpusloom.llm.common import fold, scratch
 
 
@@ -68,6 +68,26 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.removed(_read(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = prefix_trie.build(_read(spark, sf_dir, "conversations"))
+    return out.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", periodic.with_periods(F.col("doc_id"), F.col("text")).alias("text"))
+    best = periodic.longest(F.col("runs"))
+    found = periodic.find(docs).withColumn("best", best)
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.period")).cast("bigint").alias("exponent_milli"),
+        F.sha2(periodic.lines(F.col("runs")), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_decontaminate": op2_decontaminate,
@@ -79,6 +99,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_language_id": op9_language_id,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_exact_topk": op12_exact_topk,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -161,4 +184,25 @@ common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s AS a JOIN s
 links AS (SELECT a, b FROM common JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
 reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
 SELECT doc_id, coalesce(max(n), 0)::BIGINT AS n_shingles, min(b) AS component_id FROM d LEFT JOIN n USING (doc_id) JOIN reach ON a = doc_id GROUP BY doc_id""",
+    "op11_prefix_trie": """
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) - 1 AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 100 AS base, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+  lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda y, z: xor(y >> 1, (y & 1) * 3988292384)))) % 6 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (SELECT c.conv_id, 0 AS part, i, role, text FROM c JOIN t ON t.conv_id = c.base WHERE i < h UNION ALL SELECT conv_id, 1, i, role, text FROM t JOIN c USING (conv_id) WHERE i >= h),
+s AS (SELECT conv_id, row_number() OVER w AS depth, list(sha256(length(role) || ':' || role || text)) OVER w AS seq, length(text) AS chars FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY part, i)
+  UNION ALL SELECT conv_id, 0, [], 0 FROM c),
+n AS (SELECT depth, seq, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(chars) AS saved FROM s GROUP BY ALL),
+k AS (SELECT n.*, p.conv_id AS parent_conv_id FROM n LEFT JOIN n AS p ON p.depth = n.depth - 1 AND p.seq = n.seq[1 : n.depth - 1]),
+f AS (SELECT depth - 1 AS depth, seq[1 : depth - 1] AS seq, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+x AS (SELECT k.*, coalesce(n_children, 0) AS n_children FROM k LEFT JOIN f ON f.depth = k.depth AND f.seq = k.seq),
+u AS (SELECT s.depth, s.seq, sum(x.saved) AS saved_tokens, count(*) FILTER (x.n_children = 0) AS n_leaves FROM x JOIN s ON s.conv_id = x.conv_id AND s.depth <= x.depth GROUP BY ALL),
+l AS (SELECT conv_id, max(depth) AS depth FROM s GROUP BY conv_id),
+e AS (SELECT s.depth, s.seq, string_agg(s.conv_id, ',' ORDER BY s.conv_id) AS ids FROM s JOIN l USING (conv_id, depth) GROUP BY ALL)
+SELECT x.conv_id, x.depth, x.parent_conv_id, x.n_convs, x.n_children, u.n_leaves, u.saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM x JOIN u ON u.depth = x.depth AND u.seq = x.seq LEFT JOIN e ON e.depth = x.depth AND e.seq = x.seq""",
+    "op12_exact_topk": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score FROM v AS q JOIN v AS c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, row_number() OVER w AS rank, vec_id, score FROM p WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 10""",
 }
