@@ -134,8 +134,8 @@ def runs_of(words: list[bytes]) -> list[tuple[int, int, int]]:
     """(start, length, period) of all runs, by start and then period."""
     if len(words) < LEAST_WORDS:
         return []
-    known: dict[bytes, int] = {}
-    ids = np.fromiter((known.setdefault(w, len(known)) for w in words), np.int64, len(words))
+    number = dict(zip(words, range(len(words)), strict=True))
+    ids = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
     out = [(start + a, b - a, q) for start, end in islands(ids) for (a, b), q in runs_within(ids[start:end]).items()]
     return sorted(out, key=lambda r: (r[0], r[2]))
 
@@ -179,12 +179,16 @@ def with_periods(key: Column, text: Column) -> Column:
     """
     h = F.crc32(F.coalesce(key.cast("string"), F.lit("")))
     g = F.floor(h / 10).cast("bigint")
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words).cast("bigint")
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8)).cast("bigint")
+        return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0).cast("bigint"), n - 1), lambda i: F.get(words, F.when(i >= a, a + (i - a) % p).otherwise(i).cast("int"))), " "))
+
+    # The words are an element of an array, so that they are split once and not for each word.
     words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    n = F.size(words).cast("bigint")
-    a = g % n
-    p = 1 + F.floor((n - a) / (3 + g % 8)).cast("bigint")
-    tail = F.array_join(F.transform(F.sequence(F.lit(0).cast("bigint"), n - 1), lambda i: F.get(words, F.when(i >= a, a + (i - a) % p).otherwise(i).cast("int"))), " ")
-    return F.when((h % 10 == 0) & (n > 0), tail).otherwise(text)
+    return F.when(h % 10 == 0, F.coalesce(F.get(F.transform(F.array(words), repeated), 0), text)).otherwise(text)
 
 
 def longest(runs: Column) -> Column:
