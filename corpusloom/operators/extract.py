@@ -8,8 +8,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
-from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -18,82 +16,12 @@ from pyspark.sql import functions as F
 from corpusloom.functions import text as tx
 from corpusloom.functions.refs import REFERENCE
 from corpusloom.operators import sequence
+from corpusloom.operators.dom import Node, parse
 from corpusloom.schemas import UNCERTAIN, VERIFIED
 
 #: Thresholds of the language checks, and how many version links a page's record holds.
 MOST_STOP_WORDS_A, LEAST_STOP_WORDS_B, LEAST_COVERAGE = 0.55, 0.25, 0.90
 MOST_VERSION_LINKS = 10
-_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-
-
-@dataclass
-class Node:
-    """An element; ``children`` holds elements and texts in order."""
-
-    tag: str
-    attributes: dict[str, str]
-    parent: Node | None = None
-    children: list[Node | str] = field(default_factory=list)
-
-    def elements(self) -> Iterator[Node]:
-        """All elements below, in document order; without recursion, as pages may nest deeply."""
-        waiting = [iter(self.children)]
-        while waiting:
-            child = next(waiting[-1], None)
-            if child is None:
-                waiting.pop()
-            elif isinstance(child, Node):
-                yield child
-                waiting.append(iter(child.children))
-
-    def text(self) -> str:
-        out, waiting = [], [iter(self.children)]
-        while waiting:
-            child = next(waiting[-1], None)
-            if child is None:
-                waiting.pop()
-            elif isinstance(child, Node):
-                waiting.append(iter(child.children))
-            else:
-                out.append(child)
-        return "".join(out)
-
-    def has_class(self, *names: str) -> bool:
-        """A class token that is one of the names or ends in two underscores and it."""
-        return any(t == n or t.endswith(f"__{n}") for t in self.attributes.get("class", "").split() for n in names)
-
-
-class _Builder(HTMLParser):
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.root = self.here = Node("", {})
-
-    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        node = Node(tag, {k: v or "" for k, v in attrs}, self.here)
-        self.here.children.append(node)
-        if tag not in _VOID:
-            self.here = node
-
-    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        self.here.children.append(Node(tag, {k: v or "" for k, v in attrs}, self.here))
-
-    def handle_endtag(self, tag: str) -> None:
-        node = self.here
-        while node.parent is not None and node.tag != tag:
-            node = node.parent
-        if node.parent is not None:
-            self.here = node.parent
-
-    def handle_data(self, data: str) -> None:
-        if self.here.tag not in ("script", "style"):
-            self.here.children.append(data)
-
-
-def parse(html: str) -> Node:
-    builder = _Builder()
-    builder.feed(html)
-    builder.close()
-    return builder.root
 
 
 def page_meta(root: Node) -> dict:
@@ -203,6 +131,18 @@ def with_elements(rows: DataFrame, html: str = "html", tags: tuple[str, ...] = (
     return _mapped(rows, html, [], "elements array<struct<pos:int,kind:string,text:string,href:string>>", make)
 
 
+def with_blocks(rows: DataFrame, html: str = "html", tags: tuple[str, ...] = ("p", "li", "h1"), marked: tuple[str, ...] = ("b", "strong")) -> DataFrame:
+    """``blocks``: the named elements in document order, each with its place, parent, text, and whether any of its text is in a ``marked`` element."""
+    wanted, marks = set(tags), set(marked)
+
+    def one(i: int, e: Node) -> dict:
+        inside = any(x.tag in marks and x.text().strip() for x in e.elements())
+        return {"pos": i, "kind": e.tag, "parent": e.parent.tag, "text": " ".join(e.text().split()), "marked": inside or (e.within(marks) and bool(e.text().strip()))}
+
+    make = lambda h: {"blocks": [one(i, e) for i, e in enumerate(x for x in parse(h or "").elements() if x.tag in wanted)]}
+    return _mapped(rows, html, [], "blocks array<struct<pos:int,kind:string,parent:string,text:string,marked:boolean>>", make)
+
+
 #: Fixed value: the form of a group's address.
 LINK = r"^/bible/([0-9]+)/([0-9A-Z]{3})\.([0-9]+|[A-Z]+[0-9]*)\.([A-Z]+)\z"
 OUTER_TITLES = ["Old Testament", "New Testament"]

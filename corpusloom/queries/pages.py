@@ -28,6 +28,21 @@ def html_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.groupBy("page_id").agg(F.count("*").alias("links"), F.countDistinct("e.href").alias("distinct_links"))
 
 
+def _blocks(html: F.Column, spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract.with_blocks(table(spark, sf_dir, "pages").select("page_id", html.alias("html")))
+    return found.select("page_id", F.explode("blocks").alias("b")).select("page_id", "b.*")
+
+
+def html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paragraphs, list items and headings of the tree, with what is in bold: pages leave paragraphs and bold text open."""
+    return _blocks(F.col("html"), spark, sf_dir)
+
+
+def html_implied_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same blocks, of pages without the end tags that a browser implies."""
+    return _blocks(F.regexp_replace("html", "</(p|li|body|html)>", ""), spark, sf_dir)
+
+
 def _words() -> F.Column:
     """All words of a page's text."""
     return F.filter(F.split(F.regexp_replace("html", "<[^>]*>|[^a-zA-Z ]", " "), " +"), lambda w: w != "")
@@ -121,13 +136,22 @@ def file_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("class", "ord", F.element_at(F.split("path", "/"), -1).alias("file"), "sha256")
 
 
-NAMES = "html_page_meta html_lang html_links html_spans chapter_validation version_page single_page page_book_name title_version_code url_checks file_checksums".split()
+NAMES = "html_page_meta html_lang html_links html_blocks html_implied_ends html_spans chapter_validation version_page single_page page_book_name title_version_code url_checks file_checksums".split()
 QUERIES = {n: globals()[n] for n in NAMES}
 
 _WORDS = "list_filter(regexp_split_to_array(regexp_replace(html, '<[^>]*>|[^a-zA-Z ]', ' ', 'g'), ' +'), lambda w: w <> '')"
 _TITLE = "trim(regexp_extract(html, '<title>([^<]*)', 1), ' ')"
 _K = "page_id % 7"
+_PLAIN = "trim(regexp_replace(replace(replace(replace(replace(regexp_replace({}, '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&amp;', '&'), '\\s+', ' ', 'g'), ' ')"
+_BLOCKS = f"""WITH h AS (SELECT page_id, regexp_extract_all(html, '<li>(.*?)</li>', 1) AS items, regexp_extract(html, '<h1>(.*?)</h1>', 1) AS h1, string_split(regexp_extract(html, '<article>(.*?)</article>', 1, 's'), '<p>')[2:] AS parts FROM pages),
+i AS (SELECT page_id, unnest(items) AS t, unnest(generate_series(0, len(items) - 1)) AS pos FROM h),
+p AS (SELECT page_id, unnest(parts) AS t, unnest(generate_series(1, len(parts))) AS k, len(items) AS n FROM h)
+SELECT page_id, pos::INT AS pos, 'li' AS kind, 'ul' AS parent, {_PLAIN.format("t")} AS text, false AS marked FROM i
+UNION ALL SELECT page_id, len(items)::INT, 'h1', 'article', {_PLAIN.format("h1")}, false FROM h
+UNION ALL SELECT page_id, (n + k)::INT, 'p', 'article', {_PLAIN.format("regexp_replace(t, '</p>', '')")}, bool_or(contains(t, '<b>')) OVER (PARTITION BY page_id ORDER BY k) AND {_PLAIN.format("t")} <> '' FROM p"""
 SQL = {
+    "html_blocks": _BLOCKS,
+    "html_implied_ends": _BLOCKS,
     "html_lang": "SELECT page_id, regexp_extract(html, '<html lang=\"([^\"]*)\"', 1) AS lang FROM pages",
     "html_spans": f"""SELECT page_id, 'GEN.' || (page_id % 30 + 1) || '.' || i AS usfm, i::VARCHAR AS label, 2 AS parts, array_to_string(w[(i - 1) * k + 1 : i * k], ' ') || ' tail' AS text
 FROM (SELECT page_id, w, k, unnest(generate_series(1, ceil(len(w) / k)::BIGINT)) AS i FROM (SELECT page_id, w, greatest(1, ceil(len(w) / 12))::BIGINT AS k FROM (SELECT page_id, {_WORDS} AS w FROM pages)))""",
