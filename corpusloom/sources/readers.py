@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom import schemas
 from corpusloom.operators import curate
+from corpusloom.plans.storage import checkpoint
 
 BOM = chr(0xFEFF)
 
@@ -21,14 +26,78 @@ def exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
-def lines(spark: SparkSession, path: str, required: bool = True) -> DataFrame:
-    """``file``, ``line_no`` from 0, ``text``: split at line feeds only, so that a final one makes an empty last line."""
+LINE = "file string, line_no bigint, text string"
+#: Files that can't be cut: their lines are numbered in one task each.
+COMPRESSED = r"(?i)\.(gz|bz2|zst|snappy|lz4|deflate|xz)$"
+
+
+def lines(spark: SparkSession, path: str, required: bool = True, together: bool = False) -> DataFrame:
+    """``file``, ``line_no`` from 0, ``text``: split at line feeds only, so that a final one makes an empty last line.
+
+    Files are read in ranges of bytes, of any number for a file.  Lines are counted by range, the counts summed
+    along each file, and each task numbers the lines of its ranges from what stands before them.  With ``together``
+    the files of the path are one, in order of name: numbers go on from file to file, and a final line feed ends a
+    file's last line (as in the part files of one sorted output).
+    """
     if not exists(spark, path):
         if required:
             raise FileNotFoundError(path)
-        return spark.createDataFrame([], "file string, line_no int, text string")
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    return whole.select("file", F.posexplode(F.split("value", "\n", -1)).alias("line_no", "text"))
+        return spark.createDataFrame([], LINE)
+    meta = lambda c: F.col(f"_metadata.{c}")
+    plain = spark.read.text(path, lineSep="\n").select(meta("file_path").alias("file"), meta("file_block_start").alias("block"), meta("file_block_length").alias("size"), meta("file_size").alias("length"), F.col("value").alias("text")).where(~F.col("file").rlike(COMPRESSED))
+    packed = spark.read.text(path, wholetext=True).select(meta("file_path").alias("file"), F.col("value").alias("text")).where(F.col("file").rlike(COMPRESSED))
+
+    # A range's lines and bytes, each line with its line feed; what is left to the file's length says how it begins and ends.
+    ranges = plain.groupBy("file", "block", "size").agg(F.count("*").alias("n"), F.sum(F.octet_length("text").cast("bigint") + 1).alias("bytes"), F.max("length").alias("length"))
+    whole = Window.partitionBy("file")
+    before = whole.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    short = F.col("length") - F.sum("bytes").over(whole)  # -1 without a final line feed; 3 more with a byte order mark, which the reader takes away
+    starts = checkpoint(ranges.select("file", "block", "size", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"), short.isin(0, 3).alias("fed"), ((F.row_number().over(whole.orderBy("block")) == 1) & short.isin(2, 3)).alias("marked"), (F.row_number().over(whole.orderBy(F.desc("block"))) == 1).alias("ends")))
+    text = F.when(F.col("marked") & (F.col("at") == 0), F.concat(F.lit(BOM), "text")).otherwise(F.col("text"))
+    found = _joined(_within_ranges(plain.select("file", "block", "size", "text")), starts)
+    numbered = found.select("file", (F.col("first") + F.col("at")).alias("line_no"), text.alias("text"))
+    last = starts.where("ends and fed").select("file", (F.col("first") + F.col("n")).alias("line_no"), F.lit("").alias("text"))
+    # Files without a row have one line: nothing, or a byte order mark alone.
+    names = spark.createDataFrame([(f.replace("file:///", "file:/", 1),) for f in spark.read.text(path).inputFiles()], "file string").where(~F.col("file").rlike(COMPRESSED)).join(starts, "file", "left_anti")
+    alone = spark.read.format("binaryFile").load(path).where("length = 3").select(meta("file_path").alias("file"), F.lit(BOM).alias("text"))
+    empty = names.join(alone, "file", "left").select("file", F.lit(0).cast("bigint").alias("line_no"), F.coalesce("text", F.lit("")).alias("text"))
+    unpacked = packed.select("file", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "text")).withColumn("line_no", F.col("line_no").cast("bigint"))
+    if not together:
+        return numbered.unionByName(last).unionByName(empty).unionByName(unpacked)
+    if packed.limit(1).count():
+        raise ValueError("compressed files can't be read together")
+    # Lines before each file: a row a file, in order of name.
+    files = starts.groupBy("file").agg(F.sum("n").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return numbered.join(F.broadcast(files.select("file", "before")), "file").select("file", (F.col("line_no") + F.col("before")).alias("line_no"), "text")
+
+
+def _within_ranges(rows: DataFrame) -> DataFrame:
+    """``at``: each line's place among those of its range, which a task has one after the other."""
+    names = [*rows.columns, "at"]
+
+    def number(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, n = None, 0
+        for batch in batches:
+            if not len(batch):
+                continue
+            new = np.zeros(len(batch), bool)
+            new[1:] = np.logical_or(*(pc.not_equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False) for c in (batch.column("file"), batch.column("block"))))
+            first = (batch.column("file")[0].as_py(), batch.column("block")[0].as_py())
+            n = n if first == here else 0
+            at = np.arange(len(batch))
+            start = np.maximum.accumulate(np.where(new, at, 0))
+            place = at - start + np.where(start == 0, n, 0)
+            here, n = (batch.column("file")[-1].as_py(), batch.column("block")[-1].as_py()), int(place[-1]) + 1
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(place)], names=names)
+
+    return rows.mapInArrow(number, "file string, block bigint, size bigint, text string, at bigint")
+
+
+def _joined(rows: DataFrame, starts: DataFrame, most: int = 100_000) -> DataFrame:
+    """Lines with their range's row: broadcast up to ``most`` ranges, else shuffled.  Ranges that were cut in another way meanwhile are an error, never wrong numbers."""
+    table = starts.select("file", "block", F.col("size").alias("was"), "n", "first", "marked")
+    out = rows.join(F.broadcast(table) if starts.count() <= most else table, ["file", "block"], "left")
+    return out.where(F.when(F.col("was").eqNullSafe(F.col("size")) & (F.col("at") < F.col("n")), True).otherwise(F.raise_error(F.lit("the ranges of the files have changed")).cast("boolean")))
 
 
 def jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:

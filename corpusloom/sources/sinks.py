@@ -57,6 +57,12 @@ def aligned_lines(filled: DataFrame, path: str, line: str = "line_no", text: str
     filled.select(line, text).repartitionByRange(1, line).sortWithinPartitions(line).select(text).write.mode("overwrite").text(path)
 
 
+def sorted_lines(rows: DataFrame, path: str, order: list[str], text: str = "text") -> None:
+    """A line for each row, in order, over as many part files as there are shuffle partitions: in order of name they are one file."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    rows.select(*order, F.coalesce(text, F.lit("")).alias("__line")).repartitionByRange(n, *order).sortWithinPartitions(*order).select("__line").write.mode("overwrite").option("lineSep", "\n").text(path)
+
+
 def small_json(payload: object, path: str) -> None:
     """Pretty JSON by temporary name and rename."""
     target = Path(path)
