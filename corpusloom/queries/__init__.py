@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.queries import alignment, curation, pages, pairs, references, texts
+from corpusloom.queries import alignment, curation, files, pages, pairs, references, texts
 
-MODULES = (alignment, texts, pairs, references, curation, pages)
+MODULES = (alignment, texts, pairs, references, curation, pages, files)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: v for m in MODULES for k, v in m.QUERIES.items()}
 SQL: dict[str, str] = {k: v for m in MODULES for k, v in m.SQL.items()}
