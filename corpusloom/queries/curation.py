@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import WS, normalize_text
-from corpusloom.operators import align, curate
+from corpusloom.operators import align, curate, trigrams
+from corpusloom.plans import snapshots
+from corpusloom.plans.storage import scratch
 from corpusloom.schemas import PUBLIC_RIGHTS
 from corpusloom.sources.readers import table
 
@@ -33,6 +37,45 @@ def segment_wildcard_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curate.search(segments(spark, sf_dir), "en.1_").select("id", "ref")
 
 
+def _with_backslashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segments(spark, sf_dir).withColumns({c: F.translate(c, ".", "\\") for c in ("a_text", "b_text")})
+
+
+def segment_search_backslash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with backslashes: letters like others in a search, also before a wildcard or at the end."""
+    rows = _with_backslashes(spark, sf_dir)
+    return reduce(DataFrame.unionByName, (curate.search(rows, q).select("id", F.lit(q).alias("q")) for q in ("n\\ T", "e\\_d", "t\\")))
+
+
+PATTERNS = ["%these%", "%t_e%and%", "%of.%the%", "%ouç%", "%a\\n%", "en.1%", "%th_", "%ZZZZ%", "_n%", "%tion% %ment%"]
+
+
+def trigram_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patterns with and without wildcards, by an index of the segments' trigrams."""
+    rows = segments(spark, sf_dir)
+    index = trigrams.build(rows, "id", ["a_text", "b_text", "ref"], f"{scratch(spark, 'trigrams')}/index")
+    return reduce(DataFrame.unionByName, (trigrams.search(rows, index, "id", ["a_text", "b_text", "ref"], p).select("id", F.lit(p).alias("pattern")) for p in PATTERNS))
+
+
+def page_by_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page of ``segment_page``, and one far behind, by counts of id ranges."""
+    rows = curate.search(segments(spark, sf_dir), status="approved")
+    pages = [(offset, *curate.page_by_counts(rows, 30, offset, few=50, cells=8)) for offset in (20, 100)]
+    return reduce(DataFrame.unionByName, (page.select("id", "ref", F.lit(offset).alias("offset"), F.lit(total).cast("bigint").alias("total")) for offset, page, total in pages))
+
+
+def snapshot_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments in a table of versions: after reviews, an import of new rows and a deletion, and as they were at first."""
+    rows = segments(spark, sf_dir).select("id", "b_text", "status")
+    held = snapshots.Snapshots(spark, scratch(spark, "segments"), ["id"], rows_a_file=5000)
+    held.create(rows)
+    held.update(rows.where("id % 7 = 0").withColumn("status", F.lit("approved")), {"status": lambda old, new: new})
+    held.upsert(rows.where("id % 100 = 3").withColumn("b_text", F.concat(F.lit("changed "), "b_text")))
+    held.insert_absent(rows.where("id % 2 = 0").withColumns({"id": F.when(F.col("id") % 4 == 0, -F.col("id") - 1).otherwise(F.col("id")), "status": F.lit("unreviewed")}))
+    held.delete(rows.where("id % 50 = 11").select("id"))
+    return held.read().withColumn("version", F.lit("last")).unionByName(held.read(1).withColumn("version", F.lit("first")))
+
+
 def segment_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows 20 to 50 of the approved segments, with the total: a page is what the service returns."""
     page, total = curate.page(curate.search(segments(spark, sf_dir), status="approved"), 30, 20)
@@ -107,7 +150,7 @@ def translation_directions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.translation_directions(spark)
 
 
-NAMES = """segment_search segment_wildcard_search segment_page segment_get segment_stats reviewed_export source_upsert source_list registry_sync segment_import import_counts review_update update_validation rights_gate
+NAMES = """segment_search segment_wildcard_search segment_search_backslash trigram_search page_by_counts snapshot_changes segment_page segment_get segment_stats reviewed_export source_upsert source_list registry_sync segment_import import_counts review_update update_validation rights_gate
 translation_directions""".split()
 QUERIES = {n: globals()[n] for n in NAMES}
 
@@ -119,7 +162,14 @@ _IMPORT = f"""{_SEG}, had AS (SELECT {_NORM('a_text')} AS a_text, {_NORM('b_text
 batch AS (SELECT id AS line_no, CASE WHEN id % 2 = 0 THEN ref ELSE '' END AS ref, {_NORM('a_text')} AS a_text, {_NORM("CASE WHEN id % 3 = 0 THEN b_text ELSE 'new ' || b_text END")} AS b_text FROM seg),
 good AS (SELECT * FROM batch WHERE a_text <> '' AND b_text <> ''),
 fresh AS (SELECT * FROM (SELECT * FROM good QUALIFY row_number() OVER (PARTITION BY a_text, b_text ORDER BY line_no) = 1) ANTI JOIN had USING (a_text, b_text)) """
+_PATTERNS = ", ".join(f"('{p}')" for p in PATTERNS)
 SQL = {
+    "segment_search_backslash": f"{_SEG} SELECT id, q FROM seg, (VALUES ('n\\ T'), ('e\\_d'), ('t\\')) AS p(q) WHERE translate(a_text, '.', chr(92)) ILIKE '%' || q || '%' OR translate(b_text, '.', chr(92)) ILIKE '%' || q || '%' OR ref ILIKE '%' || q || '%'",
+    "trigram_search": f"{_SEG} SELECT id, pattern FROM seg, (VALUES {_PATTERNS}) AS p(pattern) WHERE a_text ILIKE pattern OR b_text ILIKE pattern OR ref ILIKE pattern",
+    "page_by_counts": f"""{_SEG}, a AS (SELECT id, ref, row_number() OVER (ORDER BY id) - 1 AS i, count(*) OVER () AS total FROM seg WHERE status = 'approved')
+SELECT id, ref, "offset"::INT AS "offset", total FROM a, (VALUES (20), (100)) AS p("offset") WHERE i >= "offset" AND i < "offset" + 30""",
+    "snapshot_changes": f"""{_SEG}, v1 AS (SELECT id, b_text, status FROM seg), v2 AS (SELECT id, CASE WHEN id % 100 = 3 THEN 'changed ' || b_text ELSE b_text END AS b_text, CASE WHEN id % 7 = 0 AND id % 100 <> 3 THEN 'approved' ELSE status END AS status FROM v1)
+SELECT *, 'first' AS version FROM v1 UNION ALL SELECT *, 'last' FROM v2 WHERE id % 50 <> 11 UNION ALL SELECT -id - 1, b_text, 'unreviewed', 'last' FROM v1 WHERE id % 4 = 0""",
     "segment_search": f"{_SEG} SELECT id, ref, status, source_id FROM seg WHERE (a_text ILIKE '%TH%' OR b_text ILIKE '%TH%' OR ref ILIKE '%TH%') AND status = 'approved' AND source_id = 'src1'",
     "segment_wildcard_search": f"{_SEG} SELECT id, ref FROM seg WHERE a_text ILIKE '%en.1_%' OR b_text ILIKE '%en.1_%' OR ref ILIKE '%en.1_%'",
     "segment_page": f"{_SEG} SELECT id, ref, (SELECT count(*) FROM seg WHERE status = 'approved') AS total FROM seg WHERE status = 'approved' ORDER BY id LIMIT 30 OFFSET 20",
