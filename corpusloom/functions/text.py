@@ -8,7 +8,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 #: Fixed value: the 29 white-space characters, as a regular expression class.
 WS = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
@@ -49,6 +49,16 @@ def _nfc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def _nfc_each(s: pd.Series) -> pd.Series:
+    return s.map(lambda xs: None if xs is None else [None if x is None else unicodedata.normalize("NFC", x) for x in xs])
+
+
+@F.pandas_udf(StringType())
+def _casefold(s: pd.Series) -> pd.Series:
+    return s.map(lambda x: None if x is None else x.casefold())
+
+
 @F.pandas_udf(StringType())
 def _unescape(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else html.unescape(x))
@@ -59,6 +69,16 @@ def nfc(c: Column) -> Column:
     return F.coalesce(_nfc(F.when(c.rlike(r"[^\x00-\x7F]"), c)), c)
 
 
+def nfc_each(c: Column) -> Column:
+    """The normal form of each element of an array; arrays of ASCII only don't go to Python."""
+    return F.coalesce(_nfc_each(F.when(F.exists(c, lambda x: F.coalesce(x, F.lit("")).rlike(r"[^\x00-\x7F]")), c)), c)
+
+
+def casefold(c: Column) -> Column:
+    """Unicode case folding (sharp s becomes two letters, a final sigma a plain one); of ASCII it is lower case, which Python isn't asked for."""
+    return F.coalesce(_casefold(F.when(c.rlike(r"[^\x00-\x7F]"), c)), F.lower(c))
+
+
 def unescape(c: Column) -> Column:
     """HTML entities decoded, the replacement character an apostrophe, no-break spaces plain."""
     return F.translate(_unescape(c), REPLACEMENT + NBSP, "' ")
@@ -80,8 +100,8 @@ def normalize_line(c: Column) -> Column:
 
 
 def normalize_lines(c: Column) -> Column:
-    """Each element of an array normalized (without NFC, which needs Arrow); null becomes the empty text."""
-    return F.transform(c, lambda x: strip(F.regexp_replace(clean_spaces(F.coalesce(x, F.lit(""))), r"[ \t\r\f\x0B]+", " ")))
+    """Each element of an array normalized as a line is; null becomes the empty text."""
+    return F.transform(nfc_each(c), lambda x: strip(F.regexp_replace(clean_spaces(F.coalesce(x, F.lit(""))), r"[ \t\r\f\x0B]+", " ")))
 
 
 def tokens(c: Column) -> Column:

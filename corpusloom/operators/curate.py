@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import normalize_text
+from corpusloom.functions.text import normalize_text, strip
 from corpusloom.operators import dedup, trigrams
+from corpusloom.plans.storage import checkpoint
 from corpusloom.schemas import PUBLIC_RIGHTS, REVIEW_STATUSES, SPLITS
 
 LONGEST_PAGE = 500
@@ -88,13 +89,24 @@ def cleaned(batch: DataFrame) -> DataFrame:
     return rows.where("a_text <> '' and b_text <> ''")
 
 
-def import_batch(segments: DataFrame, batch: DataFrame, source_id: str, order: list[str]) -> DataFrame:
-    """The new segments of a batch (a_text, b_text, ref), ready to be appended."""
-    rows = cleaned(batch).withColumn("source_id", F.lit(source_id))
-    fresh = dedup.insert_absent(segments, rows, ["a_text", "b_text", "source_id"], order)
+def import_batch(segments: DataFrame, batch: DataFrame, source_id: str, order: list[str], known: DataFrame | None = None) -> DataFrame:
+    """The new segments of a batch (a_text, b_text, ref), ready to be appended.
+
+    Rows meet by a digest of their texts and source; the batch is stored once, cleaned.  ``known`` are the digests of
+    ``segments`` (``content_key``), if the caller keeps them.
+    """
+    rows = checkpoint(cleaned(batch).withColumn("source_id", F.lit(source_id)).withColumns({"__key": content_key(), "__row": F.monotonically_increasing_id()}))
+    had = segments.select(content_key().alias("__key")) if known is None else known.select(F.col("content_key").alias("__key"))
+    fresh = dedup.insert_absent(segments, rows, ["__key"], [*order, "__row"], known=had)
     return fresh.select("id", F.coalesce("ref", F.lit("")).alias("ref"), "a_text", "b_text", "source_id", F.lit("unassigned").alias("split"), F.lit("unreviewed").alias("status"))
 
 
+def content_key() -> Column:
+    """A digest of both texts and the source, equal for equal ones only."""
+    parts = (F.coalesce(F.col(c), F.lit("")) for c in ("a_text", "b_text", "source_id"))
+    return F.sha2(F.concat(*(x for c in parts for x in (F.length(c).cast("string"), F.lit(":"), c))), 256)
+
+
 def import_counts(batch: DataFrame, inserted: DataFrame) -> DataFrame:
     kept = cleaned(batch).agg(F.count("*").alias("rows"))
     return kept.crossJoin(inserted.agg(F.count("*").alias("inserted"))).select("inserted", (F.col("rows") - F.col("inserted")).alias("duplicates"))
@@ -108,13 +120,22 @@ def check_updates(updates: DataFrame) -> DataFrame:
     return updates.withColumn("wrong", wrong)
 
 
-def review(segments: DataFrame, updates: DataFrame, fields: tuple[str, ...] = ("a_text", "b_text", "split", "status", "notes")) -> DataFrame:
-    """Copy-on-write: the given fields of an update (one a segment) replace the segment's; texts are normalized, and ``updated_at`` is the time of the update."""
-    new = updates.select("id", F.lit(True).alias("__new"), *((normalize_text(F.col(c)) if c in ("a_text", "b_text") else F.col(c)).alias(f"new_{c}") for c in fields))
-    out = segments.join(new, "id", "left").withColumns({c: F.coalesce(f"new_{c}", c) for c in fields})
+def review(segments: DataFrame, updates: DataFrame, fields: tuple[str, ...] = ("a_text", "b_text", "split", "status", "notes")) -> tuple[DataFrame, DataFrame]:
+    """Segments with the given fields of good updates (one a segment), and the updates that are refused with a ``reason``.
+
+    Texts are normalized, notes stripped, and ``updated_at`` is the time of the update.  Refused are an unknown status
+    or split and a blank text (``status``, ``split``, ``a_text``, ``b_text``), and ids that no segment has (``unknown``).
+    """
+    checked = check_updates(updates)
+    known = segments.select(F.col("id").alias("__id"), F.lit(True).alias("__known"))
+    judged = checked.join(known, F.col("id") == F.col("__id"), "left").drop("__id")
+    refused = judged.withColumn("reason", F.coalesce("wrong", F.when(F.col("__known").isNull(), "unknown"))).where("reason is not null").drop("wrong", "__known")
+    tidy = {"a_text": normalize_text, "b_text": normalize_text, "notes": strip}
+    good = checked.where("wrong is null").select("id", F.lit(True).alias("__new"), *(tidy.get(c, F.col)(F.col(c) if c in tidy else c).alias(f"new_{c}") for c in fields))
+    out = segments.join(good, "id", "left").withColumns({c: F.coalesce(f"new_{c}", c) for c in fields})
     if "updated_at" in segments.columns:
         out = out.withColumn("updated_at", F.when(F.col("__new"), F.current_timestamp()).otherwise(F.col("updated_at")))
-    return out.select(*segments.columns)
+    return out.select(*segments.columns), refused
 
 
 def upsert_sources(sources: DataFrame, new: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.plans.storage import checkpoint
+
 
 def first_wins(rows: DataFrame, keys: list[str], order: list[Column], rank: str = "rank") -> DataFrame:
     """``rows`` with each row's rank within its key, by an order that should be total."""
@@ -22,9 +24,10 @@ def duplicates(rows: DataFrame, keys: list[str], order: list[Column], shown: str
 
     Equal rows are counted and winners found before keys meet, in a join that the
     optimizer may split: a key that many rows share (an empty text) is in no one sort.
+    The counts are stored, so that ``rows`` are read once.
     """
     at = F.struct(*(c.alias(f"o{i}") for i, c in enumerate(order)), F.col(shown).alias("dropped"))
-    counted = rows.groupBy(*keys, at.alias("__at")).agg(F.count("*").alias("__n"))
+    counted = checkpoint(rows.groupBy(*keys, at.alias("__at")).agg(F.count("*").alias("__n")))
     first = counted.groupBy(*keys).agg(F.min("__at").alias("__first"), F.sum("__n").alias("__all")).where("__all > 1").select(*(F.col(k).alias(f"__{k}") for k in keys), "__first")
     same = reduce(lambda x, y: x & y, (F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys))
     lost = counted.join(first, same).withColumn("__lost", F.col("__n") - F.when(F.col("__at").eqNullSafe(F.col("__first")), 1).otherwise(0)).where("__lost > 0")
@@ -48,10 +51,19 @@ def equal_contents(rows: DataFrame, content: Column, order: list[Column], shown:
     return duplicates(hashed, ["content_hash"], order, shown).withColumnsRenamed({"kept": "first_seen", "dropped": "repeated"})
 
 
-def insert_absent(existing: DataFrame, batch: DataFrame, keys: list[str], order: list[str], key: str = "id") -> DataFrame:
-    """The rows of ``batch`` to insert: first of their key, whose key is not there yet, numbered on from the largest id."""
-    fresh = keep_first(batch, keys, [F.col(c) for c in order]).join(existing.select(*keys), keys, "left_anti")
-    return numbered(fresh, order, key, existing.agg(F.coalesce(F.max(key), F.lit(0)).alias("start")))
+def insert_absent(existing: DataFrame, batch: DataFrame, keys: list[str], order: list[str], key: str = "id", known: DataFrame | None = None) -> DataFrame:
+    """The rows of ``batch`` to insert: first of their key, whose key is not there yet, numbered on from the largest id.
+
+    Only keys and order go through the sorts and joins that decide; the other columns are joined to the numbers at the
+    end, so ``order`` must be total.  ``known`` are the keys that are there, if not those of ``existing``.
+    """
+    least = F.min(F.struct(*order)).alias("__first")
+    first = batch.select(*keys, *order).groupBy(*keys).agg(least).join(known if known is not None else existing.select(*keys), keys, "left_anti")
+    places = checkpoint(first.select(*keys, "__first.*"))
+    ids = numbered(places, order, key, existing.agg(F.coalesce(F.max(key), F.lit(0)).alias("start")))
+    named = {c: f"{c}__" for c in [*keys, *order]}
+    same = reduce(lambda x, y: x & y, (F.col(c).eqNullSafe(F.col(n)) for c, n in named.items()))
+    return batch.join(ids.withColumnsRenamed(named), same).drop(*named.values())
 
 
 def numbered(rows: DataFrame, order: list[str], name: str, start: DataFrame, ranges: int = 64) -> DataFrame:

@@ -227,7 +227,7 @@ def validate(chapters: DataFrame, version_id: str, version_code: str, side: str,
         "title_version_consistent": code.isNull() | (code == version_code), "version_link_present": url["version_link_present"],
         "container_found": F.coalesce("container_found", F.lit(False)), "verses_extracted": n > 0,
         "references_match_chapter": (n > 0) & F.forall(verses, lambda v: v["reference"].rlike(REFERENCE) & v["reference"].startswith(prefix)),
-        "book_name_matches": F.coalesce(F.lower(name) == F.lower("mapping_name"), F.lit(False)), "has_text_content": full > 0, "text_coverage_ok": share >= LEAST_COVERAGE,
+        "book_name_matches": F.coalesce(tx.casefold(name) == tx.casefold(F.col("mapping_name")), F.lit(False)), "has_text_content": full > 0, "text_coverage_ok": share >= LEAST_COVERAGE,
     }
     good = (ratio <= MOST_STOP_WORDS_A) if side == "a" else (ratio >= LEAST_STOP_WORDS_B)
     rows = chapters.withColumns({"stop_word_ratio": ratio, "coverage": share, "checks": F.map_from_arrays(F.array(*map(F.lit, tests)), F.array(*(F.coalesce(t, F.lit(False)) for t in tests.values())))})

@@ -24,7 +24,7 @@ def matches(text: Column, pattern: str) -> Column:
     Pieces between ``%`` are found one behind the other, each at its first place, which is never tried again: one pass
     over the text, where LIKE would go back for every ``%``.
     """
-    first, *rest = (re.sub(r"([^\w\s])", r"\\\1", p).replace(r"\_", "_").replace("_", ".") for p in pattern.lower().split("%"))
+    first, *rest = (re.sub(r"([^\w\s])", r"\\\1", p).replace("_", ".") for p in pattern.lower().split("%"))
     middle = "".join(f"(?>.*?{p})" for p in rest[:-1] if p)
     tail = "\\z" if not rest else f".*{rest[-1]}\\z" if rest[-1] else ""
     return F.lower(text).rlike(rf"(?s)\A{first}{middle}{tail}")

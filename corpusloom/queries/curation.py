@@ -130,10 +130,21 @@ def import_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curate.import_counts(_batch(spark, sf_dir), segment_import(spark, sf_dir))
 
 
+def _updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews, good ones and such as must be refused: of unknown segments, with unknown values, with blank texts."""
+    none, k = F.lit(None).cast("string"), F.col("id") % 100
+    rows = segments(spark, sf_dir).where("id % 10 = 0")
+    text = F.when(k == 30, " \t ").otherwise(F.concat(F.lit("  new   "), F.col("id").cast("string")))
+    good = rows.select("id", text.alias("a_text"), none.alias("b_text"), F.when(k == 50, "dev").otherwise("train").alias("split"), F.when(k == 70, "maybe").when(F.col("id") % 20 == 0, "approved").alias("status"), F.lit(" seen ").alias("notes"))
+    return good.unionByName(good.where("id % 100 = 0").withColumn("id", -F.col("id") - 1))
+
+
 def review_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    none = F.lit(None).cast("string")
-    updates = segments(spark, sf_dir).where("id % 10 = 0").select("id", F.concat(F.lit("  new   "), F.col("id").cast("string")).alias("a_text"), none.alias("b_text"), F.lit("train").alias("split"), F.when(F.col("id") % 20 == 0, "approved").alias("status"), none.alias("notes"))
-    return curate.review(segments(spark, sf_dir), updates).select("id", "a_text", "split", "status")
+    return curate.review(segments(spark, sf_dir), _updates(spark, sf_dir))[0].select("id", "a_text", "split", "status", "notes")
+
+
+def review_refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curate.review(segments(spark, sf_dir), _updates(spark, sf_dir))[1].select("id", "reason")
 
 
 def update_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,7 +161,7 @@ def translation_directions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.translation_directions(spark)
 
 
-NAMES = """segment_search segment_wildcard_search segment_search_backslash trigram_search page_by_counts snapshot_changes segment_page segment_get segment_stats reviewed_export source_upsert source_list registry_sync segment_import import_counts review_update update_validation rights_gate
+NAMES = """segment_search segment_wildcard_search segment_search_backslash trigram_search page_by_counts snapshot_changes segment_page segment_get segment_stats reviewed_export source_upsert source_list registry_sync segment_import import_counts review_update review_refusals update_validation rights_gate
 translation_directions""".split()
 QUERIES = {n: globals()[n] for n in NAMES}
 
@@ -181,7 +192,9 @@ SELECT *, 'first' AS version FROM v1 UNION ALL SELECT *, 'last' FROM v2 WHERE id
     "registry_sync": "SELECT 'n' || n_nationkey AS source_id, n_name AS title, 'P' AS provider, '' AS license, CASE WHEN n_nationkey % 2 = 0 THEN 'OPEN_LICENSE' ELSE 'UNKNOWN' END AS rights_status, 'http://x/' AS canonical_url, '' AS notes FROM nation WHERE n_nationkey % 5 <> 0",
     "segment_import": f"{_IMPORT} SELECT row_number() OVER (ORDER BY line_no) + (SELECT max(id) FROM seg) AS id, ref, a_text, b_text, 'unreviewed' AS status FROM fresh",
     "import_counts": f"{_IMPORT} SELECT (SELECT count(*) FROM fresh) AS inserted, (SELECT count(*) FROM good) - (SELECT count(*) FROM fresh) AS duplicates",
-    "review_update": f"{_SEG} SELECT id, CASE WHEN id % 10 = 0 THEN 'new ' || id ELSE a_text END AS a_text, CASE WHEN id % 10 = 0 THEN 'train' ELSE split END AS split, CASE WHEN id % 20 = 0 THEN 'approved' ELSE status END AS status FROM seg",
+    "review_update": f"""{_SEG}, r AS (SELECT *, id % 10 = 0 AND id % 100 NOT IN (30, 50, 70) AS good FROM seg)
+SELECT id, CASE WHEN good THEN 'new ' || id ELSE a_text END AS a_text, CASE WHEN good THEN 'train' ELSE split END AS split, CASE WHEN good AND id % 20 = 0 THEN 'approved' ELSE status END AS status, CASE WHEN good THEN 'seen' ELSE '' END AS notes FROM r""",
+    "review_refusals": f"{_SEG} SELECT id, CASE id % 100 WHEN 30 THEN 'a_text' WHEN 50 THEN 'split' ELSE 'status' END AS reason FROM seg WHERE id % 100 IN (30, 50, 70) UNION ALL SELECT -id - 1, 'unknown' FROM seg WHERE id % 100 = 0",
     "update_validation": f"{_SEG} SELECT id, CASE id % 5 WHEN 0 THEN 'a_text' WHEN 1 THEN 'split' WHEN 2 THEN 'status' END AS wrong FROM seg",
     "rights_gate": f"{_SEG} SELECT id, source_id FROM seg JOIN src USING (source_id) WHERE rights_status IN ({', '.join(f"'{r}'" for r in PUBLIC_RIGHTS)})",
     "translation_directions": "SELECT * FROM (VALUES ('a-b', 'a', 'b'), ('b-a', 'b', 'a')) AS t(direction, source, target)",

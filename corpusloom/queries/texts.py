@@ -42,7 +42,7 @@ def strip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def normalize_line_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return docs(spark, sf_dir).select("doc_id", F.array_join(tx.normalize_lines(F.split(F.col("text"), "\n", -1)), "|").alias("lines"))
+    return docs(spark, sf_dir).select("doc_id", F.array_join(tx.normalize_lines(F.split(_spaced(), "\n", -1)), "|").alias("lines"))
 
 
 def pair_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,7 +118,7 @@ SQL = {
     "text_nfc_normalize": f"SELECT doc_id, trim(regexp_replace({_PLAIN.format(f'nfc_normalize({_SPACED})')}, '{_WS}+', ' ', 'g'), ' ') AS text FROM documents",
     "text_line_normalize": f"SELECT doc_id, {_strip(f'''regexp_replace({_PLAIN.format(f'nfc_normalize({_SPACED})')}, '[ \\t\\r\\f\\x0B]+', ' ', 'g')''')} AS text FROM documents",
     "strip_lines": f"SELECT doc_id, (i - 1)::INT AS line_no, {_strip('ls[i]')} AS line FROM (SELECT doc_id, ls, unnest(generate_series(1, len(ls))) AS i FROM (SELECT doc_id, string_split({_SPACED}, chr(10)) AS ls FROM documents))",
-    "normalize_line_array": "SELECT doc_id, array_to_string(list_transform(string_split(text, chr(10)), lambda x: " + _strip(f"regexp_replace({_PLAIN.format('x')}, '[ \\t\\r\\f\\x0B]+', ' ', 'g')") + "), '|') AS lines FROM documents",
+    "normalize_line_array": "SELECT doc_id, array_to_string(list_transform(string_split(" + _SPACED + ", chr(10)), lambda x: " + _strip(f"regexp_replace({_PLAIN.format('nfc_normalize(x)')}, '[ \\t\\r\\f\\x0B]+', ' ', 'g')") + "), '|') AS lines FROM documents",
     "pair_dedup": "SELECT min(doc_id) AS doc_id, source, count(*) AS n FROM documents GROUP BY text, source",
     "duplicate_content_hash": "SELECT sha256(text) AS content_hash, first AS first_seen, doc_id AS repeated FROM (SELECT *, min(doc_id) OVER (PARTITION BY text) AS first FROM documents) WHERE doc_id <> first",
     "text_hash": "SELECT doc_id, sha256(CASE WHEN doc_id % 7 <> 0 THEN text ELSE '' END) AS hash FROM documents",

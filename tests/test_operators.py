@@ -61,15 +61,39 @@ def test_curation(spark):
     assert [(r.id, r.a_text, r.b_text, r.status) for r in fresh.collect()] == [(3, "new", "new", "unreviewed")]
     assert tuple(curate.import_counts(batch, fresh).first()) == (1, 2)
     updates = spark.createDataFrame([(2, "  n  ", None, None, "corrected", None)], "id bigint, a_text string, b_text string, split string, status string, notes string")
-    assert tuple(curate.review(s, updates).where("id = 2").select("a_text", "b_text", "status").first()) == ("n", "two", "corrected")
+    assert tuple(curate.review(s, updates)[0].where("id = 2").select("a_text", "b_text", "status").first()) == ("n", "two", "corrected")
     assert curate.export_reviewed(s).count() == 1
 
 
+def test_reviews_that_are_refused(spark):
+    """What the service answers with an error isn't written, and comes back with the reason."""
+    s = segments(spark)
+    schema = "id bigint, a_text string, b_text string, split string, status string, notes string"
+    bad = [(1, None, None, None, "maybe", None), (1, None, None, "dev", None, None), (2, " \u200b ", None, None, None, None), (2, None, "", "train", None, None), (77, "x", "y", "train", "approved", ""), (None, "x", None, None, None, None)]
+    held, refused = curate.review(s, spark.createDataFrame(bad, schema))
+    assert sorted(map(repr, held.collect())) == sorted(map(repr, s.collect()))
+    assert sorted((r.id or 0, r.reason) for r in refused.collect()) == [(0, "unknown"), (1, "split"), (1, "status"), (2, "a_text"), (2, "b_text"), (77, "unknown")]
+    good, none = curate.review(s.withColumn("notes", F.lit("old")), spark.createDataFrame([(1, None, None, "test", "rejected", "  why\n")], schema))
+    assert none.count() == 0 and [r.notes for r in good.orderBy("id").collect()][0] == "why"
+
+
+def test_imports_meet_by_digests(spark):
+    """Equal rows of a batch are one, ties in the order too; texts go through no sort, and a batch is cleaned once."""
+    s = segments(spark)
+    batch = spark.createDataFrame([(1, "a", "b", "r")] * 3 + [(1, "c", "d", "r"), (2, "a", "b", "x"), (0, "ab", "", "n"), (3, "1:a", "b", "y")], "line_no bigint, a_text string, b_text string, ref string")
+    fresh = curate.import_batch(s, batch, "s", ["line_no"])
+    assert sorted((r.a_text, r.b_text) for r in fresh.collect()) == [("1:a", "b"), ("a", "b"), ("c", "d")]
+    assert sorted(r.id for r in fresh.collect()) == [3, 4, 5]
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan and plan.count("FileScan") <= 4
+    assert not re.search(r"(Sort|Window|SortAggregate|hashpartitioning\()[^\n]*\ba_text", plan)
+
+
 def test_updates_are_stamped(spark):
     """A review and a change of state carry the time; what isn't changed keeps its own."""
     old = "2001-01-01 00:00:00"
     s = segments(spark).withColumn("updated_at", F.lit(old).cast("timestamp"))
-    out = {r.id: str(r.updated_at) for r in curate.review(s, spark.createDataFrame([(2, "n", None, None, "corrected", None)], "id bigint, a_text string, b_text string, split string, status string, notes string")).collect()}
+    out = {r.id: str(r.updated_at) for r in curate.review(s, spark.createDataFrame([(2, "n", None, None, "corrected", None)], "id bigint, a_text string, b_text string, split string, status string, notes string"))[0].collect()}
     assert out[1].startswith("2001") and not out[2].startswith("2001")
     state = spark.createDataFrame([("k1", "verified", "t"), ("k2", "failed", "t")], "k string, status string, updated_at string")
     found = {r.k: r.updated_at for r in tasks.upsert_state(state, spark.createDataFrame([("k2", "verified"), ("k3", None)], "k string, status string"), ["k"]).collect()}

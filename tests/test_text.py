@@ -88,3 +88,20 @@ def test_versions(spark):
     assert refs.side(versions, None).count() == 2
     with pytest.raises(KeyError):
         refs.side(versions, "c")
+
+
+def test_lines_of_an_array_are_normal_forms(spark):
+    """Each element as ``normalize_line`` has it, decomposed letters composed."""
+    lines = ["e\u0301", " a\u00a0\tb ", None, "", "\u200bx", "\uac00\u11a8", "plain"]
+    df = spark.createDataFrame([(lines,), (["plain", " b "],), (None,), ([],)], "x array<string>")
+    got = [r[0] for r in df.select(tx.normalize_lines(F.col("x"))).collect()]
+    one = [r[0] for r in spark.createDataFrame([(x or "",) for x in lines], "x string").select(tx.normalize_line(F.col("x"))).collect()]
+    assert got == [one, ["plain", "b"], None, []] and got[0][0] == "\u00e9"
+
+
+def test_case_folding_is_that_of_python(spark):
+    """All code points, and words whose letters fold to several or by place."""
+    points = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    texts = ["".join(points[i : i + 4096]) for i in range(0, len(points), 4096)] + ["STRASSE", "Stra\u00dfe", "\u03a3\u0391\u03a3", "\u0130", "\ufb03", "Plain ASCII"]
+    got = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, x string").select("i", tx.casefold(F.col("x")).alias("y")).collect()
+    assert {r.i: r.y for r in got} == {i: x.casefold() for i, x in enumerate(texts)}

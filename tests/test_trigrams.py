@@ -30,7 +30,7 @@ def texts(spark):
 def patterns():
     r = random.Random(3)
     out = ["".join(r.choice([*ALPHABET[:12], "%", "%", "_"]) for _ in range(r.randint(1, 7))) for _ in range(40)]
-    return [*out, "%C:\\dir%", "%\\", "%\\%", "c:_dir%le", "%abcabc%", "%abca_cabc%abc%", "%", "_%_", "%abc%%abc", "%zzzz%", "%στα%", "%(%.%", "%istanbul%"]
+    return [*out, "%C:\\dir%", "%\\", "%\\%", "c:_dir%le", "%:\\_ir%", "%abcabc%", "%abca_cabc%abc%", "%", "_%_", "%abc%%abc", "%zzzz%", "%στα%", "%(%.%", "%istanbul%"]
 
 
 def test_matches(spark, texts):
