@@ -11,11 +11,13 @@ texts count, and the last half of a text has its own octave whatever its length.
 A fingerprint is the walk's length and its sampled bits, in hex.  Likeness compares
 two fingerprints octave by octave, weighted with the octaves' lengths.
 
-Near-duplicates are documents of likeness ``LEAST`` or more, joined by links.  Bands
-of bits, sampled below a length that both walks have or nearly have, bring candidates
-together; candidates that meet form groups, and each link is verified on whole
-fingerprints (``spanning``).  Bits of a pair at likeness 0.9 agree at 0.95, so 28 bands of
-48 bits meet with a chance of 0.92; texts that don't resemble each other meet with one of 2^-48 a band.
+Near-duplicates are documents joined by links: of likeness ``LEAST`` or more, or of edit similarity (one less the edit
+distance's share of the longer text) ``LEAST_EDIT`` or more.  An edit puts a walk out of step for a while, and walks that
+are in step write alike without a break; so a band is ``BAND_BITS`` bits of consecutive steps, at shared places in a
+walk's last octaves.  Walks with 5 % of edits are in step for a third of the way, and mostly meet in one of their 50 bands;
+texts that don't resemble each other meet with a chance of 2^-40 a band.  Documents that meet form groups (``spanning``),
+in which each link is verified: by whole fingerprints, and where likeness is between ``DOUBT`` and ``LEAST`` by the
+exact edit distance of the texts.  ``clusters(..., exact=True)`` compares all texts of a length level instead.
 
 Defined results: null counts as the empty text, whose fingerprint is that of a walk
 of length 0; two empty texts have likeness 1, an empty and another 0; ids are whole
@@ -27,8 +29,9 @@ vertex of a cluster; empty texts link with nothing, and a null id has a null clu
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterable, Iterator
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +42,11 @@ from pyspark.sql import functions as F
 from corpusloom.llm.common import at_or_below, checkpoint, mixed, plus, quoted, scratch, shuffle_partitions, text_tie
 from corpusloom.llm.spanning import LINKS, PACKET, Sets, components, group_links, pair_batch, star_edges, star_packets
 
-LEAST = 0.9
-BANDS, BAND_BITS = 28, 48
+LEAST, LEAST_EDIT = 0.75, 0.95
+#: Pairs of less likeness aren't measured: unrelated texts have up to some 0.2.
+DOUBT = 0.2
+#: Bands begin at so many steps of an octave, in a walk's last octaves.
+BANDS, BAND_OCTAVES, BAND_BITS = 12, 5, 40
 RANGE_BYTES = 64 << 20
 OCTAVES = 40
 ALONE = 12  #: so few walks go one by one, in plain integers, instead of all together
@@ -60,6 +66,18 @@ def sampled_steps(per_octave: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return s, np.concatenate(octave), rng.integers(0, 1 << 31, len(s), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
 
+@cache
+def band_steps() -> np.ndarray:
+    """The shared steps at which bands begin, and their octaves (two rows); all steps of the first octaves."""
+    rng = np.random.default_rng(73)
+    steps, octave = [np.array([0])], [np.array([0])]
+    for o in range(1, OCTAVES):
+        low = n = 1 << (o - 1)
+        steps.append(np.arange(low, low + n) if n <= BANDS else low + np.sort(rng.choice(n, BANDS, replace=False) if n < 1 << 20 else rng.integers(0, n, BANDS)))
+        octave.append(np.full(len(steps[-1]), o))
+    return np.stack([np.concatenate(steps), np.concatenate(octave)])
+
+
 def characters(points: np.ndarray) -> np.ndarray:
     """A scrambled number for each code point, another for each; the highest bit of its product with a step's multiplier is the code point's random bit at that step."""
     h = points.astype(np.uint32) + np.uint32(1)
@@ -76,15 +94,22 @@ def _moves(first: int, n: int) -> np.ndarray:
     return ((h ^ (h >> np.uint64(31))) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
-def walks(texts: list[str], per_octave: int = 128, block: int = 256) -> tuple[np.ndarray, np.ndarray]:
-    """Lengths of the walks over all texts, and their sampled bits (a row a text, 0 behind the end)."""
+def _writes(first: int, n: int) -> np.ndarray:
+    """Shared odd multipliers for the bits of bands that are written at ``n`` steps from ``first`` on."""
+    return mixed(np.arange(first, first + n, dtype=np.uint64) + np.uint64(0x5BD1E9955BD1E995)).astype(np.uint32) | np.uint32(1)
+
+
+def walks(texts: list[str], per_octave: int = 128, block: int = 256, banded: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lengths of the walks over all texts, and their sampled bits (a row a text, 0 behind the end); for the first ``banded`` texts the bands: whose, and a key."""
     steps, _, written = sampled_steps(per_octave)
+    begin, octave = band_steps()
     size = np.array([len(t) for t in texts], np.int64)
     start = np.cumsum(size + 1) - size - 1
     here_of = characters(np.frombuffer("\0".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32))
     here_of[start + size] = 0  # the end: all its bits are 0, so a walk stays there
     out = np.zeros((len(texts), int(np.searchsorted(steps, 4 * size.max(initial=0) + 64))), np.uint8)
     length = np.zeros(len(texts), np.int64)
+    places = np.zeros((banded, int(np.searchsorted(begin, 8 * size[:banded].max(initial=0) + 64))), np.int64)
     live, step = np.flatnonzero(size > 0), 0
     at = start[live]
     while len(live):
@@ -93,11 +118,15 @@ def walks(texts: list[str], per_octave: int = 128, block: int = 256) -> tuple[np
         if b > out.shape[1]:
             out = np.hstack([out, np.zeros((len(texts), int(b) - out.shape[1] + 1024), np.uint8)])
         samples = [*zip((steps[a:b] - step).tolist(), range(a, b), written[a:b].tolist(), strict=True), (block, -1, 0)]
+        # A band's beginning is a sample without a bit: its column, negative, says where the place is written.
+        a, b = np.searchsorted(begin, (step, step + block))
+        if banded and a < places.shape[1]:
+            samples = sorted([*samples, *((int(x) - step, -2 - k, 0) for k, x in enumerate(begin[a:b], a) if k < places.shape[1])], key=lambda x: x[0])
         entered = at.copy()
         if len(live) <= ALONE:
             view, factors = memoryview(here_of), moves.tolist()
             for k in range(len(live)):
-                at[k] = _alone(view, int(at[k]), factors, samples, out[live[k]])
+                at[k] = _alone(view, int(at[k]), factors, samples, out[live[k]], places[live[k]] if live[k] < banded else None)
         else:
             here, j = np.empty(len(live), np.uint32), 0
             for stop, column, factor in samples:
@@ -109,6 +138,9 @@ def walks(texts: list[str], per_octave: int = 128, block: int = 256) -> tuple[np
                 j = stop
                 if column >= 0:
                     out[live, column] = (here_of[at] * np.uint32(factor)) >> np.uint32(31)
+                elif column < -1:
+                    first = int(np.searchsorted(live, banded))
+                    places[live[:first], -2 - column] = at[:first]
         ended = here_of[at] == 0
         if ended.any():
             # The exact length: the block again, for walks that ended in it.
@@ -120,10 +152,24 @@ def walks(texts: list[str], per_octave: int = 128, block: int = 256) -> tuple[np
             length[live[ended]] = step + counted
             live, at = live[~ended], at[~ended]
         step += block
-    return length, out
+    return length, out, *_bands(here_of, places, length[:banded], begin, octave)
+
 
+def _bands(here_of: np.ndarray, places: np.ndarray, length: np.ndarray, begin: np.ndarray, octave: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whose band, and its key: the bits that the walk writes from its beginning on, ``BAND_BITS`` of them."""
+    top = np.ceil(np.log2(np.maximum(length, 1))).astype(np.int64)[:, None]
+    n = places.shape[1]
+    owner, band = np.nonzero((begin[:n] < length[:, None]) & (octave[:n] > top - BAND_OCTAVES))
+    at, key = places[owner, band], np.zeros(len(owner), np.uint64)
+    moves, bits = (np.stack([f(int(x), BAND_BITS) for x in begin[:n]]).reshape(n, BAND_BITS) if n else np.zeros((0, BAND_BITS), np.uint32) for f in (_moves, _writes))
+    for k in range(BAND_BITS):
+        here = here_of[at]
+        key = (key << np.uint64(1)) | ((here * bits[band, k]) >> np.uint32(31)).astype(np.uint64)
+        at = at + ((here * moves[band, k]) >> np.uint32(31))
+    return owner, mixed(key + (band.astype(np.uint64) << np.uint64(BAND_BITS)))
 
-def _alone(view: memoryview, at: int, moves: list[int], samples: list[tuple[int, int, int]], out: np.ndarray) -> int:
+
+def _alone(view: memoryview, at: int, moves: list[int], samples: list[tuple[int, int, int]], out: np.ndarray, places: np.ndarray | None = None) -> int:
     """One walk through a block of steps."""
     j = 0
     for stop, column, factor in samples:
@@ -132,6 +178,8 @@ def _alone(view: memoryview, at: int, moves: list[int], samples: list[tuple[int,
         j = stop
         if column >= 0:
             out[column] = (view[at] * factor & _MASK) >> 31
+        elif column < -1 and places is not None:
+            places[-2 - column] = at
     return at
 
 
@@ -144,7 +192,7 @@ class Fingerprints:
 
     @classmethod
     def walked(cls, texts: list[str], per_octave: int = 128) -> Fingerprints:
-        return cls(*walks(texts, per_octave), per_octave)
+        return cls(*walks(texts, per_octave)[:2], per_octave)
 
     @classmethod
     def of(cls, prints: list[bytes], per_octave: int = 128) -> Fingerprints:
@@ -178,43 +226,6 @@ class Fingerprints:
         mean = (share * weight).sum(1) / np.maximum(weight.sum(1), 1)
         return np.where(reach[:, 0] == 0, 1.0, np.where((short == 0)[:, 0], 0.0, np.clip(2 * mean - 1, 0, 1))).astype(np.float64)
 
-    def bands(self, bands: int = BANDS, sampled: int = BAND_BITS) -> tuple[np.ndarray, np.ndarray]:
-        """The fingerprints' numbers and a 64-bit key for each of their bands; none for an empty text.
-
-        Lengths have levels, four an octave.  A walk has the bands of its own level and of that of a
-        walk a tenth longer; so two walks of likeness ``LEAST``, whose lengths differ by less, share a level.
-        Bits behind a walk's end are 0.
-        """
-        there = np.flatnonzero(self.length > 0)
-        level = lambda x: np.floor(4 * np.log2(x) + 1e-9).astype(np.int64)
-        own, above = level(self.length[there]), level(self.length[there] / LEAST)
-        number, level_of = np.concatenate([there, there[above > own]]), np.concatenate([own, above[above > own]])
-        out = np.zeros((len(number), bands), np.uint64)
-        for q in np.unique(level_of):
-            at = np.flatnonzero(level_of == q)
-            chosen = _chosen(self.per_octave, int(q), bands, sampled)
-            bits = np.zeros((len(at), max(self.bits.shape[1], int(chosen.max()) + 1)), np.uint8)
-            bits[:, : self.bits.shape[1]] = self.bits[number[at]]
-            value = np.zeros((len(at), bands, 64), np.uint8)
-            value[:, :, : chosen.shape[1]] = bits[:, chosen]
-            key = np.packbits(value, axis=2).view(np.uint64)[:, :, 0]
-            out[at] = mixed(mixed(key) + np.uint64(1000 * int(q)) + np.arange(bands, dtype=np.uint64))
-        return np.repeat(number, bands), out.reshape(-1)
-
-
-@cache
-def _chosen(per_octave: int, level: int, bands: int, sampled: int) -> np.ndarray:
-    """The samples of each band (a row), of those below the level's end; a sample stands for its share of its octave, as in likeness.
-
-    Bands of short walks have a quarter of the samples, so that they can miss what differs.
-    """
-    steps, octave, _ = sampled_steps(per_octave)
-    size = max(1, int(np.searchsorted(steps, 2 ** ((level + 1) / 4))))
-    octave = octave[:size]
-    weight = np.maximum(1, 2.0 ** (octave - 1)) / np.bincount(octave)[octave]
-    n = max(min(size, 8), min(sampled, size // 4))
-    return np.stack([np.random.default_rng(1000 * level + b).choice(size, n, replace=False, p=weight / weight.sum()) for b in range(bands)])
-
 
 def edited(text: str, following: str) -> str:
     """The text with its last half (rounded down) replaced by as many characters, or all, of the following text's beginning."""
@@ -226,7 +237,7 @@ _LEAST_ID = -(2**63)
 
 
 def beside_next(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``part``, ``echo``, ``id``, ``packed`` (the text, compressed): sorted within partitions so that each document's next follows it.
+    """``part``, ``echo``, ``id``, ``tie`` (of the text's hash), ``packed`` (the text, compressed): sorted within partitions so that each document's next follows it.
 
     Ids are cut into ranges at actual ids (quantiles, for ranges of about ``RANGE_BYTES`` or as many
     as there are shuffle partitions); an id that several quantiles hit is cut by the texts' hashes.
@@ -260,36 +271,39 @@ def beside_next(docs: DataFrame, key: str, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([press.compress(t.encode()) for t in batch.column(5).to_pylist()], pa.binary())], names=[*batch.schema.names[:-1], "packed"])
 
     sent = spread.mapInArrow(pack, plus(spread.drop("text"), "packed binary"))
-    return sent.repartitionById(max(1, len(cuts)), F.col("part") - 1).sortWithinPartitions("part", "echo", "place", "tie").select("part", "echo", "id", "packed")
+    return sent.repartitionById(max(1, len(cuts)), F.col("part") - 1).sortWithinPartitions("part", "echo", "place", "tie").select("part", "echo", "id", "tie", "packed")
 
 
 def prints(docs: DataFrame, key: str = "doc_id", text: str = "text", per_octave: int = 128, lanes: int = 4096, chars: int = 8 << 20) -> DataFrame:
-    """One row a document: its id, ``n_chars``, ``edited_sha256``, ``print`` and ``edited_print`` (bytes), their likeness and that of the next one's.
+    """One row a document: its id, ``n_chars``, ``edited_sha256``, ``print`` and ``edited_print`` (bytes), their likeness and that of the next one's; ``tie`` and the ``bands``' keys.
 
     Walks of up to ``lanes`` texts, or ``chars`` characters, are taken together.
     """
     rows = beside_next(docs, key, text)
-    schema = plus(docs.select(quoted(key)), "n_chars bigint, edited_sha256 binary, print binary, edited_print binary, near_edited double, near_next double")
+    schema = plus(docs.select(quoted(key)), "n_chars bigint, edited_sha256 binary, print binary, edited_print binary, near_edited double, near_next double, tie bigint, bands binary")
 
-    def made(held: list[tuple[object, str]], following: list[str], types: pa.DataType) -> pa.RecordBatch:
+    def made(held: list[tuple[object, int, str]], following: list[str], types: pa.DataType) -> pa.RecordBatch:
         n = len(held)
-        texts = [t for _, t in held]
+        texts = [t for _, _, t in held]
         new = [edited(t, f) for t, f in zip(texts, following, strict=True)]
-        found = Fingerprints.walked([*texts, following[-1], *new], per_octave)
+        length, bits, owner, key = walks([*texts, following[-1], *new], per_octave, banded=n)
+        found = Fingerprints(length, bits, per_octave)
+        ends = np.searchsorted(owner, np.arange(n + 1))
         i = np.arange(n)
         arrays = [
-            pa.array([k for k, _ in held], types), pa.array([len(t) for t in texts], pa.int64()), pa.array([hashlib.sha256(t.encode()).digest() for t in new], pa.binary()),
+            pa.array([k for k, _, _ in held], types), pa.array([len(t) for t in texts], pa.int64()), pa.array([hashlib.sha256(t.encode()).digest() for t in new], pa.binary()),
             pa.array([found.print(k) for k in range(n)], pa.binary()), pa.array([found.print(n + 1 + k) for k in range(n)], pa.binary()), pa.array(found.likeness(i, i + n + 1)), pa.array(found.likeness(i, i + 1)),
+            pa.array([x for _, x, _ in held], pa.int64()), pa.array([key[ends[k] : ends[k + 1]].tobytes() for k in range(n)], pa.binary()),
         ]
         return pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[object, str]] = []
+        held: list[tuple[object, int, str]] = []
         unpack = zstandard.ZstdDecompressor()
         size, here, over, types = 0, None, False, None
         for batch in batches:
             types = batch.schema.types[2]
-            for part, echo, k, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for part, echo, k, tie, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if part != here:
                     held, size, here, over = [], 0, part, False
                 if over:  # further documents with the id of the echo
@@ -297,71 +311,142 @@ def prints(docs: DataFrame, key: str = "doc_id", text: str = "text", per_octave:
                 t = unpack.decompress(t).decode()
                 if echo or len(held) >= lanes or size >= chars:
                     if held:
-                        yield made(held, [*(x for _, x in held[1:]), t], types)
+                        yield made(held, [*(x for _, _, x in held[1:]), t], types)
                     held, size, over = [], 0, echo
                 if not echo:
-                    held.append((k, t))
+                    held.append((k, tie, t))
                     size += len(t)
 
     return rows.mapInArrow(run, schema)
 
 
-def forest(least: float = LEAST):  # noqa: ANN201
-    """A function that connects the ids of a part whose fingerprints links of likeness ``least`` or more connect."""
+def edit_similarity(a: str, b: str) -> float:
+    """One less the edit distance's share of the longer text: bit-parallel, a column of the table a big integer."""
+    if a == b:
+        return 1.0
+    whole = max(len(a), len(b))
+    front = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+    a, b = a[front:], b[front:]
+    back = next((i for i, (x, y) in enumerate(zip(reversed(a), reversed(b), strict=False)) if x != y), min(len(a), len(b)))
+    a, b = sorted((a[: len(a) - back], b[: len(b) - back]), key=len)
+    if not a:
+        return 1 - len(b) / whole
+    where: dict[str, int] = {}
+    for i, c in enumerate(a):
+        where[c] = where.get(c, 0) | 1 << i
+    mask, last, distance = (1 << len(a)) - 1, 1 << (len(a) - 1), len(a)
+    up, down = mask, 0
+    for c in b:
+        same = where.get(c, 0)
+        across = (((same & up) + up) ^ up) | same
+        rise, fall = down | ~(across | up) & mask, up & across
+        distance += bool(rise & last) - bool(fall & last)
+        rise, fall = (rise << 1 | 1) & mask, fall << 1 & mask
+        kept = same | down
+        up, down = fall | ~(kept | rise) & mask, rise & kept
+    return 1 - distance / whole
+
+
+def forest(least: float = LEAST, least_edit: float = LEAST_EDIT, doubt: float = DOUBT):  # noqa: ANN201
+    """A function that connects the ids of a part (bodies: fingerprint and compressed text) which links of likeness ``least`` or edit similarity ``least_edit`` connect."""
 
     def link(ids: list[int], bodies: list[bytes]) -> list[tuple[int, int]]:
-        found, sets, out, pivots = Fingerprints.of(bodies), Sets(), [], []
+        cut = [4 + int.from_bytes(x[:4], "big") for x in bodies]
+        found, sets, out, pivots = Fingerprints.of([x[4:k] for x, k in zip(bodies, cut, strict=True)]), Sets(), [], []
+        unpack = zstandard.ZstdDecompressor()
 
-        def compare(i: np.ndarray, j: np.ndarray) -> bool:
-            near = np.flatnonzero(found.likeness(i, j) >= least)
-            out.extend((ids[a], ids[b]) for a, b in zip(i[near].tolist(), j[near].tolist(), strict=True) if sets.join(a, b))
-            return len(near) > 0
+        @lru_cache(maxsize=64)
+        def text(i: int) -> str:
+            return unpack.decompress(bodies[i][cut[i] :]).decode()
+
+        def near(i: int, j: int, like: float) -> bool:
+            if like >= least:
+                return True
+            short, long = sorted((len(text(i)), len(text(j))))
+            return short >= least_edit * long and edit_similarity(text(i), text(j)) >= least_edit
+
+        def compare(i: int, others: np.ndarray) -> bool:
+            """Links ``i`` with all of the others that it is near to and that are still apart from it."""
+            like, hit = found.likeness(np.full(len(others), i), others), False
+            for k in np.argsort(-like):
+                if like[k] < doubt:
+                    break
+                if sets.root(ids[i]) == sets.root(ids[int(others[k])]):
+                    hit = True
+                elif near(i, int(others[k]), float(like[k])):
+                    hit = True
+                    sets.join(ids[i], ids[int(others[k])])
+                    out.append((ids[i], ids[int(others[k])]))
+            return hit
 
         for i in range(len(ids)):
-            near = [compare(np.full(len(p), i), p) for p in (np.array(pivots[k : k + 1024]) for k in range(0, len(pivots), 1024))]
-            if not any(near):
+            met = [compare(i, np.array(pivots[k : k + 1024])) for k in range(0, len(pivots), 1024)]
+            if not any(met):
                 pivots.append(i)
         # Those that no pivot connects are compared with all that are still apart from them.
-        for i in range(len(ids)):
-            apart = np.array([j for j in range(i) if sets.root(j) != sets.root(i)], np.int64) if len({sets.root(p) for p in pivots}) > 1 else np.zeros(0, np.int64)
-            for k in range(0, len(apart), 1024):
-                compare(np.full(len(apart[k : k + 1024]), i), apart[k : k + 1024])
+        if len({sets.root(ids[p]) for p in pivots}) > 1:
+            for i in range(len(ids)):
+                root = sets.root(ids[i])
+                apart = np.array([j for j in range(i) if sets.root(ids[j]) != root], np.int64)
+                for k in range(0, len(apart), 1024):
+                    compare(i, apart[k : k + 1024])
         return out
 
     return link
 
 
-def clusters(table: DataFrame, key: str = "doc_id", least: float = LEAST, part: int = 1024, broadcast_ids: int = 500_000) -> DataFrame:
-    """``u``, ``root`` for each id that near-duplicates link to a lesser one, the least of its cluster (``table``: ``key`` and ``print``; read twice).
+def clusters(table: DataFrame, docs: DataFrame, key: str = "doc_id", text: str = "text", least: float = LEAST, least_edit: float = LEAST_EDIT, part: int = 1024, broadcast_ids: int = 500_000, broadcast_heads: int = 50_000, exact: bool = False) -> DataFrame:
+    """``u``, ``root`` for each id that near-duplicates link to a lesser one, the least of its cluster.
 
-    Up to ``broadcast_ids`` ids of candidates are broadcast; more are joined by shuffling.
+    ``table`` has the ``prints`` of ``docs`` and is read twice; texts are read for documents that met others, one for
+    each fingerprint of a group.  Up to ``broadcast_ids`` ids of candidates, and ``broadcast_heads`` fingerprints, are broadcast; more
+    are joined by shuffling.  ``exact`` compares all documents whose lengths are of one level or of neighbouring ones, without bands.
     """
     buckets = shuffle_partitions(table.sparkSession)
-    rows = table.select(quoted(key).cast("bigint").alias("id"), "print").where("id is not null")
+    rows = table.select(quoted(key).cast("bigint").alias("id"), "tie", "print", "bands", "n_chars").where("id is not null and n_chars > 0")
 
     def ship(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            least_of: dict[bytes, int] = {}
-            for i, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                least_of[p] = min(i, least_of.get(p, i))
-            number, value = Fingerprints.of([*least_of]).bands()
-            yield star_packets(np.array([*least_of.values()], np.int64)[number], value, buckets)
+            least_of: dict[bytes, tuple[int, bytes]] = {}
+            for i, p, b in zip(*(batch.column(c).to_pylist() for c in ("id", "print", "bands")), strict=True):
+                least_of[p] = min((i, b), least_of.get(p, (i, b)))
+            owner = np.repeat([i for i, _ in least_of.values()], [len(b) // 8 for _, b in least_of.values()]).astype(np.int64)
+            yield star_packets(owner, np.frombuffer(b"".join(b for _, b in least_of.values()), np.uint64), buckets)
 
     def copies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Equal fingerprints of a batch are links already."""
         for batch in batches:
             least_of: dict[bytes, int] = {}
-            pairs = [*zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+            pairs = [*zip(batch.column("id").to_pylist(), batch.column("print").to_pylist(), strict=True)]
             for i, p in pairs:
                 least_of[p] = min(i, least_of.get(p, i))
-            links = {(i, least_of[p]) for i, p in pairs if least_of[p] != i and any(p[:5])}
-            yield pair_batch(*np.array(sorted(links), np.int64).reshape(-1, 2).T)
+            yield pair_batch(*np.array(sorted({(i, least_of[p]) for i, p in pairs if least_of[p] != i}), np.int64).reshape(-1, 2).T)
+
+    if exact:
+        level = F.floor(F.ln(F.col("n_chars").cast("double")) / math.log(1 / least_edit)).cast("bigint")
+        grouped = rows.select("id", "tie", "print", F.explode(F.array(level, level + 1)).alias("group"))
+    else:
+        met = components(star_edges(rows.mapInArrow(ship, PACKET), buckets))
+        member = checkpoint(met.select(F.col("u").alias("id"), F.col("root").alias("group")).union(met.select(F.col("root").alias("id"), F.col("root").alias("group")).distinct()))
+        few = member.count() <= broadcast_ids
+        grouped = rows.join(F.broadcast(member) if few else member, "id").select("id", "tie", "print", "group")
+    # One document for each fingerprint of a group, to which the others are linked: those that their batches shipped.
+    grouped = checkpoint(grouped)
+    heads = checkpoint(grouped.groupBy("group", "print").agg(F.min(F.struct("id", "tie")).alias("head")).select("group", "print", "head.*"))
+    alike = grouped.select("group", "print", F.col("id").alias("u")).join(heads.select("group", "print", F.col("id").alias("v")), ["group", "print"]).select("u", "v").where("u <> v")
+    texts = docs.select(quoted(key).cast("bigint").alias("id"), F.coalesce(quoted(text), F.lit("")).alias("text")).withColumn("tie", text_tie(F.col("text")))
+    few = heads.count() <= broadcast_heads
+    with_text = texts.join(F.broadcast(heads) if few else heads, ["id", "tie"]).select("group", "id", "print", "text")
+
+    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            bodies = [len(p).to_bytes(4, "big") + p + press.compress(t.encode()) for p, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(bodies, pa.binary())], names=["group", "id", "body"])
 
-    met = components(star_edges(rows.mapInArrow(ship, PACKET), buckets))
-    member = checkpoint(met.select(F.col("u").alias("id"), F.col("root").alias("group")).union(met.select(F.col("root").alias("id"), F.col("root").alias("group")).distinct()))
-    few = member.count() <= broadcast_ids
-    found = checkpoint(rows.join(F.broadcast(member) if few else member, "id").select("group", "id", F.col("print").alias("body")).distinct())
-    return components(group_links(found, forest(least), part).union(rows.mapInArrow(copies, LINKS)))
+    found = checkpoint(with_text.mapInArrow(pack, "group bigint, id bigint, body binary"))
+    links = group_links(found, forest(least, least_edit, -1.0 if exact else DOUBT), part)
+    return components(links.union(alike).union(rows.mapInArrow(copies, LINKS)))
 
 
 def fingerprint(docs: DataFrame, key: str = "doc_id", text: str = "text", broadcast_ids: int = 500_000) -> DataFrame:
@@ -374,7 +459,7 @@ def fingerprint(docs: DataFrame, key: str = "doc_id", text: str = "text", broadc
     folder = f"{scratch(spark, 'fingerprints')}/prints"
     prints(docs, key, text).write.option("compression", "zstd").parquet(folder)
     table = spark.read.parquet(folder)
-    roots = clusters(table, key)
+    roots = clusters(table, docs, key, text)
     roots = F.broadcast(roots) if roots.count() <= broadcast_ids else roots
     shown = lambda c: F.lower(F.concat(F.hex(F.substring(c, 1, 5)), F.lit(":"), F.hex(F.expr(f"substring({c}, 6)"))))
     out = table.withColumn("u", quoted(key).cast("bigint")).join(roots, "u", "left")

@@ -440,45 +440,59 @@ def test_fingerprints_of_one_id_are_in_many_ranges(spark, monkeypatch):
     assert parts > 3 and out == sorted((len(t), hashlib.sha256(fingerprints.edited(t, n).encode()).hexdigest()) for t, n in zip(texts, texts[1:] + texts[:1], strict=True))
 
 
+def linked(prints, given, a, b):
+    """The link of two texts, straight from its definition."""
+    x, y = (given[k][1] or "" for k in (a, b))
+    return bool(x and y) and (prints.likeness(np.array([a]), np.array([b]))[0] >= fingerprints.LEAST or fingerprints.edit_similarity(x, y) >= fingerprints.LEAST_EDIT)
+
+
 def brute_clusters(given):
     prints = fingerprints.Fingerprints.walked([t or "" for _, t in given])
     sets = spanning.Sets()
-    for a, (i, t) in enumerate(given):
+    for a, (i, _) in enumerate(given):
         for b, (j, _) in enumerate(given[:a]):
-            if t and i is not None and j is not None and prints.likeness(np.array([a]), np.array([b]))[0] >= fingerprints.LEAST:
+            if i is not None and j is not None and linked(prints, given, a, b):
                 sets.join(i, j)
     return {i: None if i is None else sets.root(i) for i, _ in given}
 
 
 @pytest.mark.parametrize("limit", [0, 1000])
 def test_near_duplicates_by_fingerprint(spark, limit):
-    """Clusters are those of all pairs' likeness: copies, near copies, chains, empty texts, and ids that are null or repeat."""
+    """Clusters are those of all pairs' links: copies, near copies, chains, empty texts, and ids that are null or repeat."""
     r = random.Random(6)
     texts = [sentence(r, 150) for _ in range(12)]
     given = [(k, t) for k, t in enumerate(texts)] + [(20 + k, texts[k][:-3] + "xyz") for k in range(8)] + [(40, texts[1]), (41, texts[1]), (42, ""), (43, None), (None, texts[2]), (44, "a"), (45, "a"), (3, texts[5])]
     for k in range(6):
         given.append((60 + k, given[-1][1][:-12] + sentence(r, 2)[:12] if k else texts[9]))
+    given += [(70, texts[10][: len(texts[10]) // 2] + sentence(r, 75))]  # half of another text is no near-duplicate
     frame = spark.createDataFrame(given, "doc_id bigint, text string").repartition(4)
     table = fingerprints.fingerprint(frame, broadcast_ids=limit)
-    assert {x.doc_id: x.cluster_id for x in table.collect()} == brute_clusters(given)
+    wanted = brute_clusters(given)
+    assert wanted[70] == 70 and {x.doc_id: x.cluster_id for x in table.collect()} == wanted
 
 
-def test_clusters_reach_what_all_pairs_link(spark):
-    """Recall on edited texts of all lengths, against brute force."""
+def test_clusters_reach_what_edits_leave_alike(spark):
+    """Recall among texts of all lengths with insertions, deletions and substitutions at random places, against their true edit similarity; exact mode finds all."""
     r = random.Random(16)
     given = []
     for k in range(150):
-        text = list(sentence(r, r.randint(5, 400)))
-        given.append((2 * k, "".join(text)))
-        for _ in range(r.randint(1, max(1, len(text) // 200))):
-            text[r.randrange(len(text) // 2, len(text))] = r.choice("abcdefgh")
-        given.append((2 * k + 1, "".join(text)))
+        text = sentence(r, r.randint(5, 400))
+        out = list(text)
+        for _ in range(int(len(text) * 0.07 * k / 150) + 1):
+            at, kind = r.randrange(len(out)), r.randrange(3)
+            out[at : at + (kind > 0)] = [r.choice("abcdefgh ")] if kind < 2 else []
+        given += [(2 * k, text), (2 * k + 1, "".join(out))]
+    similar = np.array([fingerprints.edit_similarity(given[2 * k][1], given[2 * k + 1][1]) for k in range(150)])
+    frame = spark.createDataFrame(given, "doc_id bigint, text string")
+    out = {x.doc_id: x.cluster_id for x in fingerprints.fingerprint(frame).collect()}
+    near = np.flatnonzero(similar >= 0.95)
+    assert len(near) > 80 and np.mean([out[2 * k] == out[2 * k + 1] for k in near]) >= 0.9
     prints = fingerprints.Fingerprints.walked([t for _, t in given])
-    like = prints.likeness(np.arange(0, 300, 2), np.arange(1, 300, 2))
-    out = {x.doc_id: x.cluster_id for x in fingerprints.fingerprint(spark.createDataFrame(given, "doc_id bigint, text string")).collect()}
-    linked = np.flatnonzero(like >= fingerprints.LEAST)
-    assert len(linked) > 40 and np.mean([out[2 * k] == out[2 * k + 1] for k in linked]) >= 0.9
-    assert all(out[2 * k + 1] == 2 * k + 1 for k in np.flatnonzero(like < 0.8))
+    far = [k for k in range(150) if not linked(prints, given, 2 * k, 2 * k + 1)]
+    assert far and all(out[2 * k + 1] == 2 * k + 1 for k in far)
+    some = frame.where("doc_id < 120")
+    exact = {r.u: r.root for r in fingerprints.clusters(fingerprints.prints(some), some, exact=True).collect()}
+    assert all(exact.get(2 * k + 1) == 2 * k for k in near if k < 60)
 
 
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]

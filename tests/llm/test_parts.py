@@ -241,28 +241,73 @@ def walk(text, steps):
 def test_walks_are_those_of_the_definition(alone, monkeypatch):
     monkeypatch.setattr(fingerprints, "ALONE", alone)
     texts = ["hello world", "x", "zq" * 300, "", "日本語 text " * 40]
-    length, bits = fingerprints.walks(texts)
+    length, bits, *_ = fingerprints.walks(texts)
     for k, t in enumerate(texts):
         n, wanted = walk(t, 8 * len(t) + 64)
         assert length[k] == n and bits[k, : len(wanted)].tolist() == wanted and not bits[k, len(wanted) :].any()
 
 
-def test_bands_meet_at_the_threshold():
+def levenshtein(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return row[-1]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text("abé", max_size=12), st.text("abé", max_size=12))
+def test_edit_similarity(a, b):
+    whole = max(len(a), len(b))
+    assert fingerprints.edit_similarity(a, b) == (1.0 if a == b else 1 - levenshtein(a, b) / whole)
+
+
+def test_bands_are_consecutive_bits_of_the_walk():
+    """A band's key is made of the bits that the walk writes from its beginning on."""
+    texts = ["hello world, " * 9, "x", "", "日本語 text " * 40]
+    for alone in (0, 100):
+        before, fingerprints.ALONE = fingerprints.ALONE, alone
+        length, _, owner, key = fingerprints.walks([*texts, "another one"], banded=4)
+        fingerprints.ALONE = before
+        begin, octave = fingerprints.band_steps()
+        for i, text in enumerate(texts):
+            codes = [*fingerprints.characters(np.array([ord(c) for c in text], np.uint32)).tolist(), *([0] * 99)]
+            moves, at, where = fingerprints._moves(0, 9000).tolist(), 0, {}
+            for j in range(int(length[i])):
+                where[j] = at
+                at += (codes[at] * moves[j] & 0xFFFFFFFF) >> 31
+            top, wanted = max(0, int(length[i]) - 1).bit_length(), []
+            for band, (j, o) in enumerate(zip(begin.tolist(), octave.tolist(), strict=True)):
+                if j < length[i] and o > top - fingerprints.BAND_OCTAVES:
+                    at, bits = where[j], 0
+                    for move, write in zip(fingerprints._moves(j, fingerprints.BAND_BITS).tolist(), fingerprints._writes(j, fingerprints.BAND_BITS).tolist(), strict=True):
+                        bits = bits << 1 | (codes[at] * write & 0xFFFFFFFF) >> 31
+                        at += (codes[at] * move & 0xFFFFFFFF) >> 31
+                    wanted.append(bits + (band << fingerprints.BAND_BITS))
+            assert key[owner == i].tolist() == fingerprints.mixed(np.array(wanted, np.uint64)).tolist()
+
+
+def edits(r, text, share):
+    """The text after so many insertions, deletions and substitutions at random places."""
+    out = list(text)
+    for _ in range(int(share * len(text))):
+        at, kind = r.randrange(len(out)), r.randrange(3)
+        out[at : at + (kind > 0)] = [r.choice("abcdefgh ")] if kind < 2 else []
+    return "".join(out)
+
+
+def test_bands_meet_after_edits():
+    """Texts with up to 5 % of edits meet in a band; texts that have nothing to do with each other don't."""
     r = random.Random(8)
     texts = []
-    for _ in range(400):
-        text = [r.choice("abcdefghij klmnop") for _ in range(r.randint(1200, 6000))]
-        texts.append("".join(text))
-        for _ in range(r.randint(1, 8)):
-            text[r.randrange(len(text))] = r.choice("abcdefghij klmnop")
-        texts.append("".join(text))
-    found = fingerprints.Fingerprints.walked(texts)
-    like = found.likeness(np.arange(0, 800, 2), np.arange(1, 800, 2))
-    near = np.flatnonzero((like >= 0.9) & (like < 0.96))
-    number, value = found.bands()
-    keys = [set(value[number == i].tolist()) for i in range(800)]
-    assert len(near) > 20 and np.mean([bool(keys[2 * k] & keys[2 * k + 1]) for k in near]) >= 0.9
-    assert not any(keys[2 * k] & keys[2 * k + 2] for k in range(399))
+    for k in range(300):
+        text = "".join(r.choice("abcdefghij klmnop") for _ in range(r.randint(200, 6000)))
+        texts += [text, edits(r, text, 0.05 * k / 300)]
+    _, _, owner, key = fingerprints.walks(texts, banded=600)
+    keys = [set(key[owner == i].tolist()) for i in range(600)]
+    assert np.mean([bool(keys[2 * k] & keys[2 * k + 1]) for k in range(300)]) >= 0.9
+    assert not any(keys[2 * k] & keys[2 * k + 2] for k in range(299))
 
 
 def test_edited():
