@@ -11,13 +11,15 @@ texts count, and the last half of a text has its own octave whatever its length.
 A fingerprint is the walk's length and its sampled bits, in hex.  Likeness compares
 two fingerprints octave by octave, weighted with the octaves' lengths.
 
-Near-duplicates are documents joined by links: of likeness ``LEAST`` or more, or of edit similarity (one less the edit
-distance's share of the longer text) ``LEAST_EDIT`` or more.  An edit puts a walk out of step for a while, and walks that
-are in step write alike without a break; so a band is ``BAND_BITS`` bits of consecutive steps, at shared places in a
-walk's last octaves.  Walks with 5 % of edits are in step for a third of the way, and mostly meet in one of their 50 bands;
-texts that don't resemble each other meet with a chance of 2^-40 a band.  Documents that meet form groups (``spanning``),
-in which each link is verified: by whole fingerprints, and where likeness is between ``DOUBT`` and ``LEAST`` by the
-exact edit distance of the texts.  ``clusters(..., exact=True)`` compares all texts of a length level instead.
+Near-duplicates are documents joined by links.  An edit puts a walk out of step for a while, so texts with 5 % of edits
+are in step for some third of the way.  A link has likeness ``LEAST`` or more; or, from ``SHORT`` steps on, likeness ``SPREAD``
+or more, of which ``LATE`` is found in the walks' second half as well (texts that share only their beginning are in step only there); or
+edit similarity (one less the edit distance's share of the longer text) ``LEAST_EDIT`` or more.  Walks that are in step
+write alike without a break, so a band is ``BAND_BITS`` bits of consecutive steps, at shared places in a walk's last
+octaves; texts that don't resemble each other meet with a chance of 2^-40 a band.  Documents that meet form groups
+(``spanning``), in which each link is verified: by whole fingerprints, and what they leave open (likeness of ``DOUBT`` or
+more, clusters still apart) by the exact edit distance of the texts, unless their six-grams differ too much for it.
+``clusters(..., exact=True)`` compares all texts of a length level instead.
 
 Defined results: null counts as the empty text, whose fingerprint is that of a walk
 of length 0; two empty texts have likeness 1, an empty and another 0; ids are whole
@@ -31,7 +33,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterable, Iterator
-from functools import cache, lru_cache
+from functools import cache, cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,14 +41,15 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import at_or_below, checkpoint, mixed, plus, quoted, scratch, shuffle_partitions, text_tie
+from corpusloom.llm.common import at_or_below, checkpoint, mixed, plus, quoted, scratch, shuffle_partitions, text_tie, window_hashes
 from corpusloom.llm.spanning import LINKS, PACKET, Sets, components, group_links, pair_batch, star_edges, star_packets
 
-LEAST, LEAST_EDIT = 0.75, 0.95
-#: Pairs of less likeness aren't measured: unrelated texts have up to some 0.2.
-DOUBT = 0.2
+LEAST, SPREAD, LATE, LEAST_EDIT = 0.75, 0.4, 0.35, 0.95
+#: Texts of less likeness aren't measured: unrelated ones have up to some 0.2.
+DOUBT = 0.25
 #: Bands begin at so many steps of an octave, in a walk's last octaves.
-BANDS, BAND_OCTAVES, BAND_BITS = 12, 5, 40
+BANDS, BAND_OCTAVES, BAND_BITS = 16, 4, 40
+GRAM, SHORT = 6, 1024
 RANGE_BYTES = 64 << 20
 OCTAVES = 40
 ALONE = 12  #: so few walks go one by one, in plain integers, instead of all together
@@ -206,25 +209,49 @@ class Fingerprints:
     def print(self, i: int) -> bytes:
         return int(self.length[i]).to_bytes(5, "big") + np.packbits(self.bits[i, : self.samples[i]]).tobytes()
 
+    def linked(self, i: np.ndarray, j: np.ndarray, like: np.ndarray, least: float = LEAST, spread: float = SPREAD, late: float = LATE) -> np.ndarray:
+        """Do fingerprints of this likeness link them?  Empty texts link with nothing."""
+        found = (like >= least) & (np.minimum(self.length[i], self.length[j]) > 0)
+        # Short walks have too few samples to tell.
+        unsure = np.flatnonzero((like >= spread) & (like < least) & (np.minimum(self.length[i], self.length[j]) >= SHORT))
+        if len(unsure):
+            a, b = i[unsure], j[unsure]
+            steps = sampled_steps(self.per_octave)[0][: self.bits.shape[1]]
+            reach, short = np.maximum(self.length[a], self.length[b])[:, None], np.minimum(self.samples[a], self.samples[b])[:, None]
+            half = (2 * steps >= reach) & (steps < reach)
+            # Behind the shorter walk's end samples agree as often as by chance.
+            agree = np.where(np.arange(len(steps)) < short, self.bits[a] == self.bits[b], 0.5)
+            found[unsure] = 2 * (agree * half).sum(1) / np.maximum(half.sum(1), 1) - 1 >= late
+        return found
+
     def likeness(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Weighted share of agreeing samples, with what chance gives taken off; 1 for equal, 0 for unrelated fingerprints."""
-        octave = sampled_steps(self.per_octave)[1]
-        width = self.bits.shape[1]
-        columns, octave = np.arange(width), octave[:width]
-        short, long = np.minimum(self.samples[i], self.samples[j])[:, None], np.maximum(self.samples[i], self.samples[j])[:, None]
-        # Behind the shorter walk's end samples agree as often as by chance.
-        same = np.where(columns < short, self.bits[i] == self.bits[j], 0.5 * (columns < long)).astype(np.float32)
-        there = (columns < long).astype(np.float32)
-        first = np.flatnonzero(np.append(True, octave[1:] != octave[:-1])) if width else np.zeros(0, np.int64)
-        if not width:
+        bits, there, low = self._octaves
+        if not len(low):
             return np.ones(len(i))
-        agree, all_ = np.add.reduceat(same, first, axis=1), np.add.reduceat(there, first, axis=1)
-        low = (1 << octave[first]) >> 1
+        both, either = there[i] & there[j], there[i] | there[j]
+        short, long, differ = (np.bitwise_count(x).sum(axis=2, dtype=np.int64) for x in (both, either, (bits[i] ^ bits[j]) & both))
+        # Behind the shorter walk's end samples agree as often as by chance.
+        share = (short - differ + 0.5 * (long - short)) / np.maximum(long, 1)
         reach = np.maximum(self.length[i], self.length[j])[:, None]
         weight = np.clip(reach - low, 0, np.maximum(1, low))
-        share = np.where(all_ > 0, agree / np.maximum(all_, 1), 0)
         mean = (share * weight).sum(1) / np.maximum(weight.sum(1), 1)
-        return np.where(reach[:, 0] == 0, 1.0, np.where((short == 0)[:, 0], 0.0, np.clip(2 * mean - 1, 0, 1))).astype(np.float64)
+        return np.where(reach[:, 0] == 0, 1.0, np.where(np.minimum(self.samples[i], self.samples[j]) == 0, 0.0, np.clip(2 * mean - 1, 0, 1)))
+
+    @cached_property
+    def _octaves(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The samples, and which there are, as machine words by octave; and the octaves' first steps."""
+        width = self.bits.shape[1]
+        octave = sampled_steps(self.per_octave)[1][:width]
+        first = np.flatnonzero(np.append(True, octave[1:] != octave[:-1])) if width else np.zeros(0, np.int64)
+        wide = -(-self.per_octave // 64) * 64
+        out = []
+        for x in (self.bits, (np.arange(width) < self.samples[:, None]).astype(np.uint8)):
+            words = np.zeros((len(x), len(first), wide), np.uint8)
+            for k, (a, b) in enumerate(zip(first, np.append(first[1:], width), strict=True)):
+                words[:, k, : b - a] = x[:, a:b]
+            out.append(np.packbits(words, axis=2).view(np.uint64))
+        return *out, (1 << octave[first]) >> 1
 
 
 def edited(text: str, following: str) -> str:
@@ -355,39 +382,50 @@ def forest(least: float = LEAST, least_edit: float = LEAST_EDIT, doubt: float =
         found, sets, out, pivots = Fingerprints.of([x[4:k] for x, k in zip(bodies, cut, strict=True)]), Sets(), [], []
         unpack = zstandard.ZstdDecompressor()
 
-        @lru_cache(maxsize=64)
+        @lru_cache(maxsize=256)
         def text(i: int) -> str:
             return unpack.decompress(bodies[i][cut[i] :]).decode()
 
-        def near(i: int, j: int, like: float) -> bool:
-            if like >= least:
-                return True
-            short, long = sorted((len(text(i)), len(text(j))))
-            return short >= least_edit * long and edit_similarity(text(i), text(j)) >= least_edit
+        @lru_cache(maxsize=1024)
+        def grams(i: int) -> np.ndarray:
+            return np.sort(window_hashes(np.frombuffer(text(i).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1), GRAM))
+
+        def near(i: int, j: int) -> bool:
+            short, long = sorted((i, j), key=lambda k: (len(text(k)), k))
+            most = int((1 - least_edit) * len(text(long)) + 1e-9)
+            if len(text(long)) - len(text(short)) > most:
+                return False
+            # An edit changes GRAM of the longer text's grams at most; what isn't in the shorter one has been changed.
+            a, b = grams(long), grams(short)
+            if len(b) and len(a) - np.count_nonzero(b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a) > GRAM * most:
+                return False
+            return edit_similarity(text(short), text(long)) >= least_edit
 
         def compare(i: int, others: np.ndarray) -> bool:
-            """Links ``i`` with all of the others that it is near to and that are still apart from it."""
-            like, hit = found.likeness(np.full(len(others), i), others), False
-            for k in np.argsort(-like):
-                if like[k] < doubt:
-                    break
-                if sets.root(ids[i]) == sets.root(ids[int(others[k])]):
+            """Links ``i`` with those of the others that it is near to and that are still apart from it."""
+            at = np.full(len(others), i)
+            like, hit = found.likeness(at, others), False
+            sure = found.linked(at, others, like, least)
+            for k in np.flatnonzero(sure | (like >= doubt))[np.argsort(-(like + sure)[sure | (like >= doubt)])].tolist():
+                j = int(others[k])
+                if sets.root(ids[i]) == sets.root(ids[j]):
                     hit = True
-                elif near(i, int(others[k]), float(like[k])):
+                elif sure[k] or near(i, j):
                     hit = True
-                    sets.join(ids[i], ids[int(others[k])])
-                    out.append((ids[i], ids[int(others[k])]))
+                    sets.join(ids[i], ids[j])
+                    out.append((ids[i], ids[j]))
             return hit
 
         for i in range(len(ids)):
             met = [compare(i, np.array(pivots[k : k + 1024])) for k in range(0, len(pivots), 1024)]
             if not any(met):
                 pivots.append(i)
-        # Those that no pivot connects are compared with all that are still apart from them.
+        # All have met the pivots before them; what is still apart meets the others too.
         if len({sets.root(ids[p]) for p in pivots}) > 1:
+            others = sorted({*range(len(ids))} - {*pivots})
             for i in range(len(ids)):
                 root = sets.root(ids[i])
-                apart = np.array([j for j in range(i) if sets.root(ids[j]) != root], np.int64)
+                apart = np.array([j for j in others if j < i and sets.root(ids[j]) != root], np.int64)
                 for k in range(0, len(apart), 1024):
                     compare(i, apart[k : k + 1024])
         return out
@@ -426,8 +464,9 @@ def clusters(table: DataFrame, docs: DataFrame, key: str = "doc_id", text: str =
         level = F.floor(F.ln(F.col("n_chars").cast("double")) / math.log(1 / least_edit)).cast("bigint")
         grouped = rows.select("id", "tie", "print", F.explode(F.array(level, level + 1)).alias("group"))
     else:
-        met = components(star_edges(rows.mapInArrow(ship, PACKET), buckets))
-        member = checkpoint(met.select(F.col("u").alias("id"), F.col("root").alias("group")).union(met.select(F.col("root").alias("id"), F.col("root").alias("group")).distinct()))
+        # A group is a document and those that have a band of which it is the least owner; so all that share a band share a group.
+        met = checkpoint(star_edges(rows.mapInArrow(ship, PACKET), buckets).where("u <> v").distinct())
+        member = checkpoint(met.select(F.col("u").alias("id"), F.col("v").alias("group")).union(met.select(F.col("v").alias("id"), F.col("v").alias("group")).distinct()))
         few = member.count() <= broadcast_ids
         grouped = rows.join(F.broadcast(member) if few else member, "id").select("id", "tie", "print", "group")
     # One document for each fingerprint of a group, to which the others are linked: those that their batches shipped.

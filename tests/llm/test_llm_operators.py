@@ -443,7 +443,9 @@ def test_fingerprints_of_one_id_are_in_many_ranges(spark, monkeypatch):
 def linked(prints, given, a, b):
     """The link of two texts, straight from its definition."""
     x, y = (given[k][1] or "" for k in (a, b))
-    return bool(x and y) and (prints.likeness(np.array([a]), np.array([b]))[0] >= fingerprints.LEAST or fingerprints.edit_similarity(x, y) >= fingerprints.LEAST_EDIT)
+    i, j = np.array([a]), np.array([b])
+    like = prints.likeness(i, j)
+    return bool(x and y) and (bool(prints.linked(i, j, like)[0]) or (like[0] >= fingerprints.DOUBT and fingerprints.edit_similarity(x, y) >= fingerprints.LEAST_EDIT))
 
 
 def brute_clusters(given):
