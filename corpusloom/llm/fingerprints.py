@@ -32,7 +32,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import cache, cached_property, lru_cache
 
 import numpy as np
@@ -209,11 +209,11 @@ class Fingerprints:
     def print(self, i: int) -> bytes:
         return int(self.length[i]).to_bytes(5, "big") + np.packbits(self.bits[i, : self.samples[i]]).tobytes()
 
-    def linked(self, i: np.ndarray, j: np.ndarray, like: np.ndarray, least: float = LEAST, spread: float = SPREAD, late: float = LATE) -> np.ndarray:
+    def linked(self, i: np.ndarray, j: np.ndarray, like: np.ndarray) -> np.ndarray:
         """Do fingerprints of this likeness link them?  Empty texts link with nothing."""
-        found = (like >= least) & (np.minimum(self.length[i], self.length[j]) > 0)
+        found = (like >= LEAST) & (np.minimum(self.length[i], self.length[j]) > 0)
         # Short walks have too few samples to tell.
-        unsure = np.flatnonzero((like >= spread) & (like < least) & (np.minimum(self.length[i], self.length[j]) >= SHORT))
+        unsure = np.flatnonzero((like >= SPREAD) & (like < LEAST) & (np.minimum(self.length[i], self.length[j]) >= SHORT))
         if len(unsure):
             a, b = i[unsure], j[unsure]
             steps = sampled_steps(self.per_octave)[0][: self.bits.shape[1]]
@@ -221,7 +221,7 @@ class Fingerprints:
             half = (2 * steps >= reach) & (steps < reach)
             # Behind the shorter walk's end samples agree as often as by chance.
             agree = np.where(np.arange(len(steps)) < short, self.bits[a] == self.bits[b], 0.5)
-            found[unsure] = 2 * (agree * half).sum(1) / np.maximum(half.sum(1), 1) - 1 >= late
+            found[unsure] = 2 * (agree * half).sum(1) / np.maximum(half.sum(1), 1) - 1 >= LATE
         return found
 
     def likeness(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -374,46 +374,33 @@ def edit_similarity(a: str, b: str) -> float:
     return 1 - distance / whole
 
 
-def forest(least: float = LEAST, least_edit: float = LEAST_EDIT, doubt: float = DOUBT):  # noqa: ANN201
-    """A function that connects the ids of a part (bodies: fingerprint and compressed text) which links of likeness ``least`` or edit similarity ``least_edit`` connect."""
+def forest(near: Callable[[int, int], bool] | None = None, doubt: float = DOUBT, bodies_of: Callable[[list[bytes]], list[bytes]] = list):  # noqa: ANN201
+    """A function that connects the ids of a part: pairs of its ids, from fingerprints that link them.
 
-    def link(ids: list[int], bodies: list[bytes]) -> list[tuple[int, int]]:
-        cut = [4 + int.from_bytes(x[:4], "big") for x in bodies]
-        found, sets, out, pivots = Fingerprints.of([x[4:k] for x, k in zip(bodies, cut, strict=True)]), Sets(), [], []
-        unpack = zstandard.ZstdDecompressor()
-
-        @lru_cache(maxsize=256)
-        def text(i: int) -> str:
-            return unpack.decompress(bodies[i][cut[i] :]).decode()
-
-        @lru_cache(maxsize=1024)
-        def grams(i: int) -> np.ndarray:
-            return np.sort(window_hashes(np.frombuffer(text(i).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1), GRAM))
+    Pairs that fingerprints leave in doubt are linked if ``near`` (made of the bodies) says so; without it, an id that is in
+    doubt with one still apart from it is paired with itself.
+    """
 
-        def near(i: int, j: int) -> bool:
-            short, long = sorted((i, j), key=lambda k: (len(text(k)), k))
-            most = int((1 - least_edit) * len(text(long)) + 1e-9)
-            if len(text(long)) - len(text(short)) > most:
-                return False
-            # An edit changes GRAM of the longer text's grams at most; what isn't in the shorter one has been changed.
-            a, b = grams(long), grams(short)
-            if len(b) and len(a) - np.count_nonzero(b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a) > GRAM * most:
-                return False
-            return edit_similarity(text(short), text(long)) >= least_edit
+    def link(ids: list[int], bodies: list[bytes]) -> list[tuple[int, int]]:
+        found, sets, out, pivots = Fingerprints.of(bodies_of(bodies)), Sets(), set(), []
+        asked = near and near(bodies)
 
         def compare(i: int, others: np.ndarray) -> bool:
             """Links ``i`` with those of the others that it is near to and that are still apart from it."""
-            at = np.full(len(others), i)
-            like, hit = found.likeness(at, others), False
-            sure = found.linked(at, others, like, least)
-            for k in np.flatnonzero(sure | (like >= doubt))[np.argsort(-(like + sure)[sure | (like >= doubt)])].tolist():
+            at, hit = np.full(len(others), i), False
+            like = found.likeness(at, others)
+            sure = found.linked(at, others, like)
+            some = np.flatnonzero(sure | (like >= doubt))
+            for k in some[np.argsort(-(like + sure)[some])].tolist():
                 j = int(others[k])
                 if sets.root(ids[i]) == sets.root(ids[j]):
                     hit = True
-                elif sure[k] or near(i, j):
+                elif sure[k] or (asked and asked(i, j)):
                     hit = True
                     sets.join(ids[i], ids[j])
-                    out.append((ids[i], ids[j]))
+                    out.add((ids[i], ids[j]))
+                elif not asked:
+                    out.update(((ids[i], ids[i]), (ids[j], ids[j])))
             return hit
 
         for i in range(len(ids)):
@@ -428,17 +415,51 @@ def forest(least: float = LEAST, least_edit: float = LEAST_EDIT, doubt: float =
                 apart = np.array([j for j in others if j < i and sets.root(ids[j]) != root], np.int64)
                 for k in range(0, len(apart), 1024):
                     compare(i, apart[k : k + 1024])
-        return out
+        return sorted(out)
 
     return link
 
 
-def clusters(table: DataFrame, docs: DataFrame, key: str = "doc_id", text: str = "text", least: float = LEAST, least_edit: float = LEAST_EDIT, part: int = 1024, broadcast_ids: int = 500_000, broadcast_heads: int = 50_000, exact: bool = False) -> DataFrame:
+def _print_of(body: bytes) -> bytes:
+    return body[4 : 4 + int.from_bytes(body[:4], "big")]
+
+
+def by_edits(least: float = LEAST_EDIT) -> Callable[[list[bytes]], Callable[[int, int], bool]]:
+    """Of bodies (a fingerprint's length, the fingerprint, the compressed text): are texts i and j of edit similarity ``least`` or more?"""
+
+    def of(bodies: list[bytes]) -> Callable[[int, int], bool]:
+        unpack = zstandard.ZstdDecompressor()
+
+        @lru_cache(maxsize=256)
+        def text(i: int) -> str:
+            return unpack.decompress(bodies[i][4 + int.from_bytes(bodies[i][:4], "big") :]).decode()
+
+        @lru_cache(maxsize=1024)
+        def grams(i: int) -> np.ndarray:
+            return np.sort(window_hashes(np.frombuffer(text(i).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1), GRAM))
+
+        def near(i: int, j: int) -> bool:
+            short, long = sorted((i, j), key=lambda k: (len(text(k)), k))
+            most = int((1 - least) * len(text(long)) + 1e-9)
+            if len(text(long)) - len(text(short)) > most:
+                return False
+            # An edit changes GRAM of the longer text's grams at most; what isn't in the shorter one has been changed.
+            a, b = grams(long), grams(short)
+            if len(b) and len(a) - np.count_nonzero(b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a) > GRAM * most:
+                return False
+            return edit_similarity(text(short), text(long)) >= least
+
+        return near
+
+    return of
+
+
+def clusters(table: DataFrame, docs: DataFrame, key: str = "doc_id", text: str = "text", part: int = 1024, broadcast_ids: int = 500_000, exact: bool = False) -> DataFrame:
     """``u``, ``root`` for each id that near-duplicates link to a lesser one, the least of its cluster.
 
-    ``table`` has the ``prints`` of ``docs`` and is read twice; texts are read for documents that met others, one for
-    each fingerprint of a group.  Up to ``broadcast_ids`` ids of candidates, and ``broadcast_heads`` fingerprints, are broadcast; more
-    are joined by shuffling.  ``exact`` compares all documents whose lengths are of one level or of neighbouring ones, without bands.
+    ``table`` has the ``prints`` of ``docs`` and is read twice.  Groups are first linked by fingerprints alone; texts are read
+    for documents that these leave in doubt.  Up to ``broadcast_ids`` ids are broadcast; more are joined by shuffling.
+    ``exact`` compares all documents whose lengths are of one level (a tenth apart) or of neighbouring ones, without bands.
     """
     buckets = shuffle_partitions(table.sparkSession)
     rows = table.select(quoted(key).cast("bigint").alias("id"), "tie", "print", "bands", "n_chars").where("id is not null and n_chars > 0")
@@ -461,7 +482,7 @@ def clusters(table: DataFrame, docs: DataFrame, key: str = "doc_id", text: str =
             yield pair_batch(*np.array(sorted({(i, least_of[p]) for i, p in pairs if least_of[p] != i}), np.int64).reshape(-1, 2).T)
 
     if exact:
-        level = F.floor(F.ln(F.col("n_chars").cast("double")) / math.log(1 / least_edit)).cast("bigint")
+        level = F.floor(F.ln(F.col("n_chars").cast("double")) / math.log(1.1)).cast("bigint")
         grouped = rows.select("id", "tie", "print", F.explode(F.array(level, level + 1)).alias("group"))
     else:
         # A group is a document and those that have a band of which it is the least owner; so all that share a band share a group.
@@ -473,19 +494,31 @@ def clusters(table: DataFrame, docs: DataFrame, key: str = "doc_id", text: str =
     grouped = checkpoint(grouped)
     heads = checkpoint(grouped.groupBy("group", "print").agg(F.min(F.struct("id", "tie")).alias("head")).select("group", "print", "head.*"))
     alike = grouped.select("group", "print", F.col("id").alias("u")).join(heads.select("group", "print", F.col("id").alias("v")), ["group", "print"]).select("u", "v").where("u <> v")
+    doubt = -1.0 if exact else DOUBT
+    first = checkpoint(group_links(heads.select("group", "id", F.col("print").alias("body")), forest(doubt=doubt), part))
+    sure = first.union(alike).union(rows.mapInArrow(copies, LINKS))
+    roots = components(sure)
+
+    # Texts of those that fingerprints leave in doubt, in groups that aren't one cluster yet; clusters stand for their documents.
+    unsure = first.where("u = v").select(F.col("u").alias("id")).distinct()
+    placed = heads.join(unsure, "id").join(roots.withColumnRenamed("u", "id"), "id", "left").withColumn("cluster", F.coalesce("root", "id")).drop("root")
+    apart = placed.groupBy("group").agg((F.min("cluster") < F.max("cluster")).alias("apart")).where("apart").select("group")
+    placed = checkpoint(placed.join(apart, "group"))
+    ids = placed.select("id", "tie").distinct()
+    few = ids.count() <= broadcast_ids
     texts = docs.select(quoted(key).cast("bigint").alias("id"), F.coalesce(quoted(text), F.lit("")).alias("text")).withColumn("tie", text_tie(F.col("text")))
-    few = heads.count() <= broadcast_heads
-    with_text = texts.join(F.broadcast(heads) if few else heads, ["id", "tie"]).select("group", "id", "print", "text")
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            bodies = [len(p).to_bytes(4, "big") + p + press.compress(t.encode()) for p, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(bodies, pa.binary())], names=["group", "id", "body"])
-
-    found = checkpoint(with_text.mapInArrow(pack, "group bigint, id bigint, body binary"))
-    links = group_links(found, forest(least, least_edit, -1.0 if exact else DOUBT), part)
-    return components(links.union(alike).union(rows.mapInArrow(copies, LINKS)))
+            packed = [press.compress(t.encode()) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("tie"), pa.array(packed, pa.binary())], names=["id", "tie", "packed"])
+
+    sent = texts.join(F.broadcast(ids) if few else ids, ["id", "tie"], "left_semi").select("id", "tie", "text").mapInArrow(pack, "id bigint, tie bigint, packed binary")
+    length = F.unhex(F.lpad(F.hex(F.length("print")), 8, "0"))
+    asked = checkpoint(sent.join(placed, ["id", "tie"]).select("group", F.col("cluster").alias("id"), F.concat(length, "print", "packed").alias("body")))
+    more = group_links(asked, forest(by_edits(), doubt, lambda bodies: [_print_of(x) for x in bodies]), part)
+    return components(sure.union(more))
 
 
 def fingerprint(docs: DataFrame, key: str = "doc_id", text: str = "text", broadcast_ids: int = 500_000) -> DataFrame:
