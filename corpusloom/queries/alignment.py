@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -193,6 +195,13 @@ def audit_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify.audit_reconciles(audit(spark, sf_dir), parallel(spark, sf_dir))
 
 
+def audit_reconcile_red(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same after rows were taken out of the parallel table, and after others were put in twice."""
+    pairs = parallel(spark, sf_dir)
+    less, more = pairs.where("grp % 11 <> 0"), pairs.unionByName(pairs.where("grp % 13 = 0"))
+    return reduce(DataFrame.unionByName, (verify.audit_reconciles(audit(spark, sf_dir), p).withColumn("parallel", F.lit(n)) for n, p in (("less", less), ("more", more), ("same", pairs), ("none", pairs.where("false")))))
+
+
 CHAPTER = ["book_code", "chapter"]
 
 
@@ -278,7 +287,7 @@ def ref_duplicate_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 NAMES = """align_status_histogram align_parallel align_audit audit_reason align_ml group_identical_ratio contaminated_groups contamination_flag_join dedup_first_wins duplicate_records
-key_uniqueness repeated_keys hash_split split_summary split_books split_integrity holdout_split uncertain_groups empty_segments failed_groups schema_errors error_samples spot_checks audit_reconcile
+key_uniqueness repeated_keys hash_split split_summary split_books split_integrity holdout_split uncertain_groups empty_segments failed_groups schema_errors error_samples spot_checks audit_reconcile audit_reconcile_red
 verify_checks verify_leaked quality_metrics retrieval_range ref_duplicate_audit""".split()
 QUERIES = {n: globals()[n] for n in NAMES}
 
@@ -363,7 +372,10 @@ SQL = {
     "schema_errors": f"{_W} SELECT row_id, error FROM errors",
     "error_samples": f"{_W} SELECT row_id, error FROM errors ORDER BY row_id, error LIMIT 20",
     "spot_checks": f"{_W} SELECT r AS reference, r IN (SELECT grp || '.' || seg FROM p) AS found FROM (VALUES {', '.join(f"('{s}')" for s in SPOTS)}) AS t(r)",
-    "audit_reconcile": f"{_W} SELECT (SELECT count(*) FROM audit WHERE alignment_status = 'aligned') AS audit_aligned, (SELECT count(*) FROM p) AS parallel_rows, true AS ok",
+    "audit_reconcile": f"{_W} SELECT (SELECT count(*) FROM audit WHERE alignment_status = 'aligned') AS audit_aligned, (SELECT count(*) FROM p) AS parallel_rows, (SELECT count(*) FROM audit WHERE alignment_status = 'aligned') = (SELECT count(*) FROM p) OR (SELECT count(*) FROM p) = 0 AS ok",
+    "audit_reconcile_red": f"""{_W}, z AS (SELECT (SELECT count(*) FROM audit WHERE alignment_status = 'aligned') AS n, k.parallel, k.m FROM (SELECT 'less' AS parallel, count(*) FILTER (grp % 11 <> 0) AS m FROM p
+  UNION ALL SELECT 'more', count(*) + count(*) FILTER (grp % 13 = 0) FROM p UNION ALL SELECT 'same', count(*) FROM p UNION ALL SELECT 'none', 0) AS k)
+SELECT n AS audit_aligned, m AS parallel_rows, m = 0 OR n = m AS ok, parallel FROM z""",
     "verify_checks": _checks_sql("p"),
     "verify_leaked": _checks_sql("leaked"),
     "quality_metrics": f"""{_W}, tasks AS (SELECT o_orderkey AS grp, ([{_CODES}])[(o_orderkey % 66 + 1)::INT] AS book FROM orders),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -115,6 +117,21 @@ def discovery_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discovery.checks(books, table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("code")), "V")
 
 
+FAULTS = ("none", "twice", "version", "group", "name", "empty")
+
+
+def discovery_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same checks on collections with one fault put in at a time: each check fails for its own."""
+    code = F.col("code")
+    base = _nation_books(spark, sf_dir, "customer").select("code", code.cast("string").alias("name"), F.lit("V").alias("version_code"), F.lit(1).alias("first"))
+    books = {
+        "none": base, "twice": base.unionByName(base.where("code < 3")), "version": base.withColumn("version_code", F.when(code % 5 == 0, "W").otherwise("V")),
+        "group": base.withColumn("first", F.when(code % 4 == 0, 0).otherwise(1)), "name": base.withColumn("name", F.when(code % 7 == 0, "").otherwise(F.col("name"))), "empty": base.where("false"),
+    }
+    canon = base.select("code").distinct()
+    return reduce(DataFrame.unionByName, (discovery.checks(books[f], canon, "V").withColumn("fault", F.lit(f)) for f in FAULTS))
+
+
 def discovery_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discovery.status(discovery_checks(spark, sf_dir))
 
@@ -179,7 +196,7 @@ def numbered_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 NAMES = """ref_parse_rejects ref_lenient_parse ref_format_roundtrip usfm_shape canonical_sort_rank group_segment_sort foreign_spans dim_lookup display_name version_lookup chapter_url dim_missing_extra dim_count_mismatch
-key_union set_differences discovery_checks discovery_status mapping_merge missing_tasks resume_plan task_filter status_transitions state_upsert state_seed collect_outcome numbered_rows""".split()
+key_union set_differences discovery_checks discovery_faults discovery_status mapping_merge missing_tasks resume_plan task_filter status_transitions state_upsert state_seed collect_outcome numbered_rows""".split()
 QUERIES = {n: globals()[n] for n in NAMES}
 
 _CODES = ", ".join(f"'{c}'" for c in [*refs.COLLECTIONS, "ZZZ"])
@@ -193,6 +210,8 @@ _T = """WITH t AS (SELECT DISTINCT user_id, event_type FROM events), s AS (SELEC
   FROM (SELECT user_id, event_type, max(event_id) AS last FROM events GROUP BY ALL) WHERE last % 5 <> 0) """
 _CHECKS = f"""WITH {_C} SELECT 'books_non_empty' AS "check", count(*) > 0 AS ok FROM c UNION ALL SELECT 'codes_unique', true UNION ALL SELECT 'version_uniform', true UNION ALL SELECT 'expected_count', (SELECT count(*) FROM c) = (SELECT count(*) FROM nation)
 UNION ALL SELECT 'groups_positive', true UNION ALL SELECT 'names_present', true UNION ALL SELECT 'canon_present', count(*) = 0 FROM nation WHERE n_nationkey NOT IN (SELECT code FROM c)"""
+_FAULTS = """SELECT fault, code, CASE WHEN fault = 'name' AND code % 7 = 0 THEN '' ELSE code::VARCHAR END AS name, CASE WHEN fault = 'version' AND code % 5 = 0 THEN 'W' ELSE 'V' END AS version_code, CASE WHEN fault = 'group' AND code % 4 = 0 THEN 0 ELSE 1 END AS first
+FROM c, (VALUES ('none'), ('twice'), ('version'), ('group'), ('name')) AS v(fault) UNION ALL SELECT 'twice', code, code::VARCHAR, 'V', 1 FROM c WHERE code < 3 UNION ALL SELECT 'empty', NULL, NULL, NULL, NULL"""
 SQL = {
     "ref_parse_rejects": f"{_MADE} SELECT k, ref FROM m WHERE NOT {_VALID}",
     "ref_lenient_parse": f"{_MADE} SELECT k, coalesce(book, '') AS book, coalesce(chapter, 0) AS chapter, coalesce(verse, '0') AS verse FROM m LEFT JOIN (SELECT k, book, chapter, verse FROM v) USING (k)",
@@ -210,6 +229,10 @@ SQL = {
     "key_union": f"WITH {_C} SELECT code FROM c UNION SELECT code FROM s",
     "set_differences": f"WITH {_C} SELECT code, 'left' AS only_in FROM (SELECT code FROM c EXCEPT SELECT code FROM s) UNION ALL SELECT code, 'right' FROM (SELECT code FROM s EXCEPT SELECT code FROM c)",
     "discovery_checks": _CHECKS,
+    "discovery_faults": f"WITH {_C}, f AS ({_FAULTS}), g AS (SELECT fault, count(code) AS n, count(DISTINCT code) AS codes, count(*) FILTER (version_code <> 'V') AS other, count(*) FILTER (first < 1) AS low, count(*) FILTER (name = '') AS nameless FROM f GROUP BY fault), "
+    """h AS (SELECT g.*, (SELECT count(*) FROM c) AS expected, (SELECT count(*) FROM c WHERE code NOT IN (SELECT code FROM f WHERE f.fault = g.fault AND code IS NOT NULL)) AS absent FROM g)
+SELECT fault, 'books_non_empty' AS "check", n > 0 AS ok FROM h UNION ALL SELECT fault, 'codes_unique', n = codes FROM h UNION ALL SELECT fault, 'version_uniform', n > 0 AND other = 0 FROM h UNION ALL SELECT fault, 'expected_count', n = expected FROM h
+UNION ALL SELECT fault, 'groups_positive', low = 0 FROM h UNION ALL SELECT fault, 'names_present', nameless = 0 FROM h UNION ALL SELECT fault, 'canon_present', absent = 0 FROM h""",
     "discovery_status": f"SELECT CASE WHEN bool_and(ok) THEN 'verified' ELSE 'UNCERTAIN' END AS status FROM ({_CHECKS})",
     "mapping_merge": f"""WITH {_C} SELECT code, CASE WHEN c.groups IS NOT NULL THEN n_name END AS a_name, c.groups AS a_groups, CASE WHEN s.groups IS NOT NULL THEN n_name END AS b_name, s.groups AS b_groups,
   CASE WHEN code % 3 <> 0 THEN CASE WHEN s.groups IS NOT NULL THEN 'new' ELSE 'old' END END AS testament FROM c FULL JOIN s USING (code) JOIN nation ON n_nationkey = code""",
