@@ -25,7 +25,8 @@ Defined results: null counts as the empty text, whose fingerprint is that of a w
 of length 0; two empty texts have likeness 1, an empty and another 0; ids are whole
 numbers, ordered with null first, equal ids by their texts' SHA-256; the last document's
 next is the first; a table of one document has itself as next; documents with equal ids are one
-vertex of a cluster; empty texts link with nothing, and a null id has a null cluster.
+vertex of a cluster; empty texts link with nothing, and a null id has a null cluster; texts of any length are walked
+whole, and an exact edit distance of two texts of n characters takes n * n / 64 machine words' work.
 """
 
 from __future__ import annotations

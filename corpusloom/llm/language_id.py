@@ -9,7 +9,8 @@ scored by matrix products.
 
 Defined results: a null text and a text without a letter get ``und`` and score 0;
 null labels teach nothing; with no labelled text at all every text is ``und``;
-repeated rows get equal results; more than ``most_labels`` labels are an error; given columns
+repeated rows get equal results, equal scores go to the first label of the alphabet, and
+texts of any length count whole; more than ``most_labels`` labels are an error; given columns
 named ``lang_pred`` or ``score`` are replaced, all others stay, whatever their names.
 """
 

@@ -5,9 +5,11 @@ repetition rate says; the variable inverts the distribution at a uniform number
 taken from a seeded hash of the document's id, so equal ids repeat equally and a
 rerun gives the same rows.  The copies are put into one global random order.
 
-Defined results: a null source is a source of its own; a source without a target
+Defined results: a null source is a source of its own, and so is one whose name is
+a NUL character and ``null``, which counts as null; a source without a target
 weight, or with weight 0, is left out; rows with null ids share one uniform
-number; an empty table gives no rows.
+number, and the copies of equal number one place in the order; texts of any length
+are carried along whole; an empty table gives no rows.
 """
 
 from __future__ import annotations

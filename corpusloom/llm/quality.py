@@ -7,7 +7,7 @@ calibration is fitted on scores of rows that the fold's weights haven't seen.
 
 Defined results: null and empty texts have all-zero statistics and a score like
 any other; a document without a label teaches nothing; of several labels of one
-document each counts; a null id has no label; with no labelled row at all every score is 0.5;
+document each counts; a null id has no label; texts of any length count whole; with no labelled row at all every score is 0.5;
 given columns named ``score`` or ``predicted`` are replaced, all others stay, whatever their names.
 """
 

@@ -16,7 +16,8 @@ and equal windows have equal anchors.
    segment is parsed greedily: a factor begins where the longest match with another
    place of the block has ``length`` words or more, and takes all of that match.  At the
    factor's end the parse goes back to the first window that crosses it, as that one may
-   match another source.
+   match another source.  A segment's windows all hold its anchor, so it has up to
+   2 * length - anchor words (62 for 35 and 8), and no factor is longer than that.
 4. Factors are duplicate spans.  A repeat that runs over the end of a segment goes on as
    a factor of the next one, perhaps in another block; spans that overlap or touch are
    merged per document.
