@@ -117,8 +117,8 @@ def _mapped(rows: DataFrame, html: str, given: list[str], ddl: str, make) -> Dat
     return rows.mapInArrow(run, out)
 
 
-def with_page_meta(rows: DataFrame, html: str = "html") -> DataFrame:
-    return _mapped(rows, html, [], META, lambda h: page_meta(parse(h or "")))
+def with_page_meta(rows: DataFrame, html: str = "html", closed: bool = False) -> DataFrame:
+    return _mapped(rows, html, [], META, lambda h: page_meta(parse(h or "", closed)))
 
 
 def with_chapter_spans(rows: DataFrame, html: str = "html", book: str = "book_code", number: str = "chapter") -> DataFrame:
@@ -131,15 +131,18 @@ def with_elements(rows: DataFrame, html: str = "html", tags: tuple[str, ...] = (
     return _mapped(rows, html, [], "elements array<struct<pos:int,kind:string,text:string,href:string>>", make)
 
 
-def with_blocks(rows: DataFrame, html: str = "html", tags: tuple[str, ...] = ("p", "li", "h1"), marked: tuple[str, ...] = ("b", "strong")) -> DataFrame:
-    """``blocks``: the named elements in document order, each with its place, parent, text, and whether any of its text is in a ``marked`` element."""
+def with_blocks(rows: DataFrame, html: str = "html", tags: tuple[str, ...] = ("p", "li", "h1"), marked: tuple[str, ...] = ("b", "strong"), closed: bool = False) -> DataFrame:
+    """``blocks``: the named elements in document order, each with its place, parent, text, and whether any of its text is in a ``marked`` element.
+
+    With ``closed`` only character references that end in a semicolon are decoded.
+    """
     wanted, marks = set(tags), set(marked)
 
     def one(i: int, e: Node) -> dict:
         inside = any(x.tag in marks and x.text().strip() for x in e.elements())
         return {"pos": i, "kind": e.tag, "parent": e.parent.tag, "text": " ".join(e.text().split()), "marked": inside or (e.within(marks) and bool(e.text().strip()))}
 
-    make = lambda h: {"blocks": [one(i, e) for i, e in enumerate(x for x in parse(h or "").elements() if x.tag in wanted)]}
+    make = lambda h: {"blocks": [one(i, e) for i, e in enumerate(x for x in parse(h or "", closed).elements() if x.tag in wanted)]}
     return _mapped(rows, html, [], "blocks array<struct<pos:int,kind:string,parent:string,text:string,marked:boolean>>", make)
 
 
