@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +21,26 @@ def join_sides(a: DataFrame, b: DataFrame, key: list[str]) -> DataFrame:
     return left.join(right, key, "full_outer").withColumns({s: F.coalesce(s, F.lit(False)) for s in ("has_a", "has_b")})
 
 
+def paired(rows: DataFrame, key: list[str], order: list[str], shown: str) -> DataFrame:
+    """Deduplication and join of both sides in one pass, for sides that come from the same rows (``in_a``, ``in_b``, ``a_*``, ``b_*``).
+
+    Of each key the row that ``leads`` has what ``join_sides`` makes of the sides' first rows by ``order``; every row
+    says whether a side lost it (``lost_a``, ``lost_b``; ``kept_a`` and ``kept_b`` are the winners' ``shown``, ``dropped`` its own).
+    Rows that are partitioned by a part of the key already aren't shuffled.  Sides don't meet at a null key.
+    """
+    apart = reduce(lambda x, y: x | y, (F.col(k).isNull() for k in key))
+    rows = rows.withColumn("__apart", F.explode(F.when(apart, F.array(F.lit("a"), F.lit("b"))).otherwise(F.array(F.lit(None).cast("string")))))
+    rows = rows.withColumns({f"in_{s}": F.col(f"in_{s}") & F.coalesce(F.col("__apart") == s, F.lit(True)) for s in "ab"}).where("in_a or in_b")
+    names = {s: [c for c in rows.columns if c.startswith(f"{s}_")] for s in "ab"}
+    ordered = Window.partitionBy(*key, "__apart").orderBy(*order, *names["a"], *names["b"])
+    so_far, whole = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow), ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    first = {s: F.first(F.when(F.col(f"in_{s}"), F.struct(*names[s], F.col(shown).alias("__shown"))), ignorenulls=True).over(whole).alias(f"__{s}") for s in "ab"}
+    nth = {s: F.count_if(F.col(f"in_{s}")).over(so_far).alias(f"__nth_{s}") for s in "ab"}
+    seen = rows.select(*key, F.col(shown).alias("dropped"), "in_a", "in_b", *first.values(), *nth.values(), (F.row_number().over(ordered) == 1).alias("leads"))
+    side = lambda s: [F.col(f"__{s}.{c}").alias(c) for c in names[s]] + [(F.col("leads") & F.col(f"__{s}").isNotNull()).alias(f"has_{s}"), (F.col(f"in_{s}") & (F.col(f"__nth_{s}") > 1)).alias(f"lost_{s}"), F.col(f"__{s}.__shown").alias(f"kept_{s}")]
+    return seen.select(*key, "leads", "dropped", *side("a"), *side("b"))
+
+
 def _identical() -> Column:
     return F.col("has_a") & F.col("has_b") & (F.col("a_text") != "") & (F.col("a_text") == F.col("b_text"))
 
@@ -73,16 +95,33 @@ def decide(joined: DataFrame, group: list[str]) -> DataFrame:
     return rows.withColumns({"a_status": side("a", blank_a), "b_status": side("b", blank_b), "reason": reason, "identical_text_flag": F.coalesce(_identical(), F.lit(False))})
 
 
+def _judged() -> dict[str, Column]:
+    """The audit's columns of a reference."""
+    hashed = lambda s: F.when(F.col(f"has_{s}"), sha256(F.col(f"{s}_text")))
+    return {c: F.col(c) for c in ("a_status", "b_status", "alignment_status")} | {"a_text_hash": hashed("a"), "b_text_hash": hashed("b"), "reason": F.col("reason")}
+
+
+def _dropped(side: Column, kept: Column, dropped: Column) -> dict[str, Column]:
+    """The audit's columns of a dropped duplicate."""
+    status = lambda s: F.when(side == s, "duplicate").otherwise("present_or_missing")
+    none = F.lit(None).cast("string")
+    reason = F.concat(F.lit("duplicate reference on side "), side, F.lit("; kept "), kept.cast("string"), F.lit(", dropped "), dropped.cast("string"))
+    return {"a_status": status("a"), "b_status": status("b"), "alignment_status": F.concat(F.lit("duplicate_"), side), "a_text_hash": none, "b_text_hash": none, "reason": reason}
+
+
 def audit(decided: DataFrame, key: list[str], duplicates: DataFrame | None = None) -> DataFrame:
     """One row a reference, and one a dropped duplicate (``key``, ``side``, ``kept``, ``dropped``)."""
-    hashed = lambda s: F.when(F.col(f"has_{s}"), sha256(F.col(f"{s}_text")))
-    rows = decided.select(*key, "a_status", "b_status", "alignment_status", hashed("a").alias("a_text_hash"), hashed("b").alias("b_text_hash"), "reason")
+    rows = decided.select(*key, *(v.alias(k) for k, v in _judged().items()))
     if duplicates is None:
         return rows
-    status = lambda s: F.when(F.col("side") == s, "duplicate").otherwise("present_or_missing")
-    none = F.lit(None).cast("string")
-    reason = F.concat(F.lit("duplicate reference on side "), F.col("side"), F.lit("; kept "), F.col("kept").cast("string"), F.lit(", dropped "), F.col("dropped").cast("string"))
-    return duplicates.select(*key, status("a").alias("a_status"), status("b").alias("b_status"), F.concat(F.lit("duplicate_"), F.col("side")).alias("alignment_status"), none.alias("a_text_hash"), none.alias("b_text_hash"), reason.alias("reason")).unionByName(rows)
+    return duplicates.select(*key, *(v.alias(k) for k, v in _dropped(F.col("side"), F.col("kept"), F.col("dropped")).items())).unionByName(rows)
+
+
+def audit_paired(decided: DataFrame, key: list[str], only: list[str] | None = None) -> DataFrame:
+    """The same audit from the decided rows of ``paired``, where they are; ``only`` names the columns that are wanted."""
+    cells = lambda found: F.struct(*(v.alias(k) for k, v in found.items() if only is None or k in only))
+    lost = [F.when(F.col(f"lost_{s}"), cells(_dropped(F.lit(s), F.col(f"kept_{s}"), F.col("dropped")))) for s in "ab"]
+    return decided.select(*key, F.explode(F.array_compact(F.array(F.when(F.col("leads"), cells(_judged())), *lost))).alias("__row")).select(*key, "__row.*")
 
 
 def parallel(decided: DataFrame) -> DataFrame:

@@ -47,9 +47,15 @@ def spot_checks(rows: DataFrame, wanted: list[str], key: str = "reference") -> D
 
 def audit_reconciles(audit: DataFrame, parallel: DataFrame) -> DataFrame:
     """One row: the audit's aligned count, the parallel rows, and whether they agree (without parallel rows they do)."""
+    return audit_reconciles_variants(audit, parallel, {"": F.lit(1)}, "variant").drop("variant")
+
+
+def audit_reconciles_variants(audit: DataFrame, parallel: DataFrame, times: dict[str, Column], name: str) -> DataFrame:
+    """The same for several tables made of the parallel rows, a row each with its ``name``: ``times`` says how often a row is in each.  Both frames are read once."""
     a = audit.agg(F.count_if(F.col("alignment_status") == "aligned").alias("audit_aligned"))
-    out = a.crossJoin(parallel.agg(F.count("*").alias("parallel_rows")))
-    return out.withColumn("ok", (F.col("parallel_rows") == 0) | (F.col("audit_aligned") == F.col("parallel_rows")))
+    counts = [F.struct(F.lit(k).alias(name), F.coalesce(F.sum(v.cast("bigint")), F.lit(0)).alias("parallel_rows")) for k, v in times.items()]
+    out = a.crossJoin(parallel.agg(F.array(*counts).alias("__counts"))).select("audit_aligned", F.explode("__counts").alias("__c")).select("audit_aligned", "__c.parallel_rows", f"__c.{name}")
+    return out.select("audit_aligned", "parallel_rows", ((F.col("parallel_rows") == 0) | (F.col("audit_aligned") == F.col("parallel_rows"))).alias("ok"), name)
 
 
 def leaked_uncertain(parallel: DataFrame, audit: DataFrame, keys: list[str]) -> DataFrame:

@@ -1,10 +1,16 @@
 from __future__ import annotations
 
+import os
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators import align, dedup, normalize
 from corpusloom.plans import verify
+from corpusloom.queries import alignment
+
+SF = "/root/testdata/sf0.001"
 
 SIDE = "reference string, grp string, text string, language_status string, label string"
 KEY = ["reference", "grp"]
@@ -111,3 +117,37 @@ def test_verify_rules(spark):
 
 def test_empty_sides(spark):
     assert decided(spark, [], []) == {}
+
+
+PAIR_ROWS = "grp bigint, seg int, o1 bigint, shown bigint, in_a boolean, in_b boolean, a_text string, a_label string, a_language_status string, b_text string, b_label string, b_language_status string"
+
+
+def test_one_pass_pairs_as_the_joins_do(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(600):
+        a, b = rng.choice([(True, False), (False, True), (True, True)])
+        o = rng.randrange(5) if i % 3 else 7  # equal rows, too
+        rows.append((rng.randrange(30), rng.choice([1, 2, 3, None]), o, o * 10, a, b, "" if o == 3 else f"x{o % 2}", "1", "LANGUAGE_UNCERTAIN" if o == 4 else "verified", "" if o % 4 == 1 else f"x{o // 2 % 2}", "1", "verified"))
+    frame = spark.createDataFrame(rows, PAIR_ROWS)
+    side = lambda s: frame.where(f"in_{s}").select("grp", "seg", "o1", "shown", *(F.col(f"{s}_{c}").alias(c) for c in ("text", "label", "language_status")))
+    kept = [dedup.keep_first(side(s), ["grp", "seg"], [F.col("o1")]).drop("o1", "shown") for s in "ab"]
+    lost = [dedup.duplicates(side(s), ["grp", "seg"], [F.col("o1")], "shown").withColumn("side", F.lit(s)) for s in "ab"]
+    wanted = align.audit(align.decide(align.join_sides(*kept, ["grp", "seg"]), ["grp"]), ["grp", "seg"], lost[0].unionByName(lost[1]))
+    decided = align.decide(align.paired(frame, ["grp", "seg"], ["o1"], "shown"), ["grp"])
+    got = align.audit_paired(decided, ["grp", "seg"])
+    text = lambda f: sorted(map(repr, f.select(sorted(wanted.columns)).collect()))
+    assert text(got) == text(wanted) and {r.alignment_status for r in got.collect()} >= {"aligned", "missing_a", "missing_b", "duplicate_a", "duplicate_b", "language_uncertain"}
+    only = align.audit_paired(decided, ["grp", "seg"], ["alignment_status"])
+    assert only.columns == ["grp", "seg", "alignment_status"] and only.count() == wanted.count()
+
+
+def scans(frame) -> int:
+    """How often the plan reads lineitem."""
+    return sum("l_orderkey" in f for f in frame._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Relation [" in f)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="the tables are not here")
+@pytest.mark.parametrize(("name", "most"), [("audit_reconcile_red", 2)])
+def test_the_audit_is_made_in_one_pass(spark, name, most):
+    assert scans(alignment.QUERIES[name](spark, SF)) <= most
