@@ -148,6 +148,6 @@ def scans(frame) -> int:
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="the tables are not here")
-@pytest.mark.parametrize(("name", "most"), [("audit_reconcile_red", 2), ("audit_reason", 1), ("ref_duplicate_audit", 1), ("verify_checks", 0), ("verify_leaked", 0)])
+@pytest.mark.parametrize(("name", "most"), [("audit_reconcile_red", 2), ("audit_reason", 1), ("ref_duplicate_audit", 1), ("verify_checks", 0), ("verify_leaked", 0), ("quality_metrics", 0)])
 def test_the_audit_is_made_in_one_pass(spark, name, most):
     assert scans(alignment.QUERIES[name](spark, SF)) <= most
