@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.sources.readers import COMPRESSED
+
 
 def metric(rows: DataFrame, name: str, value: Column) -> DataFrame:
     return rows.agg(value.cast("string").alias("value")).select(F.lit(name).alias("metric"), "value")
@@ -47,12 +53,92 @@ def retrieval_range(captures: DataFrame, at: str = "retrieved_at") -> DataFrame:
     return captures.agg(F.coalesce(F.concat(F.min(at), F.lit(" to "), F.max(at)), F.lit("n/a")).alias("range"))
 
 
+#: Files up to so many bytes are hashed as one value; of longer ones, chunks of about ``CHUNK`` bytes are.
+WHOLE, CHUNK = 64 << 20, 8 << 10
+
+
+def digests(spark: SparkSession, path: str | list[str], whole: int = WHOLE) -> DataFrame:
+    """``path``, ``length``, ``sha256`` of files of any length.
+
+    A long file is read in ranges and hashed chunk after chunk, in one task a file, as SHA-256 has one order of
+    bytes; no task holds it.  Compressed files are opened by every reader but the one for whole values, which ends at 2 GB.
+    """
+    files = spark.read.format("binaryFile").load(path)
+    long = files.where(F.col("length") > whole).select("path", "length", F.col("_metadata.file_path").alias("file")).collect()
+    packed = [r.path for r in long if re.search(COMPRESSED, r.path)]
+    cut = [r for r in long if not re.search(COMPRESSED, r.path)]
+    hashed = lambda f: f.select("path", "length", F.sha2("content", 256).alias("sha256"))
+    out = hashed(files.where(F.col("length") <= whole))
+    if packed:
+        out = out.unionByName(hashed(spark.read.format("binaryFile").load([_literal(p) for p in packed])))
+    if cut:
+        out = out.unionByName(_streamed(spark, cut))
+    return out
+
+
+def _literal(path: str) -> str:
+    """The path without wildcards."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+def _streamed(spark: SparkSession, files: list[Row]) -> DataFrame:
+    """Digests of long files (``path``, ``length``, ``file``) from their bytes between line feeds, as text readers cut them."""
+    meta = lambda c: F.col(f"_metadata.{c}")
+    lines = spark.read.text([_literal(f.path) for f in files], lineSep="\n").select(meta("file_path").alias("file"), meta("file_block_start").alias("block"), meta("file_size").alias("length"), F.col("value").cast("binary").alias("bytes"))
+
+    def chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Lines of a range, each with its line feed, in numbered chunks."""
+        place, seq, held, size = None, 0, [], 0
+        made = lambda: pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((*place, seq, b"\n".join([*held, b""])), (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["file", "block", "length", "seq", "bytes"])
+        for batch in batches:
+            for *here, line in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if here != place or size >= CHUNK:
+                    if held:
+                        yield made()
+                    seq, held, size = (seq + 1 if here == place else 0), [], 0
+                    place = here
+                held.append(line)
+                size += len(line) + 1
+        if held:
+            yield made()
+
+    def digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Readers take a byte order mark away and don't tell whether a line feed ends the file: the file's length does."""
+        file, length, fed, plain, marked = None, 0, 0, None, None
+
+        def end() -> pa.RecordBatch:
+            left = length - fed
+            if left not in (0, 1, 3, 4):
+                raise ValueError(f"{file} has changed: {left} bytes of {length} are left")
+            for h in (plain, marked):
+                h.update(b"\n" * (left in (1, 4)))
+            return pa.RecordBatch.from_arrays([pa.array([file]), pa.array([(marked if left > 1 else plain).hexdigest()])], names=["file", "sha256"])
+
+        for batch in batches:
+            for f, size, piece in zip(*(batch.column(c).to_pylist() for c in ("file", "length", "bytes")), strict=True):
+                if f != file:
+                    if file is not None:
+                        yield end()
+                    file, length, fed, plain, marked = f, size, 0, hashlib.sha256(), hashlib.sha256(b"\xef\xbb\xbf")
+                else:
+                    piece = b"\n" + piece
+                for h in (plain, marked):
+                    h.update(piece[:-1])
+                fed += len(piece) - 1
+        if file is not None:
+            yield end()
+
+    cut = lines.mapInArrow(chunks, "file string, block bigint, length bigint, seq bigint, bytes binary")
+    found = cut.repartition(len(files), "file").sortWithinPartitions("file", "block", "seq").select("file", "length", "bytes").mapInArrow(digest, "file string, sha256 string")
+    return spark.createDataFrame([(f.path, f.length, f.file) for f in files], "path string, length bigint, file string").join(found, "file").select("path", "length", "sha256")
+
+
 def checksums(spark: SparkSession, raw: str | list[str], final: list[str]) -> DataFrame:
     """``class`` (0 raw, 1 final), ``ord``, ``path``, ``sha256``: raw files by path, then final ones as declared.
 
     Hidden files, and names with ``._``, are left out.
     """
-    read = lambda p: spark.read.format("binaryFile").load(p).select("path", F.sha2("content", 256).alias("sha256"))
+    read = lambda p: digests(spark, p).select("path", "sha256")
     name = F.element_at(F.split("path", "/"), -1)
     out = read(raw).where(~name.startswith(".") & ~F.contains(name, F.lit("._"))).select(F.lit(0).alias("class"), F.lit(0).alias("ord"), "path", "sha256")
     for i, p in enumerate(final):
@@ -61,7 +147,7 @@ def checksums(spark: SparkSession, raw: str | list[str], final: list[str]) -> Da
 
 
 def file_digest(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").load(path).select("path", "length", F.sha2("content", 256).alias("sha256"))
+    return digests(spark, path)
 
 
 def sha256sum(rows: DataFrame, header: list[str]) -> DataFrame:

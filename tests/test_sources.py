@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import json
 
 import pytest
@@ -187,3 +188,17 @@ def test_spot_checks(spark):
     rows = spark.createDataFrame([("x",)], "reference string")
     assert {tuple(r) for r in verify.spot_checks(rows, ["x", "y"]).collect()} == {("x", True), ("y", False)}
     assert rows.select(F.lit(1)).count() == 1
+
+
+@pytest.mark.parametrize("content", [b"a\n" * 40_000, b"\n\n", b"x" * 70_000, b"\xef\xbb\xbfa\nb", b"\xef\xbb\xbfa\n\n", b"a\r\nb\r", bytes(range(256)) * 400, b"\xef\xbb\xbf\xef\xbb\xbfa\n"])
+def test_digests_of_long_files(spark, tmp_path, content):
+    (tmp_path / "a [1] %20.bin").write_bytes(content)
+    (tmp_path / "b.bin").write_bytes(content[::-1])
+    (tmp_path / "c.gz").write_bytes(content)
+    cut = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        found = {r.path.rsplit("/", 1)[-1]: (r.length, r.sha256) for r in report.digests(spark, str(tmp_path), whole=0).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", cut)
+    assert found == {f.name: (len(f.read_bytes()), hashlib.sha256(f.read_bytes()).hexdigest()) for f in tmp_path.iterdir()}
