@@ -263,6 +263,37 @@ def test_edit_similarity(a, b):
     assert fingerprints.edit_similarity(a, b) == (1.0 if a == b else 1 - levenshtein(a, b) / whole)
 
 
+@given(st.text(alphabet="abc", max_size=20), st.lists(st.tuples(st.integers(0, 19), st.sampled_from(["", "a", "bc"]), st.integers(0, 2)), max_size=6), st.integers(0, 9))
+@settings(max_examples=400, deadline=None)
+def test_within_edits(a, changes, most):
+    b = a
+    for at, new, gone in changes:
+        b = b[:at] + new + b[at + gone :]
+    assert fingerprints.within_edits(a, b, most) == fingerprints.within_edits(b, a, most) == (levenshtein(a, b) <= most)
+
+
+def test_edits_of_long_texts_are_not_counted_to_the_end():
+    rng = random.Random(3)
+    a = "".join(rng.choices("abcdefgh ", k=20_000))
+    b = "".join(rng.choice("abcdefgh ") if rng.random() < 0.3 else c for c in a)
+    seen = 0
+
+    class Counted(str):
+        def __iter__(self):
+            for c in str(self):
+                nonlocal seen
+                seen += 1
+                yield c
+
+    real = fingerprints._trimmed
+    try:
+        fingerprints._trimmed = lambda x, y: tuple(map(Counted, real(x, y)))
+        assert not fingerprints.within_edits(a, b, 1000)
+    finally:
+        fingerprints._trimmed = real
+    assert 0 < seen < 10_000
+
+
 def test_bands_are_consecutive_bits_of_the_walk():
     """A band's key is made of the bits that the walk writes from its beginning on."""
     texts = ["hello world, " * 9, "x", "", "日本語 text " * 40]
