@@ -124,6 +124,26 @@ def audit_paired(decided: DataFrame, key: list[str], only: list[str] | None = No
     return decided.select(*key, F.explode(F.array_compact(F.array(F.when(F.col("leads"), cells(_judged())), *lost))).alias("__row")).select(*key, "__row.*")
 
 
+REASON_PARTS = ["alignment_status", "reason", "kept", "dropped"]
+
+
+def reason_parts(decided: DataFrame) -> DataFrame:
+    """What the audit's reasons are made of (``REASON_PARTS``), from the decided rows of ``paired``: of dropped duplicates both numbers instead of the text."""
+    known = lambda s, c: F.when(F.col(f"kept_{s}").isNotNull() & F.col("dropped").isNotNull(), F.col(c))
+    none = lambda c: F.lit(None).cast(decided.schema[c].dataType)
+    cells = lambda *values: F.struct(*(v.alias(c) for v, c in zip(values, REASON_PARTS, strict=True)))
+    lost = [F.when(F.col(f"lost_{s}"), cells(F.lit(f"duplicate_{s}"), none("reason"), known(s, f"kept_{s}"), known(s, "dropped"))) for s in "ab"]
+    lead = F.when(F.col("leads"), cells(F.col("alignment_status"), F.col("reason"), none("dropped"), none("dropped")))
+    return decided.select(F.explode(F.array_compact(F.array(lead, *lost))).alias("__part")).select("__part.*")
+
+
+def reason_counts(parts: DataFrame) -> DataFrame:
+    """How often the audit has each reason: counted by its parts, which are shorter than the text that is made of them behind."""
+    status = F.col("alignment_status")
+    text = F.when(status.startswith("duplicate_"), _dropped(F.substring(status, 11, 1), F.col("kept"), F.col("dropped"))["reason"]).otherwise(F.col("reason"))
+    return parts.groupBy(*REASON_PARTS).agg(F.count("*").alias("n")).select("alignment_status", text.alias("reason"), "n")
+
+
 def parallel(decided: DataFrame) -> DataFrame:
     return decided.where("alignment_status = 'aligned'")
 

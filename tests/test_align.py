@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators import align, dedup, normalize
-from corpusloom.plans import verify
+from corpusloom.plans import storage, verify
 from corpusloom.queries import alignment
 
 SF = "/root/testdata/sf0.001"
@@ -151,3 +151,40 @@ def scans(frame) -> int:
 @pytest.mark.parametrize(("name", "most"), [("audit_reconcile_red", 2), ("audit_reason", 1), ("ref_duplicate_audit", 1), ("verify_checks", 0), ("verify_leaked", 0), ("quality_metrics", 0)])
 def test_the_audit_is_made_in_one_pass(spark, name, most):
     assert scans(alignment.QUERIES[name](spark, SF)) <= most
+
+
+def sorted_rows(frame) -> list[str]:
+    return sorted(map(repr, frame.collect()))
+
+
+def test_reasons_counted_by_their_parts_are_those_of_the_audit(spark):
+    rng = random.Random(6)
+    made = lambda i: (rng.randrange(20), rng.randrange(3), i % 7, rng.choice([None, 10, 20]), i % 3 != 1, i % 3 != 2, rng.choice(["", "x", "y"]), "[1]", rng.choice(["verified", "LANGUAGE_UNCERTAIN"]), rng.choice(["", "x"]), "1", "verified")
+    decided = align.decide(align.paired(spark.createDataFrame([made(i) for i in range(300)], PAIR_ROWS), ["grp", "seg"], ["o1"], "shown"), ["grp"])
+    wanted = align.audit_paired(decided, ["grp", "seg"]).groupBy("alignment_status", "reason").agg(F.count("*").alias("n"))
+    got = sorted_rows(align.reason_counts(align.reason_parts(decided)))
+    assert got == sorted_rows(wanted) and any("duplicate_a', reason=None" in r for r in got) and any("kept 10, dropped 20" in r for r in got)
+
+
+def shuffle_files(spark) -> set[str]:
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    return {f for f in files.splitlines() if "/shuffle_" in f}
+
+
+def test_stored_parts_leave_no_shuffle_files(spark):
+    before = shuffle_files(spark)
+    seen = []
+
+    def parts():
+        for i in range(3):
+            seen.append(shuffle_files(spark) - before)
+            yield spark.range(1000).where(f"id % 3 = {i}").groupBy((F.col("id") % 7).alias("k")).agg(F.count("*").alias("n"))
+
+    rows = storage.stored(parts(), "counts")
+    assert seen == [set()] * 3 and shuffle_files(spark) <= before
+    assert rows.count() == 21 and rows.agg(F.sum("n")).first()[0] == 1000
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="the tables are not here")
+def test_reasons_come_from_what_is_stored(spark):
+    assert scans(alignment.audit_reason(spark, SF)) == 0
