@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.plans.storage import in_turn
 from corpusloom.sources.readers import COMPRESSED
 
 
@@ -32,7 +33,7 @@ def union(parts: list[DataFrame]) -> DataFrame:
 def quality_metrics(sides: dict[str, DataFrame], tasks: dict[str, DataFrame], captures: dict[str, DataFrame], audit: DataFrame, parallel: DataFrame, ml: DataFrame, splits: DataFrame, files: DataFrame, verdict: DataFrame, unreadable: DataFrame, failed: DataFrame) -> DataFrame:
     """The 30 metrics of a run: discovered, extracted and normalized counts by side, alignment, audit, splits, files and the verdict.
 
-    Each frame is aggregated once, to one row.
+    Each frame is aggregated once, to one row, one after another.
     """
     status = lambda s: F.count_if(F.col("alignment_status") == s)
     blank = F.size(F.filter("verses", lambda v: F.trim(F.coalesce(v["text"], F.lit(""))) == ""))
@@ -45,7 +46,7 @@ def quality_metrics(sides: dict[str, DataFrame], tasks: dict[str, DataFrame], ca
     parts += [metric(failed, "failed_chapters", F.count("*")), metric(unreadable, "unreadable_files", F.count("*"))]
     parts.append(metrics(splits, {f"{s}_{k}": F.coalesce(F.max(F.when(F.col("split") == s, F.col(k))), F.lit(0)) for s in ("train", "validation", "test") for k in ("segments", "books")}))
     parts += [metric(files, "checksummed_files", F.count("*")), metrics(verdict, {"verification_ok": F.bool_and("ok"), "verification_complete": F.bool_and("complete")})]
-    return union(parts)
+    return in_turn(parts)
 
 
 def retrieval_range(captures: DataFrame, at: str = "retrieved_at") -> DataFrame:

@@ -200,7 +200,7 @@ def test_small_frames_in_turn(spark):
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="the tables are not here")
-@pytest.mark.parametrize("name", ["verify_leaked"])
+@pytest.mark.parametrize("name", ["verify_leaked", "quality_metrics"])
 def test_a_run_is_judged_check_by_check(spark, name):
     before = shuffle_files(spark)
     out = alignment.QUERIES[name](spark, SF)
